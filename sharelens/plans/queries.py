@@ -98,16 +98,23 @@ def _(spark, sf):
     return jsonl.repair_columns(named.toDF("0", "1", "2", "3"), jsonl.SHARE_COLUMNS)
 
 
-def _as_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Frame the JSON objects of one partition as one array, batch by batch."""
-    mark = "["
-    for batch in batches:
-        lines = []
-        for text in batch["value"]:
-            lines.append(mark + text)
-            mark = ","
-        yield pd.DataFrame({"value": lines})
-    yield pd.DataFrame({"value": ["[]" if mark == "[" else "]"]})
+def _array_framer() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Frames the JSON objects of one partition as one array, batch by batch.
+
+    A local function travels to the workers whole, so they need not have this package.
+    """
+
+    def frame(batches):
+        mark = "["
+        for batch in batches:
+            lines = []
+            for text in batch["value"]:
+                lines.append(mark + text)
+                mark = ","
+            yield pd.DataFrame({"value": lines})
+        yield pd.DataFrame({"value": ["[]" if mark == "[" else "]"]})
+
+    return frame
 
 
 @query("read_query_array")
@@ -123,7 +130,7 @@ def _(spark, sf):
         ).alias("value")
     )
     path = scratch_path(spark, "queries.json")
-    rows.mapInPandas(_as_array, "value string").write.text(path)
+    rows.mapInPandas(_array_framer(), "value string").write.text(path)
     return jsonl.read_query_array(spark, path)
 
 
