@@ -1,9 +1,9 @@
 """Joins and neighbour lookups that hold when one key owns a third of all rows.
 
-Hot keys are found by a pre-aggregated count.  A key is hot when it has more
-than ``hot_rows`` rows and more than a ``MAX_HOT_KEYS``-th of the table, so there
-are never more than ``MAX_HOT_KEYS`` of them: the list is safe to broadcast at
-any table size, and any other key fits one task.
+Hot keys are found by a pre-aggregated count: the ``MAX_HOT_KEYS`` largest of
+the keys with more than ``hot_rows`` rows.  So the list is safe to broadcast at
+any table size, and any other key has at most ``hot_rows`` rows or, in a very
+large table, at most a ``MAX_HOT_KEYS``-th of it.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ BROADCAST_ROWS = 100_000
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """The keys too large for one task; at most ``MAX_HOT_KEYS`` rows."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    share = counts.agg((F.sum("_n") / MAX_HOT_KEYS).alias("t")).scalar()
-    return counts.where((F.col("_n") > hot_rows) & (F.col("_n") > share)).select(*keys)
+    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    large = counts.where(F.col("_n") > hot_rows)
+    return large.orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS).select(*keys)
 
 
 def skew_join(
@@ -94,20 +94,15 @@ def neighbour(
     hot = hot_keys(df if source is None else source, [key], hot_rows)
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     marked = df.join(hot, key, "left").withColumn("_bucket", F.when(F.col("_hot"), bucket))
-    shift = F.lead if step > 0 else F.lag
-    against = F.lag if step > 0 else F.lead
+    shift, end = (F.lead, F.min) if step > 0 else (F.lag, F.max)
     rows = Window.partitionBy(key, "_bucket").orderBy(*order)
-    inner = marked.withColumns(
-        {
-            "_near": shift(F.struct(value)).over(rows),
-            "_edge": against(F.lit(1)).over(rows).isNull(),
-        }
-    )
+    inner = marked.withColumn("_near", shift(F.struct(value)).over(rows))
     buckets = Window.partitionBy(key).orderBy("_bucket")
     carry = (
-        inner.where(F.col("_hot") & F.col("_edge"))
-        .select(key, "_bucket", F.struct(value).alias("_end"))
-        .select(key, "_bucket", shift("_end").over(buckets).alias("_far"))
+        marked.where(F.col("_hot"))
+        .groupBy(key, "_bucket")
+        .agg(end(F.struct(*order, F.struct(value).alias("_v"))).alias("_end"))
+        .select(key, "_bucket", shift("_end._v").over(buckets).alias("_far"))
     )
     return (
         inner.join(carry, [key, "_bucket"], "left")

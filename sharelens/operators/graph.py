@@ -128,21 +128,26 @@ def betweenness(edges: DataFrame, n_nodes: int = 1000, seed: int = 42) -> DataFr
     """
     nodes = checkpointed(sample_nodes(graph_nodes(edges), n_nodes, seed))
     links = checkpointed(induced_subgraph(edges, nodes).where(F.col("src") != F.col("dst")))
+    out_links = F.broadcast(links)  # at most n_nodes squared rows
 
     level = nodes.select(
         F.col("user_id").alias("source"), F.col("user_id").alias("node"), F.lit(1.0).alias("sigma")
     )
     levels = [level]
     reached = level.select("source", "node")
-    while True:
+    size = nodes.count()
+    open_pairs = size * size - size
+    while open_pairs:
         step = (
-            level.join(links, level["node"] == links["src"])
+            level.join(out_links, level["node"] == links["src"])
             .groupBy("source", F.col("dst").alias("node"))
             .agg(F.sum("sigma").alias("sigma"))
         )
         level = checkpointed(step.join(reached, ["source", "node"], "left_anti"))
-        if level.isEmpty():
+        found = level.count()
+        if not found:
             break
+        open_pairs -= found
         levels.append(level)
         reached = reached.unionByName(level.select("source", "node"))
 
@@ -153,7 +158,7 @@ def betweenness(edges: DataFrame, n_nodes: int = 1000, seed: int = 42) -> DataFr
             "source", F.col("node").alias("dst"), ((F.col("delta") + 1) / F.col("sigma")).alias("_f")
         )
         passed = (
-            flow.join(links, "dst")
+            flow.join(out_links, "dst")
             .groupBy("source", F.col("src").alias("node"))
             .agg(F.sum("_f").alias("_f"))
         )

@@ -19,6 +19,7 @@ from sharelens.functions.columns import (
     share_count_bucket,
 )
 from sharelens.functions.skew import lookup_join, skew_join
+from sharelens.session import checkpointed
 
 AGE_CODES = [-1, 1, 2, 3, 4, 5, 6, 7, 8]  # fixed values: the codes the user table may hold
 
@@ -58,9 +59,8 @@ def user_user_counts(shares: DataFrame) -> DataFrame:
 
 def gender_distribution(users: DataFrame, lang: str = "en") -> DataFrame:
     """Users per gender and their percent of all users with a known code."""
-    counts = count_by(users, ["user_gender"])
-    total = counts.agg(F.sum("n").alias("t")).scalar()
-    return counts.select(
+    total = F.sum("n").over(Window.partitionBy())  # one row per gender
+    return count_by(users, ["user_gender"]).select(
         "user_gender",
         label_gender(F.col("user_gender"), lang).alias("gender"),
         "n",
@@ -103,15 +103,14 @@ def date_counts(shares: DataFrame) -> DataFrame:
 
 def daily_counts(shares: DataFrame) -> DataFrame:
     """Shares per date, with the mean over the dates."""
-    counts = date_counts(shares)
-    return counts.withColumn("mean_n", counts.agg(F.avg("n").alias("m")).scalar())
+    return date_counts(shares).withColumn("mean_n", F.avg("n").over(Window.partitionBy()))
 
 
 def hourly_counts(shares: DataFrame) -> DataFrame:
     """Shares per hour of day; the busiest hour (the earliest on a tie) is flagged."""
     counts = count_by(shares.select(F.hour("ts").alias("hour")), ["hour"])
-    peak = counts.agg(F.max_by("hour", F.struct(F.col("n"), -F.col("hour"))).alias("h")).scalar()
-    return counts.withColumn("is_peak", F.col("hour") == peak)
+    place = F.row_number().over(Window.orderBy(F.col("n").desc(), "hour"))  # one row per hour
+    return counts.withColumn("is_peak", place == 1)
 
 
 def weekday_counts(shares: DataFrame, lang: str = "en") -> DataFrame:
@@ -241,7 +240,7 @@ def user_item_preference(shares: DataFrame, max_entries: int = 10_000) -> DataFr
     An inviter with more than ``max_entries`` items gets several rows, told apart
     by ``part``, so that no map outgrows a task.
     """
-    counts = user_item_counts(shares, "_n")
+    counts = checkpointed(user_item_counts(shares, "_n"))
     large = count_by(counts, ["inviter_id"], "_items").where(F.col("_items") > max_entries)
     parts = skew_join(counts, large, ["inviter_id"])
     spread = F.pmod(F.xxhash64("item_id"), F.ceil(F.col("_items") / max_entries))
