@@ -269,7 +269,7 @@ def fraction(key: str) -> str:
     return f"CAST('0x' || substr(md5('42|' || {key}), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE"
 
 
-def betweenness_ctes(n_nodes: int, depth: int = 5) -> str:
+def betweenness_ctes(n_nodes: int, depth: int = 12) -> str:
     """Unrolled breadth-first levels, then the sum over all (source, target) pairs."""
     ctes = [
         f"""nodes AS (SELECT user_id FROM degrees ORDER BY md5('42|' || user_id), user_id LIMIT {n_nodes})""",
