@@ -51,7 +51,7 @@ def node_index(shares: DataFrame) -> DataFrame:
 
 def _voter_lists(top: DataFrame, key: str, element: Column, name: str) -> DataFrame:
     """One row per key holding its few top voters, best first."""
-    entries = F.array_sort(F.collect_list(F.struct("rank", element.alias("_e"))))
+    entries = F.sort_array(F.collect_list(F.struct("rank", element.alias("_e"))))
     return top.groupBy(key).agg(F.transform(entries, lambda e: e["_e"]).alias(name))
 
 
@@ -72,7 +72,7 @@ def pad_candidates(candidates: DataFrame, users: DataFrame, k: int = 5, seed: in
     """
     ids = users.select(F.col("user_id").cast("string").alias("user_id"))
     first = ids.withColumn("_h", hash_text(seed, "user_id")).orderBy("_h", "user_id").limit(k)
-    entries = F.array_sort(F.collect_list(F.struct("_h", "user_id")))
+    entries = F.sort_array(F.collect_list(F.struct("_h", "user_id")))
     pool = first.agg(F.transform(entries, lambda e: e["user_id"]).alias("pool")).scalar()
     found = F.col("candidate_voter_list")
     filled = F.slice(F.concat(found, F.array_except(pool, found)), 1, k)
@@ -95,15 +95,16 @@ def score_all_candidates(
     no query meets the whole user table.  Ties go to the smaller id.
     """
     w_inviter, w_item, w_all = weights
-    as_struct = "array<struct<voter:{0},score:double>>".format(users.schema["user_id"].dataType.simpleString())
+    entry = "array<struct<voter:{0},minus:double>>".format(users.schema["user_id"].dataType.simpleString())
+
+    def element(voter: str, share: Column, weight: float) -> Column:
+        return F.struct(F.col(voter).alias("voter"), (share * -weight).alias("minus"))
 
     def lists(key: str, weight: float, name: str) -> DataFrame:
         counts = count_by(train, [key, "voter_id"], "_n")
         totals = count_by(train, [key], "_total")
-        top = top_voters_of(counts, key, "voter_id", "_n", k)
-        shares = top.join(totals, key)
-        score = F.col("_n") / F.col("_total") * weight
-        return _voter_lists(shares, key, F.struct(F.col("voter_id").alias("voter"), score.alias("score")), name)
+        top = top_voters_of(counts, key, "voter_id", "_n", k).join(totals, key)
+        return _voter_lists(top, key, element("voter_id", F.col("_n") / F.col("_total"), weight), name)
 
     votes = vote_counts(train)
     total = votes.agg(F.sum("voted_count").alias("t")).scalar()
@@ -113,35 +114,24 @@ def score_all_candidates(
         .select("user_id", F.coalesce("voted_count", F.lit(0)).alias("_n"))
         .orderBy(F.col("_n").desc(), "user_id")
         .limit(k)
-        .select(F.struct(F.col("user_id").alias("voter"), (F.col("_n") / total * w_all).alias("score")).alias("_e"))
+        .agg(F.collect_list(element("user_id", F.col("_n") / total, w_all)).alias("e"))
+        .scalar()
     )
-    everywhere = popular.agg(F.collect_list("_e").alias("e")).scalar()
 
     queries = queries.select("triple_id", "inviter_id", "item_id")
     rows = skew_join(queries, lists("inviter_id", w_inviter, "_a"), ["inviter_id"])
     rows = skew_join(rows, lists("item_id", w_item, "_b"), ["item_id"], source=queries)
-    none = F.array().cast(as_struct)
-    found = [F.coalesce(F.col(name).cast(as_struct), none) for name in ("_a", "_b", "_c")]
-    rows = rows.withColumn("_c", everywhere).select("triple_id", F.concat(*found).alias("_pool"))
-    best_first = F.array_sort(
-        F.transform("_pool", lambda e: F.struct((-e["score"]).alias("_minus"), e["voter"].alias("voter")))
-    )
-    return (
-        rows.select("triple_id", best_first.alias("_all"))
-        .select(
-            "triple_id",
-            F.filter(
-                "_all",
-                lambda e, i: ~F.exists(F.slice("_all", 1, i), lambda d: d["voter"] == e["voter"]),
-            ).alias("_once"),
-        )
-        .select("triple_id", F.posexplode(F.slice("_once", 1, k)).alias("_pos", "_e"))
-        .select(
-            "triple_id",
-            (F.col("_pos") + 1).alias("rank"),
-            F.col("_e.voter").alias("voter_id"),
-            (-F.col("_e._minus")).alias("score"),
-        )
+    rows = rows.withColumn("_c", popular)
+    found = [F.coalesce(F.col(name).cast(entry), F.array().cast(entry)) for name in ("_a", "_b", "_c")]
+    by_voter = F.sort_array(F.concat(*found))  # a voter's best entry comes first
+    rows = rows.select("triple_id", by_voter.alias("_all"))
+    once = F.filter("_all", lambda e, i: (i == 0) | (F.get("_all", i - 1)["voter"] != e["voter"]))
+    best_first = F.sort_array(F.transform(once, lambda e: F.struct(e["minus"], e["voter"])))
+    return rows.select("triple_id", F.posexplode(F.slice(best_first, 1, k)).alias("_pos", "_e")).select(
+        "triple_id",
+        (F.col("_pos") + 1).alias("rank"),
+        F.col("_e.voter").alias("voter_id"),
+        (-F.col("_e.minus")).alias("score"),
     )
 
 

@@ -446,7 +446,7 @@ def _(spark, sf):
 
 @query("user_item_preference")
 def _(spark, sf):
-    entries = F.array_sort(F.map_entries("preference"))
+    entries = F.sort_array(F.map_entries("preference"))
     text = F.transform(entries, lambda e: F.concat_ws(":", e["key"].cast("string"), e["value"].cast("string")))
     return profile.user_item_preference(tables.order_shares(spark, sf)).select(
         "inviter_id", "part", F.array_join(text, ",").alias("preference")
