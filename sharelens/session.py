@@ -15,14 +15,14 @@ def shared_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is an error, because its executors could not read
     a folder on the driver's disk.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="sharelens-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="sharelens-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
