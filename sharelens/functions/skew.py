@@ -27,6 +27,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     return large.orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS).select(*keys)
 
 
+def fits(df: DataFrame, rows: int) -> bool:
+    """Has ``df`` at most ``rows`` rows?  Counts no further; meant for stored tables."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def skew_join(
     facts: DataFrame,
     table: DataFrame,
@@ -68,7 +73,7 @@ def lookup_join(
     bound it is broadcast, beyond it the join shuffles.
     """
     keys = list(keys)
-    if dim.select(*keys).limit(max_rows + 1).count() <= max_rows:
+    if fits(dim.select(*keys), max_rows):
         return facts.join(F.broadcast(dim), keys, "left")
     return skew_join(facts, dim, keys, hot_rows, source)
 
@@ -83,6 +88,7 @@ def neighbour(
     step: int,
     hot_rows: int = HOT_ROWS,
     source: DataFrame | None = None,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out``: ``value`` of the next (``step=1``) or previous (``-1``) row of ``key``.
 
@@ -90,11 +96,15 @@ def neighbour(
     bucket, each in its own task; the value missing at a bucket's edge comes
     from the adjoining bucket, through one small row per hot (key, bucket).
     ``source`` names the rows to count the keys in, if they are cheaper to read.
+    ``stored`` names a stored table with as many rows: if it has no more than
+    ``hot_rows``, no key can be hot, and one plain window does.
     """
+    shift, end = (F.lead, F.min) if step > 0 else (F.lag, F.max)
+    if stored is not None and fits(stored, hot_rows):
+        return df.withColumn(out, shift(value).over(Window.partitionBy(key).orderBy(*order)))
     hot = hot_keys(df if source is None else source, [key], hot_rows)
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     marked = df.join(hot, key, "left").withColumn("_bucket", F.when(F.col("_hot"), bucket))
-    shift, end = (F.lead, F.min) if step > 0 else (F.lag, F.max)
     rows = Window.partitionBy(key, "_bucket").orderBy(*order)
     inner = marked.withColumn("_near", shift(F.struct(value)).over(rows))
     buckets = Window.partitionBy(key).orderBy("_bucket")

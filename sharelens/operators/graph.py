@@ -81,13 +81,21 @@ def bipartite_degrees(shares: DataFrame, n_top: int = 5) -> DataFrame:
     The two sides are kept apart, and the ``n_top`` highest of each are flagged.
     """
     pairs = shares.select("inviter_id", "item_id").dropna().distinct()
-
-    def side(name: str, column: str, floor: float, factor: float) -> DataFrame:
-        nodes = pairs.groupBy(F.col(column).alias("node_id")).agg(F.count(F.lit(1)).alias("degree"))
-        weight = F.greatest(F.lit(floor), F.log1p(F.col("degree").cast("double")) * factor)
-        return nodes.select(F.lit(name).alias("side"), "node_id", "degree", weight.alias("weight"))
-
-    nodes = side("inviter", "inviter_id", 30.0, 20.0).unionByName(side("item", "item_id", 20.0, 15.0))
+    ends = pairs.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("inviter").alias("side"), F.col("inviter_id").alias("node_id")),
+                F.struct(F.lit("item").alias("side"), F.col("item_id").alias("node_id")),
+            )
+        )
+    )
+    log = F.log1p(F.col("degree").cast("double"))
+    weight = F.when(F.col("side") == "inviter", F.greatest(F.lit(30.0), log * 20))
+    nodes = (
+        ends.groupBy("side", "node_id")
+        .agg(F.count(F.lit(1)).alias("degree"))
+        .withColumn("weight", weight.otherwise(F.greatest(F.lit(20.0), log * 15)))
+    )
     order = Window.partitionBy("side").orderBy(F.col("degree").desc(), "node_id")
     best = (
         nodes.withColumn("_rank", F.row_number().over(order))

@@ -218,14 +218,11 @@ def category_trend(shares: DataFrame, items: DataFrame, n: int = 5) -> DataFrame
     Shares are counted per item and date before they meet the item table.
     """
     per_item = count_by(shares.select("item_id", F.to_date("ts").alias("date")), ["item_id", "date"], "_n")
-    rows = lookup_join(per_item, items.select("item_id", "cate_id"), ["item_id"]).dropna(subset=["cate_id"])
-    totals = rows.groupBy("cate_id").agg(F.sum("_n").alias("_total"))
+    rows = lookup_join(per_item, items.select("item_id", "cate_id"), ["item_id"])
+    daily = rows.dropna(subset=["cate_id"]).groupBy("date", "cate_id").agg(F.sum("_n").alias("count"))
+    totals = daily.groupBy("cate_id").agg(F.sum("count").alias("_total"))
     best = F.broadcast(top_n(totals, "cate_id", "_total", n).select("cate_id"))
-    return (
-        rows.join(best, "cate_id", "left_semi")
-        .groupBy("date", "cate_id")
-        .agg(F.sum("_n").alias("count"))
-    )
+    return daily.join(best, "cate_id").select("date", "cate_id", "count")
 
 
 def user_group_counts(shares: DataFrame, items: DataFrame, column: str, name: str) -> DataFrame:

@@ -31,11 +31,14 @@ def _model_input(features: DataFrame) -> DataFrame:
 
 
 def negative_pairs(positives: DataFrame, users: DataFrame, per_row: int = 4, seed: int = 42) -> DataFrame:
-    """``per_row`` users drawn by hash for each positive row, other than its true voter."""
+    """``per_row`` users drawn for each positive row, other than its true voter.
+
+    The draw follows the hash of the row, so it repeats.
+    """
     numbered = row_index(users.select("user_id"), ["user_id"], "_idx")
     size = numbered.agg(F.count(F.lit(1)).alias("n")).scalar()
     drawn = positives.withColumn("_draw", F.explode(F.sequence(F.lit(1), F.lit(per_row))))
-    place = F.floor(hash_fraction(seed, "triple_id", "_draw") * size)
+    place = F.floor(hash_fraction(seed, *positives.columns, "_draw") * size)
     joined = lookup_join(drawn.withColumn("_idx", place), numbered, ["_idx"])
     other = joined.where(F.col("user_id") != F.col("voter_id"))
     return other.withColumn("voter_id", F.col("user_id")).select(*positives.columns)
@@ -45,7 +48,7 @@ def training_rows(
     history: DataFrame, positives: DataFrame, users: DataFrame, per_row: int = 4, seed: int = 42
 ) -> DataFrame:
     """Labelled feature rows; ``history`` must end before the positives begin."""
-    pairs = positives.select("triple_id", "inviter_id", "item_id", "voter_id")
+    pairs = positives.select("inviter_id", "item_id", "voter_id", "ts")
     labelled = pairs.withColumn("label", F.lit(1.0)).unionByName(
         negative_pairs(pairs, users, per_row, seed).withColumn("label", F.lit(0.0))
     )

@@ -114,7 +114,8 @@ def score_all_candidates(
         .select("user_id", F.coalesce("voted_count", F.lit(0)).alias("_n"))
         .orderBy(F.col("_n").desc(), "user_id")
         .limit(k)
-        .agg(F.collect_list(element("user_id", F.col("_n") / total, w_all)).alias("e"))
+        .select(element("user_id", F.col("_n") / total, w_all).alias("_e"))
+        .agg(F.collect_list("_e").alias("e"))
         .scalar()
     )
 

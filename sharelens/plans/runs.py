@@ -143,8 +143,7 @@ def train_model(
     """Fit the ranker on shares from ``label_start`` on, with features from earlier ones, and save it."""
     start = F.lit(label_start).cast("timestamp")
     history = train.where(F.col("ts") < start)
-    positives = train.where(F.col("ts") >= start).withColumn("triple_id", F.col("event_id").cast("string"))
-    rows = ranker.training_rows(history, positives, users)
+    rows = ranker.training_rows(history, train.where(F.col("ts") >= start), users)
     ranker.save_ranker(ranker.train_ranker(rows, trees), model_path)
 
 

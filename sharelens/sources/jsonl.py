@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sharelens.functions.columns import parse_timestamp
+
 # The columns of the four input tables, in file order.
 SHARE_COLUMNS = ["inviter_id", "item_id", "voter_id", "timestamp"]
 USER_COLUMNS = ["user_id", "user_gender", "user_age", "user_level"]
@@ -37,6 +39,26 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return _parsed_lines(spark, path, schema).select(F.inline("records"))
 
 
+def read_shares(spark: SparkSession, path: str) -> DataFrame:
+    """The share log with its time parsed to ``ts``; a bad time is an error."""
+    rows = read_jsonl(spark, path, SHARE_SCHEMA)
+    return rows.withColumn("ts", parse_timestamp(F.col("timestamp"))).drop("timestamp")
+
+
+def read_queries(spark: SparkSession, path: str) -> DataFrame:
+    """The query set as JSON lines, with its time parsed to ``ts``."""
+    rows = read_jsonl(spark, path, QUERY_SCHEMA)
+    return rows.withColumn("ts", parse_timestamp(F.col("timestamp"))).drop("timestamp")
+
+
+def read_users(spark: SparkSession, path: str) -> DataFrame:
+    return read_jsonl(spark, path, USER_SCHEMA)
+
+
+def read_items(spark: SparkSession, path: str) -> DataFrame:
+    return read_jsonl(spark, path, ITEM_SCHEMA)
+
+
 def jsonl_rejects(spark: SparkSession, path: str, schema: str, width: int = 100) -> DataFrame:
     """The lines :func:`read_jsonl` drops, cut to ``width`` characters, with their file."""
     return (

@@ -20,14 +20,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def event_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares with real clock times, from ``events``."""
-    uses = _table(spark, sf_dir, "events").select(
+    events = _table(spark, sf_dir, "events")
+    uses = events.select(
         F.col("user_id").alias("inviter_id"),
         F.get_json_object("props", "$.k").cast("bigint").alias("item_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         "event_id",
     )
     minute = F.date_trunc("minute", "ts")
-    shares = neighbour(uses, "item_id", ["ts", "event_id"], "inviter_id", "voter_id", minute, 1)
+    order = ["ts", "event_id"]
+    shares = neighbour(uses, "item_id", order, "inviter_id", "voter_id", minute, 1, stored=events)
     return shares.where(F.col("voter_id").isNotNull()).select(
         "inviter_id", "item_id", "voter_id", "ts", "event_id"
     )
@@ -43,7 +45,10 @@ def order_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     uses = lines.join(orders, "l_orderkey").withColumn("ts", F.col("l_shipdate").cast("timestamp"))
     order = ["ts", "l_orderkey", "l_linenumber", "l_suppkey"]
-    shares = neighbour(uses, "item_id", order, "inviter_id", "voter_id", F.to_date("ts"), 1)
+    day = F.to_date("ts")
+    shares = neighbour(
+        uses, "item_id", order, "inviter_id", "voter_id", day, 1, source=lines, stored=lines
+    )
     return shares.where(F.col("voter_id").isNotNull()).select("inviter_id", "item_id", "voter_id", "ts")
 
 

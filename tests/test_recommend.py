@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sharelens.operators import evaluate, profile, ranker, recommend
 from sharelens.plans import runs
-from sharelens.sources import tables
+from sharelens.sources import jsonl, tables
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -93,10 +93,10 @@ def test_ranker_repeats_and_beats_random(spark, shares_of, users, tmp_path):
     for s in range(900):
         a = random.randrange(1, 16)
         log.append((a, random.randrange(1, 9), random.choice(favourite[a]), s))
-    shares = shares_of(log).withColumn("event_id", F.unix_timestamp("ts"))
+    shares = shares_of(log)
     cut = F.lit("2024-01-01 00:12:00").cast("timestamp")
     train, held = shares.where(F.col("ts") < cut), shares.where(F.col("ts") >= cut)
-    held = held.withColumn("triple_id", F.col("event_id").cast("string"))
+    held = held.withColumn("triple_id", F.unix_seconds("ts").cast("string"))
     path = str(tmp_path / "model")
     first = runs.rank_with_model(train, held, users, "2024-01-01 00:08:00", path)
     rows = sorted(tuple(r) for r in first.collect())
@@ -109,7 +109,7 @@ def test_ranker_repeats_and_beats_random(spark, shares_of, users, tmp_path):
     lists = spark.read.json(out)
     assert lists.count() == held.count()
     assert lists.where(F.size("candidate_voter_list") != 5).count() == 0
-    trees = ranker.train_ranker(ranker.training_rows(train.where("event_id % 2 = 0"), held, users), trees=True)
+    trees = ranker.train_ranker(ranker.training_rows(train, held, users), trees=True)
     assert trees.stages[-1].featureImportances.size == 11
 
 
@@ -119,15 +119,50 @@ def test_missing_model_is_an_error(tmp_path, spark):
 
 
 def test_negatives_are_never_the_voter(shares_of, users, log):
-    positives = shares_of(log).withColumn("triple_id", F.col("event_id").cast("string"))
-    pairs = positives.select("triple_id", "inviter_id", "item_id", "voter_id")
+    pairs = shares_of(log).select("inviter_id", "item_id", "voter_id", "ts")
     drawn = ranker.negative_pairs(pairs, users, per_row=3)
-    hits = drawn.join(pairs, ["triple_id", "voter_id"], "left_semi")
-    assert hits.count() == 0
+    assert drawn.join(pairs, pairs.columns, "left_semi").count() == 0
     assert 700 < drawn.count() <= 900
-
-
-def test_profile_and_features_are_written(spark, tmp_path):
+    again = ranker.negative_pairs(pairs.repartition(5), users, per_row=3)
+    assert sorted(map(tuple, drawn.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_whole_run_from_json_lines(spark, tmp_path):
+    """Text ids, straight from the four input files to written predictions."""
+    for name, frame in (
+        ("shares", tables.train_shares(spark, SF_DIR).withColumnRenamed("ts", "timestamp").drop("event_id")),
+        ("queries", tables.query_shares(spark, SF_DIR).withColumnRenamed("ts", "timestamp").drop("event_id", "voter_id")),
+        ("users", tables.users(spark, SF_DIR)),
+        ("items", tables.items(spark, SF_DIR)),
+    ):
+        if "timestamp" in frame.columns:
+            frame = frame.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+        ids = [c for c in frame.columns if c.endswith("_id")]
+        frame.withColumns({c: F.col(c).cast("string") for c in ids}).write.json(str(tmp_path / name))
+    shares = jsonl.read_shares(spark, str(tmp_path / "shares"))
+    queries = jsonl.read_queries(spark, str(tmp_path / "queries"))
+    users = jsonl.read_users(spark, str(tmp_path / "users"))
+    items = jsonl.read_items(spark, str(tmp_path / "items"))
+    assert dict(shares.dtypes) == {"inviter_id": "string", "item_id": "string", "voter_id": "string", "ts": "timestamp"}
+
+    found = runs.build_features(shares, queries, users, items, str(tmp_path / "features"), 20)
+    assert spark.read.option("header", True).csv(found["test_features"]).count() == queries.count()
+    names = runs.profile_log(shares, queries, users, items, str(tmp_path / "profile"))
+    assert len(names) >= 70
+    n = shares.count()
+    assert spark.read.parquet(names["bipartite_size"]).first().connections == n
+    assert spark.read.parquet(names["daily_counts"]).agg(F.sum("n")).first()[0] == n
+    assert spark.read.json(names["dataset_stats"]).first().train_rows == n
+    votes = profile.vote_counts(shares).count()
+    assert spark.read.parquet(names["hist_votes"]).agg(F.sum("n")).first()[0] == votes
+    runs.train_model(shares, users, "2024-01-19 00:00:00", str(tmp_path / "model"))
+    runs.predict_and_write(shares, queries, users, str(tmp_path / "model"), str(tmp_path / "out"))
+    lists = jsonl.read_jsonl(spark, str(tmp_path / "out"), "triple_id string, candidate_voter_list array<string>")
+    assert lists.count() == queries.count()
+    assert lists.where(F.size(F.array_distinct("candidate_voter_list")) != 5).count() == 0
+
+
+def test_features_are_written(spark, tmp_path):
     train, queries = tables.train_shares(spark, SF_DIR), tables.query_shares(spark, SF_DIR)
     users, items = tables.users(spark, SF_DIR), tables.items(spark, SF_DIR)
     found = runs.build_features(train, queries, users, items, str(tmp_path / "features"), 50)
@@ -137,9 +172,3 @@ def test_profile_and_features_are_written(spark, tmp_path):
     features = spark.read.option("header", True).csv(found["test_features"])
     assert features.count() == queries.count() and "has_interaction" in features.columns
     assert spark.read.json(found["test_candidates"]).count() == queries.count()
-
-    names = runs.profile_log(train, queries, users, items, str(tmp_path / "profile"))
-    assert len(names) >= 70
-    assert spark.read.parquet(names["daily_counts"]).agg(F.sum("n")).first()[0] == train.count()
-    assert spark.read.json(names["dataset_stats"]).first().train_rows == train.count()
-    assert spark.read.parquet(names["hist_votes"]).agg(F.sum("n")).first()[0] == profile.vote_counts(train).count()

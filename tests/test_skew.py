@@ -100,3 +100,12 @@ def test_large_preferences_are_split(shares_of):
     assert merged[1] == {0: 2, **{i: 1 for i in range(1, 50)}}
     assert merged[2] == {5: 1}
     assert len([r for r in parts if r.inviter_id == 1]) > 1
+
+
+def test_small_stored_table_needs_no_split(spark):
+    frame = spark.createDataFrame([(1, t, t * 10) for t in range(5)], "k long, t long, v long")
+    out = skew.neighbour(frame, "k", ["t"], "v", "near", F.col("t"), 1, stored=frame)
+    assert {r.t: r.near for r in out.collect()} == {0: 10, 1: 20, 2: 30, 3: 40, 4: None}
+    assert "_bucket" not in out._jdf.queryExecution().analyzed().toString()
+    split = skew.neighbour(frame, "k", ["t"], "v", "near", F.col("t"), 1, hot_rows=2, stored=frame)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, out.collect()))
