@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sharelens.functions.skew import fits
 from sharelens.operators.profile import summarize, top_n
 from sharelens.operators.sampling import sample_nodes
 from sharelens.session import checkpointed
 
+MAX_BROADCAST_LINKS = 1_000_000
+
 
 def graph_edges(shares: DataFrame) -> DataFrame:
     """Distinct ``(src, dst)`` from inviter to voter; self-loops stay."""
@@ -136,7 +139,7 @@ def betweenness(edges: DataFrame, n_nodes: int = 1000, seed: int = 42) -> DataFr
     """
     nodes = checkpointed(sample_nodes(graph_nodes(edges), n_nodes, seed))
     links = checkpointed(induced_subgraph(edges, nodes).where(F.col("src") != F.col("dst")))
-    out_links = F.broadcast(links)  # at most n_nodes squared rows
+    out_links = F.broadcast(links) if fits(links, MAX_BROADCAST_LINKS) else links
 
     level = nodes.select(
         F.col("user_id").alias("source"), F.col("user_id").alias("node"), F.lit(1.0).alias("sigma")

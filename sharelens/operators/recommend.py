@@ -86,7 +86,7 @@ def score_all_candidates(
     k: int = 5,
     weights: tuple[float, float, float] = (1.0, 1.0, 1.0),
 ) -> DataFrame:
-    """The ``k`` best of *all* users per query, as rows ``triple_id, rank, voter_id, score``.
+    """The ``k`` best of *all* users per query, as ranked rows with ``voter_id`` and ``score``.
 
     A user's score is the largest of three weighted shares: of the inviter's past
     voters, of the item's past voters, and of all votes.  A user among the ``k``
@@ -119,17 +119,18 @@ def score_all_candidates(
         .scalar()
     )
 
-    queries = queries.select("triple_id", "inviter_id", "item_id")
+    asked = ["triple_id", "inviter_id", "item_id"]
+    queries = queries.select(*asked)
     rows = skew_join(queries, lists("inviter_id", w_inviter, "_a"), ["inviter_id"])
     rows = skew_join(rows, lists("item_id", w_item, "_b"), ["item_id"], source=queries)
     rows = rows.withColumn("_c", popular)
     found = [F.coalesce(F.col(name).cast(entry), F.array().cast(entry)) for name in ("_a", "_b", "_c")]
     by_voter = F.sort_array(F.concat(*found))  # a voter's best entry comes first
-    rows = rows.select("triple_id", by_voter.alias("_all"))
+    rows = rows.select(*asked, by_voter.alias("_all"))
     once = F.filter("_all", lambda e, i: (i == 0) | (F.get("_all", i - 1)["voter"] != e["voter"]))
     best_first = F.sort_array(F.transform(once, lambda e: F.struct(e["minus"], e["voter"])))
-    return rows.select("triple_id", F.posexplode(F.slice(best_first, 1, k)).alias("_pos", "_e")).select(
-        "triple_id",
+    return rows.select(*asked, F.posexplode(F.slice(best_first, 1, k)).alias("_pos", "_e")).select(
+        *asked,
         (F.col("_pos") + 1).alias("rank"),
         F.col("_e.voter").alias("voter_id"),
         (-F.col("_e.minus")).alias("score"),

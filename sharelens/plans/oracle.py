@@ -314,7 +314,7 @@ ORACLE_SQL: dict[str, str] = {
         "log_e",
         """SELECT CASE WHEN hour(ts) = 4 THEN CAST(event_id AS VARCHAR) ELSE
              substr('{"inviter_id":"' || inviter_id || '","item_id":"' || item_id || '","voter_id":"' || voter_id
-                    || '","timestamp":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '"}', 1, 40) END AS text
+                    || '","timestamp":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '"', 1, 100) END AS text
            FROM log_e WHERE hour(ts) IN (0, 4)""",
     ),
     "repair_columns": over("log_e", f"SELECT {SHARE_TEXT} FROM log_e"),

@@ -70,7 +70,7 @@ def _mixed_lines(spark: SparkSession, sf: str) -> str:
     one = F.to_json(F.struct(*fields))
     hour = F.hour("ts")
     line = (
-        F.when(hour == 0, F.substring(one, 1, 40))
+        F.when(hour == 0, F.rtrim(one, F.lit("}")))
         .when(hour == 1, "  ")
         .when(hour == 2, F.to_json(F.array(F.struct(*fields), back)))
         .when(hour == 3, "[]")
@@ -608,16 +608,14 @@ def _scored(spark: SparkSession, sf: str, k: int = 5) -> DataFrame:
 
 @query("score_all_candidates")
 def _(spark, sf):
-    return rounded(_scored(spark, sf))
+    return rounded(_scored(spark, sf).drop("inviter_id", "item_id"))
 
 
 @query("pair_features")
 def _(spark, sf):
     train, queries = _stored(spark, sf)
     users = tables.users(spark, sf)
-    queries = queries.select("triple_id", "inviter_id", "item_id")
-    best = recommend.score_all_candidates(queries, train, users)
-    pairs = best.select("triple_id", "voter_id").join(queries, "triple_id")
+    pairs = recommend.score_all_candidates(queries, train, users).drop("rank", "score")
     return recommend.pair_features(pairs, train, users)
 
 

@@ -160,9 +160,7 @@ def predict(
     The model scores each query's ``n_candidates`` best by :func:`score_all_candidates`.
     """
     model = ranker.load_ranker(model_path)
-    known = queries.select("triple_id", "inviter_id", "item_id")
-    pairs = recommend.score_all_candidates(known, train, users, n_candidates)
-    pairs = pairs.select("triple_id", "voter_id").join(known, "triple_id")
+    pairs = recommend.score_all_candidates(queries, train, users, n_candidates).drop("rank", "score")
     features = recommend.pair_features(pairs, train, users)
     return ranker.rank_candidates(ranker.score_pairs(model, features), k)
 
