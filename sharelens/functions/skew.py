@@ -21,15 +21,21 @@ BROADCAST_ROWS = 100_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys too large for one task; at most ``MAX_HOT_KEYS`` rows."""
+    """The keys too large for one task; at most ``MAX_HOT_KEYS`` rows.
+
+    The order is total, so a list computed twice is the same list.
+    """
     counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     large = counts.where(F.col("_n") > hot_rows)
-    return large.orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS).select(*keys)
+    return large.orderBy(F.col("_n").desc(), *keys).limit(MAX_HOT_KEYS).select(*keys)
 
 
 def fits(df: DataFrame, rows: int) -> bool:
-    """Has ``df`` at most ``rows`` rows?  Counts no further; meant for stored tables."""
-    return df.limit(rows + 1).count() <= rows
+    """Has ``df`` at most ``rows`` rows?  Meant for stored tables.
+
+    A full count adds up numbers per file; a limit would send rows to one task.
+    """
+    return df.count() <= rows
 
 
 def skew_join(
@@ -41,8 +47,8 @@ def skew_join(
 ) -> DataFrame:
     """``facts`` left join ``table`` (unique on ``keys``) by shuffle.
 
-    Rows of a hot key are spread over ``SALTS`` parts, and the table's rows for
-    hot keys (at most ``MAX_HOT_KEYS``) are copied to each part.  A row's part
+    Rows of a hot key, or of none, are spread over ``SALTS`` parts, and the table's
+    rows for hot keys (at most ``MAX_HOT_KEYS``) are copied to each part.  A row's part
     follows from its partition and content, so a task run again sends every row
     the same way.  ``source`` names rows to count the keys in, where ``facts`` is
     them with more columns: a chain of joins then counts the plain rows.
@@ -52,7 +58,9 @@ def skew_join(
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     part = F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), F.lit(SALTS)).cast("int")
     parts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    left = facts.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), part).otherwise(0))
+    unmatched = F.coalesce(*[F.when(F.col(k).isNull(), True) for k in keys])
+    scatter = F.coalesce("_hot", unmatched, F.lit(False))
+    left = facts.join(hot, keys, "left").withColumn("_salt", F.when(scatter, part).otherwise(0))
     right = table.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), parts).otherwise(F.array(F.lit(0))))
     )
@@ -69,11 +77,11 @@ def lookup_join(
 ) -> DataFrame:
     """``facts`` left join a stored dimension table (unique on ``keys``).
 
-    The dimension is counted first (no further than ``max_rows``): within the
-    bound it is broadcast, beyond it the join shuffles.
+    The dimension is counted first: up to ``max_rows`` rows it is broadcast,
+    beyond that the join shuffles.
     """
     keys = list(keys)
-    if fits(dim.select(*keys), max_rows):
+    if fits(dim, max_rows):
         return facts.join(F.broadcast(dim), keys, "left")
     return skew_join(facts, dim, keys, hot_rows, source)
 

@@ -15,6 +15,7 @@ def facts(spark):
     """One key holds a third of the rows; some rows are copies; some keys have no match."""
     random.seed(1)
     rows = [(0 if i % 3 == 0 else random.randrange(1, 60), i // 2) for i in range(900)]
+    rows += [(None, i % 4) for i in range(50)]
     return spark.createDataFrame(rows, "k long, v long").repartition(5)
 
 
@@ -46,10 +47,24 @@ def test_joins_agree(facts, table, hot_rows):
     assert _rows(skew.lookup_join(facts, table, ["k"])) == plain
 
 
-def test_hot_rows_spread_over_tasks(facts, table):
-    joined = skew.skew_join(facts, table, ["k"], 100)
-    plan = joined.where("k = 0")._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
+def test_hot_and_null_rows_are_spread(spark, monkeypatch):
+    """With the salt kept, the rows of the hot key and of no key sit in many parts."""
+    monkeypatch.setattr(skew, "SALTS", 16)
+    facts = spark.createDataFrame([(None if i % 3 else 7, i) for i in range(300)], "k long, v long")
+    table = spark.createDataFrame([(7, "seven")], "k long, name string")
+    text = skew.skew_join(facts, table, ["k"], 50)._jdf.queryExecution().analyzed().toString()
+    assert "_salt" in text
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), "k", "v"), F.lit(16))
+    spread = facts.groupBy("k", salt.alias("s")).count().groupBy("k").count().collect()
+    assert len(spread) == 2 and all(r["count"] == 16 for r in spread)
+
+
+def test_hot_list_is_the_same_twice(facts, monkeypatch):
+    """Ties at the end of the list must not make its two uses differ."""
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 5)
+    flat = facts.select("k").distinct()
+    first = [r.k for r in skew.hot_keys(flat, ["k"], 0).collect()]
+    assert first == [r.k for r in skew.hot_keys(flat.repartition(3), ["k"], 0).collect()] == [0, 1, 2, 3, 4]
 
 
 def test_lookup_join_broadcasts_only_within_the_bound(facts, table):
