@@ -3,7 +3,9 @@
 import pytest
 from oracle_compare import connect, difference
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from sharelens.plans.oracle import ORACLE_SQL
+from sharelens.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,14 +15,14 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, con, name):
-    assert difference(con, queries()[name](spark, SF_DIR), oracle_sql()[name]) is None
+    assert difference(con, QUERIES[name](spark, SF_DIR), ORACLE_SQL[name]) is None
 
 
 def test_every_query_has_sql_but_the_trained_one():
-    assert set(queries()) - set(oracle_sql()) == {"train_ranker"}
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE_SQL) == {"train_ranker"}
+    assert set(ORACLE_SQL) <= set(QUERIES)
 
 
 def test_entry(spark):
