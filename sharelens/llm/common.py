@@ -44,3 +44,42 @@ def cases(values: dict, key: Column, kind: str) -> Column:
         return F.lit(None).cast(kind)
     pairs = [F.lit(x) for pair in values.items() for x in pair]
     return F.element_at(F.create_map(*pairs), key).cast(kind)
+
+
+def small_batches(spark, size: int = 16 << 20) -> None:
+    """Bound the bytes, not only the rows, of the batches that Python tasks get."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
+    """``vertex, component`` for the vertices of ``edges`` (``a, b`` of integers).
+
+    Each round every vertex joins its smallest neighbour or itself, and the edges are
+    drawn again between what has merged; the rest shrinks by a constant factor, as
+    long as ids have nothing to do with the graph's shape.  ``component`` is some
+    vertex of the component.  Counts are combined before any shuffle, so a vertex
+    with very many edges does no harm.
+    """
+    left = stored(edges.where("a <> b").select("a", "b").distinct(), f"{name}_edges")
+    ends = left.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
+    found = stored(ends.withColumn("component", F.col("vertex")), f"{name}_vertices")
+    turn = 0
+    while not left.isEmpty():
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = both.groupBy(F.col("a").alias("_from")).agg(F.least("_from", F.min("b")).alias("_to"))
+        near = stored(near, f"{name}_near_{turn}")
+        ahead = near.select(F.col("_from").alias("_to"), F.col("_to").alias("_next"))
+        jump = stored(near.join(ahead, "_to").select("_from", F.col("_next").alias("_to")), f"{name}_jump_{turn}")
+        found = stored(
+            found.join(jump, F.col("component") == F.col("_from"), "left").select(
+                "vertex", F.coalesce("_to", "component").alias("component")
+            ),
+            f"{name}_found_{turn}",
+        )
+        first = jump.select(F.col("_from").alias("a"), F.col("_to").alias("_a"))
+        second = jump.select(F.col("_from").alias("b"), F.col("_to").alias("_b"))
+        merged = left.join(first, "a").join(second, "b").where("_a <> _b")
+        pair = [F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")]
+        left = stored(merged.select(*pair).distinct(), f"{name}_edges_{turn}")
+        turn += 1
+    return found

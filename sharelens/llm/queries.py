@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sharelens.llm import exact_dedup, packing, sharding, token_counts
+from sharelens.llm import exact_dedup, jaccard_join, packing, sharding, token_counts
 from sharelens.session import scratch_path
 
 
@@ -21,6 +21,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     cache = scratch_path(spark, "token_counts")
@@ -34,5 +38,5 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_sharding, op4_token_counts, op5_best_fit_packing)
+    for f in (op1_exact_dedup, op2_sharding, op3_ngram_jaccard_join, op4_token_counts, op5_best_fit_packing)
 }
