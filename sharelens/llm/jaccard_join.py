@@ -93,19 +93,17 @@ def prefixes(texts: DataFrame, k: int, percent: int, frequent) -> DataFrame:
 def shared_postings(sets: DataFrame) -> DataFrame:
     """``token, set_id, n, center`` of the tokens that several sets have.
 
-    Rows stream through a sorted partition: the center is the token's first set, the
-    next row tells whether there is a second.  A set has many tokens, so even one
+    Rows stream through a sorted partition: the center is the token's first set, and of
+    the copies of one set only the last row stays.  A set has many tokens, so even one
     that all sets have is a small share of the rows.
     """
     posts = sets.where(F.col("prefix").isNotNull()).select("set_id", "n", F.explode("prefix").alias("token"))
     rows = Window.partitionBy("token").orderBy("set_id")
     first = F.first("set_id").over(rows.rowsBetween(Window.unboundedPreceding, 0))
-    marked = posts.withColumns(
-        {"center": first, "_next": F.lead("set_id").over(rows), "_last": F.lag("set_id").over(rows)}
-    )
-    several = (F.col("center") != F.col("set_id")) | (F.col("_next") != F.col("set_id"))
-    fresh = F.col("_last").isNull() | (F.col("_last") != F.col("set_id"))
-    return marked.where(several & fresh).select("token", "set_id", "n", "center")
+    marked = posts.withColumns({"center": first, "_next": F.lead("set_id").over(rows)})
+    last_copy = F.col("_next").isNull() | (F.col("_next") != F.col("set_id"))
+    several = F.col("_next").isNotNull() | (F.col("center") != F.col("set_id"))
+    return marked.where(last_copy & several).select("token", "set_id", "n", "center")
 
 
 def set_filter(ids: DataFrame) -> np.ndarray:
