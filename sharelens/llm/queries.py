@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sharelens.llm import exact_dedup, jaccard_join, packing, sharding, token_counts
+from sharelens.llm import embedding_dups, exact_dedup, jaccard_join, packing, sharding, token_counts
 from sharelens.session import scratch_path
 
 
@@ -36,7 +36,18 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), path)
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dups.embedding_near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_sharding, op3_ngram_jaccard_join, op4_token_counts, op5_best_fit_packing)
+    for f in (
+        op1_exact_dedup,
+        op2_sharding,
+        op3_ngram_jaccard_join,
+        op4_token_counts,
+        op5_best_fit_packing,
+        op8_embedding_near_dedup,
+    )
 }
