@@ -5,9 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sharelens.llm import embedding_dups, exact_dedup, jaccard_join, packing, sharding, token_counts
+from sharelens.llm import chat_format, embedding_dups, exact_dedup, jaccard_join, packing, sharding, token_counts
 from sharelens.session import scratch_path
 
+CHAT_SCHEMA = "conv_id long, turn long, role string, text string"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -40,6 +42,14 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dups.embedding_near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    text = "</s>[INST] ok [/INST]"
+    marks = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], CHAT_SCHEMA)
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.read_back(*chat_format.prefix_tree(rows.unionByName(marks), path), path)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -49,5 +59,6 @@ QUERIES = {
         op4_token_counts,
         op5_best_fit_packing,
         op8_embedding_near_dedup,
+        op10_chat_format,
     )
 }
