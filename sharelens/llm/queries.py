@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sharelens.llm import chat_format, embedding_dups, exact_dedup, jaccard_join, packing, sharding, token_counts
+from sharelens.llm import chat_format, embedding_dups, exact_dedup, jaccard_join, packing, sharding, token_counts, toxicity
 from sharelens.session import scratch_path
 
 CHAT_SCHEMA = "conv_id long, turn long, role string, text string"
@@ -42,6 +42,10 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dups.embedding_near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     text = "</s>[INST] ok [/INST]"
@@ -59,6 +63,7 @@ QUERIES = {
         op4_token_counts,
         op5_best_fit_packing,
         op8_embedding_near_dedup,
+        op9_toxicity,
         op10_chat_format,
     )
 }
