@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sharelens.llm import chat_format, embedding_dups, exact_dedup, jaccard_join, packing, sharding, token_counts, toxicity
+from sharelens.llm import chat_format, embedding_dups, exact_dedup, html_extract, jaccard_join, nbest_pieces, packing, sharding, token_counts, toxicity
 from sharelens.session import scratch_path
 
 CHAT_SCHEMA = "conv_id long, turn long, role string, text string"
@@ -38,6 +38,15 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), path)
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_articles(_table(spark, sf_dir, "pages"))
+
+
+def op7_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return nbest_pieces.n_best_pieces(_table(spark, sf_dir, "documents"), path)
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dups.embedding_near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -62,6 +71,8 @@ QUERIES = {
         op3_ngram_jaccard_join,
         op4_token_counts,
         op5_best_fit_packing,
+        op6_html_extraction,
+        op7_sentencepiece_nbest,
         op8_embedding_near_dedup,
         op9_toxicity,
         op10_chat_format,
