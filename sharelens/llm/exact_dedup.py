@@ -18,11 +18,51 @@ NO_NAME = -1
 
 
 def _names(values: DataFrame, level: int) -> DataFrame:
-    """Each distinct row of ``values`` with an integer that grows with its order."""
-    distinct = values.distinct().orderBy(*values.columns)
+    """Each distinct row of ``values`` with an integer: its partition, then its sorted place.
+
+    Equal rows meet by hash, not by range, so no sample of whole blocks goes to the driver.
+    """
+    distinct = values.distinct().sortWithinPartitions(*values.columns)
     return stored(distinct.withColumn("_name", F.monotonically_increasing_id()), f"names_{level}")
 
 
+def _grouped(docs: DataFrame, extra: list, id_col: str, text_col: str, block_chars: int, edge_chars: int):
+    """Rows without an equal, and the others with their group; both with ``extra`` columns."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    edges = ["_bytes", "_head", "_tail"]
+    keyed = docs.select(
+        F.col(id_col).alias("doc_id"),
+        text.alias("_text"),
+        F.octet_length(text).alias("_bytes"),
+        F.substring(text, 1, edge_chars).alias("_head"),
+        F.right(text, F.lit(edge_chars)).alias("_tail"),
+        *extra,
+    )
+    shared = stored(
+        keyed.groupBy(*edges)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > 1)
+        .select(*edges, F.lit(True).alias("_shared")),
+        "shared",
+    )
+    pieces = F.regexp_extract_all("_text", F.lit(f"(?s).{{1,{block_chars}}}"), F.lit(0))
+    blocks = F.when(F.col("_bytes") > 0, pieces).otherwise(F.array(F.lit("")))
+    kept = [c for c in keyed.columns if c not in ("_text", *edges)]
+    rows = stored(
+        keyed.join(shared, edges, "left").select(
+            F.monotonically_increasing_id().alias("_row"), *kept, F.when(F.col("_shared"), blocks).alias("_blocks")
+        ),
+        "rows",
+    )
+    several = rows.where(F.col("_blocks").isNotNull())
+    named = _name_documents(several)
+    groups = named.groupBy("_name").agg(
+        F.max(F.struct("doc_id", "_row")).alias("_keep"), F.count(F.lit(1)).alias("group_size")
+    )
+    groups = stored(groups, "groups")
+    return rows.where(F.col("_blocks").isNull()), several, named.join(groups, "_name")
+
+
 def exact_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -44,44 +84,16 @@ def exact_dedup(
     equal ids one row stays.  NULL ids come last: one stays only if all are NULL.
     Other columns are not read.  An empty table gives an empty result.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    edges = ["_bytes", "_head", "_tail"]
-    keyed = docs.select(
-        F.col(id_col).alias("doc_id"),
-        text.alias("_text"),
-        F.octet_length(text).alias("_bytes"),
-        F.substring(text, 1, edge_chars).alias("_head"),
-        F.right(text, F.lit(edge_chars)).alias("_tail"),
-    )
-    shared = (
-        keyed.groupBy(*edges)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 1)
-        .select(*edges, F.lit(True).alias("_shared"))
-    )
-    pieces = F.regexp_extract_all("_text", F.lit(f"(?s).{{1,{block_chars}}}"), F.lit(0))
-    blocks = F.when(F.col("_bytes") > 0, pieces).otherwise(F.array(F.lit("")))
-    rows = stored(
-        keyed.join(shared, edges, "left").select(
-            F.monotonically_increasing_id().alias("_row"),
-            "doc_id",
-            F.sha2("_text", 256).alias("text_sha256"),
-            F.when(F.col("_shared"), blocks).alias("_blocks"),
-        ),
-        "rows",
-    )
-    alone = rows.where(F.col("_blocks").isNull()).select(
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("text_sha256")
+    alone, several, named = _grouped(docs, [digest], id_col, text_col, block_chars, edge_chars)
+    alone = alone.select(
         "doc_id",
         F.col("doc_id").alias("keep_id"),
         F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"),
         "text_sha256",
     )
-    named = _name_documents(rows.where(F.col("_blocks").isNotNull()))
-    groups = named.groupBy("_name").agg(
-        F.max(F.struct("doc_id", "_row")).alias("_keep"), F.count(F.lit(1)).alias("group_size")
-    )
-    members = named.join(groups, "_name").select(
+    members = several.select("_row", "doc_id", "text_sha256").join(named.drop("doc_id"), "_row").select(
         "doc_id",
         F.col("_keep.doc_id").alias("keep_id"),
         "group_size",
@@ -91,9 +103,24 @@ def exact_dedup(
     return alone.unionByName(members)
 
 
+def drop_exact_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block_chars: int = BLOCK_CHARS,
+    edge_chars: int = EDGE_CHARS,
+) -> DataFrame:
+    """The rows that ``exact_dedup`` keeps, with all columns of ``docs``."""
+    whole = F.struct(*docs.columns).alias("_doc")
+    alone, several, named = _grouped(docs, [whole], id_col, text_col, block_chars, edge_chars)
+    stay = named.where(F.col("_row") == F.col("_keep._row")).select("_row")
+    kept = several.join(stay, "_row", "left_semi")
+    return alone.select("_doc.*").unionByName(kept.select("_doc.*"))
+
+
 def _name_documents(rows: DataFrame) -> DataFrame:
-    """``_row, doc_id, text_sha256, _name``: equal names for equal lists of blocks."""
-    who = ["_row", "doc_id", "text_sha256"]
+    """``_row, doc_id, _name``: equal names for equal lists of blocks."""
+    who = ["_row", "doc_id"]
     blocks = rows.select(*who, F.posexplode("_blocks").alias("_place", "_block"))
     names = _names(blocks.select("_block"), 0)
     named = blocks.join(names, "_block").select(*who, "_place", "_name")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sharelens.functions.skew import fits
 from sharelens.llm.common import components, small_batches, stored
 from sharelens.llm.shingles import set_id, shingle_set
 
@@ -23,6 +24,7 @@ FREQUENT = 32
 BATCH_FREQUENT = 4
 MAX_FREQUENT = 1_000_000
 FILTER_BITS = 24
+BROADCAST_IDS = 1_000_000
 PREFIX_SCHEMA = "doc_id long, set_id long, n long, prefix array<long>"
 SET_SCHEMA = "set_id long, n long, tokens binary"
 
@@ -251,3 +253,32 @@ def near_duplicates(
         F.col("n").alias("n_shingles"),
         F.when(wordy, F.col("_first")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    k: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are the first of their component.
+
+    The first is the one with the smallest id, NULL last.  Rows without words all stay.
+    """
+    whole = F.struct(*docs.columns).alias("doc")
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("_row"), whole), "rows")
+    texts = rows.select("_row", F.col(f"doc.{text_col}").alias("text"), F.col(f"doc.{id_col}").alias("_id"))
+    found = near_duplicates(texts, k, percent, "_row", "text").where("n_shingles > 0")
+    linked = found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_component"))
+    several = linked.groupBy("_component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_component")
+    several = stored(linked.join(several, "_component").join(texts.select("_row", "_id"), "_row"), "several")
+    first = several.groupBy("_component").agg(
+        F.min(F.struct(F.col("_id").isNull().alias("missing"), "_id", "_row")).alias("_first")
+    )
+    first = stored(first, "first")
+    gone = several.join(first, "_component").where(F.col("_row") != F.col("_first._row")).select("_row")
+    gone = stored(gone, "gone")
+    if fits(gone, BROADCAST_IDS):
+        gone = F.broadcast(gone)
+    return rows.join(gone, "_row", "left_anti").select("doc.*")

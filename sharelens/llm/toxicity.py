@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sharelens.llm.common import small_batches, stored
 
@@ -274,6 +275,41 @@ def fit(columns, lengths, labels, n_features, penalty: float = 3e-5, rounds: int
     return w[:-1], w[-1]
 
 
+def _held_out(column):
+    return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % 5 == 0
+
+
+def scored_rows(
+    rows: DataFrame, texts: DataFrame, labels: DataFrame, train_rows: int, max_features: int
+) -> DataFrame:
+    """``rows`` (with ``_text``) with that column replaced by ``score``.
+
+    ``texts`` (``doc_id, _text``) are what the character model and the training see.
+    """
+    small_batches(rows.sparkSession)
+    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    model = char_model(trigram_counts(texts))
+    sample = stored(training_rows(texts, marks.withColumn("held_out", _held_out(F.col("doc_id"))), train_rows), "training")
+    weights, bias = feature_weights(sample, model, max_features)
+
+    def score(batches):
+        find = FeatureFinder(model, frozenset(weights))
+        for batch in batches:
+            margins = [bias + sum(weights[w] for w in find(t)) for t in batch.column("_text").to_pylist()]
+            scores = 1 / (1 + np.exp(-np.clip(np.array(margins, np.float64), -30, 30)))
+            names = [name for name in batch.schema.names if name != "_text"]
+            columns = [batch.column(name) for name in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], names=[*names, "score"])
+
+    fields = [f for f in rows.schema.fields if f.name != "_text"]
+    return rows.mapInArrow(score, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("_text"))
+
+
 def toxicity_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -281,54 +317,36 @@ def toxicity_scores(
     max_features: int = MAX_FEATURES,
     id_col: str = "doc_id",
     text_col: str = "text",
-    keep: bool = False,
 ) -> DataFrame:
     """Every row of ``docs`` with the chance that it is toxic.
 
-    Returns ``doc_id, held_out, score, predicted``, or with ``keep`` the columns of
-    ``docs`` and these under ``_held_out``, ``_score`` and ``_predicted``.  Labels come from ``labels`` (``doc_id,
-    toxic``), at most about ``train_rows`` of them and never of held-out documents,
-    those whose id's crc32, as text, divides by 5.  The character model counts every
-    text.  A score sees nothing but the text.
+    Returns ``doc_id, held_out, score, predicted``.  Labels come from ``labels``
+    (``doc_id, toxic``), at most about ``train_rows`` of them and never of held-out
+    documents, those whose id's crc32, as text, divides by 5.  The character model
+    counts every text.  A score sees nothing but the text.
 
     NULL text counts as empty; an empty text gets the score of a text without known
     features.  A NULL id counts as held out.  Labels that are NULL are not used; of several
     for one id the largest counts.  Without labels of both kinds the score is the same
     for all: near 0, or near 1 if all are toxic.  Repeated rows are rows like others;
-    an empty table gives no rows.
+    other columns are not read; an empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
-
-    def held_out(column: str):
-        return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % 5 == 0
+    texts = _texts(docs, id_col, text_col)
+    scored = scored_rows(texts, texts, labels, train_rows, max_features)
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("_text"))
-    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    model = char_model(trigram_counts(texts))
-    sample = stored(training_rows(texts, marks.withColumn("held_out", held_out("doc_id")), train_rows), "training")
-    weights, bias = feature_weights(sample, model, max_features)
 
-    def score(batches):
-        find = FeatureFinder(model, frozenset(weights))
-        for batch in batches:
-            margins = [bias + sum(weights[w] for w in find(t)) for t in batch.column("_text").to_pylist()]
-            scores = 1 / (1 + np.exp(-np.clip(np.array(margins, np.float64), -30, 30)))
-            columns = [c for name, c in zip(batch.schema.names, batch.columns) if name != "_text"]
-            names = [name for name in batch.schema.names if name != "_text"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], names=[*names, "_score"])
-
-    if keep:
-        rows = docs.select("*", text.alias("_text"))
-        schema = docs.schema.add("_score", "double")
-        scored = rows.mapInArrow(score, schema)
-        return scored.withColumns(
-            {"_held_out": held_out(id_col), "_predicted": (F.col("_score") >= 0.5).cast("int")}
-        )
-    scored = texts.mapInArrow(score, "doc_id long, _score double")
-    return scored.select(
-        "doc_id",
-        held_out("doc_id").alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
-    )
+def drop_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    train_rows: int = TRAIN_ROWS,
+    max_features: int = MAX_FEATURES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``toxicity_scores`` does not predict toxic."""
+    whole = F.struct(*docs.columns).alias("doc")
+    rows = docs.select(whole, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    scored = scored_rows(rows, _texts(docs, id_col, text_col), labels, train_rows, max_features)
+    return scored.where(F.col("score") < 0.5).select("doc.*")
