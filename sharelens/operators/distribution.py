@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from sharelens.operators.profile import count_by
 from sharelens.session import checkpointed
 
-KERNEL_REACH = 9.0  # bandwidths; beyond it the kernel is below 1e-17 of its peak
-
 
 def merged_values(df: DataFrame, value: str, weight: str | None = None, log: bool = False) -> DataFrame:
     """Distinct non-null values as ``x`` (through ln(1 + x) if ``log``) with weight ``w``.
@@ -96,13 +94,14 @@ def histogram(
 
 
 def _moments() -> list:
-    x, w = F.col("x"), F.col("w")
+    """Sums of the distances from ``low``, so that large close values lose no digits."""
+    d, w = F.col("x") - F.col("low"), F.col("w")
     return [
         F.sum("w").alias("n"),
         F.min("x").alias("lo"),
         F.max("x").alias("hi"),
-        F.sum(x * w).alias("s1"),
-        F.sum(x * x * w).alias("s2"),
+        F.sum(d * w).alias("s1"),
+        F.sum(d * d * w).alias("s2"),
     ]
 
 
@@ -115,19 +114,15 @@ def _bandwidth(stats: DataFrame) -> DataFrame:
 
 
 def _smooth(values: DataFrame, stats: DataFrame, keys: list[str], grid: int) -> DataFrame:
-    """Sum the kernels on the grid; ``values`` carry their group's ``lo, hi, h``."""
+    """Sum the kernels of all values on the grid; ``values`` carry their group's ``lo, hi, h``.
+
+    Values are merged, and sums are combined before the shuffle.
+    """
     step = (F.col("hi") - F.col("lo")) / (grid - 1)
-    reach = F.col("h") * KERNEL_REACH
-    first = F.greatest(F.ceil((F.col("x") - reach - F.col("lo")) / step), F.lit(0))
-    last = F.least(F.floor((F.col("x") + reach - F.col("lo")) / step), F.lit(grid - 1))
-    near = (
-        values.withColumns({"_a": first, "_b": last})
-        .where(F.col("_a") <= F.col("_b"))
-        .withColumn("point", F.explode(F.sequence("_a", "_b")))
-    )
-    z = (F.col("lo") + F.col("point") * step - F.col("x")) / F.col("h")
-    sums = near.groupBy(*keys, "point").agg(F.sum(F.col("w") * F.exp(z * z * -0.5)).alias("_k"))
     points = F.sequence(F.lit(0).cast("bigint"), F.lit(grid - 1).cast("bigint"))
+    z = (F.col("lo") + F.col("point") * step - F.col("x")) / F.col("h")
+    at_points = values.withColumn("point", F.explode(points))
+    sums = at_points.groupBy(*keys, "point").agg(F.sum(F.col("w") * F.exp(z * z * -0.5)).alias("_k"))
     every = stats.withColumn("point", F.explode(points))
     scale = F.col("n") * F.col("h") * math.sqrt(2 * math.pi)
     return every.join(sums, [*keys, "point"], "left").select(
@@ -143,7 +138,8 @@ def kde_curve(
 ) -> DataFrame:
     """Gaussian kernel density on ``grid`` points from minimum to maximum."""
     values = merged_values(df, value, weight, log)
-    stats = _bandwidth(values.agg(*_moments()))
+    low = values.agg(F.min("x").alias("low")).scalar()
+    stats = _bandwidth(values.withColumn("low", low).agg(*_moments()))
     limits = stats.select(F.struct("n", "lo", "hi", "h")).scalar()
     placed = values.withColumn("_s", limits).select("x", "w", "_s.*").where(F.col("h").isNotNull())
     return _smooth(placed, stats, [], grid)
@@ -156,5 +152,6 @@ def kde_by_group(df: DataFrame, group: str, value: str, grid: int = 100) -> Data
         .groupBy(group, F.col(value).cast("double").alias("x"))
         .agg(F.count(F.lit(1)).alias("w"))
     )
-    stats = _bandwidth(values.groupBy(group).agg(*_moments()))
+    lows = values.groupBy(group).agg(F.min("x").alias("low"))
+    stats = _bandwidth(values.join(lows, group).groupBy(group).agg(*_moments()))
     return _smooth(values.join(stats, group), stats, [group], grid)

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from sharelens.functions.columns import (
     WEEKDAY_LABELS,
     calendar_features,
+    hash_fraction,
     label_age,
     label_gender,
     label_weekday,
@@ -18,10 +19,11 @@ from sharelens.functions.columns import (
     share_bucket_rank,
     share_count_bucket,
 )
-from sharelens.functions.skew import lookup_join, skew_join
+from sharelens.functions.ranks import row_index
+from sharelens.functions.skew import lookup_join
 from sharelens.session import checkpointed
 
-AGE_CODES = [-1, 1, 2, 3, 4, 5, 6, 7, 8]  # fixed values: the codes the user table may hold
+PREFERENCE_PARTS = 16
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -231,19 +233,16 @@ def user_group_counts(shares: DataFrame, items: DataFrame, column: str, name: st
     return per_item.dropna(subset=[column]).groupBy("inviter_id", column).agg(F.sum("_n").alias(name))
 
 
-def user_item_preference(shares: DataFrame, max_entries: int = 10_000) -> DataFrame:
-    """Per inviter, a map from item to share count.
+def user_item_preference(shares: DataFrame, parts: int = PREFERENCE_PARTS, seed: int = 42) -> DataFrame:
+    """Per inviter, maps from item to share count, one for each part that has items.
 
-    An inviter with more than ``max_entries`` items gets several rows, told apart
-    by ``part``, so that no map outgrows a task.
+    An item's part follows from its hash alone, for every inviter alike, so no map holds
+    more than about a ``parts``-th of the items.
     """
-    counts = checkpointed(user_item_counts(shares, "_n"))
-    large = count_by(counts, ["inviter_id"], "_items").where(F.col("_items") > max_entries)
-    parts = skew_join(counts, large, ["inviter_id"])
-    spread = F.pmod(F.xxhash64("item_id"), F.ceil(F.col("_items") / max_entries))
+    part = F.floor(hash_fraction(seed, "item_id") * parts).cast("int")
     return (
-        parts.withColumn("part", F.coalesce(spread, F.lit(0)).cast("int"))
-        .groupBy("inviter_id", "part")
+        user_item_counts(shares, "_n")
+        .groupBy("inviter_id", part.alias("part"))
         .agg(F.map_from_entries(F.collect_list(F.struct("item_id", "_n"))).alias("preference"))
     )
 
@@ -329,36 +328,34 @@ def date_hour_hotspot(shares: DataFrame, n: int = 30) -> DataFrame:
 
 
 def gender_age_crosstab(users: DataFrame) -> DataFrame:
-    """Users per gender and age group; ``age_unknown`` and ``age_1`` to ``age_8``."""
+    """Users per gender and age group: a row for each pair of the codes that occur, zeros included."""
     known = users.dropna(subset=["user_gender", "user_age"])
-    wide = known.groupBy(label_gender(F.col("user_gender")).alias("gender"))
-    wide = wide.pivot("user_age", AGE_CODES).count()
-    names = {code: "age_unknown" if code == -1 else f"age_{code}" for code in AGE_CODES}
-    return wide.where(F.col("gender").isNotNull()).select(
-        "gender", *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(name) for c, name in names.items()]
+    cells = known.groupBy("user_gender", "user_age").agg(F.count(F.lit(1)).alias("n"))
+    genders, ages = cells.select("user_gender").distinct(), cells.select("user_age").distinct()
+    # Codes, not rows: as many lists as there are genders, as many entries as ages.
+    codes = ages.agg(F.collect_list("user_age").alias("ages")).scalar()
+    grid = genders.select("user_gender", F.explode(codes).alias("user_age"))
+    return grid.join(cells, ["user_gender", "user_age"], "left").select(
+        label_gender(F.col("user_gender")).alias("gender"),
+        "user_age",
+        label_age(F.col("user_age")).alias("age"),
+        F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 
 def gender_age_percent(users: DataFrame) -> DataFrame:
-    """Each row of the crosstab as percent of its sum."""
+    """Each cell of the crosstab as percent of its gender's users."""
     counts = gender_age_crosstab(users)
-    ages = counts.columns[1:]
-    total = sum((F.col(a) for a in ages), F.lit(0))
-    return counts.select("gender", *[F.try_divide(F.col(a) * 100.0, total).alias(a) for a in ages])
+    total = F.sum("n").over(Window.partitionBy("gender"))
+    return counts.select("gender", "user_age", "age", (F.col("n") * 100.0 / total).alias("percent"))
 
 
-def user_item_pivot(shares: DataFrame, n_items: int = 20) -> DataFrame:
-    """Wide user by item counts over the ``n_items`` most shared items.
+def user_item_pivot(shares: DataFrame) -> DataFrame:
+    """The whole user by item matrix of counts in sparse form.
 
-    Column ``item_r`` belongs to the item of popularity rank ``r``; every inviter has a row.
+    ``item_idx`` numbers the items from 0 in the order of their ids; cells without a
+    row are 0.  Every inviter with an item has a row.
     """
-    ranked = top_items(shares, n_items).select(
-        "item_id",
-        F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("item_id"))).alias("_rank"),
-    )
-    counts = user_item_counts(shares, "_n").join(F.broadcast(ranked), "item_id", "left")
-    ranks = list(range(1, n_items + 1))
-    wide = counts.groupBy("inviter_id").pivot("_rank", ranks).sum("_n")
-    return wide.select(
-        "inviter_id", *[F.coalesce(F.col(f"`{r}`"), F.lit(0)).alias(f"item_{r}") for r in ranks]
-    )
+    counts = user_item_counts(shares, "n")
+    items = checkpointed(row_index(counts.select("item_id").distinct(), ["item_id"], "item_idx"))
+    return lookup_join(counts, items, ["item_id"]).select("inviter_id", "item_idx", "n")

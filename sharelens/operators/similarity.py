@@ -58,13 +58,6 @@ def similarity_degrees(
     return users.join(counts, "user_id", "left").select("user_id", F.coalesce("_d", F.lit(0)).alias("degree"))
 
 
-def common_item_counts(shares: DataFrame, n_users: int = 50) -> DataFrame:
-    """Items that two of the most active inviters both shared, over all items."""
-    pairs = topn_filter(shares, n_users, None).select("inviter_id", "item_id").dropna().distinct()
-    rows = _pairs(pairs.withColumn("_one", F.lit(1)), "_one")
-    return rows.groupBy("user_a", "user_b").agg(F.count(F.lit(1)).alias("common_items"))
-
-
 def log_count_matrix(shares: DataFrame, n_users: int = 30, n_items: int = 30) -> DataFrame:
     """ln(1 + count) for the most active inviters by the most shared items, zero-filled.
 

@@ -299,7 +299,10 @@ def betweenness_ctes(n_nodes: int, depth: int = 12) -> str:
 
 
 CELLS = {h: f"count(*) FILTER (WHERE hour(ts) = {h}) AS h{h:02d}" for h in range(24)}
-AGES = {"age_unknown": -1, **{f"age_{i}": i for i in range(1, 9)}}
+AGE_CELLS = """cells AS (
+    SELECT user_gender, user_age, count(u.user_id) AS n
+    FROM (SELECT DISTINCT user_gender FROM users) CROSS JOIN (SELECT DISTINCT user_age FROM users)
+    LEFT JOIN users u USING (user_gender, user_age) GROUP BY 1, 2)"""
 
 ORACLE_SQL: dict[str, str] = {
     # --- sources and sinks
@@ -516,8 +519,9 @@ ORACLE_SQL: dict[str, str] = {
     "item_popularity": over("log_l", "SELECT item_id, count(*) AS item_popularity FROM log_l GROUP BY 1"),
     "user_item_preference": over(
         "log_l",
-        """SELECT inviter_id, 0 AS part, string_agg(item_id || ':' || n, ',' ORDER BY item_id) AS preference
-           FROM (SELECT inviter_id, item_id, count(*) AS n FROM log_l GROUP BY 1, 2) x GROUP BY 1""",
+        f"""SELECT inviter_id, CAST(floor({fraction('item_id')} * 16) AS INTEGER) AS part,
+                   string_agg(item_id || ':' || n, ',' ORDER BY item_id) AS preference
+            FROM (SELECT inviter_id, item_id, count(*) AS n FROM log_l GROUP BY 1, 2) x GROUP BY 1, 2""",
     ),
     # --- crosstabs
     "hour_weekday_matrix": over(
@@ -546,26 +550,21 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "gender_age_crosstab": over(
         "users",
-        f"SELECT {GENDER} AS gender, "
-        + ", ".join(f"count(*) FILTER (WHERE user_age = {a}) AS {name}" for name, a in AGES.items())
-        + " FROM users GROUP BY 1",
+        f"SELECT {GENDER} AS gender, user_age, {AGE} AS age, n FROM cells",
+        AGE_CELLS,
     ),
     "gender_age_percent": over(
         "users",
-        f"SELECT {GENDER} AS gender, "
-        + ", ".join(
-            f"round(count(*) FILTER (WHERE user_age = {a}) * 100.0::DOUBLE / count(*), 6) AS {name}"
-            for name, a in AGES.items()
-        )
-        + " FROM users GROUP BY 1",
+        f"""SELECT {GENDER} AS gender, user_age, {AGE} AS age,
+                   round(n * 100.0::DOUBLE / sum(n) OVER (PARTITION BY user_gender), 6) AS percent
+            FROM cells""",
+        AGE_CELLS,
     ),
     "user_item_pivot": over(
         "log_l",
-        "SELECT inviter_id, "
-        + ", ".join(f"count(*) FILTER (WHERE r = {r}) AS item_{r}" for r in range(1, 21))
-        + """ FROM log_l LEFT JOIN (
-               SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, item_id) AS r
-               FROM log_l GROUP BY 1) x USING (item_id) GROUP BY 1""",
+        """SELECT inviter_id, item_idx, count(*) AS n FROM log_l JOIN (
+             SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS item_idx
+             FROM (SELECT DISTINCT item_id FROM log_l) x) y USING (item_id) GROUP BY 1, 2""",
     ),
     # --- distributions
     "kde_by_group": kde_groups("user_gender"),
@@ -645,12 +644,6 @@ ORACLE_SQL: dict[str, str] = {
                   (SELECT count(*) FROM cosines WHERE user_a = inviter_id OR user_b = inviter_id) AS degree
            FROM norms""",
     ),
-    "common_item_counts": over(
-        "log_e top50",
-        """SELECT a.inviter_id AS user_a, b.inviter_id AS user_b, count(*) AS common_items
-           FROM d a JOIN d b ON a.item_id = b.item_id AND a.inviter_id < b.inviter_id GROUP BY 1, 2""",
-        "d AS (SELECT DISTINCT inviter_id, item_id FROM log_e WHERE inviter_id IN (FROM top50))",
-    ),
     "log_count_matrix": over("matrix", "SELECT inviter_id, item_id, round(log_count, 6) AS log_count FROM matrix"),
     "user_distance_pairs": over(
         "matrix",
@@ -665,7 +658,7 @@ ORACLE_SQL: dict[str, str] = {
         "degrees",
         """SELECT user_id, in_degree, out_degree, round(betweenness, 6) AS betweenness
            FROM degrees LEFT JOIN central USING (user_id)""",
-        betweenness_ctes(100),
+        betweenness_ctes(1000),
     ),
     # --- sampling and splits
     "sample_n": over(

@@ -355,7 +355,6 @@ for _name, _operator in (
     ("graph_edges", graph.graph_edges),
     ("bipartite_degrees", graph.bipartite_degrees),
     ("bipartite_size", graph.bipartite_size),
-    ("common_item_counts", similarity.common_item_counts),
     ("log_count_matrix", similarity.log_count_matrix),
     ("user_distance_pairs", similarity.user_distance_pairs),
     ("node_index", recommend.node_index),
@@ -550,7 +549,7 @@ def _(spark, sf):
 @query("network_features")
 def _(spark, sf):
     edges = _edges(spark, sf)
-    return rounded(graph.network_features(edges, graph.betweenness(edges, n_nodes=100)))
+    return rounded(graph.network_features(edges, graph.betweenness(edges)))
 
 
 @query("user_similarity")

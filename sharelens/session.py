@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,28 +10,32 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    Only a local session may fall back to a temporary folder; a cluster without
+    Only a local session may fall back to its warehouse; a cluster without
     ``spark.checkpoint.dir`` is an error, because its executors could not read
     a folder on the driver's disk.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if base:
-        return base.rstrip("/")
-    if not context.master.startswith("local"):
+    if not base and not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="sharelens-"))
-    return context.getCheckpointDir()
+    return (base or spark.conf.get("spark.sql.warehouse.dir", None)).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/sharelens/{uuid.uuid4().hex}/{name}"
+    """A path under the shared folder that nothing else uses; it goes when the session ends."""
+    run = f"{shared_dir(spark)}/sharelens/{spark.sparkContext.applicationId}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(run)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return f"{run}/{uuid.uuid4().hex}/{name}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and return it with its lineage cut."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Write ``df`` as Parquet to shared storage and return it read back.
+
+    That cuts the lineage, and later reads take only the columns and rows they need.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -91,7 +91,6 @@ def test_similarity(shares_of):
     assert [(r.user_a, r.user_b) for r in pairs] == [(1, 2)]
     assert pairs[0].weight == pytest.approx(1.0)
     assert {r.user_id: r.degree for r in similarity.similarity_degrees(shares_of(log)).collect()} == {1: 1, 2: 1, 3: 0}
-    assert [tuple(r) for r in similarity.common_item_counts(shares_of(log)).collect()] == [(1, 2, 2)]
     assert similarity.log_count_matrix(shares_of(log)).count() == 9
 
 

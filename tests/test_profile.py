@@ -129,14 +129,29 @@ def test_kde_skips_flat_groups(spark):
     assert {r.g for r in dist.kde_by_group(frame, "g", "v").collect()} == {"a"}
 
 
-def test_crosstab_sums_to_users(spark):
-    users = spark.createDataFrame([(i, i % 3 - 1, 1 + i % 8, 1) for i in range(50)], "user_id long, user_gender int, user_age int, user_level int")
-    table = profile.gender_age_crosstab(users).toPandas().set_index("gender")
-    assert table.to_numpy().sum() == 50
-    assert profile.gender_age_percent(users).toPandas().set_index("gender").sum(axis=1).round(6).tolist() == [100.0] * 3
+def test_crosstab_keeps_every_age_code(spark):
+    rows = [(i, i % 2, 9 if i % 2 else 1 + i % 3, 1) for i in range(50)] + [(90, None, 1, 1), (91, 0, None, 1)]
+    users = spark.createDataFrame(rows, "user_id long, user_gender int, user_age int, user_level int")
+    cells = {(r.gender, r.user_age): r.n for r in profile.gender_age_crosstab(users).collect()}
+    assert len(cells) == 2 * 4 and sum(cells.values()) == 50
+    assert sorted(n for (_, age), n in cells.items() if age == 9) == [0, 25]
+    shares = profile.gender_age_percent(users).groupBy("gender").sum("percent").collect()
+    assert [round(r[1], 6) for r in shares] == [100.0] * 2
 
 
-def test_pivot_keeps_every_inviter(shares_of):
-    log = [(1, 1, 2, 0), (1, 1, 2, 1), (2, 5, 1, 2), (3, 1, 1, 3)]
-    rows = {r.inviter_id: tuple(r)[1:] for r in profile.user_item_pivot(shares_of(log), 1).collect()}
-    assert rows == {1: (2,), 2: (0,), 3: (1,)}
+def test_pivot_keeps_every_item(shares_of):
+    log = [(1, 1, 2, 0), (1, 1, 2, 1), (2, 5, 1, 2), (3, 1, 1, 3)] + [(4, 100 + i, 1, 4 + i) for i in range(40)]
+    cells = {(r.inviter_id, r.item_idx): r.n for r in profile.user_item_pivot(shares_of(log)).collect()}
+    assert cells == {(1, 0): 2, (2, 1): 1, (3, 0): 1, **{(4, 2 + i): 1 for i in range(40)}}
+
+
+def test_kde_of_far_clusters_is_never_zero(spark):
+    values = [0.0] * 5 + [0.1] * 5 + [3.0]
+    rows = dist.kde_curve(spark.createDataFrame([(v,) for v in values], ["x"]), "x", grid=30).collect()
+    assert all(r.density > 0 for r in rows)
+
+
+def test_variance_of_large_close_values(spark):
+    values = [1e9 + v for v in (0.0, 1.0, 2.0, 7.0)]
+    rows = dist.kde_curve(spark.createDataFrame([(v,) for v in values], ["x"]), "x", grid=10).collect()
+    assert [r.density for r in rows] == pytest.approx([_density(values, r.x) for r in rows], rel=1e-6)

@@ -40,8 +40,11 @@ def test_local_session_without_a_folder(tmp_path):
         "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
         "assert s.conf.get('spark.checkpoint.dir', None) is None\n"
         "assert checkpointed(s.range(5)).count() == 5\n"
-        "assert 'sharelens-' in shared_dir(s)\n"
+        "assert shared_dir(s) == s.conf.get('spark.sql.warehouse.dir')\n"
+        "s.stop()\n"
     )
     env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": ROOT}
-    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120, cwd=tmp_path)
     assert done.returncode == 0, done.stderr[-2000:]
+    left = [f for _, _, files in os.walk(tmp_path) for f in files if f.endswith(".parquet")]
+    assert left == []  # a run's folder goes with it

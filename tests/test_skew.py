@@ -105,16 +105,18 @@ def test_share_intervals_merge_equal_times(shares_of, hot_rows):
     assert hours == {(1, 0.0): 3, (1, 1.0): 1, (1, 0.5): 1, (3, 0.025): 1}
 
 
-def test_large_preferences_are_split(shares_of):
+def test_preferences_have_one_layout(shares_of):
     log = [(1, i, 2, i) for i in range(50)] + [(1, 0, 3, 60), (2, 5, 1, 61)]
-    parts = profile.user_item_preference(shares_of(log), max_entries=10).collect()
+    parts = profile.user_item_preference(shares_of(log), parts=4).collect()
     merged = defaultdict(dict)
     for r in parts:
         assert not set(merged[r.inviter_id]) & set(r.preference)
         merged[r.inviter_id].update(r.preference)
     assert merged[1] == {0: 2, **{i: 1 for i in range(1, 50)}}
     assert merged[2] == {5: 1}
-    assert len([r for r in parts if r.inviter_id == 1]) > 1
+    assert sorted(r.part for r in parts if r.inviter_id == 1) == [0, 1, 2, 3]
+    part_of = {i: r.part for r in parts if r.inviter_id == 1 for i in r.preference}
+    assert [r.part for r in parts if r.inviter_id == 2] == [part_of[5]]
 
 
 def test_small_stored_table_needs_no_split(spark):
