@@ -299,6 +299,29 @@ def betweenness_ctes(n_nodes: int, depth: int = 12) -> str:
 
 
 CELLS = {h: f"count(*) FILTER (WHERE hour(ts) = {h}) AS h{h:02d}" for h in range(24)}
+DAY_TEXT = "strftime(ts, '%Y-%m-%d')"
+
+
+def json_share(n: str, a: str = "inviter_id", b: str = "voter_id") -> str:
+    """A share as the JSON text that the mixed file has."""
+    return f"""'{{"inviter_id":"' || {a} || '","item_id":"' || item_id || '","voter_id":"' || {b} || '","timestamp":"'
+        || strftime(ts, '%Y-%m-%d %H:%M:%S') || '","n":' || {n} || '}}'"""
+
+
+_ONE = json_share("event_id % 100")
+MIXED_LINE = f"""CASE hour(ts)
+    WHEN 0 THEN rtrim({_ONE}, '}}') WHEN 1 THEN '  ' WHEN 3 THEN '[]' WHEN 4 THEN CAST(event_id AS VARCHAR)
+    WHEN 2 THEN '[' || {_ONE} || ',' || {json_share("event_id % 100", "voter_id", "inviter_id")} || ']'
+    WHEN 5 THEN {json_share("'\"' || event_id % 100 || '\"'")} WHEN 6 THEN {json_share("'\"x\"'")}
+    WHEN 7 THEN {json_share("'3.5'")}
+    WHEN 8 THEN '[' || {_ONE} || ', 5, ' || {json_share("'\"x\"'", "voter_id", "inviter_id")} || ']'
+    ELSE {_ONE} END"""
+LOST = f"""lost AS (
+    SELECT {DAY_TEXT} AS "day", CAST(NULL AS VARCHAR) AS field, CASE hour(ts) WHEN 8 THEN '5'
+             WHEN 4 THEN CAST(event_id AS VARCHAR) ELSE substr(rtrim({_ONE}, '}}'), 1, 100) END AS text
+    FROM log_e WHERE hour(ts) IN (0, 4, 8)
+    UNION ALL
+    SELECT {DAY_TEXT}, 'n', CASE WHEN hour(ts) = 7 THEN '3.5' ELSE 'x' END FROM log_e WHERE hour(ts) IN (6, 7, 8))"""
 AGE_CELLS = """cells AS (
     SELECT user_gender, user_age, count(u.user_id) AS n
     FROM (SELECT DISTINCT user_gender FROM users) CROSS JOIN (SELECT DISTINCT user_age FROM users)
@@ -308,17 +331,26 @@ ORACLE_SQL: dict[str, str] = {
     # --- sources and sinks
     "read_jsonl": over(
         "log_e",
-        f"""SELECT {SHARE_TEXT} FROM log_e WHERE hour(ts) = 2 OR hour(ts) >= 5
+        f"""SELECT {SHARE_TEXT}, CASE WHEN hour(ts) NOT IN (6, 7) THEN CAST(event_id % 100 AS INTEGER) END AS n
+            FROM log_e WHERE hour(ts) = 2 OR hour(ts) >= 5
             UNION ALL
             SELECT CAST(voter_id AS VARCHAR), CAST(item_id AS VARCHAR), CAST(inviter_id AS VARCHAR),
-                   strftime(ts, '%Y-%m-%d %H:%M:%S') FROM log_e WHERE hour(ts) = 2""",
+                   strftime(ts, '%Y-%m-%d %H:%M:%S'),
+                   CASE WHEN hour(ts) = 2 THEN CAST(event_id % 100 AS INTEGER) END
+            FROM log_e WHERE hour(ts) IN (2, 8)""",
     ),
-    "jsonl_rejects": over(
+    "jsonl_rejects": over("log_e", "SELECT * FROM lost", LOST),
+    "jsonl_reject_counts": over(
         "log_e",
-        """SELECT CASE WHEN hour(ts) = 4 THEN CAST(event_id AS VARCHAR) ELSE
-             substr('{"inviter_id":"' || inviter_id || '","item_id":"' || item_id || '","voter_id":"' || voter_id
-                    || '","timestamp":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '"', 1, 100) END AS text
-           FROM log_e WHERE hour(ts) IN (0, 4)""",
+        """SELECT "day", count(*) FILTER (WHERE field IS NULL) AS records, count(field) AS fields
+           FROM lost GROUP BY 1""",
+        LOST,
+    ),
+    "jsonl_peek": over(
+        "log_e",
+        f"""SELECT "day", CAST(r AS INTEGER) AS line_no, {MIXED_LINE} AS value
+            FROM (SELECT *, {DAY_TEXT} AS "day", row_number() OVER (PARTITION BY {DAY_TEXT} ORDER BY event_id) AS r
+                  FROM log_e) x WHERE r <= 5""",
     ),
     "repair_columns": over("log_e", f"SELECT {SHARE_TEXT} FROM log_e"),
     "read_query_array": over(

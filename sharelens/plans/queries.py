@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sharelens.functions import columns as c
 from sharelens.operators import distribution as dist
@@ -63,63 +63,75 @@ def _share_text(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+MIXED_SCHEMA = f"{jsonl.SHARE_SCHEMA}, n int"
+
+
 def _mixed_lines(spark: SparkSession, sf: str) -> str:
-    """Write the event shares as JSON lines; the night hours hold irregular lines."""
+    """Write the event shares as JSON lines, a file a day; some hours hold irregular lines."""
     fields = [F.col(k) for k in jsonl.SHARE_COLUMNS]
-    back = F.struct(F.col("voter_id").alias("inviter_id"), "item_id", F.col("inviter_id").alias("voter_id"), "timestamp")
-    one = F.to_json(F.struct(*fields))
+    back = [F.col("voter_id").alias("inviter_id"), F.col("item_id"), F.col("inviter_id").alias("voter_id"), F.col("timestamp")]
+
+    def record(n, columns=fields):
+        return F.to_json(F.struct(*columns, n.alias("n")))
+
+    n = F.col("event_id") % 100
+    one = record(n)
     hour = F.hour("ts")
     line = (
         F.when(hour == 0, F.rtrim(one, F.lit("}")))
         .when(hour == 1, "  ")
-        .when(hour == 2, F.to_json(F.array(F.struct(*fields), back)))
+        .when(hour == 2, F.concat_ws(",", F.concat(F.lit("["), one), F.concat(record(n, back), F.lit("]"))))
         .when(hour == 3, "[]")
         .when(hour == 4, F.col("event_id").cast("string"))
+        .when(hour == 5, record(n.cast("string")))
+        .when(hour == 6, record(F.lit("x")))
+        .when(hour == 7, record(F.lit(3.5)))
+        .when(hour == 8, F.concat(F.lit("["), one, F.lit(", 5, "), record(F.lit("x"), back), F.lit("]")))
         .otherwise(one)
     )
     path = scratch_path(spark, "shares.jsonl")
-    _share_text(spark, sf).select(line.alias("value")).write.text(path)
+    days = _share_text(spark, sf).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    rows = days.repartition("day").sortWithinPartitions("day", "event_id").select("day", line.alias("value"))
+    rows.write.partitionBy("day").text(path)
     return path
 
 
+def _day_of(file: str):
+    return F.regexp_extract(file, "day=([0-9-]+)", 1).alias("day")
+
+
 @query("read_jsonl")
 def _(spark, sf):
-    return jsonl.read_jsonl(spark, _mixed_lines(spark, sf), jsonl.SHARE_SCHEMA)
+    return jsonl.read_jsonl(spark, _mixed_lines(spark, sf), MIXED_SCHEMA)
 
 
 @query("jsonl_rejects")
 def _(spark, sf):
-    return jsonl.jsonl_rejects(spark, _mixed_lines(spark, sf), jsonl.SHARE_SCHEMA).select("text")
+    lost = jsonl.jsonl_rejects(spark, _mixed_lines(spark, sf), MIXED_SCHEMA)
+    return lost.select(_day_of("file"), "field", "text")
 
 
-@query("repair_columns")
+@query("jsonl_reject_counts")
 def _(spark, sf):
-    named = _share_text(spark, sf).select(*jsonl.SHARE_COLUMNS)
-    return jsonl.repair_columns(named.toDF("0", "1", "2", "3"), jsonl.SHARE_COLUMNS)
-
+    counts = jsonl.jsonl_reject_counts(spark, _mixed_lines(spark, sf), MIXED_SCHEMA)
+    return counts.select(_day_of("file"), "records", "fields")
 
-def _array_framer() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Frames the JSON objects of one partition as one array, batch by batch.
 
-    A local function travels to the workers whole, so they need not have this package.
-    """
+@query("jsonl_peek")
+def _(spark, sf):
+    return jsonl.peek(spark, _mixed_lines(spark, sf)).select(_day_of("file"), "line_no", "value")
 
-    def frame(batches):
-        mark = "["
-        for batch in batches:
-            lines = []
-            for text in batch["value"]:
-                lines.append(mark + text)
-                mark = ","
-            yield pd.DataFrame({"value": lines})
-        yield pd.DataFrame({"value": ["[]" if mark == "[" else "]"]})
 
-    return frame
+@query("repair_columns")
+def _(spark, sf):
+    named = _share_text(spark, sf).select(*jsonl.SHARE_COLUMNS)
+    return jsonl.repair_columns(named.toDF("0", "1", "2", "3"), jsonl.SHARE_COLUMNS)
 
 
 @query("read_query_array")
 def _(spark, sf):
     rows = tables.query_shares(spark, sf).select(
+        "triple_id",
         F.to_json(
             F.struct(
                 "triple_id",
@@ -129,9 +141,17 @@ def _(spark, sf):
             )
         ).alias("value")
     )
+    # One file that holds one array, a record a line: the layout that is split over tasks.
     path = scratch_path(spark, "queries.json")
-    rows.mapInPandas(_array_framer(), "value string").write.text(path)
-    return jsonl.read_query_array(spark, path)
+    place = F.row_number().over(Window.orderBy("triple_id"))
+    last = rows.agg(F.count(F.lit(1))).scalar()
+    framed = rows.withColumns({"_place": place, "_last": last})
+    line = F.concat(
+        F.when(F.col("_place") == 1, "[").otherwise(""), "value",
+        F.when(F.col("_place") == F.col("_last"), "]").otherwise(","),
+    )
+    framed.select(line.alias("value")).coalesce(1).write.text(path)
+    return jsonl.read_query_array(spark, path, layout="lines")
 
 
 @query("assign_query_id")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sharelens.functions.columns import parse_timestamp
 
@@ -21,22 +22,45 @@ ITEM_SCHEMA = "item_id string, cate_id string, cate_level1_id string, brand_id s
 QUERY_SCHEMA = "triple_id string, inviter_id string, item_id string, timestamp string"
 
 
-def _parsed_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _elements(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, list]:
+    """Each line's records, read as text field by field, and the schema's fields.
+
+    ``_text`` is the line, or the element of a line that holds a list; ``_bad`` tells
+    whether it is no object.
+    """
+    fields = spark.createDataFrame([], schema).schema.fields
     lines = spark.read.text(path).where(F.trim("value") != "")
-    return lines.select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.from_json("value", f"array<struct<{schema}>>").alias("records"),
-    )
+    line = F.trim("value")
+    parts = F.when(line.startswith("["), F.from_json(line, "array<string>")).otherwise(F.array(line))
+    # A list that does not parse is one bad element: the line itself.
+    parts = F.coalesce(F.when(line.startswith("[") & ~line.endswith("]"), None).otherwise(parts), F.array(line))
+    split = lines.select(F.col("_metadata.file_path").alias("_file"), F.explode(parts).alias("_text"))
+    texts = ", ".join(f"`{f.name}` {f.dataType.simpleString() if _nested(f) else 'string'}" for f in fields)
+    record = F.from_json("_text", f"{texts}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    read = split.withColumn("_record", record)
+    bad = F.col("_record._corrupt").isNotNull() | F.col("_record").isNull() | ~F.trim("_text").startswith("{")
+    return read.withColumn("_bad", F.coalesce(bad, F.lit(True))), fields
+
+
+def _nested(field) -> bool:
+    return field.dataType.simpleString().startswith(("array", "struct", "map"))
+
+
+def _typed(field):
+    """The field's text in its type, NULL if it does not fit."""
+    text = F.col("_record")[field.name]
+    return text if _nested(field) else text.try_cast(field.dataType)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One record per line; a line holding a list gives one row per element.
 
-    Blank lines are skipped and lines that do not parse are dropped; they are
-    listed by :func:`jsonl_rejects`.
+    Blank lines are skipped; lines and elements that are no object are dropped.  A
+    number in quotes is a number; a field that does not fit its type is NULL and the
+    rest of its record stays.  :func:`jsonl_rejects` lists all that is lost.
     """
-    return _parsed_lines(spark, path, schema).select(F.inline("records"))
+    rows, fields = _elements(spark, path, schema)
+    return rows.where(~F.col("_bad")).select(*[_typed(f).alias(f.name) for f in fields])
 
 
 def read_shares(spark: SparkSession, path: str) -> DataFrame:
@@ -60,17 +84,45 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def jsonl_rejects(spark: SparkSession, path: str, schema: str, width: int = 100) -> DataFrame:
-    """The lines :func:`read_jsonl` drops, cut to ``width`` characters, with their file."""
-    return (
-        _parsed_lines(spark, path, schema)
-        .where(F.col("records").isNull())
-        .select("file", F.substring(F.trim("value"), 1, width).alias("text"))
+    """What :func:`read_jsonl` loses: ``file, field, text``, cut to ``width`` characters.
+
+    ``field`` is NULL for a whole line or element, else the field whose ``text`` does not
+    fit its type.
+    """
+    rows, fields = _elements(spark, path, schema)
+    whole = F.when(F.col("_bad"), F.struct(F.lit(None).cast("string").alias("field"), F.col("_text").alias("text")))
+    misfits = [
+        F.when(
+            ~F.col("_bad") & F.col("_record")[f.name].isNotNull() & _typed(f).isNull(),
+            F.struct(F.lit(f.name).alias("field"), F.col("_record")[f.name].alias("text")),
+        )
+        for f in fields
+        if not _nested(f)
+    ]
+    lost = rows.select(F.col("_file").alias("file"), F.explode(F.array_compact(F.array(whole, *misfits))).alias("_l"))
+    return lost.select("file", "_l.field", F.substring("_l.text", 1, width).alias("text"))
+
+
+def jsonl_reject_counts(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Per file, how many lines or elements and how many single fields were lost."""
+    lost = jsonl_rejects(spark, path, schema)
+    return lost.groupBy("file").agg(
+        F.count_if(F.col("field").isNull()).alias("records"), F.count_if(F.col("field").isNotNull()).alias("fields")
     )
 
 
 def peek(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
-    """The first ``n`` lines of the input, as text."""
-    return spark.read.text(path).limit(n)
+    """The first ``n`` lines of each file, as ``file, line_no, value``.
+
+    Only the first split of a file is looked at; it holds the first lines.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.monotonically_increasing_id().alias("_place"), F.col("_metadata.file_block_start").alias("_start"),
+    )
+    order = Window.partitionBy("file").orderBy("_place")
+    first = lines.where("_start = 0").withColumn("line_no", F.row_number().over(order))
+    return first.where(F.col("line_no") <= n).select("file", "line_no", "value")
 
 
 def repair_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -82,9 +134,16 @@ def repair_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*names)
 
 
-def read_query_array(spark: SparkSession, path: str, schema: str = QUERY_SCHEMA) -> DataFrame:
+def read_query_array(
+    spark: SparkSession, path: str, schema: str = QUERY_SCHEMA, layout: str = "any"
+) -> DataFrame:
     """Queries stored as one JSON array per file.
 
-    One file is parsed by one task; give large query sets as JSON lines.
+    ``layout="lines"`` says that every record has a line of its own: a file is then
+    split over tasks like any text.  With ``"any"`` one file is parsed by one task.
     """
-    return spark.read.option("multiLine", True).schema(schema).json(path)
+    if layout == "any":
+        return spark.read.option("multiLine", True).schema(schema).json(path)
+    line = F.regexp_replace("value", r"^\s*\[?\s*|\s*[,\]]?\s*$", "")
+    lines = spark.read.text(path).select(line.alias("value")).where("value <> ''")
+    return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")

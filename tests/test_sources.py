@@ -37,8 +37,27 @@ def test_rejects_are_the_dropped_lines(spark, lines):
     assert all(name.endswith("rows.jsonl") for name in found.values())
 
 
-def test_peek(spark, lines):
-    assert jsonl.peek(spark, lines, 2).count() == 2
+def test_misfits_are_reported_and_the_rest_stays(spark, tmp_path):
+    path = tmp_path / "users.jsonl"
+    path.write_text(
+        '{"a": "1", "b": "7"}\n{"a": "2", "b": "x"}\n{"a": "3", "b": 3.5}\n{"a": 4, "b": null}\n'
+        '[{"a": "5", "b": 1}, 6, {"a": "7", "b": "y"}, "z", {"a": "8"}]\n[{"a": "9"}\n'
+    )
+    rows = jsonl.read_jsonl(spark, str(path), SCHEMA).orderBy("a").collect()
+    assert [tuple(r) for r in rows] == [
+        ("1", 7), ("2", None), ("3", None), ("4", None), ("5", 1), ("7", None), ("8", None),
+    ]
+    lost = {(r.field, r.text) for r in jsonl.jsonl_rejects(spark, str(path), SCHEMA).collect()}
+    assert lost == {("b", "x"), ("b", "3.5"), ("b", "y"), (None, "6"), (None, "z"), (None, '[{"a": "9"}')}
+    (counts,) = jsonl.jsonl_reject_counts(spark, str(path), SCHEMA).collect()
+    assert (counts.records, counts.fields) == (3, 3)
+
+
+def test_peek(spark, tmp_path):
+    for name in "pq":
+        (tmp_path / name).write_text("".join(f"{name}{i}\n" for i in range(9)))
+    rows = jsonl.peek(spark, str(tmp_path), 2).collect()
+    assert sorted((r.line_no, r.value) for r in rows) == [(1, "p0"), (1, "q0"), (2, "p1"), (2, "q1")]
 
 
 def test_repair_columns(spark):
@@ -55,6 +74,9 @@ def test_query_array(spark, tmp_path):
     rows = [{"triple_id": str(i), "inviter_id": "7", "item_id": "8", "timestamp": "2024-01-01 00:00:00"} for i in range(3)]
     path.write_text(json.dumps(rows))
     assert {r.triple_id for r in jsonl.read_query_array(spark, str(path)).collect()} == {"0", "1", "2"}
+    path.write_text("[" + ",\n".join(map(json.dumps, rows)) + "]\n")
+    split = jsonl.read_query_array(spark, str(path), layout="lines").collect()
+    assert sorted(r.triple_id for r in split) == ["0", "1", "2"] and {r.timestamp for r in split} == {"2024-01-01 00:00:00"}
 
 
 def test_sinks_round_trip(spark, tmp_path):
