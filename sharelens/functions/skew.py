@@ -16,18 +16,19 @@ from pyspark.sql.window import Window
 
 HOT_ROWS = 5_000_000
 MAX_HOT_KEYS = 10_000
-SALTS = 256
 BROADCAST_ROWS = 100_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys too large for one task; at most ``MAX_HOT_KEYS`` rows.
+    """The keys too large for one task, with ``_parts`` of about ``hot_rows`` rows each.
 
-    The order is total, so a list computed twice is the same list.
+    At most ``MAX_HOT_KEYS`` rows.  The order is total, so a list computed twice is the
+    same list.
     """
     counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     large = counts.where(F.col("_n") > hot_rows)
-    return large.orderBy(F.col("_n").desc(), *keys).limit(MAX_HOT_KEYS).select(*keys)
+    parts = F.ceil(F.col("_n") / F.greatest(F.lit(hot_rows), F.lit(1))).cast("int")
+    return large.orderBy(F.col("_n").desc(), *keys).limit(MAX_HOT_KEYS).select(*keys, parts.alias("_parts"))
 
 
 def fits(df: DataFrame, rows: int) -> bool:
@@ -47,24 +48,24 @@ def skew_join(
 ) -> DataFrame:
     """``facts`` left join ``table`` (unique on ``keys``) by shuffle.
 
-    Rows of a hot key, or of none, are spread over ``SALTS`` parts, and the table's
-    rows for hot keys (at most ``MAX_HOT_KEYS``) are copied to each part.  A row's part
-    follows from its partition and content, so a task run again sends every row
-    the same way.  ``source`` names rows to count the keys in, where ``facts`` is
-    them with more columns: a chain of joins then counts the plain rows.
+    Rows of a hot key are spread over as many parts as it has times ``hot_rows`` rows,
+    and the table's row for it is copied to each part.  Rows without a key match
+    nothing, so they are spread freely.  A row's part follows from its partition and
+    content, so a task run again sends every row the same way.  ``source`` names rows to
+    count the keys in, where ``facts`` is them with more columns: a chain of joins then
+    counts the plain rows.
     """
     keys = list(keys)
-    hot = hot_keys(facts if source is None else source, keys, hot_rows)
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    part = F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), F.lit(SALTS)).cast("int")
-    parts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    hot = F.broadcast(hot_keys(facts if source is None else source, keys, hot_rows))
+    place = F.xxhash64(F.spark_partition_id(), *facts.columns)
     unmatched = F.coalesce(*[F.when(F.col(k).isNull(), True) for k in keys])
-    scatter = F.coalesce("_hot", unmatched, F.lit(False))
-    left = facts.join(hot, keys, "left").withColumn("_salt", F.when(scatter, part).otherwise(0))
-    right = table.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), parts).otherwise(F.array(F.lit(0))))
-    )
-    return left.drop("_hot").join(right.drop("_hot"), [*keys, "_salt"], "left").drop("_salt")
+    salt = F.when(unmatched, place).otherwise(F.coalesce(F.pmod(place, F.col("_parts")), F.lit(0)))
+    left = facts.join(hot, keys, "left").withColumn("_salt", salt.cast("bigint"))
+    last = F.coalesce("_parts", F.lit(1)).cast("bigint") - 1
+    copies = F.sequence(F.lit(0).cast("bigint"), last)
+    right = table.join(hot, keys, "left").withColumn("_salt", F.explode(copies))
+    joined = left.drop("_parts").join(right.drop("_parts"), [*keys, "_salt"], "left")
+    return joined.drop("_salt")
 
 
 def lookup_join(
@@ -100,7 +101,8 @@ def neighbour(
 ) -> DataFrame:
     """Add ``out``: ``value`` of the next (``step=1``) or previous (``-1``) row of ``key``.
 
-    ``bucket`` must not decrease along ``order``.  A hot key is sorted bucket by
+    Rows without a key have no neighbours.  ``bucket`` must not decrease along
+    ``order``.  A hot key is sorted bucket by
     bucket, each in its own task; the value missing at a bucket's edge comes
     from the adjoining bucket, through one small row per hot (key, bucket).
     ``source`` names the rows to count the keys in, if they are cheaper to read.
@@ -108,13 +110,16 @@ def neighbour(
     ``hot_rows``, no key can be hot, and one plain window does.
     """
     shift, end = (F.lead, F.min) if step > 0 else (F.lag, F.max)
+    keyed = F.col(key).isNotNull()
+    alone = F.when(~keyed, F.xxhash64(*order)).alias("_alone")
     if stored is not None and fits(stored, hot_rows):
-        return df.withColumn(out, shift(value).over(Window.partitionBy(key).orderBy(*order)))
-    hot = hot_keys(df if source is None else source, [key], hot_rows)
+        rows = Window.partitionBy(key, alone).orderBy(*order)
+        return df.withColumn(out, F.when(keyed, shift(value).over(rows)))
+    hot = hot_keys(df if source is None else source, [key], hot_rows).drop("_parts")
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     marked = df.join(hot, key, "left").withColumn("_bucket", F.when(F.col("_hot"), bucket))
-    rows = Window.partitionBy(key, "_bucket").orderBy(*order)
-    inner = marked.withColumn("_near", shift(F.struct(value)).over(rows))
+    rows = Window.partitionBy(key, "_bucket", alone).orderBy(*order)
+    inner = marked.withColumn("_near", F.when(keyed, shift(F.struct(value)).over(rows)))
     buckets = Window.partitionBy(key).orderBy("_bucket")
     carry = (
         marked.where(F.col("_hot"))

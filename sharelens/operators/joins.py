@@ -35,12 +35,13 @@ def test_feature_join(
 ) -> DataFrame:
     """Queries with inviter and item attributes, the inviter's counts, item popularity.
 
-    What is unknown stays null.
+    What is unknown stays null.  A user's attributes and counts are joined together
+    first, an item's too, so the queries are joined once by inviter and once by item.
     """
-    rows = join_share_user_item(queries, users, items)
-    activity = _activity(train).withColumnRenamed("user_id", "inviter_id")
-    rows = skew_join(rows, activity, ["inviter_id"], source=queries)
-    return skew_join(rows, item_popularity(train), ["item_id"], source=queries)
+    inviters = users.join(_activity(train), "user_id", "full").withColumnRenamed("user_id", "inviter_id")
+    goods = items.join(item_popularity(train), "item_id", "full")
+    rows = skew_join(queries, inviters, ["inviter_id"])
+    return skew_join(rows, goods, ["item_id"], source=queries)
 
 
 def has_interaction(

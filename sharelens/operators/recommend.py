@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from sharelens.functions.columns import hash_text
 from sharelens.functions.ranks import row_index
-from sharelens.functions.skew import lookup_join, skew_join
+from sharelens.functions.skew import skew_join
 from sharelens.operators.profile import (
     count_by,
     invite_counts,
@@ -77,18 +77,25 @@ def score_all_candidates(
     voters, of the item's past voters, and of all votes.  A user among the ``k``
     best by the largest of three numbers is among the ``k`` best by one of them,
     so ``k`` candidates per inviter, per item and overall give the exact answer;
-    no query meets the whole user table.  Ties go to the smaller id.
+    no query meets the whole user table.  Ties go to the smaller id.  Voters that are not
+    among ``users`` count in the totals and are never candidates.  Weights must not be
+    negative, or the three lists would not suffice.
     """
+    if min(weights) < 0:
+        raise ValueError("weights must not be negative")
     w_inviter, w_item, w_all = weights
     entry = "array<struct<voter:{0},minus:double>>".format(users.schema["user_id"].dataType.simpleString())
 
+    ids = users.select(F.col("user_id").alias("voter_id")).distinct()
+
     def element(voter: str, share: Column, weight: float) -> Column:
         return F.struct(F.col(voter).alias("voter"), (share * -weight).alias("minus"))
 
     def lists(key: str, weight: float, name: str) -> DataFrame:
         counts = count_by(train, [key, "voter_id"], "_n")
         totals = count_by(train, [key], "_total")
-        top = top_voters_of(counts, key, "voter_id", "_n", k).join(totals, key)
+        known = counts.join(ids, "voter_id", "left_semi")
+        top = top_voters_of(known, key, "voter_id", "_n", k).join(totals, key)
         return _voter_lists(top, key, element("voter_id", F.col("_n") / F.col("_total"), weight), name)
 
     votes = vote_counts(train)
@@ -132,8 +139,9 @@ def to_lists(scored: DataFrame) -> DataFrame:
 def pair_features(pairs: DataFrame, history: DataFrame, users: DataFrame) -> DataFrame:
     """Feature columns for (inviter, item, candidate voter) rows, from ``history`` alone.
 
-    Counts that the history lacks are 0; unknown user attributes stay null.  The
-    pairs feed every join, so they are checkpointed first.
+    Counts that the history lacks are 0; unknown user attributes stay null.  What is
+    known of a user is joined together first, so each key is joined once.  The pairs
+    feed every join, so they are checkpointed.
     """
     pairs = checkpointed(pairs)
     rows = skew_join(
@@ -143,19 +151,17 @@ def pair_features(pairs: DataFrame, history: DataFrame, users: DataFrame) -> Dat
     )
     item_votes = count_by(history, ["item_id", "voter_id"], "item_voter_count")
     rows = skew_join(rows, item_votes, ["item_id", "voter_id"], source=pairs)
-    votes = vote_counts(history).withColumnsRenamed({"user_id": "voter_id", "voted_count": "voter_popularity"})
-    rows = skew_join(rows, votes, ["voter_id"], source=pairs)
-    invites = invite_counts(history).withColumnsRenamed(
-        {"user_id": "inviter_id", "invite_count": "inviter_activity"}
-    )
-    rows = skew_join(rows, invites, ["inviter_id"], source=pairs)
-    rows = skew_join(rows, item_popularity(history), ["item_id"], source=pairs)
-    for side in ("inviter", "voter"):
-        dim = users.select(
+    for side, counts, name in (
+        ("voter", vote_counts(history).withColumnRenamed("voted_count", "voter_popularity"), "voter_popularity"),
+        ("inviter", invite_counts(history).withColumnRenamed("invite_count", "inviter_activity"), "inviter_activity"),
+    ):
+        both = users.join(counts, "user_id", "full").select(
             F.col("user_id").alias(f"{side}_id"),
+            name,
             *[F.col(f"user_{c}").alias(f"{side}_{c}") for c in ("gender", "age", "level")],
         )
-        rows = lookup_join(rows, dim, [f"{side}_id"], source=pairs)
+        rows = skew_join(rows, both, [f"{side}_id"], source=pairs)
+    rows = skew_join(rows, item_popularity(history), ["item_id"], source=pairs)
     return rows.na.fill(
         0,
         ["pair_count", "item_voter_count", "voter_popularity", "inviter_activity", "item_popularity"],

@@ -172,3 +172,14 @@ def test_features_are_written(spark, tmp_path):
     features = spark.read.option("header", True).csv(found["test_features"])
     assert features.count() == queries.count() and "has_interaction" in features.columns
     assert spark.read.json(found["test_candidates"]).count() == queries.count()
+
+
+def test_candidates_are_users(spark, shares_of):
+    users = spark.createDataFrame([(i, 0, 1, 1) for i in range(1, 8)], "user_id long, user_gender int, user_age int, user_level int")
+    train = shares_of([(1, 5, 99, s) for s in range(4)] + [(1, 5, 2, 9)])
+    queries = spark.createDataFrame([("q", 1, 5)], "triple_id string, inviter_id long, item_id long")
+    rows = recommend.score_all_candidates(queries, train, users).collect()
+    assert [r.voter_id for r in sorted(rows, key=lambda r: r.rank)] == [2, 1, 3, 4, 5]
+    assert min(rows, key=lambda r: r.rank).score == pytest.approx(0.2)
+    with pytest.raises(ValueError):
+        recommend.score_all_candidates(queries, train, users, weights=(1.0, -1.0, 1.0))

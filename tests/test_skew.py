@@ -49,7 +49,6 @@ def test_joins_agree(facts, table, hot_rows):
 
 def test_hot_and_null_rows_are_spread(spark, monkeypatch):
     """With the salt kept, the rows of the hot key and of no key sit in many parts."""
-    monkeypatch.setattr(skew, "SALTS", 16)
     facts = spark.createDataFrame([(None if i % 3 else 7, i) for i in range(300)], "k long, v long")
     table = spark.createDataFrame([(7, "seven")], "k long, name string")
     text = skew.skew_join(facts, table, ["k"], 50)._jdf.queryExecution().analyzed().toString()
@@ -126,3 +125,17 @@ def test_small_stored_table_needs_no_split(spark):
     assert "_bucket" not in out._jdf.queryExecution().analyzed().toString()
     split = skew.neighbour(frame, "k", ["t"], "v", "near", F.col("t"), 1, hot_rows=2, stored=frame)
     assert sorted(map(tuple, split.collect())) == sorted(map(tuple, out.collect()))
+
+
+def test_hot_keys_get_parts_by_size(facts):
+    (row,) = skew.hot_keys(facts, ["k"], 100).collect()
+    assert row._parts == -(-facts.where("k = 0").count() // 100)
+
+
+@pytest.mark.parametrize("hot_rows", [0, 2, 10**6])
+def test_rows_without_a_key_have_no_neighbours(spark, hot_rows):
+    rows = [(None, t, t) for t in range(6)] + [(1, t, t * 10) for t in range(6)]
+    frame = spark.createDataFrame(rows, "k long, t long, v long")
+    out = skew.neighbour(frame, "k", ["t"], "v", "near", F.col("t"), 1, hot_rows, stored=frame).collect()
+    assert sorted((r.t, r.near) for r in out if r.k == 1) == [(t, t * 10 + 10 if t < 5 else None) for t in range(6)]
+    assert all(r.near is None for r in out if r.k is None) and len(out) == 12
