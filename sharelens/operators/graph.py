@@ -123,9 +123,10 @@ def bipartite_size(shares: DataFrame) -> DataFrame:
 
 
 def induced_subgraph(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The edges with both ends among ``nodes``, a sample of bounded size."""
-    src = F.broadcast(nodes.withColumnRenamed("user_id", "src"))
-    dst = F.broadcast(nodes.withColumnRenamed("user_id", "dst"))
+    """The edges with both ends among ``nodes``, which are broadcast if they are counted to be few."""
+    src, dst = (nodes.withColumnRenamed("user_id", end) for end in ("src", "dst"))
+    if fits(nodes, MAX_BROADCAST_LINKS):
+        src, dst = F.broadcast(src), F.broadcast(dst)
     return edges.join(src, "src", "left_semi").join(dst, "dst", "left_semi").select("src", "dst")
 
 
@@ -160,7 +161,7 @@ def betweenness(edges: DataFrame, n_nodes: int = 1000, seed: int = 42) -> DataFr
             break
         open_pairs -= found
         levels.append(level)
-        reached = reached.unionByName(level.select("source", "node"))
+        reached = checkpointed(reached.unionByName(level.select("source", "node")))
 
     delta = levels[-1].withColumn("delta", F.lit(0.0))
     total = delta
@@ -178,7 +179,7 @@ def betweenness(edges: DataFrame, n_nodes: int = 1000, seed: int = 42) -> DataFr
                 "source", "node", "sigma", (F.coalesce("_f", F.lit(0.0)) * F.col("sigma")).alias("delta")
             )
         )
-        total = total.unionByName(delta)
+        total = checkpointed(total.unionByName(delta))
 
     sums = (
         total.where(F.col("source") != F.col("node"))

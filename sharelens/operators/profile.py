@@ -229,7 +229,12 @@ def category_trend(shares: DataFrame, items: DataFrame, n: int = 5) -> DataFrame
 
 def user_group_counts(shares: DataFrame, items: DataFrame, column: str, name: str) -> DataFrame:
     """Shares per inviter and item group; items without a group are not counted."""
-    per_item = lookup_join(user_item_counts(shares, "_n"), items.select("item_id", column), ["item_id"])
+    return grouped_counts(user_item_counts(shares, "_n"), items, column, name)
+
+
+def grouped_counts(counts: DataFrame, items: DataFrame, column: str, name: str) -> DataFrame:
+    """The same from counts ``_n`` per inviter and item."""
+    per_item = lookup_join(counts, items.select("item_id", column), ["item_id"])
     return per_item.dropna(subset=[column]).groupBy("inviter_id", column).agg(F.sum("_n").alias(name))
 
 

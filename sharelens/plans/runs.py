@@ -2,28 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sharelens.functions.columns import calendar_features, limit_range
 from sharelens.operators import distribution as dist
-from sharelens.operators import graph, joins, profile, ranker, recommend, similarity, trends
+from sharelens.operators import evaluate, graph, joins, profile, ranker, recommend, sampling, similarity, trends
+from sharelens.session import checkpointed
 from sharelens.sources import sinks
 
 
 def profile_tables(
-    train: DataFrame, queries: DataFrame, users: DataFrame, items: DataFrame
+    train: DataFrame,
+    queries: DataFrame,
+    users: DataFrame,
+    items: DataFrame,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> dict[str, DataFrame]:
     """Every descriptive analysis of the log, by name.
 
-    Give stored tables: each analysis reads them on its own.
+    ``keep`` gets each table that several analyses read, and may store it: counts per
+    user and item, edges, degrees and intervals.
     """
-    invites = joins.count_with_user_attr(train, users)
-    shared = joins.count_with_item_attr(train, items)
-    votes = profile.vote_counts(train)
-    edges = graph.graph_edges(train)
-    nodes = graph.degrees(edges)
-    intervals = trends.share_intervals(train)
+    invites = keep(joins.count_with_user_attr(train, users))
+    shared = keep(joins.count_with_item_attr(train, items))
+    votes = keep(profile.vote_counts(train))
+    edges = keep(graph.graph_edges(train))
+    nodes = keep(graph.degrees(edges))
+    intervals = keep(trends.share_intervals(train))
     short = intervals.where(F.col("interval_hours") <= 72)
     limited = limit_range(invites)
     found = {
@@ -98,7 +106,7 @@ def profile_log(
 ) -> dict[str, str]:
     """Write every analysis to ``out`` as Parquet and the summary as JSON; return the paths."""
     paths = {}
-    for name, table in profile_tables(train, queries, users, items).items():
+    for name, table in profile_tables(train, queries, users, items, checkpointed).items():
         paths[name] = f"{out}/{name}"
         if name == "dataset_stats":
             sinks.write_stats_json(table, paths[name])
@@ -116,17 +124,18 @@ def build_features(
     n_central: int = 1000,
 ) -> dict[str, str]:
     """Write the nine feature tables as CSV and the history candidates as JSON lines."""
-    edges = graph.graph_edges(train)
+    edges = checkpointed(graph.graph_edges(train))
+    pairs = checkpointed(profile.user_item_counts(train, "_n"))
     features = joins.test_feature_join(calendar_features(queries), train, users, items)
     found = {
-        "user_item_matrix": profile.user_item_counts(train, "count"),
+        "user_item_matrix": pairs.withColumnRenamed("_n", "count"),
         "user_user_matrix": profile.user_user_counts(train),
         "user_activity": joins.user_activity(train),
         "item_popularity": profile.item_popularity(train),
         "network_features": graph.network_features(edges, graph.betweenness(edges, n_central)),
-        "user_item_freq": profile.user_item_counts(train, "interaction_freq"),
-        "user_cate_freq": profile.user_group_counts(train, items, "cate_id", "cate_interaction_freq"),
-        "user_cate1_freq": profile.user_group_counts(train, items, "cate_level1_id", "cate1_interaction_freq"),
+        "user_item_freq": pairs.withColumnRenamed("_n", "interaction_freq"),
+        "user_cate_freq": profile.grouped_counts(pairs, items, "cate_id", "cate_interaction_freq"),
+        "user_cate1_freq": profile.grouped_counts(pairs, items, "cate_level1_id", "cate1_interaction_freq"),
         "test_features": joins.has_interaction(features, train, queries),
     }
     paths = {name: f"{out}/{name}.csv" for name in found}
@@ -147,6 +156,40 @@ def train_model(
     ranker.save_ranker(ranker.train_ranker(rows, trees), model_path)
 
 
+def train_and_validate(
+    train: DataFrame,
+    users: DataFrame,
+    label_start: str,
+    model_path: str,
+    keys: list[str],
+    rate: float = 1.0,
+    seed: int = 42,
+    k: int = 5,
+) -> DataFrame:
+    """Fit on a sample of the log and return MRR@k and HITS@k on its held-out parts.
+
+    ``keys`` tell the log's rows apart.  The sample of ``rate`` is split into train, val
+    and test rows by :func:`sampling.train_val_test_split`; the model sees the train rows
+    only, and the labelled rows of the other parts are its queries.
+    """
+    sample = sampling.sample_rate(train, rate, keys, seed)
+    # Another seed: the sample's hashes are all below the rate.
+    rows = checkpointed(sampling.train_val_test_split(sample, keys, seed=seed + 1))
+    known = rows.where(F.col("split") == "train").drop("split")
+    train_model(known, users, label_start, model_path)
+    asked = rows.where((F.col("split") != "train") & (F.col("ts") >= F.lit(label_start).cast("timestamp")))
+    asked = asked.withColumn("triple_id", F.concat_ws("|", *[F.col(c).cast("string") for c in keys]))
+    lists = checkpointed(recommend.to_lists(predict(known, asked, users, model_path, k)))
+    found = []
+    for part in ("val", "test"):
+        truth = asked.where(F.col("split") == part)
+        own = lists.join(truth.select("triple_id"), "triple_id", "left_semi")
+        hits = evaluate.hits_at_k(own, truth, k).select("hits")
+        scores = evaluate.mrr_at_k(own, truth, k).select(F.lit(part).alias("split"), "mrr", "queries")
+        found.append(scores.withColumn("hits", hits.scalar()))
+    return found[0].unionByName(found[1])
+
+
 def predict(
     train: DataFrame,
     queries: DataFrame,

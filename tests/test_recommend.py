@@ -183,3 +183,15 @@ def test_candidates_are_users(spark, shares_of):
     assert min(rows, key=lambda r: r.rank).score == pytest.approx(0.2)
     with pytest.raises(ValueError):
         recommend.score_all_candidates(queries, train, users, weights=(1.0, -1.0, 1.0))
+
+
+def test_validation_on_held_out_rows(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    shares = tables.event_shares(spark, sf)
+    scores = runs.train_and_validate(
+        shares, tables.users(spark, sf), "2024-01-15 00:00:00", str(tmp_path / "model"), ["event_id"], rate=0.8
+    )
+    found = {r.split: r for r in scores.collect()}
+    assert set(found) == {"val", "test"}
+    assert all(r.queries > 0 and 0 <= r.mrr <= r.hits <= 1 for r in found.values())
+    assert found["test"].queries > found["val"].queries
