@@ -2,10 +2,78 @@
 
 from __future__ import annotations
 
+from sharelens.llm.chat_format import CONTROL, END, LEARNED_ROLE, START
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _reachable(nodes: str, links: str) -> str:
+    """CTEs ``both`` and ``component``: the smallest id reachable by ``links`` (``a, b``)."""
+    return f"""
+        both_ways AS (SELECT a, b FROM {links} UNION SELECT b, a FROM {links}),
+        reach(id, seen) AS (
+            SELECT id, id FROM {nodes} UNION SELECT l.b, r.seen FROM reach r JOIN both_ways l ON l.a = r.id),
+        component AS (SELECT id, min(seen) AS component_id FROM reach GROUP BY 1)"""
+
+
+_CHARS = " + ".join(
+    f"(length(text) - length(replace(text, {_quoted(c)}, ''))) // {len(c)}" for c in [*CONTROL, "\\"]
+)
+_MARKS = len(START) + len(END) + 2
+_SAID = _quoted("</s>[INST] ok [/INST]")
+
 ORACLE_SQL = {
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op3_ngram_jaccard_join": f"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[\\x09-\\x0D\\x20]+'),
+                lambda x: x <> '') AS w FROM documents),
+        sets AS (
+            SELECT doc_id AS id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+            FROM words),
+        posts AS (SELECT id, len(s) AS n, unnest(s) AS g FROM sets),
+        links AS (
+            SELECT a.id AS a, b.id AS b FROM posts a JOIN posts b ON a.g = b.g AND a.id < b.id
+            GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        {_reachable("sets", "links")}
+        SELECT id AS doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN component USING (id)
+    """,
+    "op8_embedding_near_dedup": f"""
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v,
+                   coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                            AND list_max(list_transform(embedding, lambda x: abs(x))) > 0, FALSE) AS usable
+            FROM embeddings),
+        links AS (
+            SELECT a.id AS a, b.id AS b FROM vectors a JOIN vectors b
+            ON a.label = b.label AND a.id < b.id AND a.usable AND b.usable AND len(a.v) = len(b.v)
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+        {_reachable("vectors", "links")},
+        linked AS (SELECT a AS id, count(*) AS n FROM both_ways GROUP BY 1)
+        SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept
+        FROM vectors JOIN component USING (id) LEFT JOIN linked USING (id)
+    """,
+    "op10_chat_format": f"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-1, 0, 'user', {_SAID}), (-1, 1, '{LEARNED_ROLE}', {_SAID})),
+        sized AS (SELECT *, length(text) + {_CHARS} + length(role) + {_MARKS} AS chars FROM turns),
+        convs AS (
+            SELECT conv_id, count(*) AS n_turns, CAST(sum(chars) AS BIGINT) AS formatted_chars,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+                   coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = '{LEARNED_ROLE}'), '') AS loss
+            FROM sized GROUP BY 1)
+        SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars,
+               sha256(loss) AS loss_sha256, formatted_chars FROM convs
+    """,
 }

@@ -2,14 +2,9 @@ import hashlib
 import zlib
 from collections import Counter, defaultdict
 
-from oracle_compare import connect, difference
-
 from sharelens.llm.exact_dedup import exact_dedup
-from sharelens.llm.oracle import ORACLE_SQL
-from sharelens.llm.queries import QUERIES
 from sharelens.llm.sharding import balanced_shards, shard_documents
 
-SF_DIR = "/root/testdata/sf0.001"
 ODD = [
     (1, "a"), (2, "a"), (3, None), (4, ""), (5, "b" * 9000), (6, "b" * 9000), (7, "b" * 8999 + "c"),
     (8, "b" * 4000 + "x" + "b" * 4999), (9, "é\n\n"), (10, "é\n\n"), (11, "a "), (2, "a"), (None, "a"),
@@ -42,11 +37,6 @@ def test_exact_dedup_of_nothing(texts_of):
     assert exact_dedup(texts_of([])).collect() == []
 
 
-def test_exact_dedup_matches_sql(spark):
-    frame = QUERIES["op1_exact_dedup"](spark, SF_DIR)
-    assert difference(connect(SF_DIR), frame, ORACLE_SQL["op1_exact_dedup"]) is None
-
-
 def check_shards(rows, source, n):
     assert Counter((r.doc_id, r.text_crc32, r.size) for r in rows) == Counter(
         (i, zlib.crc32((t or "").encode()), len((t or "").encode()) + 1) for i, t in source
