@@ -81,11 +81,11 @@ def conversation_paths(rows: DataFrame) -> DataFrame:
     return turns.mapInArrow(run, schema)
 
 
-def encoded_nodes(nodes: DataFrame, tokenizer_path: str) -> DataFrame:
+def encoded_nodes(nodes: DataFrame, tokenizer_path: str, ranks_path: str | None) -> DataFrame:
     """Nodes with their tokens and the span of them that is learned."""
 
     def run(batches):
-        encode = pieces.id_encoder(tokenizer_path)
+        encode = pieces.id_encoder(tokenizer_path, ranks_path)
         for batch in batches:
             rows = batch.to_pylist()
             sizes = [len(r["text"]) for r in rows]
@@ -139,6 +139,7 @@ def emitted(nodes: DataFrame) -> DataFrame:
 def prefix_tree(
     rows: DataFrame,
     tokenizer_path: str,
+    ranks_path: str | None = None,
     conv_col: str = "conv_id",
     turn_col: str = "turn",
     role_col: str = "role",
@@ -175,7 +176,7 @@ def prefix_tree(
         F.min("rank").alias("owner"), F.first("depth").alias("depth"), F.first("parent").alias("parent"),
         F.first("role").alias("role"), F.first("text").alias("text"),
     )
-    nodes = stored(emitted(encoded_nodes(nodes, tokenizer_path)), "emitted")
+    nodes = stored(emitted(encoded_nodes(nodes, tokenizer_path, ranks_path)), "emitted")
 
     # A conversation's way runs through stretches of the stream, one for each owner on
     # it: an owner's nodes follow one another, and its own stretch comes last.

@@ -25,10 +25,11 @@ def ranked(df: DataFrame, order: Sequence[str | Column], name: str, out: str = "
     """``df`` with its place (from 0, gapless) in ``order``.
 
     Range partitions are sorted side by side and written once; a place is the row's
-    place in its partition plus the rows of the partitions before.  Let ``order`` end
-    with columns that tell rows apart, so that no value fills one partition.
+    place in its partition plus the rows of the partitions before.  ``df`` is written
+    first, because a sort by ranges reads it twice.  Let ``order`` end with columns that
+    tell rows apart, so that no value fills one partition.
     """
-    rows = stored(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), name)
+    rows = stored(stored(df, f"{name}_unsorted").orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), name)
     part = F.shiftright("_place", 33)
     sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -18,7 +18,9 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLAN_SCHEMA = "length long, first long, n long, per long, sequence long, base long"
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, size: int, end_id: int) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer_path: str, ranks_path: str | None, size: int, end_id: int
+) -> DataFrame:
     """``docs`` (``doc_id, _text``) as pieces of at most ``size`` ids.
 
     A longer document gives its remainder first and full pieces after it.
@@ -26,7 +28,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, size: int, end_id: int) -
     end = end_id.to_bytes(4, "little")
 
     def run(batches):
-        encode = pieces.id_encoder(tokenizer_path)
+        encode = pieces.id_encoder(tokenizer_path, ranks_path)
         for batch in batches:
             doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("_text").to_pylist()
             for a, b in pieces.text_groups(texts):
@@ -87,6 +89,7 @@ def best_fit_plan(histogram: dict[int, int], size: int) -> list[tuple[int, int,
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
+    ranks_path: str | None = None,
     size: int = SEQUENCE,
     end_id: int = END_ID,
     id_col: str = "doc_id",
@@ -95,7 +98,8 @@ def pack(
     """Every row of ``docs`` tokenised, ended by ``end_id`` and packed.
 
     Returns a row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id,
-    offset``.  Only documents over ``size`` ids are cut.  The driver sees the
+    offset``.  ``ranks_path`` names the tokenizer's vocabulary as ranks, if there is one;
+    ids are then the same, and found faster.  Only documents over ``size`` ids are cut.  The driver sees the
     count of each length (at most ``size`` numbers) and plans over those; pieces are
     ranked within their length by a sort and find their place by a join on that rank.
 
@@ -108,7 +112,7 @@ def pack(
     text = F.coalesce(F.col(text_col), F.lit(""))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("_text"))
     order = ["length", "doc_id", "piece"]
-    cut = ranked(token_pieces(slim, tokenizer_path, size, end_id), order, "pieces")
+    cut = ranked(token_pieces(slim, tokenizer_path, ranks_path, size, end_id), order, "pieces")
     histogram = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}
     starts, total = {}, 0
     for length in sorted(histogram):

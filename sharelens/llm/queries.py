@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sharelens.llm import chat_format, embedding_dups, exact_dedup, html_extract, jaccard_join, nbest_pieces, packing, sharding, token_counts, toxicity
 from sharelens.session import scratch_path
 
+BYTE_TOKENIZER = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
 CHAT_SCHEMA = "conv_id long, turn long, role string, text string"
 
 
@@ -34,8 +35,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(_table(spark, sf_dir, "documents"), path)
+    return packing.pack(_table(spark, sf_dir, "documents"), *BYTE_TOKENIZER)
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,11 +56,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.json")
     text = "</s>[INST] ok [/INST]"
     marks = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], CHAT_SCHEMA)
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return chat_format.read_back(*chat_format.prefix_tree(rows.unionByName(marks), path), path)
+    return chat_format.read_back(
+        *chat_format.prefix_tree(rows.unionByName(marks), *BYTE_TOKENIZER), BYTE_TOKENIZER[0]
+    )
 
 
 QUERIES = {

@@ -13,6 +13,7 @@ from sharelens.llm.token_counts import read_cache, token_counts
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PARTS = [
     "the", "Straße", " ", "  ", "\n", "\r\n", "\t", " ", " ", "　", "\x1c", "\x85", "\x0b", "​",
     "'s", "'ll", "don't", "12", "3.5", "<|endoftext|>", "<|startoftext|>", "ΣΟΣ", "İ", "é",
@@ -40,9 +41,10 @@ def test_counts_equal_the_library(real_texts):
 
 def test_ids_equal_the_library(real_texts):
     plain = Tokenizer.from_file(BYTES)
-    texts = odd_texts(4000, 2) + real_texts
-    found = [np.frombuffer(b, "<u4").tolist() for b in pieces.id_encoder(BYTES)(texts)]
-    assert found == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    texts = odd_texts(4000, 2) + real_texts + ["x" * 1990, " " * 190, " " * 5000, "ab" * 30_000]
+    for ranks in (RANKS, None):
+        found = [np.frombuffer(b, "<u4").tolist() for b in pieces.id_encoder(BYTES, ranks)(texts)]
+        assert found == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_the_chunk_cache_stays_small(monkeypatch):
@@ -90,7 +92,7 @@ def check_packing(rows, source, size):
 
 
 def test_packing_of_odd_rows(texts_of):
-    rows = pack(texts_of(ROWS), BYTES).collect()
+    rows = pack(texts_of(ROWS), BYTES, RANKS).collect()
     check_packing(rows, ROWS, 2048)
     plain = Tokenizer.from_file(BYTES)
     ids = np.array(plain.encode(ROWS[-1][1], add_special_tokens=False).ids + [0], "<u4")
