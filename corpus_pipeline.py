@@ -36,7 +36,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents that are left, with their places in sequences."""
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer, ranks = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
+    return pack(docs, tokenizer, ranks)
 
 
 STAGES = [
