@@ -175,9 +175,7 @@ def host_wrappers(shapes: DataFrame) -> DataFrame:
         groups = F.ceil(F.col("n") / FAN_IN)
         dealt = shapes.join(counts, "host").withColumn("_group", F.pmod(F.xxhash64("shape"), groups))
         shapes = stored(
-            dealt.drop("n").groupBy("host", "_group").applyInPandas(
-                lambda rows: merge(rows), SHAPE_SCHEMA
-            ),
+            dealt.drop("n").groupBy("host", "_group").applyInPandas(merge, SHAPE_SCHEMA),
             f"wrappers_{turn}",
         )
         if (counts.agg(F.max("n")).first()[0] or 0) <= FAN_IN:
