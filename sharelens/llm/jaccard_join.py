@@ -3,15 +3,16 @@
 Two sets that overlap enough share at least ``OVERLAP`` tokens of their prefixes, the
 first tokens in an order that puts frequent ones last.  Similar sets are first
 partitioned into groups; the matrix holds each group's union of prefix tokens.  A
-query opens a group only if it meets that union in ``OVERLAP`` tokens and the sizes
-allow a link; members of opened groups are then compared exactly.
+query opens a group only if its overlap with that union and the sizes allow a link;
+members of opened groups are then compared exactly.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -25,13 +26,15 @@ BATCH_FREQUENT = 4
 MAX_FREQUENT = 1_000_000
 FILTER_BITS = 24
 BROADCAST_IDS = 1_000_000
-PREFIX_SCHEMA = "doc_id long, set_id long, n long, prefix array<long>"
-SET_SCHEMA = "set_id long, n long, tokens binary"
+OPEN_ROWS = 256
+PREFIX_SCHEMA = "doc_id long, text_id long, set_id long, n long, prefix array<long>"
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("_text"))
+    return docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_id"), text.alias("_text")
+    )
 
 
 def frequent_tokens(texts: DataFrame, k: int) -> np.ndarray:
@@ -64,7 +67,7 @@ def in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def prefixes(texts: DataFrame, k: int, percent: int, frequent) -> DataFrame:
-    """``doc_id, set_id, n, prefix``; the prefix only for a set's first copy in a batch.
+    """``doc_id, text_id, set_id, n, prefix``; the prefix only for a set's first copy in a batch.
 
     An overlap of ``percent`` % needs ``ceil(n * percent / 100)`` common tokens, so of
     any two such sets the first ``n - that + OVERLAP`` tokens share ``OVERLAP``.
@@ -74,7 +77,7 @@ def prefixes(texts: DataFrame, k: int, percent: int, frequent) -> DataFrame:
         often = frequent.value
         for batch in batches:
             seen, rows = set(), []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("_text").to_pylist()):
+            for text in batch.column("_text").to_pylist():
                 tokens = shingle_set(text, k)
                 n, name, prefix = len(tokens), set_id(tokens), None
                 need = -(-n * percent // 100)
@@ -83,134 +86,205 @@ def prefixes(texts: DataFrame, k: int, percent: int, frequent) -> DataFrame:
                     late = in_sorted(tokens, often)
                     ordered = np.concatenate([tokens[~late], tokens[late]])
                     prefix = ordered[: n - need + OVERLAP].view(np.int64)
-                rows.append((doc_id, name, n, prefix))
-            ids, names, sizes, found = zip(*rows) if rows else ((), (), (), ())
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            columns = [pa.array(c, t) for c, t in zip((ids, names, sizes, found), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "set_id", "n", "prefix"])
+                rows.append((name, n, prefix))
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            columns = [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 3, kinds)]
+            columns = [batch.column("doc_id"), batch.column("text_id"), *columns]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_id", "set_id", "n", "prefix"])
 
     return texts.mapInArrow(run, PREFIX_SCHEMA)
 
 
 def shared_postings(sets: DataFrame) -> DataFrame:
-    """``token, set_id, n, center`` of the tokens that several sets have.
+    """``token, set_id, n`` of the tokens that several sets have.
 
-    Rows stream through a sorted partition: the center is the token's first set, and of
-    the copies of one set only the last row stays.  A set has many tokens, so even one
-    that all sets have is a small share of the rows.
+    Rows stream through a sorted partition: the token's first set and the next row tell
+    whether there are several, and of the copies of one set only the last row stays.  A
+    set has many tokens, so even one that all sets have is a small share of the rows.
     """
     posts = sets.where(F.col("prefix").isNotNull()).select("set_id", "n", F.explode("prefix").alias("token"))
     rows = Window.partitionBy("token").orderBy("set_id")
     first = F.first("set_id").over(rows.rowsBetween(Window.unboundedPreceding, 0))
-    marked = posts.withColumns({"center": first, "_next": F.lead("set_id").over(rows)})
+    marked = posts.withColumns({"_first": first, "_next": F.lead("set_id").over(rows)})
     last_copy = F.col("_next").isNull() | (F.col("_next") != F.col("set_id"))
-    several = F.col("_next").isNotNull() | (F.col("center") != F.col("set_id"))
-    return marked.where(last_copy & several).select("token", "set_id", "n", "center")
+    several = F.col("_next").isNotNull() | (F.col("_first") != F.col("set_id"))
+    return marked.where(last_copy & several).select("token", "set_id", "n")
 
 
-def set_filter(ids: DataFrame) -> np.ndarray:
-    """A bit map of ``2 ** FILTER_BITS`` bits with the bit of each id set.
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bit map of ``2 ** FILTER_BITS`` bits with the bit of each ``text_id`` set.
 
     Its size is fixed, so it can go to all tasks; a wrong hit costs a row, no link.
     """
-    bit = F.col("set_id").bitwiseAND((1 << FILTER_BITS) - 1)
+    bit = F.col("text_id").bitwiseAND((1 << FILTER_BITS) - 1)
     words = ids.groupBy(F.shiftright(bit, 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(set_id & 63 as int))")).alias("bits")
+        F.bit_or(F.expr("shiftleft(1L, cast(text_id & 63 as int))")).alias("bits")
     )
     found = words.toArrow()
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    bits = np.zeros(max(1, 1 << (FILTER_BITS - 6)), np.uint64)
     bits[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return bits
 
 
-def whole_sets(texts: DataFrame, k: int, wanted) -> DataFrame:
-    """``set_id, n, tokens`` of the sets that pass the filter, each once a batch."""
+def wanted_texts(texts: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """``text_id, _text`` of the texts wanted (and a few more), each once.
+
+    Most texts are passed over where they are read, so few go through the shuffle.
+    """
+    wanted = texts.sparkSession.sparkContext.broadcast(id_filter(ids))
 
     def run(batches):
         bits = wanted.value
         for batch in batches:
-            found = {}
-            for text in batch.column("_text").to_pylist():
-                tokens = shingle_set(text, k)
-                name = set_id(tokens)
-                place = name & ((1 << FILTER_BITS) - 1)
-                if int(bits[place >> 6]) >> (place & 63) & 1:
-                    found[name] = tokens
-            columns = [
-                pa.array(found.keys(), pa.int64()),
-                pa.array([len(t) for t in found.values()], pa.int64()),
-                pa.array([t.tobytes() for t in found.values()], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["set_id", "n", "tokens"])
+            place = batch.column("text_id").to_numpy() & ((1 << FILTER_BITS) - 1)
+            hit = bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)
+            yield batch.filter(pa.array(hit.astype(bool)))
+
+    found = texts.select("text_id", "_text").mapInArrow(run, "text_id long, _text string")
+    return stored(found.dropDuplicates(["text_id"]), name)
+
+
+def texts_of_sets(texts: DataFrame, sets: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """``set_id, _text``: one text for each of ``ids``; smaller to move than the set."""
+    text_of = sets.select("set_id", "text_id").join(ids, "set_id", "left_semi")
+    text_of = stored(text_of.groupBy("set_id").agg(F.min("text_id").alias("text_id")), f"{name}_ids")
+    whole = wanted_texts(texts, text_of.select("text_id"), f"{name}_texts").join(text_of, "text_id")
+    return stored(whole.select("set_id", "_text"), f"{name}_sets")
+
 
-    return texts.select("_text").mapInArrow(run, SET_SCHEMA)
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(small) < percent * len(large):
+        return False
+    common = int(in_sorted(small, large).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (``a, b``) whose whole sets overlap by ``percent`` %."""
+def verified_stars(pairs: DataFrame, texts: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` (``a``, its center ``b``) whose whole sets overlap by ``percent`` %."""
+    pairs = stored(pairs, "star_pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    whole = texts_of_sets(texts, sets, ids, "star")
 
     def run(batches):
         for batch in batches:
-            a, b = (batch.column(c).to_pylist() for c in ("tokens_a", "tokens_b"))
+            known: dict[str, np.ndarray] = {}
             keep = []
-            for x, y in zip(a, b):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                common = int(in_sorted(small, large).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
+                for text in (x, y):
+                    if text not in known:
+                        known[text] = shingle_set(text, k)
+                keep.append(linked(known[x], known[y], percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    first = sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("tokens_a"))
-    second = sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("tokens_b"))
-    return pairs.join(first, "a").join(second, "b").mapInArrow(run, "a long, b long")
+    first = whole.select(F.col("set_id").alias("a"), F.col("_text").alias("text_a"))
+    second = whole.select(F.col("set_id").alias("b"), F.col("_text").alias("text_b"))
+    return stored(pairs.join(first, "a").join(second, "b").mapInArrow(run, "a long, b long"), "stars")
 
 
-def _size_fits(small, large, percent: int):
-    return F.least(small, large) * 100 >= F.greatest(small, large) * percent
+def enough(common: Column, n: Column, m: Column, percent: int) -> Column:
+    """Can sets of ``n`` and ``m`` tokens link that share ``common`` tokens of their prefixes?
+
+    Up to where the first of the two prefixes ends, all common tokens are counted;
+    after it, that set has as many tokens as its prefix leaves out.
+    """
+    need = F.ceil((n + m) * percent / F.lit(100 + percent) - F.lit(1e-9))
+    left_out = F.ceil(F.greatest(n, m) * percent / F.lit(100) - F.lit(1e-9)) - OVERLAP
+    return (common >= OVERLAP) & (common + left_out >= need)
+
+
+def opened_links(met: DataFrame, members: DataFrame, texts: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
+    """A link ``a, b`` for each query that has one into a group it opened.
+
+    ``met``: ``set_id, grp``.  Queries and members meet in blocks of about ``OPEN_ROWS`` of
+    each, so no pair is ever a row, however many queries open a large group.
+    """
+    met = stored(met, "met")
+    asked = met.groupBy("grp").agg(F.count(F.lit(1)).alias("q"))
+    inside = members.join(asked, "grp", "left_semi")
+    sizes = inside.groupBy("grp").agg(F.count(F.lit(1)).alias("m")).join(asked, "grp")
+    sizes = stored(
+        sizes.select("grp", F.ceil(F.col("m") / OPEN_ROWS).alias("m_parts"), F.ceil(F.col("q") / OPEN_ROWS).alias("q_parts")),
+        "opened_sizes",
+    )
+    ids = met.select("set_id").unionByName(inside.select("set_id")).distinct()
+    whole = texts_of_sets(texts, sets, ids, "opened")
+
+    def dealt(rows: DataFrame, asks: bool) -> DataFrame:
+        own, other = ("q_part", "m_part") if asks else ("m_part", "q_part")
+        every = F.sequence(F.lit(0).cast("long"), F.col(f"{other}s") - 1)
+        return rows.select("set_id", "grp").join(sizes, "grp").select(
+            "grp", "set_id", F.lit(asks).alias("asks"),
+            F.pmod(F.xxhash64("set_id"), F.col(f"{own}s")).alias(own), F.explode(every).alias(other),
+        )
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        found = [shingle_set(t, k) for t in rows["_text"]]
+        ids, asks = rows["set_id"].tolist(), rows["asks"].tolist()
+        others = [i for i, q in enumerate(asks) if not q]
+        links = []
+        for i in (i for i, q in enumerate(asks) if q):
+            near = next((j for j in others if linked(found[i], found[j], percent)), None)
+            if near is not None:
+                links.append((ids[i], ids[near]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    blocks = dealt(met, True).unionByName(dealt(inside, False)).join(whole, "set_id")
+    return stored(blocks.groupBy("grp", "m_part", "q_part").applyInPandas(run, "a long, b long"), "across")
 
 
 def linked_sets(texts: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """``vertex, component`` of the sets in links between different sets."""
-    spark = texts.sparkSession
     posts = stored(shared_postings(sets), "postings")
-    wide = posts.groupBy("set_id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= OVERLAP)
-    wanted = spark.sparkContext.broadcast(set_filter(wide.select("set_id")))
-    whole = stored(whole_sets(texts, k, wanted).dropDuplicates(["set_id"]), "sets")
-
-    # Groups: each set goes with the center that most of its tokens name, if they link.
-    votes = posts.where("center <> set_id").groupBy("set_id", "center").agg(F.count(F.lit(1)).alias("c"))
-    best = votes.where(F.col("c") >= OVERLAP).groupBy("set_id").agg(F.max_by("center", F.struct("c", "center")).alias("b"))
-    stars = stored(verified(best.select(F.col("set_id").alias("a"), "b"), whole, percent), "stars")
+
+    # Groups: each set goes with the center that most of its tokens name, if they link.  A
+    # token's center is the set most of whose prefix others have too: of many edited
+    # copies, that is the one nearest to the original.
+    shares = posts.groupBy("set_id").agg(F.count(F.lit(1)).alias("shared"))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + OVERLAP
+    scored = posts.join(shares, "set_id").select("token", "set_id", "n", (F.col("shared") / prefix).alias("share"))
+    scored = stored(scored, "scored")
+    centers = scored.groupBy("token").agg(F.max(F.struct("share", "set_id", "n")).alias("best"))
+    centers = stored(centers.select("token", F.col("best.set_id").alias("b"), F.col("best.n").alias("n_b")), "centers")
+    votes = scored.join(centers, "token").where("b <> set_id").groupBy("set_id", "n", "b", "n_b")
+    votes = votes.agg(F.count(F.lit(1)).alias("c"))
+    sizes = F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent
+    votes = votes.where(sizes & enough(F.col("c"), F.col("n"), F.col("n_b"), percent))
+    best = votes.groupBy(F.col("set_id").alias("a")).agg(F.max_by("b", F.struct("c", "b")).alias("b"))
+    stars = verified_stars(best, texts, sets, k, percent)
     groups = components(stars, "groups")
 
-    # The matrix: a group's union of tokens, and its smallest and largest set.
-    named = posts.join(groups.withColumnRenamed("vertex", "set_id"), "set_id", "left").select(
-        "token", "set_id", "n", F.coalesce("component", "set_id").alias("grp")
-    )
-    named = stored(named, "named")
+    # The matrix: each group's union of tokens, as far as other groups have them too.
+    named = posts.join(groups.select(F.col("vertex").alias("set_id"), "component"), "set_id", "left")
+    named = stored(named.withColumn("grp", F.coalesce("component", "set_id")).drop("component"), "named")
+    ends = named.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
+    several = stored(ends.where("low <> high").select("token"), "several")
+    asking = stored(named.join(several, "token", "left_semi"), "asking")
     members = stored(named.select("set_id", "n", "grp").distinct(), "members")
     shape = members.groupBy("grp").agg(
-        F.count(F.lit(1)).alias("m"), F.min("n").alias("low"), F.max("n").alias("high")
+        F.count(F.lit(1)).alias("m"), F.min("n").alias("small"), F.max("n").alias("large")
+    )
+    shape = stored(shape, "shape")
+    matrix = asking.select("token", "grp").distinct().join(shape, "grp")
+    matrix = stored(
+        matrix.select("token", F.col("grp").alias("other"), F.col("m").alias("others"), "small", "large"), "matrix"
     )
-    union = named.select("token", "grp").distinct()
-    several = union.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
-    open_union = stored(union.join(several.select("token"), "token", "left_semi").join(shape, "grp"), "matrix")
-    asking = named.join(several.select("token"), "token", "left_semi").join(shape.select("grp", "m"), "grp")
-    matrix = open_union.select("token", F.col("grp").alias("other"), F.col("m").alias("others"), "low", "high")
-    # Of two groups the smaller asks; it meets the union in OVERLAP tokens or has no link.
-    smaller = (F.col("m") < F.col("others")) | ((F.col("m") == F.col("others")) & (F.col("grp") < F.col("other")))
-    near = (F.col("n") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("n") * 100)
+    # Of two groups the one with fewer sets asks.
+    asking = stored(asking.join(shape.select("grp", "m"), "grp"), "asking_sized")
+    fewer = (F.col("m") < F.col("others")) | ((F.col("m") == F.col("others")) & (F.col("grp") < F.col("other")))
+    near = (F.col("n") * percent <= F.col("large") * 100) & (F.col("small") * percent <= F.col("n") * 100)
     met = (
         asking.join(matrix, "token")
-        .where(smaller & near)
-        .groupBy("set_id", "n", "other")
+        .where(fewer & near)
+        .groupBy("set_id", "n", "other", "small", "large")
         .agg(F.count(F.lit(1)).alias("c"))
-        .where(F.col("c") >= OVERLAP)
     )
-    inside = members.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("grp").alias("other"))
-    opened = met.join(inside, "other").where(_size_fits(F.col("n"), F.col("n_b"), percent))
-    pairs = opened.select(F.col("set_id").alias("a"), "b")
-    across = stored(verified(pairs, whole, percent), "across")
+    # The bound is weakest at the smallest or the largest size that can link.
+    low = F.greatest(F.col("small"), F.ceil(F.col("n") * percent / F.lit(100) - F.lit(1e-9)))
+    high = F.least(F.col("large"), F.floor(F.col("n") * 100 / F.lit(percent) + F.lit(1e-9)))
+    may = enough(F.col("c"), F.col("n"), low, percent) | enough(F.col("c"), F.col("n"), high, percent)
+    met = met.where(may).select("set_id", F.col("other").alias("grp"))
+    across = opened_links(met, members.select("set_id", "grp"), texts, sets, k, percent)
     return components(stars.unionByName(across), "links")
 
 
@@ -248,6 +322,7 @@ def near_duplicates(
     named = stored(slim.withColumn("component", F.coalesce("component", "set_id")), "named_documents")
     wordy = F.col("n") > 0
     smallest = named.where(wordy).groupBy("component").agg(F.min("doc_id").alias("_first"))
+    smallest = stored(smallest, "smallest")
     return named.join(smallest, "component", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
