@@ -21,6 +21,7 @@ from sharelens.llm.common import components, small_batches, stored
 from sharelens.llm.shingles import set_id, shingle_set
 
 OVERLAP = 3
+LAST_SIZES = 4
 FREQUENT = 32
 BATCH_FREQUENT = 4
 MAX_FREQUENT = 1_000_000
@@ -193,6 +194,21 @@ def enough(common: Column, n: Column, m: Column, percent: int) -> Column:
     return (common >= OVERLAP) & (common + left_out >= need)
 
 
+def enough_for_any(common: Column, n: Column, small: Column, large: Column, percent: int) -> Column:
+    """Is there a size from ``small`` to ``large`` that ``enough`` allows with ``n``?
+
+    Of sizes up to ``n`` the smallest needs least.  Beyond, the need less what is left out
+    falls by ``percent ** 2 / (100 * (100 + percent))`` a token, over 0.27; rounding lifts
+    it by less than one, so one of the four largest sizes needs least.
+    """
+    low = F.greatest(small, F.ceil(n * percent / F.lit(100) - F.lit(1e-9)))
+    high = F.least(large, F.floor(n * 100 / F.lit(percent) + F.lit(1e-9)))
+    may = enough(common, n, low, percent)
+    for less in range(LAST_SIZES):
+        may = may | enough(common, n, F.greatest(low, high - less), percent)
+    return may
+
+
 def opened_links(met: DataFrame, members: DataFrame, texts: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """A link ``a, b`` for each query that has one into a group it opened.
 
@@ -279,10 +295,7 @@ def linked_sets(texts: DataFrame, sets: DataFrame, k: int, percent: int) -> Data
         .groupBy("set_id", "n", "other", "small", "large")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    # The bound is weakest at the smallest or the largest size that can link.
-    low = F.greatest(F.col("small"), F.ceil(F.col("n") * percent / F.lit(100) - F.lit(1e-9)))
-    high = F.least(F.col("large"), F.floor(F.col("n") * 100 / F.lit(percent) + F.lit(1e-9)))
-    may = enough(F.col("c"), F.col("n"), low, percent) | enough(F.col("c"), F.col("n"), high, percent)
+    may = enough_for_any(F.col("c"), F.col("n"), F.col("small"), F.col("large"), percent)
     met = met.where(may).select("set_id", F.col("other").alias("grp"))
     across = opened_links(met, members.select("set_id", "grp"), texts, sets, k, percent)
     return components(stars.unionByName(across), "links")

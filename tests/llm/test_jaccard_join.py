@@ -2,10 +2,12 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from sharelens.llm import jaccard_join
 from sharelens.llm.common import components
 from sharelens.llm.jaccard_join import near_duplicates
+from sharelens.llm.shingles import shingle_set
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,6 +88,42 @@ def test_any_list_of_frequent_tokens_gives_the_same_links(texts_of, monkeypatch)
     assert found(near_duplicates(texts_of(rows), 4, 85)) == brute_force(rows, 4, 85)
 
 
+def test_group_bound_holds_for_every_size(spark):
+    """Sizes between a group's smallest and largest can need fewer common tokens than both."""
+    for percent in (68, 80, 85, 99):
+        sizes = [(n, m) for n in range(3, 121) for m in range(n * percent // 100, n * 100 // percent + 1)]
+
+        def need(n, m):
+            left_out = -(-max(n, m) * percent // 100) - jaccard_join.OVERLAP
+            return max(jaccard_join.OVERLAP, -(-(n + m) * percent // (100 + percent)) - left_out)
+
+        spans = [(n, a, b) for n, a in sizes for m, b in sizes if m == n and a <= b]
+        spans = [(n, a, b) for n, a, b in spans if b * 100 >= n * percent and a * percent <= n * 100][:: 1 + len(sizes) // 400]
+
+        def links(n, a, b):
+            return [m for m in range(a, b + 1) if 100 * m >= n * percent and m * percent <= n * 100]
+
+        rows = [(n, a, b, min(need(n, m) for m in links(n, a, b))) for n, a, b in spans if links(n, a, b)]
+        frame = spark.createDataFrame(rows, "n long, small long, large long, least long")
+        columns = [F.col(c) for c in ("n", "small", "large")]
+        at = jaccard_join.enough_for_any(F.col("least"), *columns, percent)
+        below = jaccard_join.enough_for_any(F.col("least") - 1, *columns, percent)
+        assert frame.where(~at | below).collect() == []
+
+
+def test_link_with_a_member_between_the_sizes_of_its_group(texts_of):
+    """A links with B alone (17 / 20); D and C, the smallest and largest of B's group, are too far."""
+    by_hash = sorted((f"w{i}" for i in range(2000)), key=lambda w: int(shingle_set(w, 1)[0]))
+    rows = []
+    for case in range(12):
+        a1, b1, b2, c1, *t = by_hash[case::12][:21]
+        for words in ([a1, *t], [b1, b2, *t], [b1, b2, *t, c1], [b1, b2, *t[:-1]]):
+            rows.append((len(rows), " ".join(words)))
+    want = brute_force(rows, 1, 85)
+    assert {r[2] for r in want} == set(range(0, 48, 4))
+    assert found(near_duplicates(texts_of(rows), 1, 85)) == want
+
+
 def test_nothing(texts_of):
     assert near_duplicates(texts_of([])).collect() == []
 
