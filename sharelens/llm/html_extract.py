@@ -38,9 +38,11 @@ AWAY_WORDS = set(
     "pager pagination paywall popup promo promoted promotion related replies respond search share sharing sidebar "
     "signup social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
+# What names a line of the host's own within an article, if all its pages have it alike.
+NOTICE_WORDS = set("boilerplate cta hint hints reminder".split())
 _WORD = re.compile(r"[a-z]+")
 
-SEEN_SCHEMA = """host string, shape string, path long, pages long, low long, high long, chars long, link_chars long"""
+SEEN_SCHEMA = """host string, shape string, path long, pages long, low long, high long, chars long, link_chars long, body long"""
 SHAPE_SCHEMA = "host string, shape string, pages long"
 RULE_SCHEMA = "host string, main array<long>, constant array<long>"
 
@@ -55,6 +57,31 @@ def is_away(key: str, inside_main: bool = False) -> bool:
     return bool(AWAY_ROLES.search(marks)) or any(w in AWAY_WORDS for w in _WORD.findall(marks.replace("class=", " ").replace("id=", " ")))
 
 
+def is_notice(key: str) -> bool:
+    """Do the element's own marks name it as a line that may be the host's?"""
+    return any(w in NOTICE_WORDS for w in _WORD.findall(key.partition(" ")[2]))
+
+
+def notices(entries: list[tuple]) -> set[int]:
+    """The paths of such elements and of what is in them."""
+    found: set[int] = set()
+    for path, parent, key, _, _ in entries:
+        if parent in found or is_notice(key):
+            found.add(path)
+    return found
+
+
+def surroundings(entries: list[tuple], main=frozenset()) -> set[int]:
+    """The paths around the article."""
+    away, within = set(), set()
+    for path, parent, key, _, _ in entries:
+        if parent in away or is_away(key, parent in within):
+            away.add(path)
+        if parent in within or path in main or key.split(" ")[0] in MAIN_TAGS:
+            within.add(path)
+    return away
+
+
 def text_hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
 
@@ -123,10 +150,11 @@ def page_facts(pages: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            shapes, slots = defaultdict(int), {}
+            shapes, slots, bodies = defaultdict(int), {}, set()
             for host, page in zip(batch.column("host").to_pylist(), batch.column("_html").to_pylist()):
                 elements, pieces = read_page(page)
-                shapes[host, pack_shape([(e.path, e.parent, e.key, False, e.repeated) for e in elements])] += 1
+                entries = [(e.path, e.parent, e.key, False, e.repeated) for e in elements]
+                shapes[host, pack_shape(entries)] += 1
                 own = {}
                 for piece in pieces:
                     text = piece.text.strip()
@@ -135,6 +163,11 @@ def page_facts(pages: DataFrame) -> DataFrame:
                         fact[0] += "\n" + text
                         fact[1] += len(text)
                         fact[2] += len(text) if piece.linked else 0
+                marked = notices(entries)
+                if marked:
+                    marked |= surroundings(entries)
+                    rest = [f"{path} {fact[0]}" for path, fact in own.items() if path not in marked]
+                    bodies.add((host, text_hash("\n".join(rest))))
                 for path, (text, chars, link_chars) in own.items():
                     code = text_hash(text)
                     fact = slots.setdefault((host, path), [0, code, code, 0, 0])
@@ -142,11 +175,12 @@ def page_facts(pages: DataFrame) -> DataFrame:
                     fact[1], fact[2] = min(fact[1], code), max(fact[2], code)
                     fact[3] += chars
                     fact[4] += link_chars
-            rows = [(h, s, None, n, None, None, None, None) for (h, s), n in shapes.items()]
-            rows += [(h, None, p, *f) for (h, p), f in slots.items()]
-            kinds = [pa.string(), pa.string(), *[pa.int64()] * 6]
-            columns = list(zip(*rows)) or [()] * 8
-            names = ["host", "shape", "path", "pages", "low", "high", "chars", "link_chars"]
+            rows = [(h, s, None, n, None, None, None, None, None) for (h, s), n in shapes.items()]
+            rows += [(h, None, p, *f, None) for (h, p), f in slots.items()]
+            rows += [(h, *[None] * 7, b) for h, b in bodies]
+            kinds = [pa.string(), pa.string(), *[pa.int64()] * 7]
+            columns = list(zip(*rows)) or [()] * 9
+            names = ["host", "shape", "path", "pages", "low", "high", "chars", "link_chars", "body"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return pages.mapInArrow(run, SEEN_SCHEMA)
@@ -183,21 +217,20 @@ def host_wrappers(shapes: DataFrame) -> DataFrame:
         turn += 1
 
 
-def rule_of(entries: list[tuple], facts: dict[int, tuple]) -> tuple[list[int], list[int]]:
+def rule_of(
+    entries: list[tuple], facts: dict[int, tuple], pages: int = 1, bodies: int = 0
+) -> tuple[list[int], list[int]]:
     """The paths that hold the article, and the slots whose text is the host's own.
 
-    ``facts``: path -> (pages, constant, chars, link_chars).  An ``article`` or ``main``
+    ``facts``: path -> (pages, constant, chars, link_chars).  The host's own are slots
+    whose marks name a notice, alike on all ``pages``, which have ``LEAST_PAGES`` distinct
+    ``bodies`` besides.  An ``article`` or ``main``
     comes first, then a class or id that names the article, then the deepest element
     with most of the text that is neither linked nor around the article.
     """
     key_of = {e[0]: e[2] for e in entries}
     parent_of = {e[0]: e[1] for e in entries}
-    away, within = set(), set()
-    for path, parent, key, _, _ in entries:
-        if parent in away or is_away(key, parent in within):
-            away.add(path)
-        if parent in within or key.split(" ")[0] in MAIN_TAGS:
-            within.add(path)
+    away = surroundings(entries)
     free = [e[0] for e in entries if e[0] not in away]
     main = [p for p in free if key_of[p].split(" ")[0] == "article"]
     main = main or [p for p in free if key_of[p].split(" ")[0] == "main"]
@@ -219,13 +252,13 @@ def rule_of(entries: list[tuple], facts: dict[int, tuple]) -> tuple[list[int], l
     for path in free:
         if path in top or parent_of[path] in inner:
             inner.add(path)
-    varied = any(p in inner and not facts[p][1] for p in facts)
-    constant = [p for p in facts if p in inner and facts[p][1] and facts[p][0] >= LEAST_PAGES and varied]
-    return sorted(top), sorted(constant)
+    marked = notices([e for e in entries if e[0] in inner and e[0] not in top])
+    known = [p for p in facts if p in marked and facts[p][1] and facts[p][0] == pages]
+    return sorted(top), sorted(known if bodies >= LEAST_PAGES else [])
 
 
-def host_rules(wrappers: DataFrame, slots: DataFrame) -> DataFrame:
-    """``host, main, constant`` from each host's wrapper and the facts on its slots."""
+def host_rules(wrappers: DataFrame, slots: DataFrame, bodies: DataFrame) -> DataFrame:
+    """``host, main, constant`` from each host's wrapper, the facts on its slots and its count of bodies."""
     facts = slots.groupBy("host").agg(
         F.collect_list(F.struct("path", "pages", "low", "high", "chars", "link_chars")).alias("facts")
     )
@@ -238,14 +271,14 @@ def host_rules(wrappers: DataFrame, slots: DataFrame) -> DataFrame:
                     f["path"]: (f["pages"], f["low"] == f["high"], f["chars"], f["link_chars"])
                     for f in r["facts"] or ()
                 }
-                rows.append((r["host"], *rule_of(unpack_shape(r["shape"]), known)))
+                rows.append((r["host"], *rule_of(unpack_shape(r["shape"]), known, r["pages"], r["bodies"] or 0)))
             kinds = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             columns = list(zip(*rows)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "main", "constant"]
             )
 
-    return wrappers.join(facts, "host", "left").mapInArrow(run, RULE_SCHEMA)
+    return wrappers.join(facts, "host", "left").join(bodies, "host", "left").mapInArrow(run, RULE_SCHEMA)
 
 
 def article(page: str, main: set[int], constant: set[int]) -> str:
@@ -263,14 +296,10 @@ def article(page: str, main: set[int], constant: set[int]) -> str:
                 old = facts.get(piece.path, (1, False, 0, 0))
                 facts[piece.path] = (1, False, old[2] + n, old[3] + n * piece.linked)
         main, constant = map(set, rule_of(entries, facts))
-    inside, away, within = set(), set(), set()
-    for path, parent, key, _, _ in entries:
-        if parent in away or is_away(key, parent in within):
-            away.add(path)
-        elif path in main or parent in inside:
+    away, inside = surroundings(entries, main), set()
+    for path, parent, _, _, _ in entries:
+        if path not in away and (path in main or parent in inside):
             inside.add(path)
-        if parent in within or path in main or key.split(" ")[0] in MAIN_TAGS:
-            within.add(path)
     if not entries:
         return blocks_of(pieces)
     return blocks_of([p for p in pieces if p.path in inside and p.path not in constant])
@@ -284,8 +313,9 @@ def extract_articles(
     Returns ``page_id, url, text, n_chars``.  Blocks are parted by an empty line, white
     space in a block is one space, character references are decoded; menus, headers,
     footers, sidebars, notices, adverts, forms, scripts, styles and comments are left
-    out.  Text that every page of a host has alike within an article whose other
-    slots vary is the host's own and is left out too, from ``LEAST_PAGES`` pages on.
+    out.  A line that is marked as a hint or the like, and that every page of a host has
+    alike, is the host's own and is left out too, if the pages have ``LEAST_PAGES``
+    distinct texts besides.  Nothing else is left out for being the same on many pages.
 
     NULL html counts as empty and gives an empty text; text without any markup is taken
     as it is.  A page without url belongs to the host ''.  Repeated rows and NULL ids
@@ -305,7 +335,8 @@ def extract_articles(
         F.sum("pages").alias("pages"), F.min("low").alias("low"), F.max("high").alias("high"),
         F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars"),
     )
-    rules = stored(host_rules(host_wrappers(stored(shapes, "shapes")), slots), "rules")
+    bodies = facts.where(F.col("body").isNotNull()).groupBy("host").agg(F.countDistinct("body").alias("bodies"))
+    rules = stored(host_rules(host_wrappers(stored(shapes, "shapes")), slots, bodies), "rules")
 
     def run(batches):
         for batch in batches:

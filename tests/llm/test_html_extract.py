@@ -114,6 +114,19 @@ def test_constant_text_of_a_host_is_left_out(spark):
     assert {r.text for r in run(spark, same)} == {"text"}
 
 
+def test_constant_text_of_an_article_stays(spark):
+    """Copies of a page, and headings or bodies that several articles have alike, lose nothing."""
+    hint = "<p class=hint>Subscribe for more</p>"
+    rows = [(i, "http://a.a/", "<article><p>one</p><blockquote>said</blockquote><pre>code</pre></article>") for i in range(5)]
+    rows += [(5, "http://a.a/", "<article><p>two</p></article>")]
+    rows += [(10 + i, "http://b.b/", f"<article><h1>T{i}</h1><h2>Introduction</h2><p>same body</p></article>") for i in range(6)]
+    rows += [(20 + i, "http://c.c/", f"<article><p>{'x' if i else 'y'}</p>{hint}</article>") for i in range(6)]
+    got = {r.page_id: r.text for r in run(spark, rows)}
+    assert {got[i] for i in range(5)} == {"one\n\nsaid\n\ncode"} and got[5] == "two"
+    assert all(got[10 + i] == f"T{i}\n\nIntroduction\n\nsame body" for i in range(6))
+    assert all(got[20 + i].endswith("Subscribe for more") for i in range(6))
+
+
 def test_fallback_for_a_page_of_its_own():
     page = "<div id=menu><a href=x>m</a></div><div class=body-text><p>one two three</p><p>four five</p></div>"
     assert article(page, {1}, set()) == "one two three\n\nfour five"
