@@ -19,6 +19,7 @@ CLOSES_ITSELF = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
 }
+IN_HEAD = set("base basefont bgsound head html link meta noscript script style template title".split())
 SCOPES = set("table ul ol dl div section article main aside nav header footer form body html".split())
 
 _TOKEN = re.compile(
@@ -67,7 +68,8 @@ def read_page(page: str) -> tuple[list[Element], list[Piece]]:
     """The page's elements, and its text outside scripts, styles and the like.
 
     Equal children of one element are folded into one that is repeated.  Unclosed
-    elements end where their parent or a sibling that cannot be inside them begins.
+    elements end where their parent or a sibling that cannot be inside them begins; a
+    head ends where text or an element begins that cannot be in it.
     """
     elements: dict[int, list] = {}
     pieces: list[Piece] = []
@@ -84,8 +86,15 @@ def read_page(page: str) -> tuple[list[Element], list[Piece]]:
             block += tag in BLOCKS
         del open_tags[place:]
 
+    def end_head() -> None:
+        pop_to(next(place for place, (tag, _, _) in enumerate(open_tags) if tag == "head"))
+
     for token in _TOKEN.finditer(page):
         text = token["text"]
+        if hidden:
+            begins = None if token["end"] else token["raw"] or token["tag"]
+            if begins and begins.lower() not in IN_HEAD or text is not None and text.strip():
+                end_head()
         if text is not None:
             if not hidden:
                 path = open_tags[-1][1] if open_tags else ROOT

@@ -127,6 +127,13 @@ def test_constant_text_of_an_article_stays(spark):
     assert all(got[20 + i].endswith("Subscribe for more") for i in range(6))
 
 
+def test_head_without_end_tag():
+    for start in ("<body>", "", "<body class=x>", "<svg>s</svg>", "<br>"):
+        page = f"<html><head><meta charset=x><title>no</title><script>no</script>\n{start}<article><p>one</p><p>two</article>"
+        assert article(page, set(), set()) == "one\n\ntwo"
+    assert article("<html><head><title>no</title></head><body><main>yes</main></body></html>", set(), set()) == "yes"
+
+
 def test_fallback_for_a_page_of_its_own():
     page = "<div id=menu><a href=x>m</a></div><div class=body-text><p>one two three</p><p>four five</p></div>"
     assert article(page, {1}, set()) == "one two three\n\nfour five"
