@@ -24,8 +24,7 @@ from sharelens.llm.html_pages import ROOT, blocks_of, read_page
 
 FAN_IN = 256
 LEAST_PAGES = 5
-MAIN_SHARE = 0.6
-LINK_SHARE = 0.5
+MENU_SHARE = 0.9
 
 # What names the article, and what names everything else.
 MAIN_TAGS = ("article", "main")
@@ -38,6 +37,8 @@ AWAY_WORDS = set(
     "pager pagination paywall popup promo promoted promotion related replies respond search share sharing sidebar "
     "signup social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
+# What can be a menu if (almost) all its text is linked.
+MENU_TAGS = set("a center dir div dl li ol section span table tbody td tr ul".split())
 # What names a line of the host's own within an article, if all its pages have it alike.
 NOTICE_WORDS = set("boilerplate cta hint hints reminder".split())
 _WORD = re.compile(r"[a-z]+")
@@ -217,16 +218,50 @@ def host_wrappers(shapes: DataFrame) -> DataFrame:
         turn += 1
 
 
+def common_ancestor(free: list[tuple], facts: dict[int, tuple]) -> tuple[list[int], set[int]]:
+    """The deepest element with all the text that is not in menus, and the menus around it.
+
+    ``free``: the entries that are not around the article.  ``ROOT`` is the page itself.
+    """
+    tag_of = {e[0]: e[2].split(" ")[0] for e in free}
+    children, text, links = defaultdict(list), defaultdict(int), defaultdict(int)
+    for path, parent, _, _, _ in free:
+        children[parent].append(path)
+    for path in (ROOT, *tag_of):
+        if path in facts:
+            text[path], links[path] = facts[path][2:4]
+    own = {path: text[path] - links[path] for path in (ROOT, *tag_of)}
+    for path, parent, _, _, _ in reversed(free):  # parents come before children
+        text[parent] += text[path]
+        links[parent] += links[path]
+    menus = {p for p, tag in tag_of.items() if tag in MENU_TAGS and text[p] and links[p] >= MENU_SHARE * text[p]}
+    at = ROOT
+    while True:
+        holds = [p for p in children[at] if text[p] and p not in menus]
+        if own[at] or len(holds) != 1 or tag_of[holds[0]] in ("p", "b", "i", "span", "a"):
+            break
+        at = holds[0]
+    # Lists of links in or after the text may be the article's; so are links beside an element's own text.
+    kids = children[at]
+    if at == ROOT or tag_of[at] in ("html", "body"):
+        outside = [p for p in kids if not (own[at] and tag_of[p] in ("a", "span"))]
+    else:
+        again = {e[0] for e in free if e[4]}
+        outside = [p for p in kids[: kids.index(holds[0])] if p not in again] if holds and not own[at] else []
+    return [at], menus.intersection(outside)
+
+
 def rule_of(
     entries: list[tuple], facts: dict[int, tuple], pages: int = 1, bodies: int = 0
 ) -> tuple[list[int], list[int]]:
-    """The paths that hold the article, and the slots whose text is the host's own.
+    """The paths that hold the article, and the slots in them that are left out.
 
     ``facts``: path -> (pages, constant, chars, link_chars).  The host's own are slots
     whose marks name a notice, alike on all ``pages``, which have ``LEAST_PAGES`` distinct
     ``bodies`` besides.  An ``article`` or ``main``
     comes first, then a class or id that names the article, then the deepest element
-    with most of the text that is neither linked nor around the article.
+    with all of the text that is neither in menus nor around the article; its menus are
+    among the slots left out.
     """
     key_of = {e[0]: e[2] for e in entries}
     parent_of = {e[0]: e[1] for e in entries}
@@ -235,26 +270,19 @@ def rule_of(
     main = [p for p in free if key_of[p].split(" ")[0] == "article"]
     main = main or [p for p in free if key_of[p].split(" ")[0] == "main"]
     main = main or [p for p in free if key_of[p].split(" ")[0] in ("div", "section", "td") and MAIN_MARKS.search(key_of[p])]
+    menus: set[int] = set()
     if not main:
-        held = defaultdict(int)
-        for path, (_, _, chars, link_chars) in facts.items():
-            if path in key_of and path not in away:
-                held[path] += chars - link_chars
-        for path in reversed(free):
-            held[parent_of[path]] += held[path]
-        held.pop(ROOT, None)
-        most = max(held.values(), default=0)
-        for path in free:  # parents come before children, so the last is the deepest
-            if most and held[path] >= MAIN_SHARE * most and key_of[path].split(" ")[0] not in ("p", "b", "i", "span", "a"):
-                main = [path]
+        main, menus = common_ancestor([e for e in entries if e[0] not in away], facts)
     top = set(main)
-    inner = set()
+    inner, left_out = set(top & {ROOT}), set()
     for path in free:
         if path in top or parent_of[path] in inner:
             inner.add(path)
+        if path in menus or parent_of[path] in left_out:
+            left_out.add(path)
     marked = notices([e for e in entries if e[0] in inner and e[0] not in top])
     known = [p for p in facts if p in marked and facts[p][1] and facts[p][0] == pages]
-    return sorted(top), sorted(known if bodies >= LEAST_PAGES else [])
+    return sorted(top), sorted(left_out.union(known if bodies >= LEAST_PAGES else ()))
 
 
 def host_rules(wrappers: DataFrame, slots: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -288,7 +316,7 @@ def article(page: str, main: set[int], constant: set[int]) -> str:
     """
     elements, pieces = read_page(page)
     entries = [(e.path, e.parent, e.key, False, e.repeated) for e in elements]
-    if not any(e[0] in main for e in entries):
+    if ROOT not in main and not any(e[0] in main for e in entries):
         facts = {}
         for piece in pieces:
             n = len(piece.text.strip())
@@ -296,7 +324,7 @@ def article(page: str, main: set[int], constant: set[int]) -> str:
                 old = facts.get(piece.path, (1, False, 0, 0))
                 facts[piece.path] = (1, False, old[2] + n, old[3] + n * piece.linked)
         main, constant = map(set, rule_of(entries, facts))
-    away, inside = surroundings(entries, main), set()
+    away, inside = surroundings(entries, main), main & {ROOT}
     for path, parent, _, _, _ in entries:
         if path not in away and (path in main or parent in inside):
             inside.add(path)

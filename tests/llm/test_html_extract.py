@@ -134,6 +134,24 @@ def test_head_without_end_tag():
     assert article("<html><head><title>no</title></head><body><main>yes</main></body></html>", set(), set()) == "yes"
 
 
+def test_article_parts_without_marks_all_stay(spark):
+    """Several elements share the text: none of them has all, so what holds them is taken."""
+    dice = random.Random(8)
+    rows, texts = [], {}
+    for i in range(6):
+        intro, body, lead = words(dice, 7), words(dice, 13), words(dice, 2)
+        nav = "<ul><li><a href=/a>alpha</a><li><a href=/b>beta</a></ul>"
+        page = f"<html><body>{nav}<div><h1>{lead}</h1><div class=intro>{intro}</div><div class=text>{body}</div></div></body></html>"
+        rows.append((i, "http://one.x/", page))
+        rows.append((10 + i, "http://two.x/", f"<html><body>{nav}<h1>{lead}</h1><div>{body}</div></body></html>"))
+        texts |= {i: f"{lead}\n\n{intro}\n\n{body}", 10 + i: f"{lead}\n\n{body}"}
+        assert article(rows[-2][2], {1}, set()) == texts[i]
+    rows.append((20, "http://three.x/", "Hello <b>bold</b> world"))
+    rows.append((21, "http://four.x/", f"<body>{nav}<div>{nav.replace('ul', 'ol')}<p>see</p><ul><li><a href=/s>source</a></ul></div></body>"))
+    texts |= {20: "Hello bold world", 21: "see\n\nsource"}
+    assert {r.page_id: r.text for r in run(spark, rows)} == texts
+
+
 def test_fallback_for_a_page_of_its_own():
     page = "<div id=menu><a href=x>m</a></div><div class=body-text><p>one two three</p><p>four five</p></div>"
     assert article(page, {1}, set()) == "one two three\n\nfour five"
