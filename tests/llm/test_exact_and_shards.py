@@ -1,9 +1,10 @@
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
 from sharelens.llm.exact_dedup import exact_dedup
-from sharelens.llm.sharding import balanced_shards, shard_documents
+from sharelens.llm.sharding import admitted, balanced_shards, shard_documents
 
 ODD = [
     (1, "a"), (2, "a"), (3, None), (4, ""), (5, "b" * 9000), (6, "b" * 9000), (7, "b" * 8999 + "c"),
@@ -67,6 +68,38 @@ def test_equal_texts_share_a_shard(texts_of):
     assert all(len(v) == 1 for k, v in cut.items() if k != common)
 
 
+def test_copies_change_places_without_other_rows(spark):
+    """Nobody is without links: pairs, tens and a key too large for a shard."""
+
+    def cut(n, key_of):
+        rows = spark.range(n).withColumnRenamed("id", "row")
+        links = spark.createDataFrame([(i, key_of(i)) for i in range(n)], "row long, key long")
+        shards = {r.row: r.shard for r in balanced_shards(rows, links, 16).collect()}
+        assert Counter(shards.values()) == dict.fromkeys(range(16), n // 16)
+        where = defaultdict(set)
+        for i in range(n):
+            where[key_of(i)].add(shards[i])
+        return sum(len(v) > 1 for k, v in where.items() if k >= 0)
+
+    assert cut(960, lambda i: i // 2) <= 15  # all 480 before
+    assert cut(800, lambda i: i // 10 if i < 720 else -1) <= 8  # all 72 before
+
+
+def test_admitted_moves_keep_the_sizes():
+    dice = random.Random(6)
+    for _ in range(300):
+        n = dice.randint(2, 8)
+        wanted = {(s, t): dice.randint(1, 40) for s in range(n) for t in range(n) if s != t and dice.random() < 0.5}
+        free = {s: dice.randint(0, 10) for s in range(n) if dice.random() < 0.5}
+        flow = admitted(wanted, free)
+        assert all(0 < m <= wanted[pair] for pair, m in flow.items())
+        for s in range(n):
+            come, go = (sum(m for pair, m in flow.items() if pair[side] == s) for side in (1, 0))
+            assert come - go <= free.get(s, 0)
+    assert admitted({(0, 1): 5, (1, 0): 3}, {}) == {(0, 1): 3, (1, 0): 3}
+    assert admitted({(0, 1): 2, (1, 2): 2, (2, 0): 4}, {}) == {(0, 1): 2, (1, 2): 2, (2, 0): 2}
+
+
 def test_rows_with_several_keys_keep_the_sizes(spark):
     rows = spark.range(60).withColumnRenamed("id", "row")
     pairs = [(i, i // 4) for i in range(24)] + [(i, 100 + i % 3) for i in range(12)]
