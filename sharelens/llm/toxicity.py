@@ -36,10 +36,9 @@ SIGN_COST, KEPT_SIGN_COST, GAP_COST, REPEAT_COST = 0.5, 2.0, 0.3, 0.5
 EDGES = ".,;:?\"'()[]{}<>«»„“”’‘…"
 
 SPACE, OTHER_LETTER, OTHER, CLASSES = 0, 27, 28, 29
-_SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s++\S){2,}(?!\S)")
 _LETTERS = re.compile(r"[^\W\d_]+")
-_REPEATED = re.compile(r"(.)\1\1")
-_DISGUISED = re.compile(r"[a-z]")
+_DISGUISED = re.compile(rf"[{re.escape(''.join(LOOKS_LIKE) + SEPARATORS)}]|(.)\1", re.DOTALL)
 
 
 def char_classes(text: str) -> np.ndarray:
@@ -130,9 +129,10 @@ def restore(span: str, model: list) -> str:
 
 
 def needs_restoring(token: str) -> bool:
-    """Has the token letters, and signs among them or a letter three times running?"""
-    if token.isalpha():
-        return bool(_REPEATED.search(token))
+    """Has the token a look-alike, a sign that parts letters, or anything twice running?
+
+    The channel leaves all other tokens as they are.
+    """
     return bool(_DISGUISED.search(token))
 
 
@@ -174,7 +174,8 @@ class FeatureFinder:
         self.known |= tokens
         found = {f for token in tokens & self.memo.keys() for f in self.memo[token]}
         for span in _SPACED.finditer(text):
-            found |= self.chosen(_LETTERS.findall(restore(span[0], self.model)))
+            spaced = " ".join(span[0].split())  # any white space parts letters alike
+            found |= self.chosen(_LETTERS.findall(restore(spaced, self.model)))
         return found
 
 

@@ -95,6 +95,20 @@ def test_disguised_words_are_caught(spark, texts_of):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got if r.doc_id is not None)
 
 
+def test_all_signs_doubled_and_wide_spaced_words_are_caught(spark, texts_of):
+    rows = [(i, t.replace("snivork", "baglot").replace("gorblat", "sabot"), y) for i, t, y in toxic_corpus()]
+    tests = [
+        "ta re 8@9|07", "mi $480+ re", "ta baaglott", "ssabboot mi", "mi b  a  g  l  o  t re", "ta s\ta\tb\to\tt",
+        "s\na\nb\no\nt\nta", "re b\u2003a \r\n g l\u00a0o t",
+    ]
+    clean = ["ta re mi", "12 34 100 $5", "a  b  c  d", "mmii ttaa", "2222", "a\n\nb\tc"]
+    docs = texts_of([(i, t) for i, t, _ in rows] + [(10_000 + i, t) for i, t in enumerate(tests + clean)])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    by = {r.doc_id: r.predicted for r in toxicity.toxicity_scores(docs, labels).collect()}
+    assert [by[10_000 + i] for i in range(len(tests))] == [1] * len(tests)
+    assert [by[10_000 + len(tests) + i] for i in range(len(clean))] == [0] * len(clean)
+
+
 def test_without_labels_or_rows(spark, texts_of):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     rows = toxicity.toxicity_scores(texts_of([(1, "a"), (2, None)]), none).collect()
