@@ -146,14 +146,13 @@ def build_features(
     return paths
 
 
-def train_model(
-    train: DataFrame, users: DataFrame, label_start: str, model_path: str, trees: bool = False
-) -> None:
-    """Fit the ranker on shares from ``label_start`` on, with features from earlier ones, and save it."""
+def train_model(train: DataFrame, users: DataFrame, label_start: str, model_path: str) -> None:
+    """Fit the ranker's weights on shares from ``label_start`` on, with features from earlier ones, and save them."""
     start = F.lit(label_start).cast("timestamp")
     history = train.where(F.col("ts") < start)
     rows = ranker.training_rows(history, train.where(F.col("ts") >= start), users)
-    ranker.save_ranker(ranker.train_ranker(rows, trees), model_path)
+    votes = history.where(F.col("voter_id").isNotNull()).count()
+    ranker.save_weights(train.sparkSession, ranker.fit_weights(rows, votes), model_path)
 
 
 def train_and_validate(
@@ -190,22 +189,14 @@ def train_and_validate(
     return found[0].unionByName(found[1])
 
 
-def predict(
-    train: DataFrame,
-    queries: DataFrame,
-    users: DataFrame,
-    model_path: str,
-    k: int = 5,
-    n_candidates: int = 20,
-) -> DataFrame:
-    """The ``k`` best voters per query by the saved ranker, as ranked rows.
+def predict(train: DataFrame, queries: DataFrame, users: DataFrame, model_path: str, k: int = 5) -> DataFrame:
+    """The ``k`` best of all users per query by the saved ranker, as ranked rows.
 
-    The model scores each query's ``n_candidates`` best by :func:`score_all_candidates`.
+    The learned weights are not below 0, so :func:`score_all_candidates` is exact.
     """
-    model = ranker.load_ranker(model_path)
-    pairs = recommend.score_all_candidates(queries, train, users, n_candidates).drop("rank", "score")
-    features = recommend.pair_features(pairs, train, users)
-    return ranker.rank_candidates(ranker.score_pairs(model, features), k)
+    weights = ranker.load_weights(train.sparkSession, model_path)
+    scored = recommend.score_all_candidates(queries, train, users, k, weights)
+    return scored.select("triple_id", "rank", "voter_id", "score")
 
 
 def rank_with_model(

@@ -113,6 +113,28 @@ def test_ranker_repeats_and_beats_random(spark, shares_of, users, tmp_path):
     assert trees.stages[-1].featureImportances.size == 11
 
 
+def test_trained_ranking_is_over_all_users(spark, shares_of, users, queries, log, tmp_path):
+    """More places than the 20 candidates that used to be scored: the ranking of everyone."""
+    train, path = shares_of(log), str(tmp_path / "model")
+    runs.train_model(train, users, "2024-01-01 00:03:00", path)
+    weights = ranker.load_weights(spark, path)
+    assert min(weights) >= 0 < max(weights)
+    with pytest.raises(Exception):
+        runs.predict(train, queries, users, str(tmp_path / "none"))
+    shares = [Counter((x, v) for x, v in keys) for keys in (
+        ((a, v) for a, _, v, _ in log), ((i, v) for _, i, v, _ in log), ((0, v) for _, _, v, _ in log))]
+    totals = [Counter(k for k, _ in one.elements()) for one in shares]
+    found = {}
+    for r in runs.predict(train, queries, users, path, 25).orderBy("triple_id", "rank").collect():
+        found.setdefault(r.triple_id, []).append(r.voter_id)
+    for q in queries.collect():
+        def score(u):
+            keys = (q.inviter_id, q.item_id, 0)
+            return max(s[x, u] / max(t[x], 1) * w for s, t, x, w in zip(shares, totals, keys, weights))
+
+        assert found[q.triple_id] == sorted(range(1, 31), key=lambda u: (-score(u), u))[:25]
+
+
 def test_missing_model_is_an_error(tmp_path, spark):
     with pytest.raises(Exception):
         ranker.load_ranker(str(tmp_path / "none"))
