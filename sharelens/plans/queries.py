@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sharelens.functions import columns as c
 from sharelens.operators import distribution as dist
@@ -141,16 +140,8 @@ def _(spark, sf):
             )
         ).alias("value")
     )
-    # One file that holds one array, a record a line: the layout that is split over tasks.
     path = scratch_path(spark, "queries.json")
-    place = F.row_number().over(Window.orderBy("triple_id"))
-    last = rows.agg(F.count(F.lit(1))).scalar()
-    framed = rows.withColumns({"_place": place, "_last": last})
-    line = F.concat(
-        F.when(F.col("_place") == 1, "[").otherwise(""), "value",
-        F.when(F.col("_place") == F.col("_last"), "]").otherwise(","),
-    )
-    framed.select(line.alias("value")).coalesce(1).write.text(path)
+    sinks.write_record_arrays(rows, "triple_id", path)
     return jsonl.read_query_array(spark, path, layout="lines")
 
 

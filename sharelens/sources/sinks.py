@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sharelens.functions.ranks import row_index
+from sharelens.session import checkpointed
+
+ARRAY_RECORDS = 100_000
+
 
 def write_feature_csv(df: DataFrame, path: str) -> None:
     """A feature table as a directory of CSV files with headers."""
@@ -31,3 +36,19 @@ def write_predictions(predictions: DataFrame, path: str) -> None:
 def write_stats_json(stats: DataFrame, path: str) -> None:
     """A one-row summary as one JSON object."""
     stats.coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_record_arrays(rows: DataFrame, order: str, path: str, per_file: int = ARRAY_RECORDS) -> None:
+    """Write ``rows`` (``order``, ``value``: a JSON record) as files of one array, a record a line.
+
+    Each file holds the next ``per_file`` records in the order of ``order``; files are written
+    side by side.
+    """
+    placed = checkpointed(row_index(rows.select(order, "value"), [order], "_place"))
+    total = placed.count()
+    first = F.col("_place") % per_file == 0
+    last = (F.col("_place") % per_file == per_file - 1) | (F.col("_place") == total - 1)
+    line = F.concat(F.when(first, "[").otherwise(""), "value", F.when(last, "]").otherwise(","))
+    placed = placed.select(F.floor(F.col("_place") / per_file).alias("part"), "_place", line.alias("value"))
+    placed = placed.repartition("part").sortWithinPartitions("part", "_place").drop("_place")
+    placed.write.partitionBy("part").text(path)

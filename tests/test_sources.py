@@ -79,6 +79,18 @@ def test_query_array(spark, tmp_path):
     assert sorted(r.triple_id for r in split) == ["0", "1", "2"] and {r.timestamp for r in split} == {"2024-01-01 00:00:00"}
 
 
+def test_record_arrays_are_written_side_by_side(spark, tmp_path):
+    rows = spark.range(10).selectExpr("id AS triple_id", "to_json(struct(string(id) AS triple_id)) AS value").repartition(3)
+    path = tmp_path / "arrays"
+    sinks.write_record_arrays(rows, "triple_id", str(path), per_file=4)
+    found = sorted([int(r["triple_id"]) for r in json.loads(f.read_text())] for f in path.glob("part=*/*.txt"))
+    assert found == [[0, 1, 2, 3], [4, 5, 6, 7], [8, 9]]
+    back = jsonl.read_query_array(spark, str(path), layout="lines")
+    assert sorted(r.triple_id for r in back.collect()) == [str(i) for i in range(10)]
+    sinks.write_record_arrays(rows.limit(0), "triple_id", str(tmp_path / "none"))
+    assert jsonl.read_query_array(spark, str(tmp_path / "none"), layout="lines").count() == 0
+
+
 def test_sinks_round_trip(spark, tmp_path):
     table = spark.createDataFrame([(1, 2), (3, 4)], "user_id long, n long")
     sinks.write_feature_csv(table, str(tmp_path / "t.csv"))
