@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sharelens.llm import chat_format, embedding_dups, exact_dedup, html_extract, jaccard_join, nbest_pieces, packing, sharding, token_counts, toxicity
+from sharelens.llm import (
+    chat_format,
+    embedding_dups,
+    exact_dedup,
+    html_extract,
+    jaccard_join,
+    merkle,
+    nbest_pieces,
+    packing,
+    quality,
+    ranked_search,
+    sharding,
+    token_counts,
+    toxicity,
+)
 from sharelens.session import scratch_path
 
 BYTE_TOKENIZER = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
@@ -64,6 +78,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,5 +103,8 @@ QUERIES = {
         op8_embedding_near_dedup,
         op9_toxicity,
         op10_chat_format,
+        op11_quality_classifier,
+        op12_ranked_search,
+        op13_merkle_manifest,
     )
 }

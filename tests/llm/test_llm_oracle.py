@@ -18,5 +18,5 @@ def test_query_matches_sql(spark, name):
 def test_all_queries_are_registered():
     names = set(__spark_entry__.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
