@@ -141,8 +141,8 @@ def _(spark, sf):
         ).alias("value")
     )
     path = scratch_path(spark, "queries.json")
-    sinks.write_record_arrays(rows, "triple_id", path)
-    return jsonl.read_query_array(spark, path, layout="lines")
+    sinks.write_record_arrays(rows, "triple_id", path, separator=" ")  # one line a file
+    return jsonl.read_query_array(spark, path)
 
 
 @query("assign_query_id")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sharelens.functions.columns import parse_timestamp
+from sharelens.sources.json_array import array_records
 
 # The columns of the four input tables, in file order.
 SHARE_COLUMNS = ["inviter_id", "item_id", "voter_id", "timestamp"]
@@ -28,16 +29,21 @@ def _elements(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, l
     ``_text`` is the line, or the element of a line that holds a list; ``_bad`` tells
     whether it is no object.
     """
-    fields = spark.createDataFrame([], schema).schema.fields
     lines = spark.read.text(path).where(F.trim("value") != "")
     line = F.trim("value")
     parts = F.when(line.startswith("["), F.from_json(line, "array<string>")).otherwise(F.array(line))
     # A list that does not parse is one bad element: the line itself.
     parts = F.coalesce(F.when(line.startswith("[") & ~line.endswith("]"), None).otherwise(parts), F.array(line))
     split = lines.select(F.col("_metadata.file_path").alias("_file"), F.explode(parts).alias("_text"))
-    texts = ", ".join(f"`{f.name}` {f.dataType.simpleString() if _nested(f) else 'string'}" for f in fields)
-    record = F.from_json("_text", f"{texts}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
-    read = split.withColumn("_record", record)
+    return _records(split, schema)
+
+
+def _records(texts: DataFrame, schema: str) -> tuple[DataFrame, list]:
+    """``texts`` with ``_record``, its ``_text`` read field by field, and ``_bad``."""
+    fields = texts.sparkSession.createDataFrame([], schema).schema.fields
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString() if _nested(f) else 'string'}" for f in fields)
+    record = F.from_json("_text", f"{kinds}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    read = texts.withColumn("_record", record)
     bad = F.col("_record._corrupt").isNotNull() | F.col("_record").isNull() | ~F.trim("_text").startswith("{")
     return read.withColumn("_bad", F.coalesce(bad, F.lit(True))), fields
 
@@ -89,7 +95,10 @@ def jsonl_rejects(spark: SparkSession, path: str, schema: str, width: int = 100)
     ``field`` is NULL for a whole line or element, else the field whose ``text`` does not
     fit its type.
     """
-    rows, fields = _elements(spark, path, schema)
+    return _lost(*_elements(spark, path, schema), width)
+
+
+def _lost(rows: DataFrame, fields: list, width: int) -> DataFrame:
     whole = F.when(F.col("_bad"), F.struct(F.lit(None).cast("string").alias("field"), F.col("_text").alias("text")))
     misfits = [
         F.when(
@@ -134,16 +143,32 @@ def repair_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*names)
 
 
+def _array_elements(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, list]:
+    found = array_records(spark, path)
+    rows, fields = _records(found.select(F.col("file").alias("_file"), "kind", F.col("text").alias("_text")), schema)
+    return rows.withColumn("_bad", F.col("_bad") | (F.col("kind") != "record")), fields
+
+
 def read_query_array(
-    spark: SparkSession, path: str, schema: str = QUERY_SCHEMA, layout: str = "any"
+    spark: SparkSession, path: str, schema: str = QUERY_SCHEMA, on_bad: str = "fail"
 ) -> DataFrame:
-    """Queries stored as one JSON array per file.
+    """Queries stored as JSON arrays, in any layout; every file is split over tasks.
 
-    ``layout="lines"`` says that every record has a line of its own: a file is then
-    split over tasks like any text.  With ``"any"`` one file is parsed by one task.
+    Fields are read as :func:`read_jsonl` reads them.  A record that does not parse, or
+    that the end of its file cuts off, is an error; with ``on_bad="drop"`` it is left to
+    :func:`query_array_rejects`.
     """
-    if layout == "any":
-        return spark.read.option("multiLine", True).schema(schema).json(path)
-    line = F.regexp_replace("value", r"^\s*\[?\s*|\s*[,\]]?\s*$", "")
-    lines = spark.read.text(path).select(line.alias("value")).where("value <> ''")
-    return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    if on_bad not in ("fail", "drop"):
+        raise ValueError(f"on_bad must be 'fail' or 'drop', not {on_bad!r}")
+    rows, fields = _array_elements(spark, path, schema)
+    if on_bad == "drop":
+        rows = rows.where(~F.col("_bad"))
+    else:
+        said = F.concat(F.lit("bad record in "), F.col("_file"), F.lit(": "), F.substring("_text", 1, 100))
+        rows = rows.where(F.when(F.col("_bad"), F.raise_error(said).cast("boolean")).otherwise(True))
+    return rows.select(*[_typed(f).alias(f.name) for f in fields])
+
+
+def query_array_rejects(spark: SparkSession, path: str, schema: str = QUERY_SCHEMA, width: int = 100) -> DataFrame:
+    """What :func:`read_query_array` drops, as :func:`jsonl_rejects` lists it."""
+    return _lost(*_array_elements(spark, path, schema), width)

@@ -38,11 +38,14 @@ def write_stats_json(stats: DataFrame, path: str) -> None:
     stats.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_record_arrays(rows: DataFrame, order: str, path: str, per_file: int = ARRAY_RECORDS) -> None:
-    """Write ``rows`` (``order``, ``value``: a JSON record) as files of one array, a record a line.
+def write_record_arrays(
+    rows: DataFrame, order: str, path: str, per_file: int = ARRAY_RECORDS, separator: str = "\n"
+) -> None:
+    """Write ``rows`` (``order``, ``value``: a JSON record) as files of one array each.
 
     Each file holds the next ``per_file`` records in the order of ``order``; files are written
-    side by side.
+    side by side.  ``separator`` stands after a record: a line end, or a blank for a file
+    of one line.
     """
     placed = checkpointed(row_index(rows.select(order, "value"), [order], "_place"))
     total = placed.count()
@@ -51,4 +54,4 @@ def write_record_arrays(rows: DataFrame, order: str, path: str, per_file: int =
     line = F.concat(F.when(first, "[").otherwise(""), "value", F.when(last, "]").otherwise(","))
     placed = placed.select(F.floor(F.col("_place") / per_file).alias("part"), "_place", line.alias("value"))
     placed = placed.repartition("part").sortWithinPartitions("part", "_place").drop("_place")
-    placed.write.partitionBy("part").text(path)
+    placed.write.partitionBy("part").option("lineSep", separator).text(path)

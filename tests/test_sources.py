@@ -75,7 +75,7 @@ def test_query_array(spark, tmp_path):
     path.write_text(json.dumps(rows))
     assert {r.triple_id for r in jsonl.read_query_array(spark, str(path)).collect()} == {"0", "1", "2"}
     path.write_text("[" + ",\n".join(map(json.dumps, rows)) + "]\n")
-    split = jsonl.read_query_array(spark, str(path), layout="lines").collect()
+    split = jsonl.read_query_array(spark, str(path)).collect()
     assert sorted(r.triple_id for r in split) == ["0", "1", "2"] and {r.timestamp for r in split} == {"2024-01-01 00:00:00"}
 
 
@@ -85,10 +85,10 @@ def test_record_arrays_are_written_side_by_side(spark, tmp_path):
     sinks.write_record_arrays(rows, "triple_id", str(path), per_file=4)
     found = sorted([int(r["triple_id"]) for r in json.loads(f.read_text())] for f in path.glob("part=*/*.txt"))
     assert found == [[0, 1, 2, 3], [4, 5, 6, 7], [8, 9]]
-    back = jsonl.read_query_array(spark, str(path), layout="lines")
+    back = jsonl.read_query_array(spark, str(path))
     assert sorted(r.triple_id for r in back.collect()) == [str(i) for i in range(10)]
     sinks.write_record_arrays(rows.limit(0), "triple_id", str(tmp_path / "none"))
-    assert jsonl.read_query_array(spark, str(tmp_path / "none"), layout="lines").count() == 0
+    assert jsonl.read_query_array(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_sinks_round_trip(spark, tmp_path):
