@@ -171,8 +171,12 @@ def manifest(docs: DataFrame, tampered: Column | None = None, stride: int = STRI
     )
     forest = grow(leaves, "nodes", stride)
     count = trees.agg(F.count(F.lit(1)).alias("n")).scalar()
-    subroots = forest.roots.select(
-        F.lit(0).cast("long").alias("tree"), count.alias("n"), F.col("tree").alias("idx"), "hash", "height"
+    # Stored, so that its constant column is one to join on.
+    subroots = stored(
+        forest.roots.select(
+            F.lit(0).cast("long").alias("tree"), count.alias("n"), F.col("tree").alias("idx"), "hash", "height"
+        ),
+        "subroot_leaves",
     )
     whole = grow(subroots, "languages", stride)
     no_steps = F.array().cast("array<struct<sibling:string,right:boolean>>")
