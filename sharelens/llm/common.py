@@ -47,6 +47,11 @@ def cases(values: dict, key: Column, kind: str) -> Column:
     return F.element_at(F.create_map(*pairs), key).cast(kind)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, whatever their names; ``select("name.*")`` gives them back."""
+    return F.struct(*[F.col("`{}`".format(c.replace("`", "``"))) for c in df.columns])
+
+
 def small_batches(spark, size: int = 16 << 20) -> None:
     """Bound the bytes, not only the rows, of the batches that Python tasks get."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
