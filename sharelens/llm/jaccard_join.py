@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sharelens.functions.skew import fits
-from sharelens.llm.common import components, small_batches, stored
-from sharelens.llm.shingles import set_id, shingle_set
+from sharelens.llm.common import components, small_batches, stored, whole_row
+from sharelens.llm.shingles import forgetting, set_id, shingle_set
 
 OVERLAP = 3
 LAST_SIZES = 4
@@ -46,7 +46,7 @@ def frequent_tokens(texts: DataFrame, k: int) -> np.ndarray:
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in forgetting(batches):
             sets = [shingle_set(t, k) for t in batch.column("_text").to_pylist()]
             tokens, counts = np.unique(np.concatenate(sets or [np.empty(0, np.uint64)]), return_counts=True)
             often = counts >= BATCH_FREQUENT
@@ -76,7 +76,7 @@ def prefixes(texts: DataFrame, k: int, percent: int, frequent) -> DataFrame:
 
     def run(batches):
         often = frequent.value
-        for batch in batches:
+        for batch in forgetting(batches):
             seen, rows = set(), []
             for text in batch.column("_text").to_pylist():
                 tokens = shingle_set(text, k)
@@ -168,7 +168,7 @@ def verified_stars(pairs: DataFrame, texts: DataFrame, sets: DataFrame, k: int,
     whole = texts_of_sets(texts, sets, ids, "star")
 
     def run(batches):
-        for batch in batches:
+        for batch in forgetting(batches):
             known: dict[str, np.ndarray] = {}
             keep = []
             for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
@@ -354,9 +354,9 @@ def drop_near_duplicates(
 
     The first is the one with the smallest id, NULL last.  Rows without words all stay.
     """
-    whole = F.struct(*docs.columns).alias("doc")
+    whole = whole_row(docs).alias("doc")
     rows = stored(docs.select(F.monotonically_increasing_id().alias("_row"), whole), "rows")
-    texts = rows.select("_row", F.col(f"doc.{text_col}").alias("text"), F.col(f"doc.{id_col}").alias("_id"))
+    texts = rows.select("_row", F.col("doc")[text_col].alias("text"), F.col("doc")[id_col].alias("_id"))
     found = near_duplicates(texts, k, percent, "_row", "text").where("n_shingles > 0")
     linked = found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_component"))
     several = linked.groupBy("_component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_component")

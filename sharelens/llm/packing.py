@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sharelens.llm import pieces
-from sharelens.llm.common import cases, ranked
+from sharelens.llm.common import cases, ranked, small_batches
 
 SEQUENCE = 2048
 END_ID = 0
@@ -109,6 +109,7 @@ def pack(
     no rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("_text"))
     order = ["length", "doc_id", "piece"]

@@ -10,14 +10,14 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from sharelens.llm.common import small_batches, stored
+from sharelens.llm.common import small_batches, stored, whole_row
 
 TRAIN_ROWS = 20_000
 MAX_FEATURES = 1_024
@@ -280,30 +280,26 @@ def _held_out(column):
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % 5 == 0
 
 
-def scored_rows(
-    rows: DataFrame, texts: DataFrame, labels: DataFrame, train_rows: int, max_features: int
-) -> DataFrame:
-    """``rows`` (with ``_text``) with that column replaced by ``score``.
+def scorer(texts: DataFrame, labels: DataFrame, train_rows: int, max_features: int):
+    """A function from a column of texts, none NULL, to their scores.
 
-    ``texts`` (``doc_id, _text``) are what the character model and the training see.
+    ``texts`` (``doc_id, _text``) are what the character model and the training see.  Only
+    the text goes to Python, once; the row it belongs to stays where it is.
     """
-    small_batches(rows.sparkSession)
+    small_batches(texts.sparkSession)
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     model = char_model(trigram_counts(texts))
     sample = stored(training_rows(texts, marks.withColumn("held_out", _held_out(F.col("doc_id"))), train_rows), "training")
     weights, bias = feature_weights(sample, model, max_features)
 
-    def score(batches):
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         find = FeatureFinder(model, frozenset(weights))
         for batch in batches:
-            margins = [bias + sum(weights[w] for w in find(t)) for t in batch.column("_text").to_pylist()]
-            scores = 1 / (1 + np.exp(-np.clip(np.array(margins, np.float64), -30, 30)))
-            names = [name for name in batch.schema.names if name != "_text"]
-            columns = [batch.column(name) for name in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], names=[*names, "score"])
+            # One text after the other: a list of all would double the batch.
+            margins = np.fromiter((bias + sum(weights[w] for w in find(t.as_py())) for t in batch), np.float64, len(batch))
+            yield pa.array(1 / (1 + np.exp(-np.clip(margins, -30, 30))))
 
-    fields = [f for f in rows.schema.fields if f.name != "_text"]
-    return rows.mapInArrow(score, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
+    return F.arrow_udf(score, "double")
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -333,7 +329,8 @@ def toxicity_scores(
     other columns are not read; an empty table gives no rows.
     """
     texts = _texts(docs, id_col, text_col)
-    scored = scored_rows(texts, texts, labels, train_rows, max_features)
+    score = scorer(texts, labels, train_rows, max_features)
+    scored = texts.select("doc_id", score("_text").alias("score"))
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return scored.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
@@ -346,8 +343,10 @@ def drop_toxic(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``toxicity_scores`` does not predict toxic."""
-    whole = F.struct(*docs.columns).alias("doc")
-    rows = docs.select(whole, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    scored = scored_rows(rows, _texts(docs, id_col, text_col), labels, train_rows, max_features)
-    return scored.where(F.col("score") < 0.5).select("doc.*")
+    """The rows of ``docs``, with all their columns, that ``toxicity_scores`` does not predict toxic.
+
+    NULL text counts as empty; repeated rows share their fate.
+    """
+    score = scorer(_texts(docs, id_col, text_col), labels, train_rows, max_features)
+    rows = docs.select(whole_row(docs).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    return rows.where(score("_text") < 0.5).select("doc.*")

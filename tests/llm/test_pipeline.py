@@ -41,6 +41,19 @@ def test_toxic_documents_are_dropped_with_all_columns(spark, texts_of):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, t in rows if "vile" not in (t or ""))
 
 
+def test_columns_with_dots_and_quotes_are_kept(spark):
+    rows = [(i, f"one two three four five {i % 3} six seven", "u", "v") for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, `meta.url` string, `a``b` string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(30)], "doc_id long, toxic int")
+    for kept in (
+        exact_dedup.drop_exact_duplicates(frame),
+        jaccard_join.drop_near_duplicates(frame),
+        toxicity.drop_toxic(frame, labels),
+    ):
+        assert kept.columns == frame.columns
+        assert {tuple(r)[2:] for r in kept.collect()} == {("u", "v")}
+
+
 def test_pipeline_against_plain_steps(spark):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     toxic = {r.doc_id for r in QUERIES["op9_toxicity"](spark, SF_DIR).collect() if r.predicted}
