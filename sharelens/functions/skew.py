@@ -45,6 +45,7 @@ def skew_join(
     keys: Sequence[str],
     hot_rows: int = HOT_ROWS,
     source: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """``facts`` left join ``table`` (unique on ``keys``) by shuffle.
 
@@ -53,9 +54,12 @@ def skew_join(
     nothing, so they are spread freely.  A row's part follows from its partition and
     content, so a task run again sends every row the same way.  ``source`` names rows to
     count the keys in, where ``facts`` is them with more columns: a chain of joins then
-    counts the plain rows.
+    counts the plain rows.  ``rows`` is their number, if it is known: with no more than
+    ``hot_rows`` of them no key can be hot, and a plain join does.
     """
     keys = list(keys)
+    if rows is not None and rows <= hot_rows:
+        return facts.join(table, keys, "left")
     hot = F.broadcast(hot_keys(facts if source is None else source, keys, hot_rows))
     place = F.xxhash64(F.spark_partition_id(), *facts.columns)
     unmatched = F.coalesce(*[F.when(F.col(k).isNull(), True) for k in keys])

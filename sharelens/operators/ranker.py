@@ -1,7 +1,6 @@
-"""Learned rankers over pair features: fit on sampled negatives, save, load, score.
+"""Sampled negatives, and MLlib rankers for the pairs that the caller gives.
 
-The weights of ``score_all_candidates`` are learned to rank all users exactly; a model
-over all features scores the pairs that the caller gives.
+:mod:`sharelens.operators.ranking` has the model that ranks all users.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -26,7 +25,6 @@ COUNT_FEATURES = [
     "inviter_activity",
     "item_popularity",
 ]
-WEIGHTS_SCHEMA = "inviter double, item double, everyone double"
 USER_FEATURES = [f"{side}_{part}" for side in ("inviter", "voter") for part in ("gender", "age", "level")]
 
 
@@ -53,36 +51,15 @@ def training_rows(
     history: DataFrame, positives: DataFrame, users: DataFrame, per_row: int = 4, seed: int = 42
 ) -> DataFrame:
     """Labelled feature rows; ``history`` must end before the positives begin."""
+    return pair_features(labelled_pairs(positives, users, per_row, seed), history, users)
+
+
+def labelled_pairs(positives: DataFrame, users: DataFrame, per_row: int = 4, seed: int = 42) -> DataFrame:
+    """The positives with ``label`` 1 and users drawn for them with ``label`` 0."""
     pairs = positives.select("inviter_id", "item_id", "voter_id", "ts")
-    labelled = pairs.withColumn("label", F.lit(1.0)).unionByName(
+    return pairs.withColumn("label", F.lit(1.0)).unionByName(
         negative_pairs(pairs, users, per_row, seed).withColumn("label", F.lit(0.0))
     )
-    return pair_features(labelled, history, users)
-
-
-def fit_weights(rows: DataFrame, votes: int) -> tuple[float, float, float]:
-    """Weights for ``score_all_candidates``: the label's slope over each of its three shares.
-
-    ``votes`` is the history's number of votes.  A weight is not below 0; if nothing is
-    learned, because no share goes with the label, all are 1.
-    """
-    shares = [
-        F.col("pair_count") / F.greatest("inviter_activity", F.lit(1)),
-        F.col("item_voter_count") / F.greatest("item_popularity", F.lit(1)),
-        F.col("voter_popularity") / F.lit(max(votes, 1)),
-    ]
-    slopes = [F.round(F.coalesce(F.regr_slope("label", share), F.lit(0.0)), 6) for share in shares]
-    weights = tuple(max(0.0, w) for w in rows.agg(*[w.alias(f"_{i}") for i, w in enumerate(slopes)]).first())
-    return weights if any(weights) else (1.0, 1.0, 1.0)
-
-
-def save_weights(spark: SparkSession, weights: tuple[float, float, float], path: str) -> None:
-    spark.createDataFrame([weights], WEIGHTS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
-
-
-def load_weights(spark: SparkSession, path: str) -> tuple[float, float, float]:
-    """Load saved weights; missing ones are an error, never untrained stand-ins."""
-    return tuple(spark.read.schema(WEIGHTS_SCHEMA).parquet(path).first())
 
 
 def train_ranker(rows: DataFrame, trees: bool = False, seed: int = 42) -> PipelineModel:

@@ -86,7 +86,7 @@ def score_all_candidates(
     w_inviter, w_item, w_all = weights
     entry = "array<struct<voter:{0},minus:double>>".format(users.schema["user_id"].dataType.simpleString())
 
-    ids = users.select(F.col("user_id").alias("voter_id")).distinct()
+    ids = users.select(F.col("user_id").alias("voter_id")).distinct().withColumn("_user", F.lit(True))
 
     def element(voter: str, share: Column, weight: float) -> Column:
         return F.struct(F.col(voter).alias("voter"), (share * -weight).alias("minus"))
@@ -94,7 +94,8 @@ def score_all_candidates(
     def lists(key: str, weight: float, name: str) -> DataFrame:
         counts = count_by(train, [key, "voter_id"], "_n")
         totals = count_by(train, [key], "_total")
-        known = counts.join(ids, "voter_id", "left_semi")
+        # Any voter may hold a third of the counts.
+        known = skew_join(counts, ids, ["voter_id"]).where("_user")
         top = top_voters_of(known, key, "voter_id", "_n", k).join(totals, key)
         return _voter_lists(top, key, element("voter_id", F.col("_n") / F.col("_total"), weight), name)
 
@@ -144,13 +145,15 @@ def pair_features(pairs: DataFrame, history: DataFrame, users: DataFrame) -> Dat
     feed every join, so they are checkpointed.
     """
     pairs = checkpointed(pairs)
+    n = pairs.count()
     rows = skew_join(
         pairs,
         user_user_counts(history).withColumnRenamed("interaction_count", "pair_count"),
         ["inviter_id", "voter_id"],
+        rows=n,
     )
     item_votes = count_by(history, ["item_id", "voter_id"], "item_voter_count")
-    rows = skew_join(rows, item_votes, ["item_id", "voter_id"], source=pairs)
+    rows = skew_join(rows, item_votes, ["item_id", "voter_id"], source=pairs, rows=n)
     for side, counts, name in (
         ("voter", vote_counts(history).withColumnRenamed("voted_count", "voter_popularity"), "voter_popularity"),
         ("inviter", invite_counts(history).withColumnRenamed("invite_count", "inviter_activity"), "inviter_activity"),
@@ -160,8 +163,8 @@ def pair_features(pairs: DataFrame, history: DataFrame, users: DataFrame) -> Dat
             name,
             *[F.col(f"user_{c}").alias(f"{side}_{c}") for c in ("gender", "age", "level")],
         )
-        rows = skew_join(rows, both, [f"{side}_id"], source=pairs)
-    rows = skew_join(rows, item_popularity(history), ["item_id"], source=pairs)
+        rows = skew_join(rows, both, [f"{side}_id"], source=pairs, rows=n)
+    rows = skew_join(rows, item_popularity(history), ["item_id"], source=pairs, rows=n)
     return rows.na.fill(
         0,
         ["pair_count", "item_voter_count", "voter_popularity", "inviter_activity", "item_popularity"],

@@ -269,6 +269,115 @@ def fraction(key: str) -> str:
     return f"CAST('0x' || substr(md5('42|' || {key}), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE"
 
 
+MODEL_FEATURES = ["pair_share", "item_share", "vote_share", "gender_affinity", "age_affinity", "level_affinity"]
+
+
+def feature_ctes(log: str) -> str:
+    """The model's features from the shares ``log``, as tables whose names begin with it."""
+    traits = ["gender", "age", "level"]
+    met = " UNION ALL ".join(
+        f"""SELECT '{t}' AS trait, coalesce(a.user_{t}, -1) AS own, b.user_{t} AS other, count(*) AS n
+            FROM {log} s LEFT JOIN users a ON a.user_id = s.inviter_id LEFT JOIN users b ON b.user_id = s.voter_id
+            GROUP BY 1, 2, 3"""
+        for t in traits
+    )
+    sizes = " UNION ALL ".join(f"SELECT '{t}' AS trait, user_{t} AS other, count(*) AS size FROM users GROUP BY 1, 2" for t in traits)
+    return f"""
+        {log}_pairs AS (SELECT inviter_id, voter_id, count(*) AS n FROM {log} GROUP BY 1, 2),
+        {log}_items AS (SELECT item_id, voter_id, count(*) AS n FROM {log} GROUP BY 1, 2),
+        {log}_inviters AS (SELECT inviter_id, count(*) AS total FROM {log} GROUP BY 1),
+        {log}_popular AS (SELECT item_id, count(*) AS total FROM {log} GROUP BY 1),
+        {log}_votes AS (SELECT voter_id, count(*) AS n FROM {log} GROUP BY 1),
+        {log}_met AS ({met}),
+        {log}_sizes AS ({sizes}),
+        {log}_rates AS (
+            SELECT trait, own, other, (n / own_total::DOUBLE) / (size / (SELECT count(*) FROM users)::DOUBLE) AS rate
+            FROM (SELECT *, sum(n) OVER (PARTITION BY trait, own) AS own_total FROM {log}_met) m
+            JOIN {log}_sizes USING (trait, other))"""
+
+
+def features_of(log: str, rows: str) -> str:
+    """``rows`` (inviter_id, item_id, voter_id and more) with the features."""
+    affinities = ", ".join(f"coalesce({t}.rate, 0) AS {t}_affinity" for t in ("gender", "age", "level"))
+    joins = "\n".join(
+        f"""LEFT JOIN {log}_rates {t} ON {t}.trait = '{t}' AND {t}.other = v.user_{t}
+            AND {t}.own = CASE WHEN it.inviter_id IS NOT NULL THEN coalesce(i.user_{t}, -1) END"""
+        for t in ("gender", "age", "level")
+    )
+    return f"""
+        SELECT r.*, coalesce(p.n / it.total::DOUBLE, 0) AS pair_share, coalesce(im.n / po.total::DOUBLE, 0) AS item_share,
+               coalesce(vo.n / (SELECT count(*) FROM {log})::DOUBLE, 0) AS vote_share, {affinities}
+        FROM {rows} r
+        LEFT JOIN {log}_pairs p ON p.inviter_id = r.inviter_id AND p.voter_id = r.voter_id
+        LEFT JOIN {log}_items im ON im.item_id = r.item_id AND im.voter_id = r.voter_id
+        LEFT JOIN {log}_inviters it ON it.inviter_id = r.inviter_id
+        LEFT JOIN {log}_popular po ON po.item_id = r.item_id
+        LEFT JOIN {log}_votes vo ON vo.voter_id = r.voter_id
+        LEFT JOIN users i ON i.user_id = r.inviter_id
+        LEFT JOIN users v ON v.user_id = r.voter_id
+        {joins}"""
+
+
+def weight_ctes(rows: str, sweeps: int = 200) -> str:
+    """``model``: least-squares weights of the features of ``rows``, none below 0, one set after the other."""
+    n = len(MODEL_FEATURES)
+    cov = [
+        f"covar_pop({a}, {b}) AS c{i}_{j}"
+        for i, a in enumerate(MODEL_FEATURES)
+        for j, b in enumerate([*MODEL_FEATURES, "label"])
+        if i <= j
+    ]
+
+    def best(j: int) -> str:
+        others = " + ".join(f"c{min(j, k)}_{max(j, k)} * {'n' if k < j else 'w'}{k}" for k in range(n) if k != j)
+        return f"CASE WHEN c{j}_{j} > 1e-15 THEN greatest(0.0::DOUBLE, (c{j}_{n} - ({others})) / c{j}_{j}) ELSE 0.0::DOUBLE END AS n{j}"
+
+    zero = " AND ".join(f"round(w{j}, 6) = 0" for j in range(n))
+    return f"""
+        cov AS (SELECT {", ".join(cov)} FROM {rows}),
+        sweep(step, {", ".join(f"w{j}" for j in range(n))}) AS (
+            SELECT 0, {", ".join(["0.0::DOUBLE"] * n)}
+            UNION ALL SELECT step + 1, {", ".join(f"n{j}" for j in range(n))}
+            FROM (SELECT step, {", ".join(best(j) for j in range(n))} FROM sweep, cov WHERE step < {sweeps}) s),
+        model AS (
+            SELECT {", ".join(f"CASE WHEN {zero} THEN 1.0::DOUBLE ELSE round(w{j}, 6) END AS w{j}" for j in range(n))}
+            FROM sweep WHERE step = {sweeps})"""
+
+
+def trained_ranking(label_start: str, k: int = 5) -> str:
+    """Every user scored for every query by the weights learned from the later train shares."""
+    fraction_of = (
+        "CAST('0x' || substr(md5('42|' || inviter_id || '|' || item_id || '|' || voter_id || '|' || ts || '|' || draw), 1, 8)"
+        " AS BIGINT) / 4294967296.0::DOUBLE"
+    )
+    score = " + ".join(f"CAST(round(w{j} * {f} * 1e9::DOUBLE) AS BIGINT)" for j, f in enumerate(MODEL_FEATURES))
+    more = f"""
+        early AS (SELECT * FROM train WHERE ts < TIMESTAMP '{label_start}'),
+        late AS (SELECT * FROM train WHERE ts >= TIMESTAMP '{label_start}'),
+        numbered AS (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS idx FROM users),
+        drawn AS (
+            SELECT inviter_id, item_id, voter_id, CAST(floor({fraction_of} * (SELECT count(*) FROM users)) AS BIGINT) AS idx
+            FROM (SELECT *, unnest([1, 2, 3, 4]) AS draw FROM late) d),
+        labelled AS (
+            SELECT inviter_id, item_id, voter_id, 1.0::DOUBLE AS label FROM late
+            UNION ALL SELECT inviter_id, item_id, user_id, 0.0::DOUBLE FROM drawn JOIN numbered USING (idx) WHERE user_id <> voter_id),
+        {feature_ctes("early")},
+        described AS ({features_of("early", "labelled")}),
+        {weight_ctes("described")},
+        {feature_ctes("train")},
+        everyone AS (SELECT triple_id, inviter_id, item_id, user_id AS voter_id FROM queries CROSS JOIN users),
+        described_all AS ({features_of("train", "everyone")}),
+        points AS (SELECT triple_id, voter_id, {score} AS points FROM described_all, model)"""
+    sql = over(
+        "train queries users",
+        f"""SELECT triple_id, CAST(rank AS INTEGER) AS rank, voter_id, round(points / 1e9::DOUBLE, 6) AS score
+            FROM (SELECT *, row_number() OVER (PARTITION BY triple_id ORDER BY points DESC, voter_id) AS rank FROM points) p
+            WHERE rank <= {k}""",
+        more.strip(),
+    )
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def betweenness_ctes(n_nodes: int, depth: int = 12) -> str:
     """Unrolled breadth-first levels, then the sum over all (source, target) pairs."""
     ctes = [
@@ -759,6 +868,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
 }
 ORACLE_SQL["write_stats_json"] = ORACLE_SQL["dataset_stats"]
+ORACLE_SQL["train_ranker"] = trained_ranking("2024-01-19 00:00:00")
 
 for _part in ("gender", "age", "level"):
     ORACLE_SQL[f"box_by_{_part}"] = box("invites_u", "invites_u", f"user_{_part}", "invite_count")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sharelens.functions.columns import calendar_features, limit_range
 from sharelens.operators import distribution as dist
-from sharelens.operators import evaluate, graph, joins, profile, ranker, recommend, sampling, similarity, trends
+from sharelens.operators import evaluate, graph, joins, profile, ranker, ranking, recommend, sampling, similarity, trends
 from sharelens.session import checkpointed
 from sharelens.sources import sinks
 
@@ -147,12 +147,11 @@ def build_features(
 
 
 def train_model(train: DataFrame, users: DataFrame, label_start: str, model_path: str) -> None:
-    """Fit the ranker's weights on shares from ``label_start`` on, with features from earlier ones, and save them."""
+    """Fit the model on shares from ``label_start`` on, with features from earlier ones, and save it."""
     start = F.lit(label_start).cast("timestamp")
-    history = train.where(F.col("ts") < start)
-    rows = ranker.training_rows(history, train.where(F.col("ts") >= start), users)
-    votes = history.where(F.col("voter_id").isNotNull()).count()
-    ranker.save_weights(train.sparkSession, ranker.fit_weights(rows, votes), model_path)
+    known = ranking.known_from(train.where(F.col("ts") < start), users)
+    rows = checkpointed(ranker.labelled_pairs(train.where(F.col("ts") >= start), users))
+    ranking.save_model(train.sparkSession, ranking.fit(ranking.features(rows, known)), model_path)
 
 
 def train_and_validate(
@@ -190,13 +189,9 @@ def train_and_validate(
 
 
 def predict(train: DataFrame, queries: DataFrame, users: DataFrame, model_path: str, k: int = 5) -> DataFrame:
-    """The ``k`` best of all users per query by the saved ranker, as ranked rows.
-
-    The learned weights are not below 0, so :func:`score_all_candidates` is exact.
-    """
-    weights = ranker.load_weights(train.sparkSession, model_path)
-    scored = recommend.score_all_candidates(queries, train, users, k, weights)
-    return scored.select("triple_id", "rank", "voter_id", "score")
+    """The ``k`` best of all users per query by the saved model, as ranked rows."""
+    weights = ranking.load_model(train.sparkSession, model_path)
+    return ranking.rank_all_users(queries, train, users, weights, k)
 
 
 def rank_with_model(

@@ -1,10 +1,12 @@
+import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sharelens.operators import evaluate, profile, ranker, recommend
+from sharelens.operators import evaluate, profile, ranker, ranking, recommend
 from sharelens.plans import runs
 from sharelens.sources import jsonl, tables
 
@@ -113,26 +115,83 @@ def test_ranker_repeats_and_beats_random(spark, shares_of, users, tmp_path):
     assert trees.stages[-1].featureImportances.size == 11
 
 
-def test_trained_ranking_is_over_all_users(spark, shares_of, users, queries, log, tmp_path):
-    """More places than the 20 candidates that used to be scored: the ranking of everyone."""
+def plain_terms(users, log, weights):
+    """The model's score of (inviter, item, user) in billionths, from the rows themselves."""
+    traits = {u.user_id: tuple(-1 if v is None else v for v in (u.user_gender, u.user_age, u.user_level)) for u in users}
+    pairs, items = Counter((a, v) for a, _, v, _ in log), Counter((i, v) for _, i, v, _ in log)
+    inviters, popular = Counter(a for a, _, _, _ in log), Counter(i for _, i, _, _ in log)
+    votes = Counter(v for _, _, v, _ in log)
+    none = (-1, -1, -1)
+    met = [Counter() for _ in none]
+    own = [Counter() for _ in none]
+    for a, _, v, _ in log:
+        for t in range(3):
+            own[t][traits.get(a, none)[t]] += 1
+            if v in traits:
+                met[t][traits.get(a, none)[t], traits[v][t]] += 1
+    sizes = [Counter(x[t] for x in traits.values()) for t in range(3)]
+
+    def score(a, i, u):
+        found = [pairs[a, u] / max(inviters[a], 1), items[i, u] / max(popular[i], 1), votes[u] / max(len(log), 1)]
+        for t in range(3):
+            mine, other = traits.get(a, none)[t], traits[u][t]
+            seen = a in inviters and own[t][mine]
+            found.append(met[t][mine, other] / own[t][mine] / (sizes[t][other] / len(traits)) if seen else 0.0)
+        return sum(int(math.floor(w * x * 1e9 + 0.5)) for w, x in zip(weights, found))
+
+    return score
+
+
+@pytest.mark.parametrize("depth", [1, 2, 16])
+@pytest.mark.parametrize("weights", [(0.5, 0.5, 0.3, 0.1, 0.1, 0.1), (1.0, 1.0, 0.0, 0.0, 0.0, 0.0), (0.0, 0.0, 1.0, 0.0, 0.01, 0.0)])
+def test_threshold_algorithm_equals_scoring_everyone(shares_of, users, queries, log, depth, weights):
+    """Rows that only the sum of two lists brings up, ties, unknown inviters, voters who are no users."""
+    log = [*log, *[(1, 1, 99, 500 + s) for s in range(20)], *[(77, 2, s % 30 + 1, 600 + s) for s in range(40)]]
+    score = plain_terms(users.collect(), log, weights)
+    found = {}
+    ranked = ranking.rank_all_users(queries, shares_of(log), users, weights, 4, depth)
+    for r in ranked.orderBy("triple_id", "rank").collect():
+        found.setdefault(r.triple_id, []).append((r.voter_id, round(r.score * 1e9)))
+    everyone = [u.user_id for u in users.collect()]
+    for q in queries.collect():
+        best = sorted(everyone, key=lambda u: (-score(q.inviter_id, q.item_id, u), u))[:4]
+        assert found[q.triple_id] == [(u, score(q.inviter_id, q.item_id, u)) for u in best]
+
+
+def test_trained_model_is_fitted_to_all_features(spark, shares_of, users, queries, log, tmp_path):
     train, path = shares_of(log), str(tmp_path / "model")
     runs.train_model(train, users, "2024-01-01 00:03:00", path)
-    weights = ranker.load_weights(spark, path)
-    assert min(weights) >= 0 < max(weights)
-    with pytest.raises(Exception):
-        runs.predict(train, queries, users, str(tmp_path / "none"))
-    shares = [Counter((x, v) for x, v in keys) for keys in (
-        ((a, v) for a, _, v, _ in log), ((i, v) for _, i, v, _ in log), ((0, v) for _, _, v, _ in log))]
-    totals = [Counter(k for k, _ in one.elements()) for one in shares]
+    weights = ranking.load_model(spark, path)
+    assert len(weights) == 6 and min(weights) >= 0 < max(weights)
+    score = plain_terms(users.collect(), log, weights)
     found = {}
     for r in runs.predict(train, queries, users, path, 25).orderBy("triple_id", "rank").collect():
         found.setdefault(r.triple_id, []).append(r.voter_id)
     for q in queries.collect():
-        def score(u):
-            keys = (q.inviter_id, q.item_id, 0)
-            return max(s[x, u] / max(t[x], 1) * w for s, t, x, w in zip(shares, totals, keys, weights))
-
-        assert found[q.triple_id] == sorted(range(1, 31), key=lambda u: (-score(u), u))[:25]
+        assert found[q.triple_id] == sorted(range(1, 31), key=lambda u: (-score(q.inviter_id, q.item_id, u), u))[:25]
+    with pytest.raises(Exception):
+        runs.predict(train, queries, users, str(tmp_path / "none"))
+    with pytest.raises(ValueError):
+        ranking.rank_all_users(queries, train, users, (1, 1, 1, 1, 1, -1))
+
+
+def test_weights_are_the_least_squares_ones(spark):
+    draw = np.random.default_rng(1)
+    x = draw.random((400, 6))
+    y = x @ [0.5, 0.0, 0.3, 0.2, 0.0, 0.1] + draw.normal(0, 0.01, 400)
+    rows = spark.createDataFrame([(*map(float, a), float(b)) for a, b in zip(x, y)], ", ".join(f"{f} double" for f in [*ranking.FEATURES, "label"]))
+    assert np.allclose(ranking.fit(rows), [0.5, 0.0, 0.3, 0.2, 0.0, 0.1], atol=0.01)
+    assert ranking.fit(rows.limit(0)) == (1.0,) * 6
+    assert min(ranking.fit(rows.withColumn("label", -F.col("label")))) >= 0
+
+
+def test_few_users_and_no_rows(spark, shares_of, users, queries, log):
+    few = users.where("user_id <= 3")
+    ranked = ranking.rank_all_users(queries, shares_of(log), few, (1.0,) * 6)
+    assert {r["count"] for r in ranked.groupBy("triple_id").count().collect()} == {3}
+    assert ranking.rank_all_users(queries.limit(0), shares_of(log), users, (1.0,) * 6).collect() == []
+    none = ranking.rank_all_users(queries, shares_of(log).limit(0), users, (1.0,) * 6)
+    assert {(r.rank, r.voter_id, r.score) for r in none.collect()} == {(i, i, 0.0) for i in range(1, 6)}
 
 
 def test_missing_model_is_an_error(tmp_path, spark):
