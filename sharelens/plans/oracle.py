@@ -378,6 +378,59 @@ def trained_ranking(label_start: str, k: int = 5) -> str:
     return sql.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
+def embedding_ctes(log: str, dimensions: int = 8, layers: int = 2) -> str:
+    """``user_vectors`` and ``item_vectors`` (node, e0, ...): mean of the layers, each from the one before."""
+    each = range(dimensions)
+
+    def first(kind: str, node: str) -> str:
+        parts = [f"{fraction(f"'{kind}' || {node} || '|{d}'")} - 0.5::DOUBLE AS e{d}" for d in each]
+        return f"SELECT {node} AS node, {', '.join(parts)} FROM (SELECT DISTINCT {node} FROM links) n"
+
+    def passed(source: str, other: str, node: str) -> str:
+        sums = ", ".join(f"sum(e{d} * weight) AS e{d}" for d in each)
+        return f"SELECT {node} AS node, {sums} FROM weighed JOIN {source} s ON s.node = weighed.{other} GROUP BY 1"
+
+    ctes = [
+        f"links AS (SELECT inviter_id AS user_id, item_id FROM {log} UNION SELECT voter_id, item_id FROM {log})",
+        """weighed AS (
+             SELECT user_id, item_id, 1 / sqrt((count(*) OVER (PARTITION BY user_id) * count(*) OVER (PARTITION BY item_id))::DOUBLE)
+                      AS weight FROM links)""",
+        f"u0 AS ({first('u', 'user_id')})",
+        f"i0 AS ({first('i', 'item_id')})",
+    ]
+    for n in range(layers):
+        ctes.append(f"u{n + 1} AS ({passed(f'i{n}', 'item_id', 'user_id')})")
+        ctes.append(f"i{n + 1} AS ({passed(f'u{n}', 'user_id', 'item_id')})")
+    means = ", ".join(f"sum(e{d}) / {layers + 1} AS e{d}" for d in each)
+    for side, name in (("u", "user_vectors"), ("i", "item_vectors")):
+        union = " UNION ALL ".join(f"SELECT * FROM {side}{n}" for n in range(layers + 1))
+        ctes.append(f"{name} AS (SELECT node, {means} FROM ({union}) x GROUP BY 1)")
+    return ",\n".join(ctes)
+
+
+def embedding_rows(dimensions: int = 8) -> str:
+    parts = ", ".join(f"round(e{d}, 6) + 0.0::DOUBLE AS e{d}" for d in range(dimensions))
+    return f"SELECT 'user' AS kind, node, {parts} FROM user_vectors UNION ALL SELECT 'item', node, {parts} FROM item_vectors"
+
+
+def embedding_ranking(k: int = 5, dimensions: int = 8) -> str:
+    """Every user's inner product with every query, in whole millionths of both."""
+
+    def whole(table: str, d: int) -> str:
+        return f"CAST(round({table}.e{d} * 1000000) AS BIGINT)"
+
+    dot = " + ".join(
+        f"(coalesce({whole('a', d)}, 0) + coalesce({whole('b', d)}, 0)) * {whole('u', d)}" for d in range(dimensions)
+    )
+    return f"""
+        SELECT triple_id, CAST(rank AS INTEGER) AS rank, voter_id, round(points / 1e12::DOUBLE, 6) AS score FROM (
+          SELECT *, row_number() OVER (PARTITION BY triple_id ORDER BY points DESC, voter_id) AS rank FROM (
+            SELECT triple_id, u.node AS voter_id, {dot} AS points
+            FROM queries q LEFT JOIN user_vectors a ON a.node = q.inviter_id LEFT JOIN item_vectors b ON b.node = q.item_id
+            CROSS JOIN user_vectors u WHERE a.node IS NOT NULL OR b.node IS NOT NULL) p) r
+        WHERE rank <= {k}"""
+
+
 def betweenness_ctes(n_nodes: int, depth: int = 12) -> str:
     """Unrolled breadth-first levels, then the sum over all (source, target) pairs."""
     ctes = [
@@ -868,6 +921,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
 }
 ORACLE_SQL["write_stats_json"] = ORACLE_SQL["dataset_stats"]
+ORACLE_SQL["user_item_embeddings"] = over("log_e", embedding_rows(), embedding_ctes("log_e"))
+ORACLE_SQL["recommend_by_embedding"] = over("train queries", embedding_ranking(), embedding_ctes("train"))
 ORACLE_SQL["train_ranker"] = trained_ranking("2024-01-19 00:00:00")
 
 for _part in ("gender", "age", "level"):

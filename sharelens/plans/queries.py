@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sharelens.functions import columns as c
 from sharelens.operators import distribution as dist
-from sharelens.operators import evaluate, graph, joins, profile, recommend, sampling
+from sharelens.operators import embedding, evaluate, graph, joins, profile, recommend, sampling
 from sharelens.operators import similarity, trends
 from sharelens.plans import runs
 from sharelens.session import checkpointed, scratch_path
@@ -636,6 +636,23 @@ def _(spark, sf):
     return rounded(runs.rank_with_model(train, queries, tables.users(spark, sf), TRAIN_START, path))
 
 
+@query("user_item_embeddings")
+def _(spark, sf):
+    users, items = embedding.user_item_embeddings(tables.event_shares(spark, sf))
+    rows = users.select(F.lit("user").alias("kind"), F.col("user_id").alias("node"), "vector").unionByName(
+        items.select(F.lit("item").alias("kind"), F.col("item_id").alias("node"), "vector")
+    )
+    # Adding 0 makes -0.0 the same as 0.0.
+    parts = [(F.round(F.col("vector")[d], 6) + 0.0).alias(f"e{d}") for d in range(embedding.DIMENSIONS)]
+    return rows.select("kind", "node", *parts)
+
+
+@query("recommend_by_embedding")
+def _(spark, sf):
+    train, queries = _stored(spark, sf)
+    return rounded(embedding.recommend_by_embedding(queries, train))
+
+
 @query("mrr_at_k")
 def _(spark, sf):
     return rounded(evaluate.mrr_at_k(_history(spark, sf), tables.query_shares(spark, sf)))
