@@ -9,9 +9,12 @@ from pyspark.sql.window import Window
 from sharelens.functions.skew import fits
 from sharelens.operators.profile import summarize, top_n
 from sharelens.operators.sampling import sample_nodes
-from sharelens.session import checkpointed
+from sharelens.session import checkpointed, scratch_path
 
 MAX_BROADCAST_LINKS = 1_000_000
+# Sources that share a row in the search for shortest paths: a bit and a few numbers each.
+PACK = 32
+PATHS, FLOWS = ([f"{name}_{i}" for i in range(PACK)] for name in ("paths", "flow"))
 
 
 def graph_edges(shares: DataFrame) -> DataFrame:
@@ -133,66 +136,98 @@ def induced_subgraph(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 def betweenness(edges: DataFrame, n_nodes: int = 1000, seed: int = 42) -> DataFrame:
     """Betweenness of the subgraph induced by up to ``n_nodes`` sampled nodes.
 
-    Shortest paths are counted from all sources at once, one join per level;
-    then dependencies flow back level by level.  The state has at most
-    ``n_nodes`` squared rows, and each level is checkpointed, so a lost executor
-    costs one level.  Directed, scaled by 1 / ((n - 1) (n - 2)).
+    One search runs from all sources at once, one join per level.  Sources are packed
+    by ``PACK``: a row holds, for a node that a pack reaches at a level, a bitmap of the
+    sources and their numbers of shortest paths, so what moves is a row per (pack, node).
+    A level is written once and never again; what was reached before is the bitwise or
+    over the levels' bitmaps.  Then dependencies flow back level by level.  A lost
+    executor costs one level.  Directed, scaled by 1 / ((n - 1) (n - 2)).
     """
+    spark = edges.sparkSession
     nodes = checkpointed(sample_nodes(graph_nodes(edges), n_nodes, seed))
     links = checkpointed(induced_subgraph(edges, nodes).where(F.col("src") != F.col("dst")))
     out_links = F.broadcast(links) if fits(links, MAX_BROADCAST_LINKS) else links
+    levels, flows = scratch_path(spark, "levels"), scratch_path(spark, "flows")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size, node_type = nodes.count(), nodes.schema["user_id"].dataType.simpleString()
 
-    level = nodes.select(
-        F.col("user_id").alias("source"), F.col("user_id").alias("node"), F.lit(1.0).alias("sigma")
+    def columns(first: str, numbers: list[str]) -> str:
+        return ", ".join(["pack long", f"node {node_type}", first, *[f"{c} double" for c in numbers], "level int"])
+
+    def write(at: DataFrame, path: str) -> None:
+        # Small rows, each joined with many links: as many files as there may be tasks.
+        at.repartition(parts, "pack", "node").write.parquet(path)
+
+    def sums(names: list[str]) -> list:
+        return [F.expr(f"sum({name}) AS {name}") for name in names]
+
+    def has(place: int) -> str:
+        return f"bits & {1 << place}L <> 0"
+
+    numbered = nodes.select(  # at most n_nodes rows
+        F.col("user_id").alias("node"), (F.row_number().over(Window.orderBy("user_id")) - 1).alias("_at")
     )
-    levels = [level]
-    reached = level.select("source", "node")
-    size = nodes.count()
-    open_pairs = size * size - size
-    while open_pairs:
+    level = numbered.selectExpr(
+        f"CAST(_at AS LONG) DIV {PACK} AS pack",
+        "node",
+        f"shiftleft(1L, _at % {PACK}) AS bits",
+        *[f"CAST(_at % {PACK} = {i} AS DOUBLE) AS {paths}" for i, paths in enumerate(PATHS)],
+    )
+    depth, open_pairs = 0, size * size - size
+    while True:
+        write(level, f"{levels}/level={depth}")
+        stored = spark.read.schema(columns("bits long", PATHS)).parquet(levels)
+        level = level_at(stored, depth)
+        if depth:
+            found = level.agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0))).first()[0]
+            open_pairs -= found
+            if not found:
+                depth -= 1
+                break
+        if not open_pairs:
+            break
+        reached = stored.groupBy("pack", "node").agg(F.bit_or("bits").alias("_old"))
         step = (
             level.join(out_links, level["node"] == links["src"])
-            .groupBy("source", F.col("dst").alias("node"))
-            .agg(F.sum("sigma").alias("sigma"))
+            .groupBy("pack", F.col("dst").alias("node"))
+            .agg(F.bit_or("bits").alias("bits"), *sums(PATHS))
         )
-        level = checkpointed(step.join(reached, ["source", "node"], "left_anti"))
-        found = level.count()
-        if not found:
-            break
-        open_pairs -= found
-        levels.append(level)
-        reached = checkpointed(reached.unionByName(level.select("source", "node")))
-
-    delta = levels[-1].withColumn("delta", F.lit(0.0))
-    total = delta
-    for upper in reversed(levels[:-1]):
-        flow = delta.select(
-            "source", F.col("node").alias("dst"), ((F.col("delta") + 1) / F.col("sigma")).alias("_f")
+        fresh = step.join(reached, ["pack", "node"], "left").withColumn("bits", F.expr("bits & ~coalesce(_old, 0L)"))
+        level = fresh.where("bits <> 0").selectExpr(
+            "pack", "node", "bits", *[f"IF({has(i)}, {p}, 0D) AS {p}" for i, p in enumerate(PATHS)]
         )
-        passed = (
-            flow.join(out_links, "dst")
-            .groupBy("source", F.col("src").alias("node"))
-            .agg(F.sum("_f").alias("_f"))
+        depth += 1
+
+    def passed_on(at: DataFrame, deltas: list[str]) -> DataFrame:
+        """What a node gives to each of the paths that reach it, with the sum of its own."""
+        shares = [f"IF({has(i)}, ({d} + 1) / {p}, 0D) AS {f}" for i, (p, d, f) in enumerate(zip(PATHS, deltas, FLOWS))]
+        return at.selectExpr("pack", "node", " + ".join(deltas) + " AS _sum", *shares)
+
+    flow = passed_on(level_at(stored, depth), ["0D"] * PACK)
+    for k in range(depth - 1, 0, -1):
+        arriving = (
+            flow.join(out_links, flow["node"] == links["dst"])
+            .groupBy("pack", F.col("src").alias("node"))
+            .agg(*sums(FLOWS))
         )
-        delta = checkpointed(
-            upper.join(passed, ["source", "node"], "left").select(
-                "source", "node", "sigma", (F.coalesce("_f", F.lit(0.0)) * F.col("sigma")).alias("delta")
-            )
-        )
-        total = checkpointed(total.unionByName(delta))
-
-    sums = (
-        total.where(F.col("source") != F.col("node"))
-        .groupBy(F.col("node").alias("user_id"))
-        .agg(F.sum("delta").alias("_sum"))
-    )
-    n = nodes.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    scale = F.when(n > 2, F.lit(1.0) / ((n - 1) * (n - 2))).otherwise(1.0)
-    return nodes.join(sums, "user_id", "left").select(
-        "user_id", (F.coalesce("_sum", F.lit(0.0)) * scale).alias("betweenness")
+        upper = level_at(stored, k).join(arriving, ["pack", "node"], "left")
+        deltas = [f"coalesce({f}, 0D) * {p}" for p, f in zip(PATHS, FLOWS)]
+        write(passed_on(upper, deltas), f"{flows}/level={k}")
+        flow = level_at(spark.read.schema(columns("_sum double", FLOWS)).parquet(flows), k)
+
+    # The first level is the sources themselves, the last passes nothing on.
+    given = flow.where("false") if depth < 2 else spark.read.schema(columns("_sum double", [])).parquet(flows)
+    totals = given.groupBy(F.col("node").alias("user_id")).agg(F.sum("_sum").alias("_sum"))
+    scale = 1 / ((size - 1) * (size - 2)) if size > 2 else 1.0
+    return nodes.join(totals, "user_id", "left").select(
+        "user_id", (F.coalesce("_sum", F.lit(0.0)) * F.lit(scale)).alias("betweenness")
     )
 
 
+def level_at(stored: DataFrame, level: int) -> DataFrame:
+    return stored.where(F.col("level") == level).drop("level")
+
+
 def network_features(edges: DataFrame, central: DataFrame) -> DataFrame:
     """Degrees of every node, with betweenness for the sampled ones."""
     return degrees(edges).join(central, "user_id", "left")

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from sharelens.functions.columns import hash_fraction, hash_text
 
-PREFIX_DIGITS = 5
+PREFIX_DIGITS = 3
 
 
 def sample_n(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:

@@ -56,6 +56,19 @@ def test_betweenness_against_search(edges_of, seed):
     assert found == pytest.approx(brandes(nodes, rows))
 
 
+def test_betweenness_over_several_packs(spark):
+    """A long way through named nodes: more sources than a pack holds, many levels; and no links at all."""
+    size = graph.PACK + 3
+    chain = [(f"n{i:02}", f"n{i + 1:02}") for i in range(size - 1)]
+    frame = spark.createDataFrame([*chain, ("n00", "n02"), ("lone", "lone")], "src string, dst string")
+    found = {r.user_id: r.betweenness for r in graph.betweenness(frame).collect()}
+    nodes = {v for e in chain for v in e} | {"lone"}
+    assert found == pytest.approx(brandes(nodes, [*chain, ("n00", "n02")]))
+    alone = graph.betweenness(frame.where("src = 'lone'"))
+    assert [tuple(r) for r in alone.collect()] == [("lone", 0.0)]
+    assert graph.betweenness(frame.where("false")).count() == 0
+
+
 def test_betweenness_of_a_sample(edges_of):
     rows = [(i, (i * k + 1) % 40) for i in range(40) for k in (1, 3, 7)]
     frame = edges_of(rows).distinct()

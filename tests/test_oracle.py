@@ -20,9 +20,8 @@ def test_query_matches_sql(spark, con, name):
     assert difference(con, QUERIES[name](spark, SF_DIR), ORACLE_SQL[name]) is None
 
 
-def test_every_query_has_sql_but_the_trained_one():
-    assert set(QUERIES) - set(ORACLE_SQL) == {"train_ranker"}
-    assert set(ORACLE_SQL) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 def test_entry(spark):
