@@ -37,6 +37,15 @@ AWAY_WORDS = set(
     "pager pagination paywall popup promo promoted promotion related replies respond search share sharing sidebar "
     "signup social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
+# What may stand beside such words in one name, as in ``ad-box`` and ``site-footer``; not so in ``ad-hoc``.
+PLACE_WORDS = set(
+    "area article articles bar block bottom box btn button buttons col column container content entry form global "
+    "group header inline inner item items left link links list main mobile outer page panel post posts primary right "
+    "row secondary section site slot sticky text title top unit wrap wrapper".split()
+)
+# The only words that count in an id inside the article, where ids are often made from headings.
+READER_WORDS = set("comment comments commentlist disqus replies respond".split())
+TEXT_TAGS = set("blockquote h1 h2 h3 h4 h5 h6 p pre".split())
 # What can be a menu if (almost) all its text is linked.
 MENU_TAGS = set("a center dir div dl li ol section span table tbody td tr ul".split())
 # What names a line of the host's own within an article, if all its pages have it alike.
@@ -55,7 +64,17 @@ def is_away(key: str, inside_main: bool = False) -> bool:
         return True
     if tag in ("html", "body") or not marks:
         return False
-    return bool(AWAY_ROLES.search(marks)) or any(w in AWAY_WORDS for w in _WORD.findall(marks.replace("class=", " ").replace("id=", " ")))
+    if AWAY_ROLES.search(marks):
+        return True
+    for mark in marks.split(" "):
+        kind, _, name = mark.partition("=")
+        if kind == "role" or (kind == "id" and tag in TEXT_TAGS):
+            continue
+        words = set(_WORD.findall(name))
+        named = words & (READER_WORDS if kind == "id" and inside_main else AWAY_WORDS)
+        if named and words <= AWAY_WORDS | PLACE_WORDS:
+            return True
+    return False
 
 
 def is_notice(key: str) -> bool:
@@ -344,6 +363,9 @@ def extract_articles(
     out.  A line that is marked as a hint or the like, and that every page of a host has
     alike, is the host's own and is left out too, if the pages have ``LEAST_PAGES``
     distinct texts besides.  Nothing else is left out for being the same on many pages.
+    A class or id names an advert or the like only as a whole: ``ad-box`` does, ``ad-hoc``
+    does not; no id takes a heading or paragraph away, and inside the article only those
+    of reader comments count.
 
     NULL html counts as empty and gives an empty text; text without any markup is taken
     as it is.  A page without url belongs to the host ''.  Repeated rows and NULL ids

@@ -20,12 +20,13 @@ CLOSES_ITSELF = {
     "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
 }
 IN_HEAD = set("base basefont bgsound head html link meta noscript script style template title".split())
+# Not shown, a control or a drawing: left out with all that is in it, if it is closed.
+GONE = set("annotation button iframe noscript object select svg template textarea title".split())
 SCOPES = set("table ul ol dl div section article main aside nav header footer form body html".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|object|svg|math|textarea|title|select|button)\b[^>]*>"
-    r".*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?][^>]*>"
     r"|(?P<text>[^<]+|<)",
@@ -64,9 +65,22 @@ def child_path(parent: int, key: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def closed(page: str, tag: str) -> dict[int, int]:
+    """Where each of the page's elements of this name begins, if it is closed, and where it ends."""
+    begun, ends = [], {}
+    for mark in re.finditer(rf"<(/?){tag}(?=[\s/>])[^>]*>", page, re.IGNORECASE):
+        if not mark[1]:
+            begun.append(mark.start())
+        elif begun:
+            ends[begun.pop()] = mark.end()
+    return ends
+
+
 def read_page(page: str) -> tuple[list[Element], list[Piece]]:
     """The page's elements, and its text outside scripts, styles and the like.
 
+    A script or style without its end tag goes on to the page's end, as in a browser;
+    any other element of ``GONE`` without one loses nothing but its tag.
     Equal children of one element are folded into one that is repeated.  Unclosed
     elements end where their parent or a sibling that cannot be inside them begins; a
     head ends where text or an element begins that cannot be in it.
@@ -89,7 +103,10 @@ def read_page(page: str) -> tuple[list[Element], list[Piece]]:
     def end_head() -> None:
         pop_to(next(place for place, (tag, _, _) in enumerate(open_tags) if tag == "head"))
 
-    for token in _TOKEN.finditer(page):
+    ends: dict[str, dict[int, int]] = {}
+    at = 0
+    while token := _TOKEN.match(page, at):
+        begin, at = at, token.end()
         text = token["text"]
         if hidden:
             begins = None if token["end"] else token["raw"] or token["tag"]
@@ -104,6 +121,12 @@ def read_page(page: str) -> tuple[list[Element], list[Piece]]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in GONE and not token["end"]:
+            if tag not in ends:
+                ends[tag] = closed(page, tag)
+            if begin in ends[tag]:
+                at = ends[tag][begin]
+                continue
         if token["end"]:
             for place in range(len(open_tags) - 1, -1, -1):
                 if open_tags[place][0] == tag:

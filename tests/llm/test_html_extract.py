@@ -152,6 +152,32 @@ def test_article_parts_without_marks_all_stay(spark):
     assert {r.page_id: r.text for r in run(spark, rows)} == texts
 
 
+def test_names_that_only_hold_such_a_word_stay():
+    kept = [
+        '<h2 id="related-work">Related work</h2>', '<section id="search-results"><p>Found</p></section>',
+        '<div class="share-price">12</div>', '<p class="ad-hoc">Hoc</p>', '<h2 id="promotion">Promotion</h2>',
+        '<section id="notice"><h2>Notice</h2><p>Given</p></section>', '<pre id="ad">code</pre>',
+    ]
+    gone = [
+        '<div class="ad-box">Buy</div>', '<div class="x share-buttons">Tell</div>', '<div id="comments">Me too</div>',
+        '<ul class="related-posts"><li>More</ul>', '<div class=site-nav>n</div>', '<p class="advert">Buy</p>',
+    ]
+    page = "<article>" + "".join(map(str.__add__, kept, [*gone, ""])) + "</article>"
+    assert article(page, set(), set()) == "Related work\n\nFound\n\n12\n\nHoc\n\nPromotion\n\nNotice\n\nGiven\n\ncode"
+    assert article("<div id=ad>Buy</div><div id=related>More</div><div><p>Text</div>", set(), set()) == "Text"
+
+
+def test_controls_and_drawings_end_where_they_are_closed():
+    whole = "<article><p>A</p><button>Go<p>The whole article text.</p></article>"
+    assert article(whole, set(), set()) == "A\n\nGo\n\nThe whole article text."
+    assert article("<article>Let <math><mi>x</mi><annotation>\\x</annotation></math> be</article>", set(), set()) == "Let x be"
+    assert article("<title-card>Hi there</title-card><p>A</p>", set(), set()) == "Hi there\n\nA"
+    nested = "<svg><g><svg><text>in</text></svg></g><text>out</text></svg>"
+    assert article(f"<article>a {nested}<button>no<div>no</div></button><SELECT x=1><option>no</Select> b</article>", set(), set()) == "a b"
+    assert article("<article>a <textarea><!-- </textarea>b<p>c</article>", set(), set()) == "a b\n\nc"
+    assert article("<article>" + "<object>x <svg>" * 20_000 + "</article>", set(), set()) == " ".join(["x"] * 20_000)
+
+
 def test_fallback_for_a_page_of_its_own():
     page = "<div id=menu><a href=x>m</a></div><div class=body-text><p>one two three</p><p>four five</p></div>"
     assert article(page, {1}, set()) == "one two three\n\nfour five"
