@@ -11,7 +11,6 @@ from pyspark.sql.window import Window
 from sharelens.functions.columns import (
     WEEKDAY_LABELS,
     calendar_features,
-    hash_fraction,
     label_age,
     label_gender,
     label_weekday,
@@ -23,7 +22,7 @@ from sharelens.functions.ranks import row_index
 from sharelens.functions.skew import lookup_join
 from sharelens.session import checkpointed
 
-PREFERENCE_PARTS = 16
+PREFERENCE_ITEMS = 10_000
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -238,18 +237,26 @@ def grouped_counts(counts: DataFrame, items: DataFrame, column: str, name: str)
     return per_item.dropna(subset=[column]).groupBy("inviter_id", column).agg(F.sum("_n").alias(name))
 
 
-def user_item_preference(shares: DataFrame, parts: int = PREFERENCE_PARTS, seed: int = 42) -> DataFrame:
-    """Per inviter, maps from item to share count, one for each part that has items.
+def user_item_preference(shares: DataFrame, most: int = PREFERENCE_ITEMS) -> DataFrame:
+    """Per inviter, maps from item to share count, of at most ``most`` items each.
 
-    An item's part follows from its hash alone, for every inviter alike, so no map holds
-    more than about a ``parts``-th of the items.
+    An inviter's items are ranked by id; map ``part`` holds ranks ``part * most`` up to
+    ``(part + 1) * most - 1``.  Only inviters with more items than that are ranked, by
+    their places in one sort over ranges of (inviter, item), which an inviter of any
+    size spreads over.  The list of those inviters has one row per ``most`` rows at most.
     """
-    part = F.floor(hash_fraction(seed, "item_id") * parts).cast("int")
-    return (
-        user_item_counts(shares, "_n")
-        .groupBy("inviter_id", part.alias("part"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("item_id", "_n"))).alias("preference"))
-    )
+    counts = checkpointed(user_item_counts(shares, "_n"))
+    sizes = counts.groupBy("inviter_id").agg(F.count(F.lit(1)).alias("_items"))
+    large = checkpointed(sizes.where(F.col("_items") > most).select("inviter_id", F.lit(True).alias("_large")))
+    marked = lookup_join(counts, large, ["inviter_id"])
+    placed = row_index(marked.where("_large").drop("_large"), ["inviter_id", "item_id"], "_at")
+    first = checkpointed(placed.groupBy("inviter_id").agg(F.min("_at").alias("_first")))
+    rank = F.col("_at") - F.col("_first")
+    ranked = lookup_join(placed, first, ["inviter_id"]).withColumn("part", F.floor(rank / most).cast("int"))
+    columns = ["inviter_id", "item_id", "_n", "part"]
+    rows = marked.where("_large IS NULL").withColumn("part", F.lit(0)).select(*columns).union(ranked.select(*columns))
+    entries = F.collect_list(F.struct("item_id", "_n"))
+    return rows.groupBy("inviter_id", "part").agg(F.map_from_entries(entries).alias("preference"))
 
 
 # --- return rates ----------------------------------------------------------

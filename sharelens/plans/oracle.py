@@ -713,9 +713,11 @@ ORACLE_SQL: dict[str, str] = {
     "item_popularity": over("log_l", "SELECT item_id, count(*) AS item_popularity FROM log_l GROUP BY 1"),
     "user_item_preference": over(
         "log_l",
-        f"""SELECT inviter_id, CAST(floor({fraction('item_id')} * 16) AS INTEGER) AS part,
-                   string_agg(item_id || ':' || n, ',' ORDER BY item_id) AS preference
-            FROM (SELECT inviter_id, item_id, count(*) AS n FROM log_l GROUP BY 1, 2) x GROUP BY 1, 2""",
+        """SELECT inviter_id, CAST(at // 10000 AS INTEGER) AS part,
+                  string_agg(item_id || ':' || n, ',' ORDER BY item_id) AS preference
+           FROM (SELECT inviter_id, item_id, count(*) AS n,
+                        row_number() OVER (PARTITION BY inviter_id ORDER BY item_id) - 1 AS at
+                 FROM log_l GROUP BY 1, 2) x GROUP BY 1, 2""",
     ),
     # --- crosstabs
     "hour_weekday_matrix": over(

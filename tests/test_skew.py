@@ -104,18 +104,31 @@ def test_share_intervals_merge_equal_times(shares_of, hot_rows):
     assert hours == {(1, 0.0): 3, (1, 1.0): 1, (1, 0.5): 1, (3, 0.025): 1}
 
 
-def test_preferences_have_one_layout(shares_of):
-    log = [(1, i, 2, i) for i in range(50)] + [(1, 0, 3, 60), (2, 5, 1, 61)]
-    parts = profile.user_item_preference(shares_of(log), parts=4).collect()
-    merged = defaultdict(dict)
-    for r in parts:
-        assert not set(merged[r.inviter_id]) & set(r.preference)
-        merged[r.inviter_id].update(r.preference)
-    assert merged[1] == {0: 2, **{i: 1 for i in range(1, 50)}}
-    assert merged[2] == {5: 1}
-    assert sorted(r.part for r in parts if r.inviter_id == 1) == [0, 1, 2, 3]
-    part_of = {i: r.part for r in parts if r.inviter_id == 1 for i in r.preference}
-    assert [r.part for r in parts if r.inviter_id == 2] == [part_of[5]]
+@pytest.mark.parametrize("most", [1, 7, 50, 51])
+def test_preferences_follow_the_rank(shares_of, most):
+    log = [(1, 3 * i, 2, i) for i in range(50)] + [(1, 0, 3, 60), (2, 5, 1, 61), (2, 4, 1, 62), (0, 9, 1, 63)]
+    log += [(1, None, 2, 70), (None, 1, 2, 71)]
+    counts = {1: {0: 2, **{3 * i: 1 for i in range(1, 50)}}, 2: {4: 1, 5: 1}, 0: {9: 1}}
+    found = {(r.inviter_id, r.part): r.preference for r in profile.user_item_preference(shares_of(log), most).collect()}
+    expected = {}
+    for inviter, items in counts.items():
+        for rank, item in enumerate(sorted(items)):
+            expected.setdefault((inviter, rank // most), {})[item] = items[item]
+    assert found == expected
+
+
+def test_preferences_of_a_hot_inviter(spark):
+    """An inviter with a million items: no map is larger than the others may be, none is lost."""
+    shares = spark.range(1_050_000).select(
+        F.when(F.col("id") < 1_000_000, 7).otherwise(F.col("id") % 500).alias("inviter_id"),
+        (F.col("id") * 3).alias("item_id"),
+    )
+    sizes = profile.user_item_preference(shares).select(
+        "inviter_id", "part", F.size("preference").alias("n"), F.array_min(F.map_keys("preference")).alias("least")
+    )
+    hot = {r.part: (r.n, r.least) for r in sizes.where("inviter_id = 7").collect()}
+    assert hot == {**{i: (10_000, 30_000 * i) for i in range(100)}, 100: (100, 3 * 1_000_007)}
+    assert sizes.where("inviter_id <> 7").agg(F.sum("n"), F.max("part")).first()[:] == (49_900, 0)
 
 
 def test_small_stored_table_needs_no_split(spark):
