@@ -713,10 +713,10 @@ ORACLE_SQL: dict[str, str] = {
     "item_popularity": over("log_l", "SELECT item_id, count(*) AS item_popularity FROM log_l GROUP BY 1"),
     "user_item_preference": over(
         "log_l",
-        """SELECT inviter_id, CAST(at // 10000 AS INTEGER) AS part,
+        """SELECT inviter_id, CAST(place // 10000 AS INTEGER) AS part,
                   string_agg(item_id || ':' || n, ',' ORDER BY item_id) AS preference
            FROM (SELECT inviter_id, item_id, count(*) AS n,
-                        row_number() OVER (PARTITION BY inviter_id ORDER BY item_id) - 1 AS at
+                        row_number() OVER (PARTITION BY inviter_id ORDER BY item_id) - 1 AS place
                  FROM log_l GROUP BY 1, 2) x GROUP BY 1, 2""",
     ),
     # --- crosstabs
