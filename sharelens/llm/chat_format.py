@@ -31,7 +31,7 @@ _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 NODE_SCHEMA = """node binary, parent binary, depth int, role string, ids binary,
     n_tokens int, learn_from int, learn_to int, owner long"""
 CONV_SCHEMA = """conv_id long, n_turns long, turns_sha256 string, loss_chars long,
-    loss_sha256 string, formatted_chars long"""
+    loss_sha256 string, formatted_chars long, in_place boolean"""
 
 
 def escape(text: str) -> str:
@@ -205,16 +205,43 @@ def prefix_tree(
     return nodes.drop("_above", "_before", "_start"), convs.select("rank", "conv_id", "path")
 
 
+def joined(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same intervals, one for each run of them that touch."""
+    out: list[tuple[int, int]] = []
+    for start, end in intervals:
+        if out and out[-1][1] == start:
+            start = out.pop()[0]
+        if end > start:
+            out.append((start, end))
+    return out
+
+
+def in_place(steps: list[dict]) -> bool:
+    """Do position ids run from 0 without a gap, and does the last turn see this conversation alone and whole?"""
+    at = 0
+    for s in steps:
+        if s["position_start"] != at:
+            return False
+        at += s["n_tokens"]
+    own = [(s["flat_start"], s["flat_start"] + s["n_tokens"]) for s in steps]
+    return joined(own) == joined([(a["start"], a["end"]) for a in steps[-1]["attend"]])
+
+
 def read_back(nodes: DataFrame, convs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Each conversation decoded from the tree, parsed and summed up.
 
     Returns ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
-    formatted_chars``; the learned text is what stands under the learned spans.
+    formatted_chars, in_place``; the learned text is what stands under the learned
+    spans.  ``in_place`` tells whether the position ids and the attention intervals give
+    each turn its place in just this conversation.
     """
-    steps = convs.select("rank", "conv_id", F.posexplode("path").alias("depth", "node"))
-    found = steps.join(nodes.select("node", "ids", "learn_from", "learn_to"), "node")
+    steps = convs.select("rank", "conv_id", "path", F.posexplode("path").alias("depth", "node"))
+    steps = steps.withColumn("last", F.col("depth") == F.size("path") - 1).drop("path")
+    fields = ["ids", "learn_from", "learn_to", "n_tokens", "flat_start", "position_start"]
+    found = steps.join(nodes.select("node", "attend", *fields), "node")
+    attend = F.when(F.col("last"), F.col("attend")).alias("attend")
     ways = found.groupBy("rank", "conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("depth", "ids", "learn_from", "learn_to"))).alias("steps")
+        F.array_sort(F.collect_list(F.struct("depth", *fields, attend))).alias("steps")
     )
 
     def run(batches):
@@ -230,12 +257,12 @@ def read_back(nodes: DataFrame, convs: DataFrame, tokenizer_path: str) -> DataFr
                 turns = parse(formatted)
                 said = "".join(f"{role}\n{text}\n" for role, text in turns)
                 digests = [hashlib.sha256(t.encode()).hexdigest() for t in (said, loss)]
-                out.append((conv_id, len(turns), digests[0], len(loss), digests[1], len(formatted)))
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-            columns = list(zip(*out)) or [()] * 6
+                out.append((conv_id, len(turns), digests[0], len(loss), digests[1], len(formatted), in_place(steps)))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_())
+            columns = list(zip(*out)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)],
-                names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
+                names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "in_place"],
             )
 
     return ways.select("conv_id", "steps").mapInArrow(run, CONV_SCHEMA)

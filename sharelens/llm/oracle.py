@@ -91,7 +91,7 @@ ORACLE_SQL = {
                    coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = '{LEARNED_ROLE}'), '') AS loss
             FROM sized GROUP BY 1)
         SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars,
-               sha256(loss) AS loss_sha256, formatted_chars FROM convs
+               sha256(loss) AS loss_sha256, formatted_chars, TRUE AS in_place FROM convs
     """,
     "op12_ranked_search": f"""
         WITH words AS (

@@ -24,7 +24,7 @@ def summary(rows):
         loss = "".join(t for _, r, t in turns if r == "assistant")
         size = sum(len("".join(chat_format.turn_parts(r, t))) for _, r, t in turns)
         out.append((conv, len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss),
-                    hashlib.sha256(loss.encode()).hexdigest(), size))
+                    hashlib.sha256(loss.encode()).hexdigest(), size, True))
     return sorted(out, key=str)
 
 
@@ -81,6 +81,28 @@ def test_shared_turns_are_emitted_once_and_depth_first(tree):
         assert own.tobytes() == bytes(r["ids"])
 
 
+def test_places_are_told():
+    def step(start, position, n, *attend):
+        attend = [{"start": a, "end": b} for a, b in attend] or None
+        return {"flat_start": start, "position_start": position, "n_tokens": n, "attend": attend}
+
+    assert chat_format.in_place([step(5, 0, 3), step(20, 3, 2, (5, 8), (20, 22))])
+    assert chat_format.in_place([step(5, 0, 3), step(8, 3, 2, (5, 10))])
+    for wrong in (
+        [step(5, 0, 3), step(20, 4, 2, (5, 8), (20, 22))],
+        [step(5, 1, 3, (5, 8))],
+        [step(5, 0, 3), step(20, 3, 2, (5, 9), (20, 22))],
+        [step(5, 0, 3), step(20, 3, 2, (20, 22))],
+    ):
+        assert not chat_format.in_place(wrong)
+
+
+def test_wrong_places_reach_the_result(tree):
+    _, nodes, convs = tree
+    moved = nodes.withColumn("position_start", nodes["position_start"] + 1)
+    assert {r.in_place for r in chat_format.read_back(moved, convs, PATH).collect()} == {False}
+
+
 def test_escaping():
     dice = random.Random(2)
     for _ in range(3000):
