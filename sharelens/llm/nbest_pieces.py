@@ -1,13 +1,15 @@
 """N-best segmentations into SentencePiece pieces, and the way back to text.
 
-A forward Viterbi pass over the lattice of pieces gives the best score of every
-prefix.  A backward A* search takes those as its heuristic, which is exact, so
-complete segmentations come out best first.
+A piece's score is its log-probability among the pieces that the library's own encoding
+of the table holds.  A forward Viterbi pass over the lattice of pieces gives the best
+score of every prefix.  A backward A* search takes those as its heuristic, which is
+exact, so complete segmentations come out best first.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
 from operator import itemgetter
 
@@ -23,22 +25,27 @@ CACHE_ENTRIES = 300_000
 CACHED_CHARS = 48
 SPACE = "▁"
 LITERAL = "\ud800"  # stands for a literal U+2581; no valid text holds it
-UNKNOWN_PENALTY = 10.0
+UNKNOWN_PENALTY = 10_000_000
+SCORE_UNIT = 1_000_000  # scores are whole millionths, so sums and ties are exact
 RESULT_SCHEMA = """n_pieces long, score double, ids_crc32 long, scores array<double>,
-    all_crc32 array<long>, round_trip boolean"""
+    all_crc32 array<long>, round_trip boolean, like_library boolean"""
+
+
+def load_model(path: str):
+    from sentencepiece import SentencePieceProcessor
+
+    return SentencePieceProcessor(model_file=path)
 
 
 class PieceLattice:
-    """Pieces and scores of a model file, with a bounded cache of segmented units.
+    """The pieces of a model file with scores by id, and a bounded cache of segmented units.
 
-    Scores are those of the file and add up.  A character without a piece is written
-    as byte pieces, at ``UNKNOWN_PENALTY`` below the lowest score each.
+    Scores are whole numbers and add up.  A character without a piece is written as byte
+    pieces, at ``UNKNOWN_PENALTY`` below the lowest score each.
     """
 
-    def __init__(self, path: str, n_best: int):
-        from sentencepiece import SentencePieceProcessor
-
-        model = SentencePieceProcessor(model_file=path)
+    def __init__(self, path: str, n_best: int, scores):
+        self.model = model = load_model(path)
         size = model.get_piece_size()
         self.n_best = n_best
         self.text_of = [model.id_to_piece(i) for i in range(size)]
@@ -48,46 +55,103 @@ class PieceLattice:
             i for i in range(size)
             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
         ]
-        self.pieces = {self.text_of[i]: (i, model.get_score(i)) for i in plain}
-        self.byte_score = min(s for _, s in self.pieces.values()) - UNKNOWN_PENALTY
-        self.longest = max(map(len, self.pieces))
+        self.pieces = {self.text_of[i]: (i, int(scores[i])) for i in plain}
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece reaches over a space: units can't be parted")
+        self.byte_score = min(s for _, s in self.pieces.values()) - UNKNOWN_PENALTY
+        # Beginnings of pieces that are no pieces themselves: the search goes on past them.
+        self.known = {p[:i]: None for p in self.pieces for i in range(1, len(p))} | self.pieces
         self.cache: dict[str, tuple] = {}
+        self.choices: dict[str, list] = {}
 
-    def edges_to(self, unit: str, end: int):
-        """``(start, ids, score)`` of all pieces that end at ``end``."""
-        for start in range(max(0, end - self.longest), end):
-            found = self.pieces.get(unit[start:end])
-            if found:
-                yield start, (found[0],), found[1]
-        c = unit[end - 1]
-        if c not in self.pieces:
-            raw = (SPACE if c == LITERAL else c).encode("utf-8", "surrogatepass")
-            yield end - 1, tuple(self.id_of_byte[b] for b in raw), self.byte_score * len(raw)
-
-    def segment(self, unit: str) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``n_best`` best segmentations of a unit, best first."""
-        best = [0.0] + [0.0] * len(unit)
-        edges = [()]
-        for end in range(1, len(unit) + 1):
-            own = list(self.edges_to(unit, end))
-            best[end] = max(best[start] + score for start, _, score in own)
-            edges.append(own)
-        n = self.n_best
+    def edges(self, unit: str) -> list[tuple]:
+        """``(start, end, id or ids, score)`` of all pieces in a unit, by start."""
+        known, size, out = self.known, len(unit), []
+        for start in range(size):
+            single = False
+            for end in range(start + 1, size + 1):
+                found = known.get(unit[start:end], 0)
+                if found == 0:
+                    break
+                if found is not None:
+                    out.append((start, end, *found))
+                    single = single or end == start + 1
+            if not single:
+                c = unit[start]
+                raw = (SPACE if c == LITERAL else c).encode("utf-8", "surrogatepass")
+                out.append((start, start + 1, tuple(self.id_of_byte[b] for b in raw), self.byte_score * len(raw)))
+        return out
+
+    @staticmethod
+    def forward(edges: list[tuple], size: int) -> tuple[list, list]:
+        """The best score of every prefix, and the last edge of it."""
+        best, last = [0] + [None] * size, [None] * (size + 1)
+        for edge in edges:
+            start, end, _, score = edge
+            total = best[start] + score
+            if best[end] is None or total > best[end]:
+                best[end], last[end] = total, edge
+        return best, last
+
+    def best_way(self, last: list, size: int) -> list[tuple]:
+        way, place = [], size
+        while place:
+            way.append(last[place])
+            place = last[place][0]
+        return way[::-1]
+
+    def entry(self, unit: str) -> tuple:
+        """``(score, ids as bytes, loss of the second best, does it decode to the unit)``."""
+        known = self.cache.get(unit)
+        if known is None:
+            size, edges = len(unit), self.edges(unit)
+            best, last = self.forward(edges, size)
+            way = self.best_way(last, size)
+            # The second best leaves the best way by some edge; the best way through an
+            # edge is the best prefix before it and the best suffix after it.
+            on_way = set(way)
+            after: list = [None] * size + [0]
+            second = None
+            for edge in reversed(edges):
+                start, end, _, score = edge
+                rest = score + after[end]
+                if after[start] is None or rest > after[start]:
+                    after[start] = rest
+                if (second is None or best[start] + rest > second) and edge not in on_way:
+                    second = best[start] + rest
+            ids = flat(e[2] for e in way)
+            loss = float("inf") if second is None else best[size] - second
+            good = self.decode(ids) == unit.replace(SPACE, " ").replace(LITERAL, SPACE)
+            known = (best[size], np.array(ids, "<u4").tobytes(), loss, good)
+            if size <= CACHED_CHARS:
+                if len(self.cache) >= CACHE_ENTRIES:
+                    self.cache.clear()
+                self.cache[unit] = known
+        return known
+
+    def segment(self, unit: str) -> list[tuple[int, bytes]]:
+        """The ``n_best`` best segmentations of a unit, best first: backward A*."""
+        known = self.choices.get(unit)
+        if known is not None:
+            return known
+        n, size, edges = self.n_best, len(unit), self.edges(unit)
+        best, last = self.forward(edges, size)
+        into: list[list] = [[] for _ in range(size + 1)]
+        for edge in edges:
+            into[edge[1]].append(edge)
         found, ticket = [], 0
-        queue = [(-best[-1], 0, len(unit), 0.0, None)]
-        kept: list[list[float]] = [[] for _ in range(len(unit) + 1)]
+        queue = [(-best[size], 0, size, 0, None)]
+        kept: list[list[int]] = [[] for _ in range(size + 1)]
         while queue and len(found) < n:
             _, _, place, suffix, way = heapq.heappop(queue)
             if place == 0:
-                ids = []
+                parts = []
                 while way:
                     part, way = way
-                    ids += part
-                found.append((suffix, tuple(ids)))
+                    parts.append(part)
+                found.append((suffix, np.array(flat(parts), "<u4").tobytes()))
                 continue
-            for start, ids, score in edges[place]:
+            for start, _, ids, score in into[place]:
                 total = suffix + score
                 # Of the ways from a place only the n best can be among the n best of all.
                 near = kept[start]
@@ -99,61 +163,71 @@ class PieceLattice:
                     continue
                 ticket += 1
                 heapq.heappush(queue, (-(total + best[start]), ticket, start, total, (ids, way)))
+        first = (best[size], np.array(flat(e[2] for e in self.best_way(last, size)), "<u4").tobytes())
+        found = ([first] + [f for f in found if f != first])[:n]
+        if size <= CACHED_CHARS:
+            if len(self.choices) >= CACHE_ENTRIES // 10:
+                self.choices.clear()
+            self.choices[unit] = found
         return found
 
-    def entry(self, unit: str) -> tuple:
-        """``(score, ids as bytes, loss of the second best, all segmentations)``."""
-        known = self.cache.get(unit)
-        if known is None:
-            found = self.segment(unit)
-            packed = tuple((s, np.array(ids, "<u4").tobytes()) for s, ids in found)
-            loss = found[0][0] - found[1][0] if len(found) > 1 else float("inf")
-            known = (packed[0][0], packed[0][1], loss, packed)
-            if len(unit) <= CACHED_CHARS:
-                if len(self.cache) > CACHE_ENTRIES:
-                    self.cache.clear()
-                self.cache[unit] = known
-        return known
+    def encode(self, text: str) -> list[tuple[int, bytes]]:
+        """The ``n_best`` best segmentations of a text: scores, and ids as bytes."""
+        return self.encoded(text)[0]
 
-    def encode(self, text: str) -> list[tuple[float, bytes]]:
-        """The ``n_best`` best segmentations of a text: scores, and ids as bytes.
+    def encoded(self, text: str) -> tuple[list[tuple[int, bytes]], bool]:
+        """``encode``, and whether the best decodes to the text.
 
         No piece reaches over a space, so the units between spaces are independent:
         the best texts take the best unit everywhere but at a few places.
         """
         if not text:
-            return [(0.0, b"")]
+            return [(0, b"")], True
         units = split_units(text)
-        entries = [self.entry(u) for u in units]
+        entries = list(map(self.entry, units))
         n = self.n_best
         score = sum(map(itemgetter(0), entries))
         parts = list(map(itemgetter(1), entries))
         # Places that can change: the n - 1 cheapest, first ones first.
-        losses = list(map(itemgetter(2), entries))
-        places = heapq.nsmallest(n - 1, range(len(losses)), key=lambda i: (losses[i], i))
-        choices = [(0.0, ())]
+        losses = map(itemgetter(2), entries)
+        places = [place for _, place in heapq.nsmallest(n - 1, zip(losses, range(len(units))))]
+        options = {place: self.segment(units[place]) for place in places}
+        choices = [(0, ())]
         for place in places:
-            options = [(entries[place][0] - s, k) for k, (s, _) in enumerate(entries[place][3])]
-            merged = [(c + loss, way + ((place, k),) if k else way) for c, way in choices for loss, k in options]
+            best = entries[place][0]
+            merged = [
+                (c + best - s, way + ((place, k),) if k else way)
+                for c, way in choices for k, (s, _) in enumerate(options[place])
+            ]
             choices = heapq.nsmallest(n, merged)
         out = []
         for loss, way in choices:
-            changed = list(parts)
+            changed = list(parts) if way else parts
             for place, k in way:
-                changed[place] = entries[place][3][k][1]
+                changed[place] = options[place][k][1]
             out.append((score - loss, b"".join(changed)))
-        return out
+        return out, all(map(itemgetter(3), entries))
 
     def decode(self, ids) -> str:
-        """The text of a list of ids, without the space put in front when encoding."""
+        """The text of a list of ids, with the space put in front when encoding."""
         out = bytearray()
         for i in ids:
             if i in self.byte_of:
                 out.append(self.byte_of[i])
             else:
                 out += self.text_of[i].replace(SPACE, " ").encode()
-        text = out.decode("utf-8", "surrogatepass")
-        return text[1:] if text.startswith(" ") else text
+        return out.decode("utf-8", "surrogatepass")
+
+
+def flat(parts) -> list[int]:
+    """Ids in one list; the bytes of a character come as a tuple."""
+    ids: list[int] = []
+    for part in parts:
+        if isinstance(part, tuple):
+            ids += part
+        else:
+            ids.append(part)
+    return ids
 
 
 def split_units(text: str) -> list[str]:
@@ -171,44 +245,83 @@ def split_units(text: str) -> list[str]:
     return units
 
 
-_lattices: dict = {}
+def library_ids(model, texts: list[str]) -> list[list[int]]:
+    """The library's own encodings; it takes no lone surrogates, so those become U+FFFD."""
+    return model.encode([t.encode("utf-8", "replace").decode() for t in texts])
 
 
-def lattice(path: str, n_best: int) -> PieceLattice:
-    if (path, n_best) not in _lattices:
-        _lattices[path, n_best] = PieceLattice(path, n_best)
-    return _lattices[path, n_best]
+def piece_counts(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
+    """``piece, n``: how often the library's encoding of all texts holds each piece.
+
+    NULL and empty texts hold none.  At most a row for each piece of the model.
+    """
+    small_batches(docs.sparkSession)
+
+    def run(batches):
+        model = load_model(model_path)
+        for batch in batches:
+            ids = [np.array(i, np.int64) for i in library_ids(model, batch.column(0).to_pylist())]
+            found = np.bincount(np.concatenate([np.empty(0, np.int64), *ids]))
+            pieces = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array(pieces), pa.array(found[pieces])], names=["piece", "n"])
+
+    texts = docs.select(F.col(text_col).alias("_text")).dropna()
+    return texts.mapInArrow(run, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+
+
+def piece_scores(counts: DataFrame, model_path: str) -> np.ndarray:
+    """Log-probability by piece id in whole millionths, half a count added to each piece."""
+    seen = counts.toArrow()  # bounded by the pieces of the model
+    n = np.full(load_model(model_path).get_piece_size(), 0.5)
+    n[seen.column("piece").to_numpy()] += seen.column("n").to_numpy()
+    return np.array([round(SCORE_UNIT * math.log(x)) for x in n / n.sum()], np.int64)
 
 
 def n_best_pieces(
-    docs: DataFrame, model_path: str, n_best: int = N_BEST, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    model_path: str,
+    n_best: int = N_BEST,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    scores: np.ndarray | None = None,
 ) -> DataFrame:
     """Every row of ``docs`` with its ``n_best`` best segmentations.
 
     Returns ``doc_id, n_pieces, score, ids_crc32`` of the best, ``scores, all_crc32`` of
-    all, best first, and ``round_trip``: whether the best decodes to the text.  A crc32
-    is over the ids as little-endian unsigned 32 bits.  A space is put in front of a
-    text that is not empty; white space is kept, and a literal U+2581 becomes bytes.
+    all, best first, ``round_trip``: whether the best decodes to the text, and
+    ``like_library``: whether it is the library's own encoding.  A crc32 is over the ids
+    as little-endian unsigned 32 bits.  A space is put in front of a text that is not
+    empty; white space is kept, and a literal U+2581 becomes bytes.  Pieces score by
+    ``scores``, if None by their counts in the library's encoding of all of ``docs``.
 
-    NULL text counts as empty: no pieces, score 0.  Of segmentations with equal scores
-    some are given.  Repeated rows and NULL ids are rows like others; other columns
-    are not read; an empty table gives no rows.
+    NULL text counts as empty: no pieces, score 0.  Segmentations with equal scores come
+    in the order of the search, which depends on text and scores alone.  A text of any
+    length is segmented whole.  Repeated rows and NULL ids are rows like others; other
+    columns are not read; an empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
+    if scores is None:
+        scores = piece_scores(piece_counts(docs, model_path, text_col), model_path)
+    shared = spark.sparkContext.broadcast(scores)
 
     def run(batches):
-        pieces = lattice(model_path, n_best)
+        pieces = PieceLattice(model_path, n_best, shared.value)
         for batch in batches:
             rows = []
-            for text in batch.column("_text").to_pylist():
-                found = pieces.encode(text)
+            texts = batch.column("_text").to_pylist()
+            for text, own in zip(texts, library_ids(pieces.model, texts)):
+                found, good = pieces.encoded(text)
                 crcs = [zlib.crc32(ids) for _, ids in found]
-                best = np.frombuffer(found[0][1], "<u4").tolist()
-                scores = [float(s) for s, _ in found]
-                rows.append((len(best), scores[0], crcs[0], scores, crcs, pieces.decode(best) == text))
-            kinds = (pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.bool_())
-            columns = [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 6, kinds)]
-            names = ["n_pieces", "score", "ids_crc32", "scores", "all_crc32", "round_trip"]
+                all_scores = [s / SCORE_UNIT for s, _ in found]
+                best = found[0][1]
+                like = best == np.array(own, "<u4").tobytes()
+                rows.append((len(best) // 4, all_scores[0], crcs[0], all_scores, crcs, good, like))
+            kinds = (
+                pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.bool_(), pa.bool_()
+            )
+            columns = [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 7, kinds)]
+            names = ["n_pieces", "score", "ids_crc32", "scores", "all_crc32", "round_trip", "like_library"]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *names])
 
     slim = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))

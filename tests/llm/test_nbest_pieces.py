@@ -5,7 +5,9 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from sharelens.llm.nbest_pieces import LITERAL, SPACE, PieceLattice, n_best_pieces, split_units
+from sharelens.llm.nbest_pieces import (
+    LITERAL, SCORE_UNIT, SPACE, PieceLattice, flat, load_model, n_best_pieces, piece_counts, piece_scores, split_units
+)
 from sharelens.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -13,17 +15,30 @@ TEXTS = ["the cat", "a", " ", "  x", "x  y ", "naïve", "\U0001f642a", "▁b", "
 
 
 @pytest.fixture(scope="module")
-def pieces():
-    return PieceLattice(PATH, 5)
+def scores(documents):
+    return piece_scores(piece_counts(documents, PATH), PATH)
+
+
+@pytest.fixture(scope="module")
+def pieces(scores):
+    return PieceLattice(PATH, 5, scores)
 
 
 def everything(pieces, marked):
     """All segmentations of a whole marked text, over spaces too."""
-    done = {0: [(0.0, ())]}
+    done = {0: [(0, ())]}
     for end in range(1, len(marked) + 1):
-        done[end] = [
-            (s + score, ids + own) for start, own, score in pieces.edges_to(marked, end) for s, ids in done[start]
-        ]
+        done[end] = []
+        for start in range(end):
+            part = marked[start:end]
+            if part in pieces.pieces:
+                own = [(pieces.pieces[part][0],)], pieces.pieces[part][1]
+            elif len(part) == 1:
+                raw = (SPACE if part == LITERAL else part).encode()
+                own = [tuple(pieces.id_of_byte[b] for b in raw)], pieces.byte_score * len(raw)
+            else:
+                continue
+            done[end] += [(s + own[1], ids + own[0][0]) for s, ids in done[start]]
     return sorted(done[len(marked)], key=lambda x: -x[0])
 
 
@@ -34,12 +49,12 @@ def test_against_all_segmentations(pieces):
         marked = SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE)
         want = everything(pieces, marked)
         found = pieces.encode(text)
-        assert [s for s, _ in found] == pytest.approx([s for s, _ in want[:5]])
+        assert [s for s, _ in found] == [s for s, _ in want[:5]]
         ways = {ids: s for s, ids in want}
         own = [tuple(np.frombuffer(raw, "<u4").tolist()) for _, raw in found]
         assert len(set(own)) == len(own)
-        assert [ways[ids] for ids in own] == pytest.approx([s for s, _ in found])
-        assert all(pieces.decode(ids) == text for ids in own)
+        assert [ways[ids] for ids in own] == [s for s, _ in found]
+        assert all(pieces.decode(ids) == " " + text for ids in own)
 
 
 def test_units_make_up_the_text():
@@ -60,8 +75,20 @@ def test_rows(texts_of):
     assert n_best_pieces(texts_of([]), PATH).collect() == []
 
 
+def test_scores_are_shares_of_the_librarys_pieces(texts_of, documents, scores):
+    model = load_model(PATH)
+    texts = [r.text for r in documents.select("text").collect() if r.text]
+    seen = np.bincount(np.array(flat(map(tuple, model.encode(texts)))), minlength=model.get_piece_size())
+    share = (seen + 0.5) / (seen + 0.5).sum()
+    assert np.abs(scores - SCORE_UNIT * np.log(share)).max() <= 0.5 + 1e-6
+    assert piece_counts(texts_of([(1, None), (2, "")]), PATH).collect() == []
+
+
 def test_query(spark, pieces, documents):
     got = {r.doc_id: r for r in QUERIES["op7_sentencepiece_nbest"](spark, "/root/testdata/sf0.001").collect()}
     assert all(r.round_trip for r in got.values()) and len(got) == documents.count()
     for row in documents.limit(20).collect():
-        assert got[row.doc_id].scores == pytest.approx([s for s, _ in pieces.encode(row.text)][:4])
+        found = pieces.encode(row.text)
+        assert got[row.doc_id].scores == [s / SCORE_UNIT for s, _ in found][:4]
+        own = np.array(pieces.model.encode(row.text), "<u4").tobytes()
+        assert got[row.doc_id].like_library == (found[0][1] == own)
