@@ -146,6 +146,44 @@ def over(views: str, body: str, more: str = "") -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
+def recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def merges_ctes(name: str, key: str, other: str) -> str:
+    """``{name}_merges`` of average linkage, a closest pair at a time, and the leaves after each."""
+    return f"""{name}_pairs AS (
+          SELECT 0 AS step, a.{key} AS a, b.{key} AS b, 1 AS n,
+                 CAST(round(sqrt(sum(pow(a.log_count - b.log_count, 2))) * 1000000) AS BIGINT) AS total
+          FROM matrix a JOIN matrix b ON a.{other} = b.{other} AND a.{key} < b.{key} GROUP BY 2, 3
+          UNION ALL
+          SELECT step + 1, least(na, nb), greatest(na, nb), CAST(sum(n) AS INTEGER), CAST(sum(total) AS BIGINT)
+          FROM (SELECT step, n, total, CASE WHEN a = mb THEN ma ELSE a END AS na,
+                       CASE WHEN b = mb THEN ma ELSE b END AS nb
+                FROM (SELECT *, first_value(a) OVER w AS ma, first_value(b) OVER w AS mb
+                      FROM {name}_pairs WINDOW w AS (ORDER BY total / n, a, b)) x) y
+          WHERE na <> nb GROUP BY 1, 2, 3),
+        {name}_merges AS (
+          SELECT step, a, b, total / n / 1000000 AS height FROM {name}_pairs
+          QUALIFY row_number() OVER (PARTITION BY step ORDER BY total / n, a, b) = 1),
+        {name}_leaves AS (
+          SELECT DISTINCT 0 AS step, {key} AS member, {key} AS cluster, 0::BIGINT AS place FROM matrix
+          UNION ALL
+          SELECT l.step + 1, member, CASE WHEN cluster = b THEN a ELSE cluster END,
+                 place + CASE WHEN cluster = b THEN count(*) FILTER (WHERE cluster = a) OVER () ELSE 0 END
+          FROM {name}_leaves l JOIN {name}_merges m ON m.step = l.step)"""
+
+
+def cluster_tree(key: str, other: str) -> str:
+    return recursive(over(
+        "matrix",
+        """SELECT a AS cluster_a, b AS cluster_b, round(height, 6) AS height,
+                  (SELECT count(*) FROM t_leaves l WHERE l.step = m.step + 1 AND l.cluster = m.a) AS n_members
+           FROM t_merges m""",
+        merges_ctes("t", key, other),
+    ))
+
+
 GENDER = "CASE user_gender WHEN -1 THEN 'unknown' WHEN 0 THEN 'female' WHEN 1 THEN 'male' END"
 AGE = "CASE WHEN user_age = -1 THEN 'unknown' ELSE concat('age group ', user_age) END"
 DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
@@ -375,7 +413,7 @@ def trained_ranking(label_start: str, k: int = 5) -> str:
             WHERE rank <= {k}""",
         more.strip(),
     )
-    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+    return recursive(sql)
 
 
 def embedding_ctes(log: str, dimensions: int = 8, layers: int = 2) -> str:
@@ -847,6 +885,15 @@ ORACLE_SQL: dict[str, str] = {
                   round(sqrt(sum(pow(a.log_count - b.log_count, 2))), 6) AS distance
            FROM matrix a JOIN matrix b ON a.item_id = b.item_id AND a.inviter_id < b.inviter_id GROUP BY 1, 2""",
     ),
+    "user_cluster_tree": cluster_tree("inviter_id", "item_id"),
+    "item_cluster_tree": cluster_tree("item_id", "inviter_id"),
+    "clustered_matrix": recursive(over(
+        "matrix",
+        """SELECT inviter_id, item_id, round(log_count, 6) AS log_count, u.place AS user_place, i.place AS item_place
+           FROM matrix JOIN u_leaves u ON u.member = inviter_id JOIN i_leaves i ON i.member = item_id
+           WHERE u.step = (SELECT max(step) FROM u_leaves) AND i.step = (SELECT max(step) FROM i_leaves)""",
+        merges_ctes("u", "inviter_id", "item_id") + ", " + merges_ctes("i", "item_id", "inviter_id"),
+    )),
     "betweenness": over(
         "degrees", "SELECT user_id, round(betweenness, 6) AS betweenness FROM central", betweenness_ctes(1000)
     ),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sharelens.functions import columns as c
 from sharelens.operators import distribution as dist
-from sharelens.operators import embedding, evaluate, graph, joins, profile, recommend, sampling
+from sharelens.operators import clusters, embedding, evaluate, graph, joins, profile, recommend, sampling
 from sharelens.operators import similarity, trends
 from sharelens.plans import runs
 from sharelens.session import checkpointed, scratch_path
@@ -368,6 +368,9 @@ for _name, _operator in (
     ("bipartite_size", graph.bipartite_size),
     ("log_count_matrix", similarity.log_count_matrix),
     ("user_distance_pairs", similarity.user_distance_pairs),
+    ("user_cluster_tree", clusters.user_cluster_tree),
+    ("item_cluster_tree", clusters.item_cluster_tree),
+    ("clustered_matrix", clusters.clustered_matrix),
     ("node_index", recommend.node_index),
 ):
     QUERIES[_name] = lambda spark, sf, _operator=_operator: rounded(_operator(tables.event_shares(spark, sf)))

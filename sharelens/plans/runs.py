@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from sharelens.functions.columns import calendar_features, limit_range
 from sharelens.operators import distribution as dist
-from sharelens.operators import evaluate, graph, joins, profile, ranker, ranking, recommend, sampling, similarity, trends
+from sharelens.operators import clusters, evaluate, graph, joins, profile, ranker, ranking, recommend
+from sharelens.operators import sampling, similarity, trends
 from sharelens.session import checkpointed
 from sharelens.sources import sinks
 
@@ -77,6 +78,9 @@ def profile_tables(
         "similarity_degrees": similarity.similarity_degrees(train),
         "log_count_matrix": similarity.log_count_matrix(train),
         "user_distance_pairs": similarity.user_distance_pairs(train),
+        "user_cluster_tree": clusters.user_cluster_tree(train),
+        "item_cluster_tree": clusters.item_cluster_tree(train),
+        "clustered_matrix": clusters.clustered_matrix(train),
     }
     for suffix, counts in (("", invites), ("_limited", limited)):
         found[f"gender_activity_stats{suffix}"] = profile.gender_activity_stats(counts)
