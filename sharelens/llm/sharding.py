@@ -8,7 +8,7 @@ changes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sharelens.llm.common import cases, ranked, stored
@@ -109,6 +109,25 @@ def dealt(rows: DataFrame, links: DataFrame, n_shards: int) -> DataFrame:
     )
 
 
+def in_parts(links: DataFrame, most: int) -> DataFrame:
+    """``links`` without rows alone under their key; a key's rows, by number, in parts of ``most``.
+
+    Every key is cut alike; one that fits a shard has one part.  Only few keys can have more
+    than ``most`` rows: as many as there are shards, times the keys that a row has.
+    """
+    sizes = stored(links.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key_sizes")
+
+    def parted(part: Column) -> Column:
+        return F.struct("key", part.cast("long").alias("part")).alias("key")
+
+    whole = links.join(sizes.where(F.col("n") <= most).select("key"), "key").select("row", parted(F.lit(0)))
+    large = links.join(F.broadcast(sizes.where(F.col("n") > most).select("key")), "key")
+    placed = ranked(large, ["key", "row"], "large_keys", "_all")
+    starts = F.broadcast(placed.groupBy("key").agg(F.min("_all").alias("_start")))
+    part = F.floor((F.col("_all") - F.col("_start")) / most)
+    return whole.unionByName(placed.join(starts, "key").select("row", parted(part)))
+
+
 def balanced_shards(
     rows: DataFrame, links: DataFrame, n_shards: int = 16, max_rounds: int | None = None
 ) -> DataFrame:
@@ -118,15 +137,14 @@ def balanced_shards(
     number, and a row may have several keys.  The shards' sizes differ by one at
     most, before and after every round.  Rows move along the flows that ``admitted`` finds,
     those with few neighbours first; rows without links leave for the places that came
-    free.  A key with more rows than a shard holds stays cut; its links count for nothing.
+    free.  A key with more rows than a shard holds counts as several, each but the last as
+    large as a shard.
     Rounds end when nobody wishes to move, or when ``PATIENCE`` rounds in a row have not
     lowered the number of linked pairs that are cut; the best round counts.
     """
     links = stored(links, "links")
-    sizes = stored(links.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key_sizes")
-    most = -(-rows.count() // n_shards)
-    fit = sizes.where((F.col("n") > 1) & (F.col("n") <= most)).select("key")
-    links = stored(links.join(fit, "key"), "links_that_fit")
+    most = max(1, -(-rows.count() // n_shards))
+    links = stored(in_parts(links, most), "links_in_parts")
     state = stored(dealt(rows, links, n_shards), "dealt")
     best, together, waited, turn = state, -1, 0, 0
     while True:
@@ -189,8 +207,8 @@ def shard_documents(
 
     Returns ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.  The law is
     ``rows``: the shards' row counts are at most one apart.  Equal texts are linked
-    and share a shard unless the quotas forbid it, as for a text with more rows than
-    a shard.  ``slot`` numbers a shard's rows by id; ``grown_shard`` is NULL.
+    and share a shard unless the quotas forbid it; a text with more rows than a shard
+    fills as few shards as the rounds find.  ``slot`` numbers a shard's rows by id; ``grown_shard`` is NULL.
 
     NULL text has size 1 and counts as empty.  Repeated rows and NULL ids are rows
     like others.  Other columns are not read.  An empty table gives no rows.

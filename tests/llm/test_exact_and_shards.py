@@ -1,8 +1,11 @@
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+
 from sharelens.llm.exact_dedup import exact_dedup
 from sharelens.llm.sharding import admitted, balanced_shards, shard_documents
 
@@ -85,6 +88,39 @@ def test_copies_change_places_without_other_rows(spark):
     assert cut(800, lambda i: i // 10 if i < 720 else -1) <= 8  # all 72 before
 
 
+@pytest.mark.parametrize("n", [10, 11, 25, 40, 97, 160])
+def test_large_keys_fill_few_shards(spark, n):
+    """160 rows in 16 shards of 10: a key of n rows needs at least n / 10 shards, one more at most here."""
+    rows = spark.range(160).withColumnRenamed("id", "row")
+    links = spark.createDataFrame([(i * 7 % 160, "large") for i in range(n)], "row long, key string")
+    shards = {r.row: r.shard for r in balanced_shards(rows, links, 16).collect()}
+    assert Counter(shards.values()) == dict.fromkeys(range(16), 10)
+    assert len({shards[i * 7 % 160] for i in range(n)}) == -(-n // 10)
+
+
+def least_cut(groups, size):
+    """The fewest cut links of groups with all rows in two shards of ``size``, by all ways."""
+    n = sum(map(len, groups))
+    ways = itertools.combinations(range(n), size)
+    return min(sum(len(set(w) & set(g)) * (len(g) - len(set(w) & set(g))) for g in groups) for w in ways)
+
+
+@pytest.mark.parametrize("sizes", [[5, 2, 1, 1, 1], [7, 1, 1, 1], [4, 3, 1, 1, 1], [3, 3, 2, 1, 1], [2, 2, 2, 2, 2]])
+def test_cut_links_against_all_ways(spark, sizes):
+    """Two shards of five: groups with rows without links to change places with are cut as little as can be."""
+    starts = list(itertools.accumulate([0, *sizes]))
+    groups = [range(a, b) for a, b in zip(starts, starts[1:])]
+    rows = spark.range(10).withColumnRenamed("id", "row")
+    links = spark.createDataFrame([(i, g) for g, own in enumerate(groups) for i in own], "row long, key long")
+    shards = {r.row: r.shard for r in balanced_shards(rows, links, 2).collect()}
+    ends = [[shards[i] for i in own] for own in groups]
+    cut = sum(e.count(0) * e.count(1) for e in ends)
+    if 1 in sizes:
+        assert cut == least_cut(groups, 5)
+    else:
+        assert cut <= least_cut(groups, 5) + 1
+
+
 def test_admitted_moves_keep_the_sizes():
     dice = random.Random(6)
     for _ in range(300):
