@@ -1,6 +1,6 @@
 """Joins and neighbour lookups that hold when one key owns a third of all rows.
 
-Hot keys are found by a pre-aggregated count: the ``MAX_HOT_KEYS`` largest of
+For joins, hot keys are found by a pre-aggregated count: the ``MAX_HOT_KEYS`` largest of
 the keys with more than ``hot_rows`` rows.  So the list is safe to broadcast at
 any table size, and any other key has at most ``hot_rows`` rows or, in a very
 large table, at most a ``MAX_HOT_KEYS``-th of it.
@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sharelens.session import checkpointed
+
 HOT_ROWS = 5_000_000
 MAX_HOT_KEYS = 10_000
 BROADCAST_ROWS = 100_000
@@ -97,42 +99,33 @@ def neighbour(
     order: Sequence[str],
     value: str,
     out: str,
-    bucket: Column,
     step: int,
-    hot_rows: int = HOT_ROWS,
-    source: DataFrame | None = None,
+    small_rows: int = HOT_ROWS,
     stored: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out``: ``value`` of the next (``step=1``) or previous (``-1``) row of ``key``.
 
-    Rows without a key have no neighbours.  ``bucket`` must not decrease along
-    ``order``.  A hot key is sorted bucket by
-    bucket, each in its own task; the value missing at a bucket's edge comes
-    from the adjoining bucket, through one small row per hot (key, bucket).
-    ``source`` names the rows to count the keys in, if they are cheaper to read.
-    ``stored`` names a stored table with as many rows: if it has no more than
-    ``hot_rows``, no key can be hot, and one plain window does.
+    Rows are sorted by key and order over ranges of both, so a key with any share of the
+    rows spreads over as many partitions as it fills; let ``order`` tell rows apart.  The
+    sorted rows are written, which fixes their places.  Each finds its neighbour within its
+    partition, and the one at a partition's edge in the adjoining partition's edge row,
+    carried over in a table with a row for each partition.  Rows without a key have no
+    neighbours.  ``stored`` names a stored table with as many rows: with no more than
+    ``small_rows`` a window by key does.
     """
-    shift, end = (F.lead, F.min) if step > 0 else (F.lag, F.max)
+    shift, edge = (F.lead, F.min_by) if step > 0 else (F.lag, F.max_by)
     keyed = F.col(key).isNotNull()
-    alone = F.when(~keyed, F.xxhash64(*order)).alias("_alone")
-    if stored is not None and fits(stored, hot_rows):
+    if stored is not None and fits(stored, small_rows):
+        alone = F.when(~keyed, F.xxhash64(*order)).alias("_alone")
         rows = Window.partitionBy(key, alone).orderBy(*order)
         return df.withColumn(out, F.when(keyed, shift(value).over(rows)))
-    hot = hot_keys(df if source is None else source, [key], hot_rows).drop("_parts")
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    marked = df.join(hot, key, "left").withColumn("_bucket", F.when(F.col("_hot"), bucket))
-    rows = Window.partitionBy(key, "_bucket", alone).orderBy(*order)
-    inner = marked.withColumn("_near", F.when(keyed, shift(F.struct(value)).over(rows)))
-    buckets = Window.partitionBy(key).orderBy("_bucket")
-    carry = (
-        marked.where(F.col("_hot"))
-        .groupBy(key, "_bucket")
-        .agg(end(F.struct(*order, F.struct(value).alias("_v"))).alias("_end"))
-        .select(key, "_bucket", shift("_end._v").over(buckets).alias("_far"))
-    )
-    return (
-        inner.join(carry, [key, "_bucket"], "left")
-        .withColumn(out, F.coalesce("_near", "_far")[value])
-        .select(*df.columns, out)
-    )
+    # Written before too, because a sort by ranges reads its rows twice.
+    in_order = checkpointed(df).orderBy(key, *order).withColumn("_place", F.monotonically_increasing_id())
+    rows = checkpointed(in_order).withColumn("_part", F.shiftright("_place", 33))
+    row = F.struct(F.col(key).alias("key"), F.col(value).alias("value"))
+    inner = rows.withColumn("_near", shift(row).over(Window.partitionBy("_part").orderBy("_place")))
+    edges = rows.groupBy("_part").agg(edge(row, "_place").alias("_edge"))
+    carried = edges.select("_part", shift("_edge").over(Window.orderBy("_part")).alias("_far"))
+    found = inner.join(F.broadcast(carried), "_part").withColumn("_near", F.coalesce("_near", "_far"))
+    same = keyed & (F.col("_near.key") == F.col(key))
+    return found.select(*df.columns, F.when(same, F.col("_near.value")).alias(out))

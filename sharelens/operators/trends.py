@@ -32,7 +32,7 @@ def daily_extremes(shares: DataFrame) -> DataFrame:
     )
 
 
-def share_intervals(shares: DataFrame, n_inviters: int = 100, hot_rows: int = HOT_ROWS) -> DataFrame:
+def share_intervals(shares: DataFrame, n_inviters: int = 100, small_rows: int = HOT_ROWS) -> DataFrame:
     """Hours since the inviter's previous share, for the most active inviters.
 
     Shares of one inviter at one time are merged: ``n`` counts the shares that
@@ -40,10 +40,9 @@ def share_intervals(shares: DataFrame, n_inviters: int = 100, hot_rows: int = HO
     """
     active = topn_filter(shares.select("inviter_id", "ts"), n_inviters, None)
     moments = active.groupBy("inviter_id", "ts").agg(F.count(F.lit(1)).alias("_n"))
-    minute = F.date_trunc("minute", "ts")
     linked = neighbour(
         moments.withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp"))),
-        "inviter_id", ["ts"], "_t", "_before", minute, -1, hot_rows, shares,
+        "inviter_id", ["ts"], "_t", "_before", -1, small_rows, shares,
     )
     hours = (F.col("_t") - F.col("_before")) / F.lit(3.6e9)
     first = F.struct(hours.alias("interval_hours"), F.lit(1).cast("bigint").alias("n"))

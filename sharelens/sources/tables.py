@@ -27,9 +27,8 @@ def event_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("ts"),
         "event_id",
     )
-    minute = F.date_trunc("minute", "ts")
     order = ["ts", "event_id"]
-    shares = neighbour(uses, "item_id", order, "inviter_id", "voter_id", minute, 1, stored=events)
+    shares = neighbour(uses, "item_id", order, "inviter_id", "voter_id", 1, stored=events)
     return shares.where(F.col("voter_id").isNotNull()).select(
         "inviter_id", "item_id", "voter_id", "ts", "event_id"
     )
@@ -45,10 +44,7 @@ def order_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     uses = lines.join(orders, "l_orderkey").withColumn("ts", F.col("l_shipdate").cast("timestamp"))
     order = ["ts", "l_orderkey", "l_linenumber", "l_suppkey"]
-    day = F.to_date("ts")
-    shares = neighbour(
-        uses, "item_id", order, "inviter_id", "voter_id", day, 1, source=lines, stored=lines
-    )
+    shares = neighbour(uses, "item_id", order, "inviter_id", "voter_id", 1, stored=lines)
     return shares.where(F.col("voter_id").isNotNull()).select("inviter_id", "item_id", "voter_id", "ts")
 
 

@@ -76,12 +76,12 @@ def test_lookup_join_broadcasts_only_within_the_bound(facts, table):
 
 
 @pytest.mark.parametrize("step", [1, -1])
-@pytest.mark.parametrize("hot_rows", [0, 50, 10**6])
-def test_neighbour(spark, step, hot_rows):
+@pytest.mark.parametrize("small_rows", [0, 10**6])
+def test_neighbour(spark, step, small_rows):
     random.seed(step)
     rows = [(0 if i % 3 == 0 else random.randrange(1, 9), random.randrange(400) * 7, i, i if i % 5 else None) for i in range(600)]
     frame = spark.createDataFrame(rows, "k long, t long, id long, v long")
-    out = skew.neighbour(frame, "k", ["t", "id"], "v", "near", F.floor(F.col("t") / 60), step, hot_rows)
+    out = skew.neighbour(frame, "k", ["t", "id"], "v", "near", step, small_rows, stored=frame)
     expected = {}
     by_key = defaultdict(list)
     for k, t, i, v in rows:
@@ -94,10 +94,10 @@ def test_neighbour(spark, step, hot_rows):
     assert {r.id: r.near for r in out.collect()} == expected
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10**6])
-def test_share_intervals_merge_equal_times(shares_of, hot_rows):
+@pytest.mark.parametrize("small_rows", [0, 10**6])
+def test_share_intervals_merge_equal_times(shares_of, small_rows):
     log = [(1, 9, 2, s) for s in (0, 0, 0, 3600, 5400, 5400)] + [(2, 9, 1, 50)] + [(3, 9, 1, 10), (3, 9, 1, 100)]
-    found = trends.share_intervals(shares_of(log), 2, hot_rows).collect()
+    found = trends.share_intervals(shares_of(log), 2, small_rows).collect()
     hours = defaultdict(int)
     for r in found:
         hours[r.inviter_id, round(r.interval_hours, 6)] += r.n
@@ -131,12 +131,32 @@ def test_preferences_of_a_hot_inviter(spark):
     assert sizes.where("inviter_id <> 7").agg(F.sum("n"), F.max("part")).first()[:] == (49_900, 0)
 
 
+@pytest.mark.parametrize("step", [1, -1])
+def test_one_key_with_all_rows_spreads(spark, step):
+    """A single key over many partitions: spread evenly, with no neighbour lost at any edge."""
+    n = 40_000
+    frame = spark.range(n).select(F.lit(7).alias("k"), F.pmod(F.xxhash64("id"), F.lit(n * 50)).alias("t"), "id")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = skew.neighbour(frame, "k", ["t", "id"], "id", "near", step).cache()
+        rows = [r.id for r in frame.orderBy("t", "id").collect()]
+        assert {r.id: r.near for r in out.collect()} == dict(
+            zip(rows, [*rows[1:], None] if step > 0 else [None, *rows[:-1]])
+        )
+        parts = skew.checkpointed(frame.orderBy("k", "t", "id").withColumn("p", F.spark_partition_id()))
+        sizes = [r["count"] for r in parts.groupBy("p").count().collect()]
+        assert len(sizes) >= 8 and max(sizes) < 2 * n / len(sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
 def test_small_stored_table_needs_no_split(spark):
     frame = spark.createDataFrame([(1, t, t * 10) for t in range(5)], "k long, t long, v long")
-    out = skew.neighbour(frame, "k", ["t"], "v", "near", F.col("t"), 1, stored=frame)
+    out = skew.neighbour(frame, "k", ["t"], "v", "near", 1, stored=frame)
     assert {r.t: r.near for r in out.collect()} == {0: 10, 1: 20, 2: 30, 3: 40, 4: None}
-    assert "_bucket" not in out._jdf.queryExecution().analyzed().toString()
-    split = skew.neighbour(frame, "k", ["t"], "v", "near", F.col("t"), 1, hot_rows=2, stored=frame)
+    assert "_place" not in out._jdf.queryExecution().analyzed().toString()
+    split = skew.neighbour(frame, "k", ["t"], "v", "near", 1, small_rows=2, stored=frame)
     assert sorted(map(tuple, split.collect())) == sorted(map(tuple, out.collect()))
 
 
@@ -145,10 +165,10 @@ def test_hot_keys_get_parts_by_size(facts):
     assert row._parts == -(-facts.where("k = 0").count() // 100)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 2, 10**6])
-def test_rows_without_a_key_have_no_neighbours(spark, hot_rows):
+@pytest.mark.parametrize("small_rows", [0, 10**6])
+def test_rows_without_a_key_have_no_neighbours(spark, small_rows):
     rows = [(None, t, t) for t in range(6)] + [(1, t, t * 10) for t in range(6)]
     frame = spark.createDataFrame(rows, "k long, t long, v long")
-    out = skew.neighbour(frame, "k", ["t"], "v", "near", F.col("t"), 1, hot_rows, stored=frame).collect()
+    out = skew.neighbour(frame, "k", ["t"], "v", "near", 1, small_rows, stored=frame).collect()
     assert sorted((r.t, r.near) for r in out if r.k == 1) == [(t, t * 10 + 10 if t < 5 else None) for t in range(6)]
     assert all(r.near is None for r in out if r.k is None) and len(out) == 12
