@@ -8,12 +8,13 @@ a weight below 0:
 - for gender, age and level: how much oftener inviters like this one reach users with
   the user's value than such users are among all.
 
-The first two come from sorted lists, one per inviter and one per item; what is left
-depends on the user and the inviter's three values alone, so one sorted list per such
-class does for it.  The threshold algorithm goes down these lists: a user not seen yet
-can score no more than the next entries of the lists together, and a query is done when
-its k-th best score is above that.  Scores are integers (billionths), so that ties are
-ties whatever the order of summing.
+For a user the inviter never reached, only the item and the inviter's three values count,
+so the k best of all users by those, worked out once per item and such class, do for them.
+The inviter's own past voters come sorted by all but the item's share, in parts.  The
+threshold algorithm goes down these: a voter not seen yet can score no more than the next
+part's first with the item's largest share, and a query is done when its k-th best score
+is above that.  Scores are integers (billionths), so that ties are ties whatever the order
+of summing.
 """
 
 from __future__ import annotations
@@ -22,13 +23,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sharelens.functions.skew import lookup_join, skew_join
 from sharelens.operators.profile import count_by, vote_counts
-from sharelens.operators.trends import top_voters_of
 from sharelens.session import checkpointed
 
 TRAITS = ("gender", "age", "level")
@@ -37,7 +38,8 @@ MODEL_SCHEMA = ", ".join(f"{f} double" for f in FEATURES)
 UNKNOWN = -1
 UNIT = 1_000_000_000
 SWEEPS = 200
-FIRST_DEPTH, DEPTH_GROWTH = 16, 8
+FIRST_DEPTH, PART_GROWTH = 16, 8
+CLASS_ROWS = 256
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -193,9 +195,94 @@ def _static_lists(asked: DataFrame, known: Known, weights: dict[str, float], k:
     return rows.where(F.col("place") <= k).select(*own, "place", F.col("user_id").alias("voter_id"), "static")
 
 
-def _heads(counts: DataFrame, keys: DataFrame, key: str, depth: int) -> DataFrame:
-    """The first ``depth + 1`` entries of the sorted list of each key asked for."""
-    return top_voters_of(counts.join(keys, key, "left_semi"), key, "voter_id", "n", depth + 1)
+def _item_lists(asked: DataFrame, by_item: DataFrame, static: DataFrame, known: Known, w: dict[str, float], k: int) -> DataFrame:
+    """Per item and class of ``asked``: the ``k`` best users by all but the pair's share, best first.
+
+    Among an item's voters with the same three values the order is the same for each class,
+    so the ``k`` first of each such group suffice, with the class's ``k`` best of all users
+    for those who never voted for the item.  A user who did may come in there with too
+    little, but then the ``k`` of the user's group come before.
+    """
+    own = [f"own_{t}" for t in TRAITS]
+    n = by_item.count()
+    people = known.users.withColumnRenamed("user_id", "voter_id")
+    rows = skew_join(by_item, people, ["voter_id"], rows=n)
+    rows = skew_join(rows, known.popularity, ["item_id"], source=by_item, rows=n)
+    fixed = units(w["item_share"], ratio(F.col("n"), F.col("total"))) + units(w["vote_share"], ratio(F.col("votes"), F.lit(known.votes)))
+    order = Window.partitionBy("item_id", *TRAITS).orderBy(F.col("fixed").desc(), "voter_id")
+    rows = rows.select("item_id", "voter_id", *TRAITS, fixed.alias("fixed")).withColumn("_nth", F.row_number().over(order))
+    rows = rows.where(F.col("_nth") <= k).drop("_nth")
+    # A number for each pair of codes of one attribute: some hundred.
+    rates = [
+        {(r.own, r.other): r.u for r in known.affinity[t].select("own", "other", units(w[f"{t}_affinity"], F.col("rate")).alias("u")).collect()}
+        for t in TRAITS
+    ]
+
+    def run(classes: pd.DataFrame, voters: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        voters = voters.sort_values("voter_id")
+        ids, fixed = voters["voter_id"].to_numpy(), voters["fixed"].to_numpy()
+        for first in range(0, len(classes) if len(voters) else 0, CLASS_ROWS):
+            some = classes.iloc[first : first + CLASS_ROWS]
+            scores = np.repeat(fixed[None, :], len(some), axis=0)
+            for t, table in zip(TRAITS, rates):
+                mine, at = np.unique(some[f"own_{t}"], return_inverse=True)
+                others, to = np.unique(voters[t], return_inverse=True)
+                scores += np.array([[table.get((a, b), 0) for b in others] for a in mine], np.int64)[at][:, to]
+            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]  # ids ascend among equals
+            rows = some.loc[some.index.repeat(best.shape[1])].reset_index(drop=True)
+            found.append(rows.assign(voter_id=ids[best.ravel()], score=np.take_along_axis(scores, best, 1).ravel()))
+        columns = ["item_id", *own, "voter_id", "score"]
+        return pd.concat(found)[columns] if found else pd.DataFrame(columns=columns)
+
+    kinds = {"item_id": by_item, "voter_id": by_item}
+    item, voter = (frame.schema[name].dataType.simpleString() for name, frame in kinds.items())
+    schema = f"item_id {item}, {', '.join(f'{c} int' for c in own)}, voter_id {voter}, score long"
+    asked = asked.select("item_id", *own).dropna(subset=["item_id"]).distinct()
+    voted = asked.groupBy("item_id").cogroup(rows.groupBy("item_id")).applyInPandas(run, schema)
+    others = asked.join(F.broadcast(static), own).select("item_id", *own, "voter_id", F.col("static").alias("score"))
+    once = voted.unionByName(others).groupBy("item_id", *own, "voter_id").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("item_id", *own).orderBy(F.col("score").desc(), "voter_id")
+    once = once.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+    entries = F.sort_array(F.collect_list(F.struct("place", "voter_id", "score")))
+    return once.groupBy("item_id", *own).agg(entries.alias("item_list"))
+
+
+def _voter_parts(asked: DataFrame, by_inviter: DataFrame, known: Known, w: dict[str, float], depth: int) -> DataFrame:
+    """``inviter_id, part, last, first, most_pair, entries``: each inviter's past voters in parts of ``depth``.
+
+    They are sorted by all but the item's share, ``first`` is the part's largest such score,
+    ``most_pair`` the largest pair's share from this part on, and ``last`` the last part.
+    """
+    few = checkpointed(by_inviter.join(asked, "inviter_id", "left_semi"))
+    n = few.count()
+    inviters = known.inviters.withColumnsRenamed({"total": "_total", **{t: f"own_{t}" for t in TRAITS}})
+    rows = skew_join(few, inviters, ["inviter_id"], rows=n)
+    rows = skew_join(rows, known.users.withColumnRenamed("user_id", "voter_id"), ["voter_id"], source=few, rows=n)
+    rows = _affinities(rows, known, "own_{}", "{}")
+    pair = units(w["pair_share"], ratio(F.col("n"), F.col("_total")))
+    score = pair + units(w["vote_share"], ratio(F.col("votes"), F.lit(known.votes)))
+    for t in TRAITS:
+        score = score + units(w[f"{t}_affinity"], F.col(f"{t}_affinity"))
+    rows = rows.select("inviter_id", "voter_id", pair.alias("pair"), score.alias("score"))
+    order = Window.partitionBy("inviter_id").orderBy(F.col("score").desc(), "voter_id")
+    part = F.floor((F.row_number().over(order) - 1) / depth).alias("part")
+    rows = rows.select("*", part)
+    parts = rows.groupBy("inviter_id", "part").agg(
+        F.max("score").alias("first"),
+        F.max("pair").alias("most_pair"),
+        F.collect_list(F.struct("voter_id", "score")).alias("entries"),
+    )
+    rest = Window.partitionBy("inviter_id").orderBy("part").rowsBetween(0, Window.unboundedFollowing)
+    return parts.withColumn("most_pair", F.max("most_pair").over(rest)).withColumn("last", F.max("part").over(rest))
+
+
+def _best(rows: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best users per query, of rows that hold a user twice at most."""
+    order = Window.partitionBy("_q").orderBy(F.col("_score").desc(), "voter_id")
+    few = rows.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= 2 * k)
+    once = few.withColumn("_same", F.lag("voter_id").over(order) == F.col("voter_id")).where("_same IS NULL OR NOT _same")
+    return once.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= k).drop("_nth", "_same")
 
 
 def rank_all_users(
@@ -208,10 +295,10 @@ def rank_all_users(
 ) -> DataFrame:
     """The ``k`` best of all ``users`` per query by the model, as ``triple_id, rank, voter_id, score``.
 
-    Exact, by the threshold algorithm in rounds.  A round takes the first entries of the
-    inviter's and the item's list and the class's ``k`` best, and scores those users in
-    full.  A query leaves when no other user can reach its k-th best; the others go on
-    ``DEPTH_GROWTH`` times as deep.  Equal scores go to the smaller id.  Users that have
+    Exact: a query starts with the ``k`` best for its item and class.  Then rounds open
+    its inviter's past voters in parts of ``first_depth``, ``PART_GROWTH`` times as many
+    parts as before, each part only if it can reach the query's k-th best, and the query
+    leaves when no later part can.  Equal scores go to the smaller id.  Users that have
     no id are never candidates; voters who are not among ``users`` count in the
     totals only.
     """
@@ -224,67 +311,61 @@ def rank_all_users(
     by_item = checkpointed(known.items.join(ids, "voter_id", "left_semi"))
     own = {t: f"own_{t}" for t in TRAITS}
 
-    slim = checkpointed(queries.select("triple_id", "inviter_id", "item_id"))
+    slim = checkpointed(queries.select("triple_id", "inviter_id", "item_id", F.monotonically_increasing_id().alias("_q")))
     n = slim.count()
+    most = by_item.groupBy("item_id").agg(F.max("n").alias("_most"))
+    items = known.popularity.withColumnRenamed("total", "item_total").join(most, "item_id", "left")
+    share = units(w["item_share"], ratio(F.col("_most"), F.col("item_total"))).alias("most_item")
+    items = checkpointed(items.select("item_id", "item_total", share))
     left = skew_join(slim, known.inviters.withColumnsRenamed({"total": "inviter_total", **own}), ["inviter_id"], rows=n)
-    left = skew_join(left, known.popularity.withColumnRenamed("total", "item_total"), ["item_id"], source=slim, rows=n)
+    left = skew_join(left, items, ["item_id"], source=slim, rows=n)
     # A code that no inviter of the history has, for those it lacks: without affinities.
-    left = checkpointed(left.na.fill(UNKNOWN - 1, list(own.values())))
+    left = checkpointed(left.na.fill(UNKNOWN - 1, list(own.values())).na.fill(0, ["most_item"]))
     static = checkpointed(_static_lists(left, known, w, k))
-    classes = static.groupBy(*own.values()).agg(
-        F.sort_array(F.collect_list(F.struct("place", "voter_id", "static"))).alias("class_list")
-    )
-    left = checkpointed(lookup_join(left, checkpointed(classes), list(own.values())))
-
-    done, depth = None, first_depth
-    while True:
-        heads = {}
-        for key, counts, total, feature in (
-            ("inviter_id", by_inviter, "inviter_total", "pair_share"),
-            ("item_id", by_item, "item_total", "item_share"),
-        ):
-            head = _heads(counts, left.select(key).distinct(), key, depth)
-            entries = F.sort_array(F.collect_list(F.struct("rank", "voter_id", "n")))
-            heads[key] = head.groupBy(key).agg(entries.alias(f"_{key}_list"))
-        rows = skew_join(left, heads["inviter_id"], ["inviter_id"], rows=n)
-        rows = checkpointed(skew_join(rows, heads["item_id"], ["item_id"], source=left, rows=n))
-
-        def following(name: str, total: str, feature: str) -> Column:
-            """The best that a user further down the list can have."""
-            entry = F.get(name, F.lit(depth))
-            return F.coalesce(units(w[feature], ratio(entry["n"], F.col(total))), F.lit(0).cast("long"))
-
-        # With fewer users than k there is none that the class's list lacks.
-        least = F.get("class_list", F.lit(k - 1))["static"]
-        rows = rows.withColumn(
-            "unseen",
-            least + following("_inviter_id_list", "inviter_total", "pair_share")
-            + following("_item_id_list", "item_total", "item_share"),
-        )
-        ends = F.coalesce(F.size("_inviter_id_list") <= depth, F.lit(True)) & F.coalesce(
-            F.size("_item_id_list") <= depth, F.lit(True)
-        )
-        rows = rows.withColumn("unseen", F.when(~ends, F.col("unseen")))
-        seen = F.array_distinct(F.concat(*[
-            F.transform(
-                F.slice(F.coalesce(F.col(name), F.array().cast(rows.schema[name].dataType)), 1, most), lambda e: e["voter_id"]
-            )
-            for name, most in (("_inviter_id_list", depth), ("_item_id_list", depth), ("class_list", k))
-        ]))
-        pairs = checkpointed(rows.select("triple_id", "inviter_id", "item_id", "unseen", F.explode(seen).alias("voter_id")))
-        scored = features(pairs, known)
-        score = sum((units(w[f], F.col(f)) for f in FEATURES[1:]), units(w[FEATURES[0]], F.col(FEATURES[0])))
-        order = Window.partitionBy("triple_id").orderBy(F.col("_score").desc(), "voter_id")
-        best = scored.withColumn("_score", score).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        best = checkpointed(best.select("triple_id", "rank", "voter_id", "_score", "unseen"))
-        # Open: someone unseen may have the k-th best score, or an equal one with a smaller id.
-        lowest = best.groupBy("triple_id").agg(F.min("_score").alias("_low"), F.max("unseen").alias("_most"))
-        open_ones = checkpointed(lowest.where(F.col("_most") >= F.col("_low")).select("triple_id"))
-        ready = best.join(open_ones, "triple_id", "left_anti")
-        done = ready if done is None else done.unionByName(ready)
-        if open_ones.isEmpty():
-            break
-        left = checkpointed(left.join(open_ones, "triple_id", "left_semi"))
+    entry = F.struct("place", "voter_id", F.col("static").alias("score"))
+    classes = checkpointed(static.groupBy(*own.values()).agg(F.sort_array(F.collect_list(entry)).alias("class_list")))
+    lists = checkpointed(_item_lists(left, by_item, static, known, w, k))
+    started = lookup_join(left, classes, list(own.values()))
+    started = skew_join(started, lists, ["item_id", *own.values()], source=left, rows=n)
+    started = started.withColumn("_list", F.coalesce("item_list", "class_list"))
+    fields = ["_q", "triple_id", "inviter_id", "item_id", "inviter_total", "item_total", "most_item"]
+    started = checkpointed(started.select(*fields, F.get("_list", F.lit(k - 1))["score"].alias("most_other"), "_list"))
+    met = started.select("_q", "triple_id", "inviter_id", "inviter_total", F.explode("_list").alias("_e"))
+    met = checkpointed(met.select("_q", "triple_id", "inviter_id", "inviter_total", F.col("_e.voter_id").alias("voter_id"), "_e.score"))
+    found = skew_join(met, by_inviter, ["inviter_id", "voter_id"], rows=met.count())
+    pair = units(w["pair_share"], ratio(F.col("n"), F.col("inviter_total")))
+    best = checkpointed(found.select("_q", "triple_id", "voter_id", (F.col("score") + pair).alias("_score")))
+
+    parts = checkpointed(_voter_parts(left.select("inviter_id").distinct(), by_inviter, known, w, first_depth))
+    tops = parts.select("inviter_id", "part", "last", "first", "most_pair")
+    # No voter of a part or of a later one, but for those of the item's list, has more.
+    bound = F.least(F.col("first") + F.col("most_item"), F.col("most_pair") + F.col("most_other"))
+    reaches = F.col("first").isNotNull() & F.coalesce(bound >= F.col("_low"), F.lit(True))
+
+    def alive(rows: DataFrame, part: int) -> DataFrame:
+        """Of ``rows``, the queries that the inviter's voters from ``part`` on can still change."""
+        lows = best.groupBy("_q").agg(F.when(F.count(F.lit(1)) >= k, F.min("_score")).alias("_low"))
+        following = tops.where(F.col("part") == part).drop("part")
+        rows = checkpointed(rows.select(*fields, "most_other").join(lows, "_q", "left"))
+        return checkpointed(skew_join(rows, following, ["inviter_id"], rows=n).where(reaches).drop("first", "most_pair"))
+
+    opened, width = 0, 1
+    left = alive(started, opened)
+    while not left.isEmpty():
         n = left.count()
-        depth *= DEPTH_GROWTH
-    return done.select("triple_id", "rank", "voter_id", (F.col("_score") / F.lit(float(UNIT))).alias("score"))
+        some = parts.where((F.col("part") >= opened) & (F.col("part") < opened + width))
+        run = F.sequence(F.lit(opened).cast("long"), F.least(F.lit(opened + width - 1).cast("long"), F.col("last")))
+        asked = checkpointed(left.withColumn("part", F.explode(run)).drop("last"))
+        met = skew_join(asked, some, ["inviter_id", "part"], rows=asked.count()).where(reaches)
+        met = met.select("_q", "triple_id", "item_id", "item_total", F.explode("entries").alias("_e"))
+        met = checkpointed(met.select("_q", "triple_id", "item_id", "item_total", "_e.*"))
+        rows = skew_join(met, by_item, ["item_id", "voter_id"], rows=met.count())
+        share = units(w["item_share"], ratio(F.col("n"), F.col("item_total")))
+        rows = rows.select("_q", "triple_id", "voter_id", (F.col("score") + share).alias("_score"))
+        best = checkpointed(_best(best.unionByName(rows), k))
+        opened, width = opened + width, width * PART_GROWTH
+        left = alive(left, opened)
+    # Queries that share an id are ranked together.
+    order = Window.partitionBy("triple_id").orderBy(F.col("_score").desc(), "voter_id")
+    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("triple_id", "rank", "voter_id", (F.col("_score") / F.lit(float(UNIT))).alias("score"))

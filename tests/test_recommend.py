@@ -194,6 +194,28 @@ def test_few_users_and_no_rows(spark, shares_of, users, queries, log):
     assert {(r.rank, r.voter_id, r.score) for r in none.collect()} == {(i, i, 0.0) for i in range(1, 6)}
 
 
+def test_long_lists_of_an_item_are_not_gone_through_per_query(spark, shares_of, monkeypatch):
+    """600 voters of one item, all with the same share: a query scores its inviter's own and the item's best."""
+    users = spark.range(1, 601).selectExpr("id AS user_id", "0 AS user_gender", "1 AS user_age", "1 AS user_level")
+    log = [(v % 200 + 1, 1, v, v) for v in range(1, 601)]
+    asked = spark.range(1, 11).selectExpr("string(id) AS triple_id", "id AS inviter_id", "1L AS item_id")
+    sizes, kept = [], ranking.checkpointed
+
+    def counted(frame):
+        stored = kept(frame)
+        if {"triple_id", "voter_id"} <= set(stored.columns):
+            sizes.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(ranking, "checkpointed", counted)
+    ranked = ranking.rank_all_users(asked, shares_of(log), users, (1.0, 1.0, 0.0, 0.0, 0.0, 0.0))
+    found = {(r.triple_id, r["rank"]): r.voter_id for r in ranked.collect()}
+    for i in range(1, 11):
+        own = [v for v in range(1, 601) if v % 200 + 1 == i]
+        assert [found[str(i), n] for n in range(1, 6)] == [*own, *[v for v in range(1, 9) if v not in own]][:5]
+    assert max(sizes) <= 10 * (ranking.FIRST_DEPTH + 5)
+
+
 def test_missing_model_is_an_error(tmp_path, spark):
     with pytest.raises(Exception):
         ranker.load_ranker(str(tmp_path / "none"))
