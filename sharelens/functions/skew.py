@@ -8,10 +8,14 @@ large table, at most a ``MAX_HOT_KEYS``-th of it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, StructField, StructType
 from pyspark.sql.window import Window
 
 from sharelens.session import checkpointed
@@ -102,30 +106,64 @@ def neighbour(
     step: int,
     small_rows: int = HOT_ROWS,
     stored: DataFrame | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``out``: ``value`` of the next (``step=1``) or previous (``-1``) row of ``key``.
 
     Rows are sorted by key and order over ranges of both, so a key with any share of the
-    rows spreads over as many partitions as it fills; let ``order`` tell rows apart.  The
-    sorted rows are written, which fixes their places.  Each finds its neighbour within its
-    partition, and the one at a partition's edge in the adjoining partition's edge row,
-    carried over in a table with a row for each partition.  Rows without a key have no
-    neighbours.  ``stored`` names a stored table with as many rows: with no more than
-    ``small_rows`` a window by key does.
+    rows spreads over as many partitions as it fills; let ``order`` tell rows apart.  Each
+    finds its neighbour as the sorted rows stream by, and the one at a partition's edge in
+    the adjoining partition's edge row, carried over in a table with a row for each
+    partition; so rows are moved once.  Rows without a key have no neighbours.  ``stored``
+    names a stored table with as many rows: with no more than ``small_rows`` a window by
+    key does.  ``keep`` names the columns returned besides ``out``, if not all.
     """
-    shift, edge = (F.lead, F.min_by) if step > 0 else (F.lag, F.max_by)
-    keyed = F.col(key).isNotNull()
+    kept = list(df.columns if keep is None else keep)
     if stored is not None and fits(stored, small_rows):
+        shift, keyed = F.lead if step > 0 else F.lag, F.col(key).isNotNull()
         alone = F.when(~keyed, F.xxhash64(*order)).alias("_alone")
         rows = Window.partitionBy(key, alone).orderBy(*order)
-        return df.withColumn(out, F.when(keyed, shift(value).over(rows)))
-    # Written before too, because a sort by ranges reads its rows twice.
-    in_order = checkpointed(df).orderBy(key, *order).withColumn("_place", F.monotonically_increasing_id())
-    rows = checkpointed(in_order).withColumn("_part", F.shiftright("_place", 33))
-    row = F.struct(F.col(key).alias("key"), F.col(value).alias("value"))
-    inner = rows.withColumn("_near", shift(row).over(Window.partitionBy("_part").orderBy("_place")))
-    edges = rows.groupBy("_part").agg(edge(row, "_place").alias("_edge"))
-    carried = edges.select("_part", shift("_edge").over(Window.orderBy("_part")).alias("_far"))
-    found = inner.join(F.broadcast(carried), "_part").withColumn("_near", F.coalesce("_near", "_far"))
-    same = keyed & (F.col("_near.key") == F.col(key))
-    return found.select(*df.columns, F.when(same, F.col("_near.value")).alias(out))
+        return df.withColumn(out, F.when(keyed, shift(value).over(rows))).select(*kept, out)
+    # Written before too, because a sort by ranges reads its rows twice.  The previous row
+    # is the next one of the reverse order.
+    in_order = checkpointed(df).orderBy(*[F.col(c).asc() if step > 0 else F.col(c).desc() for c in (key, *order)])
+    in_order = in_order.select(*kept, F.col(key).alias("_key"), F.col(value).alias("_value"), F.spark_partition_id().alias("_part"))
+    edge_fields = [StructField("_near", df.schema[value].dataType), StructField("_edge", ByteType())]
+    schema = StructType([*in_order.schema.fields, *edge_fields])
+    rows = checkpointed(in_order.mapInArrow(_beside_the_next, schema))
+    firsts = rows.where(F.col("_edge").bitwiseAND(1) == 1).select("_part", F.struct("_key", "_value").alias("_far"))
+    carried = firsts.withColumn("_far", F.lead("_far").over(Window.orderBy("_part")))
+    last = F.col("_edge").bitwiseAND(2) == 2
+    found = rows.join(F.broadcast(carried), "_part")
+    far = F.when(F.col("_far._key") == F.col("_key"), F.col("_far._value"))
+    return found.select(*kept, F.when(last, far).otherwise(F.col("_near")).alias(out))
+
+
+def _beside_the_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add ``_near``, the next row's ``_value`` if its ``_key`` is the same, to a partition's rows.
+
+    ``_edge`` is 1 for the first row, plus 2 for the last one, whose next row is not here;
+    only these keep ``_key`` and ``_value``.
+    """
+
+    def marked(rows: pa.RecordBatch, near: pa.Array, edge: np.ndarray) -> pa.RecordBatch:
+        names = [*rows.schema.names, "_near", "_edge"]
+        columns = dict(zip(names, [*rows.columns, near, pa.array(edge)]))
+        for name in ("_key", "_value"):
+            columns[name] = pc.if_else(pa.array(edge > 0), columns[name], pa.scalar(None, columns[name].type))
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=names)
+
+    held, first = None, 1
+    for batch in batches:
+        if batch.num_rows:
+            rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            n = rows.num_rows - 1
+            if n:
+                keys, values = rows.column("_key"), rows.column("_value")
+                same = pc.fill_null(pc.equal(keys.slice(0, n), keys.slice(1)), False)
+                edge = np.zeros(n, np.int8)
+                edge[0], first = first, 0
+                yield marked(rows.slice(0, n), pc.if_else(same, values.slice(1), pa.scalar(None, values.type)), edge)
+            held = rows.slice(n)
+    if held is not None:
+        yield marked(held, pa.nulls(1, held.column("_value").type), np.array([first + 2], np.int8))

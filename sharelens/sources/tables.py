@@ -44,7 +44,7 @@ def order_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     uses = lines.join(orders, "l_orderkey").withColumn("ts", F.col("l_shipdate").cast("timestamp"))
     order = ["ts", "l_orderkey", "l_linenumber", "l_suppkey"]
-    shares = neighbour(uses, "item_id", order, "inviter_id", "voter_id", 1, stored=lines)
+    shares = neighbour(uses, "item_id", order, "inviter_id", "voter_id", 1, stored=lines, keep=["inviter_id", "item_id", "ts"])
     return shares.where(F.col("voter_id").isNotNull()).select("inviter_id", "item_id", "voter_id", "ts")
 
 

@@ -172,3 +172,28 @@ def test_rows_without_a_key_have_no_neighbours(spark, small_rows):
     out = skew.neighbour(frame, "k", ["t"], "v", "near", 1, small_rows, stored=frame).collect()
     assert sorted((r.t, r.near) for r in out if r.k == 1) == [(t, t * 10 + 10 if t < 5 else None) for t in range(6)]
     assert all(r.near is None for r in out if r.k is None) and len(out) == 12
+
+
+@pytest.mark.parametrize("step", [1, -1])
+def test_neighbours_are_found_without_a_second_shuffle(spark, step):
+    """Once sorted and written, rows are not moved again; only the columns asked for are written."""
+    frame = spark.createDataFrame([(t % 3, t, t * 10, "x") for t in range(60)], "k long, t long, v long, more string")
+    out = skew.neighbour(frame, "k", ["t"], "v", "near", step, keep=["t"])
+    assert out.columns == ["t", "near"]
+    assert {r.t: r.near for r in out.collect()} == {
+        t: (t + 3 * step) * 10 if 0 <= t + 3 * step < 60 else None for t in range(60)
+    }
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "more" not in plan
+
+
+def test_nearly_empty_partitions_have_neighbours(spark):
+    """Partitions of one row each: every neighbour is carried over an edge."""
+    frame = spark.createDataFrame([(1, t, t) for t in range(6)] + [(2, 9, 9)], "k long, t long, v long")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = skew.neighbour(frame, "k", ["t"], "v", "near", 1)
+        assert {r.t: r.near for r in out.collect()} == {**{t: t + 1 if t < 5 else None for t in range(6)}, 9: None}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
