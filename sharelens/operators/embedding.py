@@ -3,7 +3,9 @@
 Vectors are computed once, layer by layer, as joins of the edges with the vectors of the
 other side.  The search orders users by the length of their vectors and cuts them into
 blocks: no user of a block can score more than the query's length times the block's
-largest length, so blocks are opened in that order and only while they can still win.
+largest length, so blocks are opened in that order and only while they can still win.  A
+run of blocks goes to each part of the queries and is gone through there, so no pair of a
+query and a block is ever a row.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ DIMENSIONS = 8
 LAYERS = 2
 UNIT = 1_000_000
 BLOCK_USERS = 1024
-QUERY_ROWS = 1024
-FIRST_BLOCKS, BLOCK_GROWTH = 1, 8
+RUN_USERS = 65_536
+QUERY_ROWS = 8192
+SCORED_ROWS = 1024
+EXACT = 2.0**52
 
 
 def user_item_edges(shares: DataFrame) -> DataFrame:
@@ -94,29 +98,79 @@ def _norm(vector: str) -> Column:
     return F.sqrt(squares)
 
 
-def _scored(met: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best users of each opened block for each query (``_query, vector, _block``).
+def _first_k(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` best entries of each row number, row by row; equal scores by id."""
+    order = np.lexsort((ids, -scores, rows))
+    starts = np.flatnonzero(np.r_[True, np.diff(rows[order]) != 0]) if len(order) else np.empty(0, np.int64)
+    nth = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
+    return order[nth < k]
 
-    A block meets its queries in parts of about ``QUERY_ROWS``, as one matrix product, so no
-    pair of a query and a user is ever a row.
+
+def _best_of_run(vectors: np.ndarray, lows: np.ndarray, blocks: list[tuple], k: int) -> tuple:
+    """Row number, user and score of the ``k`` best users of ``blocks`` (largest length, ids, vectors) per row.
+
+    A row leaves at the first block that can't reach its ``k``-th best score, and takes no
+    user below it.  Products of whole numbers are exact as doubles up to ``EXACT``.
+    """
+    lengths = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
+    exact = blocks[0][0] * lengths.max(initial=0.0) < EXACT
+    vectors = vectors.astype(np.float64) if exact else vectors
+    rows, users, scores = np.empty(0, np.int64), blocks[0][1][:0], np.empty(0, np.int64)
+    lows = lows.copy()
+    for top, ids, matrix in blocks:
+        open_ones = np.flatnonzero(lengths * top * (1 + 1e-9) + 1 >= lows)
+        if not len(open_ones):
+            break
+        found = vectors[open_ones] @ (matrix.astype(np.float64) if exact else matrix).T
+        unknown = np.flatnonzero(np.isneginf(lows[open_ones]))
+        taken = found >= lows[open_ones, None]
+        if len(unknown) and len(ids) > k:
+            # No bound yet: only what reaches the block's own k-th best.
+            kth = np.partition(found[unknown], len(ids) - k, axis=1)[:, len(ids) - k]
+            taken[unknown] = found[unknown] >= kth[:, None]
+        at, user = np.nonzero(taken)
+        rows = np.r_[rows, open_ones[at]]
+        users = np.concatenate([users, ids[user]])
+        scores = np.r_[scores, found[at, user].astype(np.int64)]
+        few = _first_k(rows, scores, users, k)
+        rows, users, scores = rows[few], users[few], scores[few]
+        many, least = np.unique(rows, return_counts=True)
+        ends = np.cumsum(least) - 1
+        full = least >= k
+        lows[many[full]] = np.maximum(lows[many[full]], scores[ends[full]])
+    return rows, users, scores
+
+
+def _scored(asked: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best users of the blocks for each query (``_query, vector``, its ``_low`` if known).
+
+    Queries are dealt into parts of about ``QUERY_ROWS``, and each part meets the blocks, of
+    ``RUN_USERS`` users at most, in one task.
     """
-    asked = met.groupBy("_block").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("_parts"))
-    dealt = met.join(asked, "_block").withColumn("_part", F.pmod(F.xxhash64("_query"), F.col("_parts"))).drop("_parts")
-    copies = blocks.join(asked, "_block").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
+    parts = max(1, -(-asked.count() // QUERY_ROWS))
+    dealt = asked.withColumn("_part", F.pmod(F.xxhash64("_query"), F.lit(parts)))
+    if "_low" not in asked.columns:
+        dealt = dealt.withColumn("_low", F.lit(None).cast("long"))
+    copies = blocks.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
 
     def run(queries: pd.DataFrame, users: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(queries) and len(users):
-            users = users.sort_values("user_id")
-            ids, matrix = users["user_id"].to_numpy(), np.stack(users["vector"])
-            for query, vector in zip(queries["_query"], queries["vector"]):
-                scores = matrix @ np.asarray(vector)
-                best = np.argsort(-scores, kind="stable")[:k]  # ids ascend among equals
-                found += [(query, ids[b], scores[b]) for b in best]
-        return pd.DataFrame(found, columns=["_query", "user_id", "_score"])
-
-    left = dealt.select("_block", "_part", "_query", "vector").groupBy("_block", "_part")
-    right = copies.select("_block", "_part", "user_id", "vector").groupBy("_block", "_part")
+            users = users.sort_values(["_block", "user_id"])
+            runs = [
+                (block["_norm"].max(), block["user_id"].to_numpy(), np.stack(block["vector"]))
+                for _, block in users.groupby("_block", sort=True)
+            ]
+            ids, vectors = queries["_query"].to_numpy(), np.stack(queries["vector"])
+            lows = queries["_low"].astype("float64").fillna(-np.inf).to_numpy()
+            for first in range(0, len(ids), SCORED_ROWS):
+                some = slice(first, first + SCORED_ROWS)
+                rows, best, scores = _best_of_run(vectors[some], lows[some], runs, k)
+                found.append(pd.DataFrame({"_query": ids[some][rows], "user_id": best, "_score": scores}))
+        return pd.concat(found) if found else pd.DataFrame(columns=["_query", "user_id", "_score"])
+
+    left = dealt.select("_part", "_query", "vector", "_low").groupBy("_part")
+    right = copies.select("_part", "_block", "_norm", "user_id", "vector").groupBy("_part")
     kind = blocks.schema["user_id"].dataType.simpleString()
     return left.cogroup(right).applyInPandas(run, f"_query long, user_id {kind}, _score long")
 
@@ -132,9 +186,9 @@ def top_users_by_inner_product(
     """The ``k`` users with the largest inner product for each query, best first.
 
     ``queries``: ``keys`` and ``vector``; ``users``: ``user_id, vector``; both in whole units
-    (:func:`in_units`).  Returns ``keys, rank, user_id, score``.  Exact: a round opens each
-    query's next blocks, ``BLOCK_GROWTH`` times as many as before, until the bound of the
-    next block is below the ``k``-th best score.  Equal scores go to the smaller id.
+    (:func:`in_units`).  Returns ``keys, rank, user_id, score``.  Exact: a round opens the
+    next run of blocks, about ``RUN_USERS`` users, to each query until the bound of the next
+    block is below its ``k``-th best score.  Equal scores go to the smaller id.
     """
     placed = row_index(users.select("user_id", "vector", (-_norm("vector")).alias("_minus")), ["_minus", "user_id"], "_place")
     blocks = checkpointed(
@@ -145,19 +199,12 @@ def top_users_by_inner_product(
     n_blocks = tops.count()
     rows = row_index(queries.select(*keys, "vector").withColumn("_norm", _norm("vector")), list(keys), "_query")
     rows = checkpointed(rows)
-    left, best, opened, width = rows.select("_query", "vector", "_norm"), None, 0, FIRST_BLOCKS
+    left, best, opened, width = rows.select("_query", "vector", "_norm"), None, 0, max(1, RUN_USERS // block_users)
     while opened < n_blocks and not left.isEmpty():
         last = min(n_blocks, opened + width)
-        run = F.sequence(F.lit(opened).cast("long"), F.lit(last - 1).cast("long"))
-        met = left.withColumn("_block", F.explode(run))
-        if best is not None:
-            # Within the run, too, only blocks that reach the query's k-th best are opened.
-            some = tops.where((F.col("_block") >= opened) & (F.col("_block") < last))
-            bound = F.col("_norm") * F.col("_top") * (1 + 1e-9) + 1
-            met = met.join(some, "_block").where(F.col("_low").isNull() | (bound >= F.col("_low")))
-        fresh = _scored(met, blocks.where((F.col("_block") >= opened) & (F.col("_block") < last)), k)
+        fresh = _scored(left, blocks.where((F.col("_block") >= opened) & (F.col("_block") < last)), k)
         best = checkpointed(_best(fresh if best is None else fresh.unionByName(best), k).drop("rank"))
-        opened, width = last, width * BLOCK_GROWTH
+        opened = last
         if opened < n_blocks:
             lows = best.groupBy("_query").agg(F.when(F.count(F.lit(1)) >= k, F.min("_score")).alias("_low"))
             following = tops.where(F.col("_block") == opened).agg(F.max("_top").alias("t")).scalar()

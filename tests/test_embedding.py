@@ -85,6 +85,29 @@ def test_blocks_that_cannot_win_stay_closed(spark, monkeypatch):
     assert seen == [1]
 
 
+def test_no_row_for_a_query_and_a_block(spark, monkeypatch):
+    """Vectors of one length keep every block open; still a round holds each query once."""
+    users = [(u, [1000 - u % 7, u % 7]) for u in range(80)]
+    queries = [(i, [3, i]) for i in range(10)]
+    seen = []
+    scored = embedding._scored
+    monkeypatch.setattr(embedding, "_scored", lambda met, blocks, k: seen.append(met.count()) or scored(met, blocks, k))
+    assert search(spark, queries, users, 3, 2) == plain_search(queries, users, 3)
+    assert max(seen) == 10
+
+
+def test_runs_of_blocks_equal_scoring_everyone(spark, monkeypatch):
+    """Several runs, parts of few queries, and numbers too large for doubles."""
+    for name, value in (("RUN_USERS", 9), ("QUERY_ROWS", 4), ("SCORED_ROWS", 3)):
+        monkeypatch.setattr(embedding, name, value, raising=False)
+    draw = random.Random(8)
+    for most in (40, 2**30):
+        users = [(u, [draw.randrange(-most, most) for _ in range(3)]) for u in range(1, 50)]
+        users += [(u, users[0][1]) for u in range(100, 105)]
+        queries = [(i, [draw.randrange(-most, most) for _ in range(3)]) for i in range(14)] + [(99, [0, 0, 0])]
+        assert search(spark, queries, users, 4, 3) == plain_search(queries, users, 4)
+
+
 def test_few_users_and_no_rows(spark):
     assert search(spark, [(0, [1, 1])], [(7, [2, 2])], 5, 10) == {0: [(7, 4)]}
     assert search(spark, [(0, [1, 1])], [], 5, 10) == {}
