@@ -28,6 +28,7 @@ MAX_FREQUENT = 1_000_000
 FILTER_BITS = 24
 BROADCAST_IDS = 1_000_000
 OPEN_ROWS = 256
+HOT_SETS = 32
 PREFIX_SCHEMA = "doc_id long, text_id long, set_id long, n long, prefix array<long>"
 
 
@@ -249,6 +250,42 @@ def opened_links(met: DataFrame, members: DataFrame, texts: DataFrame, sets: Dat
     return stored(blocks.groupBy("grp", "m_part", "q_part").applyInPandas(run, "a long, b long"), "across")
 
 
+def opening_pairs(asking: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
+    """``set_id, grp``: the groups that each set has enough tokens of its prefix in common with.
+
+    ``asking``: ``token, common, set_id, n, grp, m``; ``matrix``: ``token, common, other,
+    others, small, large``.  Tokens marked ``common``, as of a passage that many texts have,
+    are mostly shared by sets that share nothing else.  So pairs come from the other
+    tokens, and to these the common ones they share are added, pair by pair; pairs with
+    common tokens alone come from sets and groups that have as many as a link needs.
+    """
+    lists = F.collect_list("token")
+    of_set = asking.where("common").groupBy("set_id").agg(lists.alias("hot"))
+    of_set = stored(of_set.withColumn("h", F.size("hot")), "hot_of_sets")
+    of_group = matrix.where("common").groupBy("other").agg(lists.alias("other_hot"))
+    of_group = stored(of_group.withColumn("other_h", F.size("other_hot")), "hot_of_groups")
+    fewer = (F.col("m") < F.col("others")) | ((F.col("m") == F.col("others")) & (F.col("grp") < F.col("other")))
+    near = (F.col("n") * percent <= F.col("large") * 100) & (F.col("small") * percent <= F.col("n") * 100)
+    sizes = ["set_id", "n", "other", "small", "large"]
+
+    def may(common: Column) -> Column:
+        return enough_for_any(common, F.col("n"), F.col("small"), F.col("large"), percent)
+
+    rare = asking.where("NOT common").join(matrix.where("NOT common").drop("common"), "token").where(fewer & near)
+    rare = rare.groupBy(*sizes).agg(F.count(F.lit(1)).alias("c"))
+    rare = rare.join(of_set, "set_id", "left").join(of_group, "other", "left")
+    none = F.col("hot").isNull() | F.col("other_hot").isNull()
+    for more in (F.least("h", "other_h"), F.size(F.array_intersect("hot", "other_hot"))):
+        rare = rare.where(may(F.col("c") + F.when(none, 0).otherwise(more)))
+
+    sets = asking.where("common").join(of_set.select("set_id", "h"), "set_id")
+    groups = matrix.where("common").drop("common").join(of_group.select("other", "other_h"), "other")
+    alone = sets.join(groups, "token").where(fewer & near & may(F.least("h", "other_h")))
+    alone = alone.groupBy(*sizes).agg(F.count(F.lit(1)).alias("c")).where(may(F.col("c")))
+    pairs = rare.select("set_id", F.col("other").alias("grp")).unionByName(alone.select("set_id", F.col("other").alias("grp")))
+    return pairs.distinct()
+
+
 def linked_sets(texts: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """``vertex, component`` of the sets in links between different sets."""
     posts = stored(shared_postings(sets), "postings")
@@ -273,30 +310,21 @@ def linked_sets(texts: DataFrame, sets: DataFrame, k: int, percent: int) -> Data
     # The matrix: each group's union of tokens, as far as other groups have them too.
     named = posts.join(groups.select(F.col("vertex").alias("set_id"), "component"), "set_id", "left")
     named = stored(named.withColumn("grp", F.coalesce("component", "set_id")).drop("component"), "named")
-    ends = named.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
-    several = stored(ends.where("low <> high").select("token"), "several")
-    asking = stored(named.join(several, "token", "left_semi"), "asking")
+    ends = named.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"), F.count(F.lit(1)).alias("q"))
+    several = stored(ends.where("low <> high").select("token", (F.col("q") > HOT_SETS).alias("common")), "several")
+    asking = stored(named.join(several, "token"), "asking")
     members = stored(named.select("set_id", "n", "grp").distinct(), "members")
     shape = members.groupBy("grp").agg(
         F.count(F.lit(1)).alias("m"), F.min("n").alias("small"), F.max("n").alias("large")
     )
     shape = stored(shape, "shape")
-    matrix = asking.select("token", "grp").distinct().join(shape, "grp")
+    matrix = asking.select("token", "common", "grp").distinct().join(shape, "grp")
     matrix = stored(
-        matrix.select("token", F.col("grp").alias("other"), F.col("m").alias("others"), "small", "large"), "matrix"
+        matrix.select("token", "common", F.col("grp").alias("other"), F.col("m").alias("others"), "small", "large"), "matrix"
     )
     # Of two groups the one with fewer sets asks.
     asking = stored(asking.join(shape.select("grp", "m"), "grp"), "asking_sized")
-    fewer = (F.col("m") < F.col("others")) | ((F.col("m") == F.col("others")) & (F.col("grp") < F.col("other")))
-    near = (F.col("n") * percent <= F.col("large") * 100) & (F.col("small") * percent <= F.col("n") * 100)
-    met = (
-        asking.join(matrix, "token")
-        .where(fewer & near)
-        .groupBy("set_id", "n", "other", "small", "large")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    may = enough_for_any(F.col("c"), F.col("n"), F.col("small"), F.col("large"), percent)
-    met = met.where(may).select("set_id", F.col("other").alias("grp"))
+    met = opening_pairs(asking, matrix, percent)
     across = opened_links(met, members.select("set_id", "grp"), texts, sets, k, percent)
     return components(stars.unionByName(across), "links")
 

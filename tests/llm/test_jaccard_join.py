@@ -124,6 +124,36 @@ def test_link_with_a_member_between_the_sizes_of_its_group(texts_of):
     assert found(near_duplicates(texts_of(rows), 1, 85)) == want
 
 
+def line_texts():
+    """Texts of their own that share one line, of which some are near copies of another."""
+    dice = random.Random(11)
+    line = [f"line{i}" for i in range(14)]
+    rows = []
+    for _ in range(90):
+        own = [f"w{dice.randrange(10**6)}" for _ in range(dice.randint(12, 70))]
+        rows.append(" ".join(own + line))
+        if dice.random() < 0.3:
+            own[dice.randrange(len(own))] = "other"
+            rows.append(" ".join(own + line))
+    return list(enumerate(rows + [" ".join(line), " ".join(line + ["end"])]))
+
+
+@pytest.mark.parametrize("hot", [0, 3, 10**9])
+@pytest.mark.parametrize("percent", [70, 85])
+def test_hot_tokens_lose_no_link(texts_of, monkeypatch, hot, percent):
+    monkeypatch.setattr(jaccard_join, "HOT_SETS", hot, raising=False)
+    rows = line_texts() + [(1000 + i, t) for i, t in near_copies(6, 6, 12)]
+    assert found(near_duplicates(texts_of(rows), 2, percent)) == brute_force(rows, 2, percent)
+
+
+def test_a_common_line_alone_opens_no_group(spark):
+    """300 sets share 8 tokens, of the 9 that a link needs; two of them have 4 others in common."""
+    tokens = [(t, i) for i in range(300) for t in [*range(8), *[1000 + 4 * (1 if i == 2 else i) + j for j in range(4)]]]
+    rows = spark.createDataFrame(tokens, "token long, set_id long").selectExpr("token", "token < 8 AS common", "set_id", "80L AS n", "set_id AS grp", "1L AS m")
+    matrix = rows.selectExpr("token", "common", "set_id AS other", "1L AS others", "80L AS small", "80L AS large")
+    assert [tuple(r) for r in jaccard_join.opening_pairs(rows, matrix, 85).collect()] == [(1, 2)]
+
+
 def test_nothing(texts_of):
     assert near_duplicates(texts_of([])).collect() == []
 
