@@ -312,18 +312,17 @@ def linked_sets(texts: DataFrame, sets: DataFrame, k: int, percent: int) -> Data
     named = stored(named.withColumn("grp", F.coalesce("component", "set_id")).drop("component"), "named")
     ends = named.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"), F.count(F.lit(1)).alias("q"))
     several = stored(ends.where("low <> high").select("token", (F.col("q") > HOT_SETS).alias("common")), "several")
-    asking = stored(named.join(several, "token"), "asking")
     members = stored(named.select("set_id", "n", "grp").distinct(), "members")
     shape = members.groupBy("grp").agg(
         F.count(F.lit(1)).alias("m"), F.min("n").alias("small"), F.max("n").alias("large")
     )
     shape = stored(shape, "shape")
+    # Of two groups the one with fewer sets asks.
+    asking = stored(named.join(several, "token").join(shape.select("grp", "m"), "grp"), "asking")
     matrix = asking.select("token", "common", "grp").distinct().join(shape, "grp")
     matrix = stored(
         matrix.select("token", "common", F.col("grp").alias("other"), F.col("m").alias("others"), "small", "large"), "matrix"
     )
-    # Of two groups the one with fewer sets asks.
-    asking = stored(asking.join(shape.select("grp", "m"), "grp"), "asking_sized")
     met = opening_pairs(asking, matrix, percent)
     across = opened_links(met, members.select("set_id", "grp"), texts, sets, k, percent)
     return components(stars.unionByName(across), "links")
