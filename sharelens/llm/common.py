@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -57,6 +59,23 @@ def small_batches(spark, size: int = 16 << 20) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+def released(batches: Iterable, forget: Callable[[], object] | None = None) -> Iterator:
+    """The batches of a task; after the last, ``forget`` is called and free memory given back.
+
+    A Python worker outlives its task: what it holds counts against the executor in all
+    later stages, also in those without Python.
+    """
+    try:
+        yield from batches
+    finally:
+        if forget:
+            forget()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+        if trim:
+            trim(0)
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``vertex, component`` for the vertices of ``edges`` (``a, b`` of integers).
 

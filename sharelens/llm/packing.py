@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sharelens.llm import pieces
-from sharelens.llm.common import cases, ranked, small_batches
+from sharelens.llm.common import cases, ranked, released, small_batches
 
 SEQUENCE = 2048
 END_ID = 0
+BATCH_BYTES = 4 << 20
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLAN_SCHEMA = "length long, first long, n long, per long, sequence long, base long"
 
@@ -29,24 +30,23 @@ def token_pieces(
 
     def run(batches):
         encode = pieces.id_encoder(tokenizer_path, ranks_path)
-        for batch in batches:
-            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("_text").to_pylist()
-            for a, b in pieces.text_groups(texts):
-                out = []
-                for doc_id, ids in zip(doc_ids[a:b], encode(texts[a:b])):
-                    ids += end
-                    total = len(ids) // 4
-                    stop, start, place = (total - 1) % size + 1, 0, 0
-                    while start < total:
-                        crc = zlib.crc32(memoryview(ids)[4 * start : 4 * stop])
-                        out.append((doc_id, place, start, stop - start, crc))
-                        start, stop, place = stop, stop + size, place + 1
-                columns = list(zip(*out))
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
-                )
+        for batch in released(batches):
+            out = []
+            # One text after the other: lists of all texts and ids would be the most of a worker's memory.
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("_text")):
+                (ids,) = encode([text.as_py()])
+                ids += end
+                total = len(ids) // 4
+                stop, start, place = (total - 1) % size + 1, 0, 0
+                while start < total:
+                    crc = zlib.crc32(memoryview(ids)[4 * start : 4 * stop])
+                    out.append((doc_id, place, start, stop - start, crc))
+                    start, stop, place = stop, stop + size, place + 1
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 5, kinds)],
+                names=["doc_id", "piece", "start", "length", "ids_crc32"],
+            )
 
     return docs.mapInArrow(run, PIECE_SCHEMA)
 
@@ -109,7 +109,7 @@ def pack(
     no rows.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     text = F.coalesce(F.col(text_col), F.lit(""))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("_text"))
     order = ["length", "doc_id", "piece"]

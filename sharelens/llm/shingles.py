@@ -5,9 +5,10 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 
+from sharelens.llm.common import released
+
 WORD_ENTRIES = 200_000  # some 30 MB
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _SHIFTS = (np.uint64(30), np.uint64(27), np.uint64(31))
@@ -26,11 +27,7 @@ _words = _WordHashes()
 
 def forgetting(batches):
     """The batches of a task; after the last, a worker that is used again keeps nothing of them."""
-    try:
-        yield from batches
-    finally:
-        _words.clear()
-        pa.default_memory_pool().release_unused()
+    yield from released(batches, _words.clear)
 
 
 def _factors(k: int) -> np.ndarray:

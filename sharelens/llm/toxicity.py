@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sharelens.llm.common import small_batches, stored, whole_row
+from sharelens.llm.common import released, small_batches, stored, whole_row
 
 TRAIN_ROWS = 20_000
 MAX_FEATURES = 1_024
@@ -25,6 +25,7 @@ MIN_DOCUMENTS = 5
 MIN_LIFT = 4.0
 PREFIXES = (3, 4, 5, 6)
 MEMO_ENTRIES = 300_000
+BATCH_BYTES = 4 << 20
 
 # Signs that stand for letters, and signs put between letters.
 LOOKS_LIKE = {
@@ -68,9 +69,9 @@ def trigram_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         total = np.zeros(CLASSES**3, np.int64)
-        for batch in batches:
-            for text in batch.column("_text").to_pylist():
-                c = char_classes(f" {text.lower()} ")
+        for batch in released(batches):
+            for text in batch.column("_text"):
+                c = char_classes(f" {text.as_py().lower()} ")
                 if len(c) > 2:
                     total += np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=len(total))
         seen = np.flatnonzero(total)
@@ -150,6 +151,10 @@ class FeatureFinder:
         self.memo: dict[str, tuple[str, ...]] = {}
         self.known: set[str] = set()
 
+    def forget(self) -> None:
+        self.memo.clear()
+        self.known.clear()
+
     def chosen(self, words) -> set[str]:
         return features(words) if self.only is None else features(words) & self.only
 
@@ -163,8 +168,7 @@ class FeatureFinder:
     def __call__(self, text: str) -> set[str]:
         """All features of the text, or those of ``only``."""
         if len(self.known) > MEMO_ENTRIES:
-            self.known.clear()
-            self.memo.clear()
+            self.forget()
         text = text.lower()
         tokens = set(text.split())
         for token in tokens - self.known:
@@ -286,7 +290,7 @@ def scorer(texts: DataFrame, labels: DataFrame, train_rows: int, max_features: i
     ``texts`` (``doc_id, _text``) are what the character model and the training see.  Only
     the text goes to Python, once; the row it belongs to stays where it is.
     """
-    small_batches(texts.sparkSession)
+    small_batches(texts.sparkSession, BATCH_BYTES)
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     model = char_model(trigram_counts(texts))
     sample = stored(training_rows(texts, marks.withColumn("held_out", _held_out(F.col("doc_id"))), train_rows), "training")
@@ -294,7 +298,7 @@ def scorer(texts: DataFrame, labels: DataFrame, train_rows: int, max_features: i
 
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         find = FeatureFinder(model, frozenset(weights))
-        for batch in batches:
+        for batch in released(batches, find.forget):
             # One text after the other: a list of all would double the batch.
             margins = np.fromiter((bias + sum(weights[w] for w in find(t.as_py())) for t in batch), np.float64, len(batch))
             yield pa.array(1 / (1 + np.exp(-np.clip(margins, -30, 30))))

@@ -4,12 +4,15 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from sharelens.llm import pieces
-from sharelens.llm.packing import best_fit_plan, pack
+from sharelens.llm.common import released
+from sharelens.llm.packing import best_fit_plan, pack, token_pieces
 from sharelens.llm.token_counts import read_cache, token_counts
+from sharelens.llm.toxicity import FeatureFinder
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -141,3 +144,27 @@ def test_plan_is_best_fit():
                     bins.remove(space)
                 bins.append(space - length)
         assert max(fill.values()) <= 50 and len(fill) == len(bins)
+
+
+def test_packing_tokenises_one_text_at_a_time(monkeypatch):
+    asked, runs = [], []
+
+    def encoder(*paths):
+        return lambda texts: asked.append(len(texts)) or [b"\1\0\0\0" for _ in texts]
+
+    class Table:
+        def mapInArrow(self, run, schema):
+            runs.append(run)
+
+    monkeypatch.setattr(pieces, "id_encoder", encoder)
+    token_pieces(Table(), BYTES, RANKS, 4, 0)
+    texts = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "_text": ["a", "", "b"]})
+    (found,) = runs[0](iter([texts]))
+    assert asked == [1, 1, 1] and found.column("length").to_pylist() == [2, 2, 2]
+
+
+def test_a_task_leaves_nothing_in_its_worker():
+    finder = FeatureFinder(np.zeros((29, 29, 29)))
+    for batch in released([["some words"], ["more words"]], finder.forget):
+        finder(batch[0])
+    assert not finder.known and not finder.memo
