@@ -128,10 +128,11 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return bits
 
 
-def wanted_texts(texts: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+def wanted_texts(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """``text_id, _text`` of the texts wanted (and a few more), each once.
 
-    Most texts are passed over where they are read, so few go through the shuffle.
+    Most texts are passed over where they are read, so few go through the shuffle.  The
+    result is dealt by ``text_id``: a join on it moves no text again.
     """
     wanted = texts.sparkSession.sparkContext.broadcast(id_filter(ids))
 
@@ -143,14 +144,14 @@ def wanted_texts(texts: DataFrame, ids: DataFrame, name: str) -> DataFrame:
             yield batch.filter(pa.array(hit.astype(bool)))
 
     found = texts.select("text_id", "_text").mapInArrow(run, "text_id long, _text string")
-    return stored(found.dropDuplicates(["text_id"]), name)
+    return found.dropDuplicates(["text_id"])
 
 
 def texts_of_sets(texts: DataFrame, sets: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     """``set_id, _text``: one text for each of ``ids``; smaller to move than the set."""
     text_of = sets.select("set_id", "text_id").join(ids, "set_id", "left_semi")
     text_of = stored(text_of.groupBy("set_id").agg(F.min("text_id").alias("text_id")), f"{name}_ids")
-    whole = wanted_texts(texts, text_of.select("text_id"), f"{name}_texts").join(text_of, "text_id")
+    whole = wanted_texts(texts, text_of.select("text_id")).join(text_of, "text_id")
     return stored(whole.select("set_id", "_text"), f"{name}_sets")
 
 

@@ -167,3 +167,17 @@ def test_components_of_paths_and_stars(spark):
     assert sorted(map(sorted, by.values())) == [
         list(range(31)), [100, *range(200, 220)], [399, 400],
     ]
+
+
+def test_each_text_is_stored_once_a_comparison(texts_of, monkeypatch):
+    kept = []
+    real = jaccard_join.stored
+
+    def stored(df, name):
+        kept.extend([name] if "_text" in df.columns else [])
+        return real(df, name)
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    rows = near_copies(1)
+    assert found(near_duplicates(texts_of(rows), 4, 85)) == brute_force(rows, 4, 85)
+    assert kept == ["star_sets", "opened_sets"]
