@@ -11,18 +11,22 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from operator import itemgetter
+from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sharelens.llm.common import small_batches
+from sharelens.llm import pieces
+from sharelens.llm.common import released, small_batches
 
 N_BEST = 4
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 400_000
 CACHED_CHARS = 48
+UNITS_AT_ONCE = 4_000
+BATCH_BYTES = 4 << 20
 SPACE = "▁"
 LITERAL = "\ud800"  # stands for a literal U+2581; no valid text holds it
 UNKNOWN_PENALTY = 10_000_000
@@ -63,6 +67,132 @@ class PieceLattice:
         self.known = {p[:i]: None for p in self.pieces for i in range(1, len(p))} | self.pieces
         self.cache: dict[str, tuple] = {}
         self.choices: dict[str, list] = {}
+        self.lay_out(scores)
+
+    def lay_out(self, scores) -> None:
+        """The same pieces as arrays: a trie whose steps are sorted, and each piece's bytes."""
+        self.scores = np.array(scores, np.int64)
+        self.bytes_of = piece_bytes(self.model)
+        self.library = UnitEncoder(self.model)
+        nodes = {"": 0} | {p: i + 1 for i, p in enumerate(self.known)}
+        steps = sorted((nodes[p[:-1]] << 21 | ord(p[-1]), i, self.known[p]) for p, i in nodes.items() if p)
+        self.steps = np.array([s for s, _, _ in steps], np.int64)
+        self.step_node = np.array([i for _, i, _ in steps], np.int64)
+        self.step_piece = np.array([-1 if found is None else found[0] for _, _, found in steps], np.int64)
+
+    def all_edges(self, points: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``start, length, piece`` of all pieces in joined units, in any order; -1 for byte pieces.
+
+        ``points``: code points; ``left``: how many characters of its unit each has from itself on.
+        """
+        place, node, out = np.arange(len(points)), np.zeros(len(points), np.int64), []
+        single, length = np.zeros(len(points), bool), 0
+        while len(place):
+            step = node << 21 | points[place + length]
+            at = np.searchsorted(self.steps, step)
+            at[at == len(self.steps)] = 0
+            hit = self.steps[at] == step
+            place, at, length = place[hit], at[hit], length + 1
+            piece = self.step_piece[at]
+            full = piece >= 0
+            out.append((place[full], np.full(int(full.sum()), length), piece[full]))
+            if length == 1:
+                single[place[full]] = True
+            more = left[place] > length
+            place, node = place[more], self.step_node[at[more]]
+        bare = np.flatnonzero(~single)
+        out.append((bare, np.ones(len(bare), np.int64), np.full(len(bare), -1)))
+        return tuple(map(np.concatenate, zip(*out)))
+
+    def entries(self, units: list[str]) -> list[tuple]:
+        """``entry`` of many units that ``joins`` holds for: the same steps for all of them at once."""
+        text = "".join(units)
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        unit_of = np.repeat(np.arange(len(units)), sizes)
+        first = np.cumsum(sizes) - sizes
+        local = np.arange(len(points)) - first[unit_of]
+        start, length, piece = self.all_edges(points, sizes[unit_of] - local)
+        # By their places in their units; a narrow kind of number sorts fast.
+        step = local[start].astype(np.uint16)
+        order = np.argsort(step, kind="stable")
+        start, length, piece, step = start[order], length[order], piece[order], step[order]
+        unit = unit_of[start]
+        bare = piece < 0
+        # A character without a piece takes as many byte pieces as it has bytes.
+        n_bytes = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
+        wide = n_bytes[start]
+        score = np.where(bare, self.byte_score * wide, self.scores[piece])
+        # A unit has a place more than characters: its end.
+        a = start + unit
+        b = a + length
+        cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), len(step)]
+        groups = [slice(x, y) for x, y in zip(cuts, cuts[1:])]
+        least = np.iinfo(np.int64).min // 4
+        best, last = np.full(len(points) + len(units), least), np.zeros(len(points) + len(units), np.int64)
+        best[first + np.arange(len(units))] = 0
+        for some in groups:
+            total, to = best[a[some]] + score[some], b[some]
+            better = np.flatnonzero(total > best[to])
+            best[to[better]], last[to[better]] = total[better], better + some.start
+        ends = first + sizes + np.arange(len(units))
+        after = np.full(len(best), least)
+        after[ends] = 0
+        for some in reversed(groups):
+            np.maximum.at(after, a[some], score[some] + after[b[some]])
+        on_way, place, begins = np.zeros(len(start), bool), ends, ends - sizes
+        while len(place):
+            edge = last[place]
+            on_way[edge] = True
+            more = a[edge] > begins
+            place, begins = a[edge][more], begins[more]
+        second = np.full(len(units), least)
+        off = ~on_way
+        np.maximum.at(second, unit[off], (best[a] + score + after[b])[off])
+        # The ids of the ways, in the order of the text.
+        way = np.flatnonzero(on_way)
+        way = way[np.argsort(start[way])]
+        n = np.where(bare[way], wide[way], 1)
+        ids = np.repeat(piece[way], n)
+        at = np.cumsum(n) - n
+        for i in np.flatnonzero(bare[way]).tolist():
+            raw = text[start[way[i]]].encode("utf-8", "surrogatepass")
+            ids[at[i] : at[i] + len(raw)] = [self.id_of_byte[x] for x in raw]
+        n_ids = np.bincount(unit[way], n, len(units)).astype(np.int64)
+        n_bytes[points == ord(SPACE)] = 1
+        sizes = np.add.reduceat(n_bytes, first)
+        good = self.decodes(ids, n_ids, units, sizes)
+        own, n_own = self.library.encode(text, sizes)
+        like = n_ids == n_own
+        same = ids[np.repeat(like, n_ids)] == own[np.repeat(like, n_own)]
+        like[np.repeat(np.arange(len(units))[like], n_ids[like])[~same]] = False
+        tops = best[ends]
+        losses = [float("inf") if s == least else t - s for t, s in zip(tops.tolist(), second.tolist())]
+        raw, stops = ids.astype("<u4").tobytes(), (4 * np.cumsum(n_ids)).tolist()
+        parts = [raw[a:b] for a, b in zip([0, *stops], stops)]
+        return list(zip(tops.tolist(), parts, losses, good, like.tolist()))
+
+    def decodes(self, ids: np.ndarray, n_ids: np.ndarray, units: list[str], sizes: np.ndarray) -> list[bool]:
+        """Whether each unit's ids decode to the unit: all bytes are the same, and each unit's number (``sizes``)."""
+        stops = np.r_[0, np.cumsum(self.library.size_of[ids])]
+        ends = np.cumsum(n_ids)
+        texts = map(self.bytes_of.__getitem__, ids.tolist())
+        want = "".join(units).replace(SPACE, " ").encode("utf-8", "surrogatepass")
+        if (stops[ends] - stops[ends - n_ids] == sizes).all() and b"".join(texts) == want:
+            return [True] * len(units)
+        return [self.decode(ids[e - n : e].tolist()) == u.replace(SPACE, " ") for u, e, n in zip(units, ends, n_ids)]
+
+    def look_up(self, units: set[str]) -> dict[str, tuple]:
+        """A table that holds the ``entry`` of every one of ``units``; long ones are not kept."""
+        if len(self.cache) > CACHE_ENTRIES:
+            self.cache.clear()
+        missing = units.difference(self.cache)
+        short = [u for u in missing if len(u) <= CACHED_CHARS and joins(u)]
+        for at in range(0, len(short), UNITS_AT_ONCE):
+            some = short[at : at + UNITS_AT_ONCE]
+            self.cache.update(zip(some, self.entries(some)))
+        others = {u: self.entry(u) for u in missing.difference(short)}
+        return pieces.Both(self.cache, others) if others else self.cache
 
     def edges(self, unit: str) -> list[tuple]:
         """``(start, end, id or ids, score)`` of all pieces in a unit, by start."""
@@ -101,33 +231,27 @@ class PieceLattice:
         return way[::-1]
 
     def entry(self, unit: str) -> tuple:
-        """``(score, ids as bytes, loss of the second best, does it decode to the unit)``."""
-        known = self.cache.get(unit)
-        if known is None:
-            size, edges = len(unit), self.edges(unit)
-            best, last = self.forward(edges, size)
-            way = self.best_way(last, size)
-            # The second best leaves the best way by some edge; the best way through an
-            # edge is the best prefix before it and the best suffix after it.
-            on_way = set(way)
-            after: list = [None] * size + [0]
-            second = None
-            for edge in reversed(edges):
-                start, end, _, score = edge
-                rest = score + after[end]
-                if after[start] is None or rest > after[start]:
-                    after[start] = rest
-                if (second is None or best[start] + rest > second) and edge not in on_way:
-                    second = best[start] + rest
-            ids = flat(e[2] for e in way)
-            loss = float("inf") if second is None else best[size] - second
-            good = self.decode(ids) == unit.replace(SPACE, " ").replace(LITERAL, SPACE)
-            known = (best[size], np.array(ids, "<u4").tobytes(), loss, good)
-            if size <= CACHED_CHARS:
-                if len(self.cache) >= CACHE_ENTRIES:
-                    self.cache.clear()
-                self.cache[unit] = known
-        return known
+        """``(score, ids as bytes, loss of the second best, does it decode to the unit, is it the library's)``."""
+        size, edges = len(unit), self.edges(unit)
+        best, last = self.forward(edges, size)
+        way = self.best_way(last, size)
+        # The second best leaves the best way by some edge; the best way through an
+        # edge is the best prefix before it and the best suffix after it.
+        on_way = set(way)
+        after: list = [None] * size + [0]
+        second = None
+        for edge in reversed(edges):
+            start, end, _, score = edge
+            rest = score + after[end]
+            if after[start] is None or rest > after[start]:
+                after[start] = rest
+            if (second is None or best[start] + rest > second) and edge not in on_way:
+                second = best[start] + rest
+        ids = flat(e[2] for e in way)
+        loss = float("inf") if second is None else best[size] - second
+        good = self.decode(ids) == unit.replace(SPACE, " ").replace(LITERAL, SPACE)
+        raw = np.array(ids, "<u4").tobytes()
+        return best[size], raw, loss, good, raw == self.library.alone(unit)
 
     def segment(self, unit: str) -> list[tuple[int, bytes]]:
         """The ``n_best`` best segmentations of a unit, best first: backward A*."""
@@ -173,28 +297,26 @@ class PieceLattice:
 
     def encode(self, text: str) -> list[tuple[int, bytes]]:
         """The ``n_best`` best segmentations of a text: scores, and ids as bytes."""
-        return self.encoded(text)[0]
+        units = split_units(text)
+        return self.encoded(units, self.look_up(set(units)))[0]
 
-    def encoded(self, text: str) -> tuple[list[tuple[int, bytes]], bool]:
-        """``encode``, and whether the best decodes to the text.
+    def encoded(self, units: list[str], table: dict[str, tuple]) -> tuple[list[tuple[int, bytes]], bool, bool]:
+        """``encode`` of a text's units, whether the best decodes to the text, and whether it is the library's.
 
         No piece reaches over a space, so the units between spaces are independent:
         the best texts take the best unit everywhere but at a few places.
         """
-        if not text:
-            return [(0, b"")], True
-        units = split_units(text)
-        entries = list(map(self.entry, units))
+        if not units:
+            return [(0, b"")], True, True
+        bests, parts, losses, goods, likes = zip(*map(table.__getitem__, units))
         n = self.n_best
-        score = sum(map(itemgetter(0), entries))
-        parts = list(map(itemgetter(1), entries))
+        score = sum(bests)
         # Places that can change: the n - 1 cheapest, first ones first.
-        losses = map(itemgetter(2), entries)
-        places = [place for _, place in heapq.nsmallest(n - 1, zip(losses, range(len(units))))]
+        places = first_smallest(np.array(losses, np.float64), n - 1)
         options = {place: self.segment(units[place]) for place in places}
         choices = [(0, ())]
         for place in places:
-            best = entries[place][0]
+            best = bests[place]
             merged = [
                 (c + best - s, way + ((place, k),) if k else way)
                 for c, way in choices for k, (s, _) in enumerate(options[place])
@@ -206,7 +328,7 @@ class PieceLattice:
             for place, k in way:
                 changed[place] = options[place][k][1]
             out.append((score - loss, b"".join(changed)))
-        return out, all(map(itemgetter(3), entries))
+        return out, all(goods), all(likes)
 
     def decode(self, ids) -> str:
         """The text of a list of ids, with the space put in front when encoding."""
@@ -230,8 +352,23 @@ def flat(parts) -> list[int]:
     return ids
 
 
+def first_smallest(values: np.ndarray, n: int) -> list[int]:
+    """The places of the ``n`` smallest values, smallest first, of equal ones the first."""
+    if n <= 0:
+        return []
+    if n < len(values):
+        near = np.flatnonzero(values <= np.partition(values, n - 1)[n - 1])
+    else:
+        near = np.arange(len(values))
+    return near[np.argsort(values[near], kind="stable")][:n].tolist()
+
+
 def split_units(text: str) -> list[str]:
-    """The marked text, cut before each space that follows something else."""
+    """The marked text, cut before each space that follows something else; none of an empty text."""
+    if not text:
+        return []
+    if text[0] != " " and text[-1] != " " and "  " not in text:
+        return [SPACE + word for word in text.replace(SPACE, LITERAL).split(" ")]
     marked = SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE)
     first, *rest = marked.split(SPACE)[1:]
     units, spaces = [], SPACE + first
@@ -247,7 +384,50 @@ def split_units(text: str) -> list[str]:
 
 def library_ids(model, texts: list[str]) -> list[list[int]]:
     """The library's own encodings; it takes no lone surrogates, so those become U+FFFD."""
-    return model.encode([t.encode("utf-8", "replace").decode() for t in texts])
+    return model.encode([t.encode("utf-8", "replace").decode() for t in texts], num_threads=1)
+
+
+def piece_bytes(model) -> list[bytes]:
+    """What each piece decodes to."""
+    texts = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+    return [
+        bytes([int(t[3:5], 16)]) if model.is_byte(i) else t.replace(SPACE, " ").encode() for i, t in enumerate(texts)
+    ]
+
+
+class UnitEncoder:
+    """The library's encoding of units, many in one call.
+
+    Merges never reach over a space, so the encodings of a text's units in a row are the
+    text's.  That does not hold for a literal U+2581, which the library takes for a space.
+    """
+
+    def __init__(self, model):
+        self.model = model
+        self.size_of = np.array(list(map(len, piece_bytes(model))), np.int64)
+
+    def alone(self, unit: str) -> bytes:
+        if unit == SPACE:  # the library puts a space in front of what is not empty alone
+            return np.array([self.model.piece_to_id(SPACE)], "<u4").tobytes()
+        text = unit[1:].replace(SPACE, " ").replace(LITERAL, SPACE)
+        return np.array(library_ids(self.model, [text])[0], "<u4").tobytes()
+
+    def encode(self, text: str, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of joined units that ``joins`` holds for, and how many each has.
+
+        ``sizes``: the bytes of each unit as it decodes.
+        """
+        ids = np.array(library_ids(self.model, [text[1:].replace(SPACE, " ")])[0], np.int64)
+        ends, want = np.cumsum(self.size_of[ids]), np.cumsum(sizes)
+        stops = np.searchsorted(ends, want)
+        if not (len(ids) and (ends[stops] == want).all()):
+            raise ValueError("the library's pieces reach over a space")
+        return ids, np.diff(stops + 1, prepend=0)
+
+
+def joins(unit: str) -> bool:
+    """May the library encode the unit in a row with others?  One that ends in a space would join the next."""
+    return unit[-1] != SPACE and LITERAL not in unit
 
 
 def piece_counts(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
@@ -255,15 +435,38 @@ def piece_counts(docs: DataFrame, model_path: str, text_col: str = "text") -> Da
 
     NULL and empty texts hold none.  At most a row for each piece of the model.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES)
 
     def run(batches):
         model = load_model(model_path)
-        for batch in batches:
-            ids = [np.array(i, np.int64) for i in library_ids(model, batch.column(0).to_pylist())]
-            found = np.bincount(np.concatenate([np.empty(0, np.int64), *ids]))
-            pieces = np.flatnonzero(found)
-            yield pa.RecordBatch.from_arrays([pa.array(pieces), pa.array(found[pieces])], names=["piece", "n"])
+        library = UnitEncoder(model)
+        found = np.zeros(model.get_piece_size(), np.int64)
+        units: Counter[str] = Counter()
+
+        def count() -> None:
+            for unit in [u for u in units if not joins(u)]:
+                np.add.at(found, np.frombuffer(library.alone(unit), "<u4"), units.pop(unit))
+            items = list(units.items())
+            for at in range(0, len(items), UNITS_AT_ONCE):
+                some, times = zip(*items[at : at + UNITS_AT_ONCE])
+                sizes = np.array([len(u.encode()) - 2 * u.count(SPACE) for u in some], np.int64)
+                ids, n = library.encode("".join(some), sizes)
+                np.add.at(found, ids, np.repeat(times, n))
+            units.clear()
+
+        # Each unit of a task is encoded once; texts with a literal U+2581 as wholes.
+        for batch in released(batches):
+            for text in batch.column(0):
+                text = text.as_py()
+                if SPACE in text:
+                    np.add.at(found, np.array(library_ids(model, [text])[0], np.int64), 1)
+                else:
+                    units.update(split_units(text))
+            if len(units) > CACHE_ENTRIES:
+                count()
+        count()
+        seen = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(found[seen])], names=["piece", "n"])
 
     texts = docs.select(F.col(text_col).alias("_text")).dropna()
     return texts.mapInArrow(run, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n"))
@@ -300,22 +503,25 @@ def n_best_pieces(
     columns are not read; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     if scores is None:
         scores = piece_scores(piece_counts(docs, model_path, text_col), model_path)
     shared = spark.sparkContext.broadcast(scores)
 
     def run(batches):
-        pieces = PieceLattice(model_path, n_best, shared.value)
-        for batch in batches:
+        lattice = PieceLattice(model_path, n_best, shared.value)
+        for batch in released(batches):
             rows = []
             texts = batch.column("_text").to_pylist()
-            for text, own in zip(texts, library_ids(pieces.model, texts)):
-                found, good = pieces.encoded(text)
+            split = list(map(split_units, texts))
+            table = lattice.look_up(set(chain.from_iterable(split)))
+            for text, units in zip(texts, split):
+                found, good, like = lattice.encoded(units, table)
                 crcs = [zlib.crc32(ids) for _, ids in found]
                 all_scores = [s / SCORE_UNIT for s, _ in found]
                 best = found[0][1]
-                like = best == np.array(own, "<u4").tobytes()
+                if SPACE in text:
+                    like = best == np.array(library_ids(lattice.model, [text])[0], "<u4").tobytes()
                 rows.append((len(best) // 4, all_scores[0], crcs[0], all_scores, crcs, good, like))
             kinds = (
                 pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.bool_(), pa.bool_()

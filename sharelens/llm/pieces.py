@@ -60,11 +60,11 @@ class ChunkCache:
             found = dict(zip(missing, self.encode_all(missing)))
             known.update((k, v) for k, v in found.items() if len(k) <= CACHED_CHARS)
             if any(len(k) > CACHED_CHARS for k in found):
-                return _Both(known, found)
+                return Both(known, found)
         return known
 
 
-class _Both(dict):
+class Both(dict):
     """Lookups in the first mapping, then in the second."""
 
     def __init__(self, first, second):

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 
 from sharelens.llm.nbest_pieces import (
-    LITERAL, SCORE_UNIT, SPACE, PieceLattice, flat, load_model, n_best_pieces, piece_counts, piece_scores, split_units
+    LITERAL, SCORE_UNIT, SPACE, PieceLattice, flat, joins, load_model, n_best_pieces, piece_counts, piece_scores, split_units
 )
 from sharelens.llm.queries import QUERIES
 
@@ -92,3 +92,29 @@ def test_query(spark, pieces, documents):
         assert got[row.doc_id].scores == [s / SCORE_UNIT for s, _ in found][:4]
         own = np.array(pieces.model.encode(row.text), "<u4").tobytes()
         assert got[row.doc_id].like_library == (found[0][1] == own)
+
+
+def test_units_at_once_equal_one_by_one(pieces, documents):
+    dice = random.Random(2)
+    texts = TEXTS + [r.text for r in documents.limit(40).collect() if r.text]
+    texts += ["".join(dice.choices("theanr  é\n.,中\U0001f642\x01", k=dice.randint(1, 40))) for _ in range(200)]
+    units = sorted({u for t in texts for u in split_units(t) if joins(u)})
+    assert pieces.entries(units) == [pieces.entry(u) for u in units]
+
+
+def test_a_unit_is_segmented_once(scores, monkeypatch):
+    asked = []
+    lattice = PieceLattice(PATH, 3, scores)
+    own = lattice.entries
+    monkeypatch.setattr(lattice, "entries", lambda units: asked.extend(units) or own(units))
+    for _ in range(3):
+        lattice.encode("the cat and the dog and the cat")
+    assert sorted(asked) == [SPACE + w for w in ("and", "cat", "dog", "the")]
+
+
+def test_units_in_a_row_are_encoded_like_their_text(scores, documents):
+    lattice = PieceLattice(PATH, 3, scores)
+    for text in [t for t in TEXTS if SPACE not in t] + [r.text for r in documents.limit(40).collect() if r.text]:
+        units = split_units(text)
+        found, _, like = lattice.encoded(units, lattice.look_up(set(units)))
+        assert like == (found[0][1] == np.array(lattice.model.encode(text), "<u4").tobytes())
