@@ -11,8 +11,10 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
-from itertools import chain
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import accumulate, chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ SPACE = "▁"
 LITERAL = "\ud800"  # stands for a literal U+2581; no valid text holds it
 UNKNOWN_PENALTY = 10_000_000
 SCORE_UNIT = 1_000_000  # scores are whole millionths, so sums and ties are exact
+_loaded: dict = {}
 RESULT_SCHEMA = """n_pieces long, score double, ids_crc32 long, scores array<double>,
     all_crc32 array<long>, round_trip boolean, like_library boolean"""
 
@@ -49,7 +52,7 @@ class PieceLattice:
     """
 
     def __init__(self, path: str, n_best: int, scores):
-        self.model = model = load_model(path)
+        self.model = model = unit_encoder(path).model
         size = model.get_piece_size()
         self.n_best = n_best
         self.text_of = [model.id_to_piece(i) for i in range(size)]
@@ -65,15 +68,19 @@ class PieceLattice:
         self.byte_score = min(s for _, s in self.pieces.values()) - UNKNOWN_PENALTY
         # Beginnings of pieces that are no pieces themselves: the search goes on past them.
         self.known = {p[:i]: None for p in self.pieces for i in range(1, len(p))} | self.pieces
-        self.cache: dict[str, tuple] = {}
-        self.choices: dict[str, list] = {}
-        self.lay_out(scores)
+        self.forget()
+        self.lay_out(path, scores)
 
-    def lay_out(self, scores) -> None:
+    def forget(self) -> None:
+        """Drop what has been segmented."""
+        self.parts, self.units = Segmented(), Segmented()
+        self.choices: dict[str, tuple[list, float]] = {}
+
+    def lay_out(self, path: str, scores) -> None:
         """The same pieces as arrays: a trie whose steps are sorted, and each piece's bytes."""
         self.scores = np.array(scores, np.int64)
         self.bytes_of = piece_bytes(self.model)
-        self.library = UnitEncoder(self.model)
+        self.library = unit_encoder(path)
         nodes = {"": 0} | {p: i + 1 for i, p in enumerate(self.known)}
         steps = sorted((nodes[p[:-1]] << 21 | ord(p[-1]), i, self.known[p]) for p, i in nodes.items() if p)
         self.steps = np.array([s for s, _, _ in steps], np.int64)
@@ -107,7 +114,7 @@ class PieceLattice:
     def entries(self, units: list[str]) -> list[tuple]:
         """``entry`` of many units that ``joins`` holds for: the same steps for all of them at once."""
         text = "".join(units)
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        points = code_points(text)
         sizes = np.fromiter(map(len, units), np.int64, len(units))
         unit_of = np.repeat(np.arange(len(units)), sizes)
         first = np.cumsum(sizes) - sizes
@@ -120,7 +127,7 @@ class PieceLattice:
         unit = unit_of[start]
         bare = piece < 0
         # A character without a piece takes as many byte pieces as it has bytes.
-        n_bytes = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
+        n_bytes = utf8_sizes(points)
         wide = n_bytes[start]
         score = np.where(bare, self.byte_score * wide, self.scores[piece])
         # A unit has a place more than characters: its end.
@@ -162,7 +169,7 @@ class PieceLattice:
         n_bytes[points == ord(SPACE)] = 1
         sizes = np.add.reduceat(n_bytes, first)
         good = self.decodes(ids, n_ids, units, sizes)
-        own, n_own = self.library.encode(text, sizes)
+        own, n_own = self.library.encode(units, sizes)
         like = n_ids == n_own
         same = ids[np.repeat(like, n_ids)] == own[np.repeat(like, n_own)]
         like[np.repeat(np.arange(len(units))[like], n_ids[like])[~same]] = False
@@ -182,17 +189,25 @@ class PieceLattice:
             return [True] * len(units)
         return [self.decode(ids[e - n : e].tolist()) == u.replace(SPACE, " ") for u, e, n in zip(units, ends, n_ids)]
 
-    def look_up(self, units: set[str]) -> dict[str, tuple]:
-        """A table that holds the ``entry`` of every one of ``units``; long ones are not kept."""
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        missing = units.difference(self.cache)
+    def look_up(self, units: Iterable[str]) -> Segmented:
+        """A table that holds the ``entry`` of every one of ``units``; long ones are not kept.
+
+        A unit is put together from its parts (``UnitEncoder.cut``); a part is segmented once.
+        """
+        if len(self.units.row) > CACHE_ENTRIES:
+            self.units = Segmented()
+        if len(self.parts.row) > CACHE_ENTRIES:
+            self.parts = Segmented()
+        missing = [u for u in units if u not in self.units.row]
         short = [u for u in missing if len(u) <= CACHED_CHARS and joins(u)]
-        for at in range(0, len(short), UNITS_AT_ONCE):
-            some = short[at : at + UNITS_AT_ONCE]
-            self.cache.update(zip(some, self.entries(some)))
-        others = {u: self.entry(u) for u in missing.difference(short)}
-        return pieces.Both(self.cache, others) if others else self.cache
+        if short:
+            parts, number, firsts = self.library.cut(short)
+            new = [p for p in parts if p not in self.parts.row]
+            found = [self.entries(new[at : at + UNITS_AT_ONCE]) for at in range(0, len(new), UNITS_AT_ONCE)]
+            self.parts.add(new, *columns(list(chain.from_iterable(found))))
+            self.units.add(short, *self.parts.joined(looked_up(self.parts.row, parts, len(parts))[number], firsts))
+        others = list(set(missing).difference(short)) if len(short) < len(missing) else []
+        return self.units.with_more(others, *columns(list(map(self.entry, others)))) if others else self.units
 
     def edges(self, unit: str) -> list[tuple]:
         """``(start, end, id or ids, score)`` of all pieces in a unit, by start."""
@@ -253,17 +268,20 @@ class PieceLattice:
         raw = np.array(ids, "<u4").tobytes()
         return best[size], raw, loss, good, raw == self.library.alone(unit)
 
-    def segment(self, unit: str) -> list[tuple[int, bytes]]:
-        """The ``n_best`` best segmentations of a unit, best first: backward A*."""
-        known = self.choices.get(unit)
-        if known is not None:
+    def segment(self, unit: str, limit: float = math.inf) -> list[tuple[int, bytes]]:
+        """The ``n_best`` best segmentations of a unit, best first: backward A*.
+
+        Those that score more than ``limit`` below the best may be left out.
+        """
+        known, reached = self.choices.get(unit, (None, -1))
+        if reached >= limit:
             return known
         n, size, edges = self.n_best, len(unit), self.edges(unit)
         best, last = self.forward(edges, size)
         into: list[list] = [[] for _ in range(size + 1)]
         for edge in edges:
             into[edge[1]].append(edge)
-        found, ticket = [], 0
+        found, ticket, least = [], 0, best[size] - limit
         queue = [(-best[size], 0, size, 0, None)]
         kept: list[list[int]] = [[] for _ in range(size + 1)]
         while queue and len(found) < n:
@@ -277,6 +295,8 @@ class PieceLattice:
                 continue
             for start, _, ids, score in into[place]:
                 total = suffix + score
+                if total + best[start] < least:
+                    continue
                 # Of the ways from a place only the n best can be among the n best of all.
                 near = kept[start]
                 if len(near) < n:
@@ -292,7 +312,7 @@ class PieceLattice:
         if size <= CACHED_CHARS:
             if len(self.choices) >= CACHE_ENTRIES // 10:
                 self.choices.clear()
-            self.choices[unit] = found
+            self.choices[unit] = found, limit
         return found
 
     def encode(self, text: str) -> list[tuple[int, bytes]]:
@@ -300,35 +320,56 @@ class PieceLattice:
         units = split_units(text)
         return self.encoded(units, self.look_up(set(units)))[0]
 
-    def encoded(self, units: list[str], table: dict[str, tuple]) -> tuple[list[tuple[int, bytes]], bool, bool]:
-        """``encode`` of a text's units, whether the best decodes to the text, and whether it is the library's.
+    def encoded(self, units: list[str], table: Segmented) -> tuple[list[tuple[int, bytes]], bool, bool]:
+        """``encode`` of a text's units, whether the best decodes to the text, and whether it is the library's."""
+        found, good, like = next(self.in_a_row(units, np.arange(len(units)), [len(units)], table))
+        return [(score, b"".join(runs)) for score, runs in found], good, like
+
+    def encoded_all(self, texts: list[str]) -> Iterator[tuple[list[tuple[int, list]], bool, bool]]:
+        """``encoded`` of many texts, in their order; the ids of a segmentation come as runs of bytes."""
+        place: dict[str, int] = numbers()
+        number, sizes = unit_numbers(texts, place)
+        return self.in_a_row(list(place), number, sizes, self.look_up(place))
+
+    def in_a_row(self, units: list[str], number: np.ndarray, sizes: list[int], table: Segmented) -> Iterator:
+        """``encoded_all`` of texts with ``sizes`` units each; ``number`` tells which of ``units``, text by text.
 
         No piece reaches over a space, so the units between spaces are independent:
         the best texts take the best unit everywhere but at a few places.
         """
-        if not units:
-            return [(0, b"")], True, True
-        bests, parts, losses, goods, likes = zip(*map(table.__getitem__, units))
+        stops = [0, *accumulate(sizes)]
+        row = looked_up(table.row, units, len(units))[number]
+        ids, id_stops = table.ids_of(row)
+        raw = memoryview(ids.tobytes())
+        bests, losses = table.score[row], table.loss[row]
+        sums, bad, unlike = (np.r_[0, np.cumsum(x)][stops] for x in (bests, ~table.good[row], ~table.like[row]))
         n = self.n_best
-        score = sum(bests)
-        # Places that can change: the n - 1 cheapest, first ones first.
-        places = first_smallest(np.array(losses, np.float64), n - 1)
-        options = {place: self.segment(units[place]) for place in places}
-        choices = [(0, ())]
-        for place in places:
-            best = bests[place]
-            merged = [
-                (c + best - s, way + ((place, k),) if k else way)
-                for c, way in choices for k, (s, _) in enumerate(options[place])
-            ]
-            choices = heapq.nsmallest(n, merged)
-        out = []
-        for loss, way in choices:
-            changed = list(parts) if way else parts
-            for place, k in way:
-                changed[place] = options[place][k][1]
-            out.append((score - loss, b"".join(changed)))
-        return out, all(goods), all(likes)
+        for a, b, score, good, like in zip(
+            stops, stops[1:], np.diff(sums).tolist(), (np.diff(bad) == 0).tolist(), (np.diff(unlike) == 0).tolist()
+        ):
+            # Places that can change: the n - 1 cheapest, first ones first.
+            places = first_smallest(losses[a:b], n - 1)
+            # With their second bests there are n ways; what costs more than the dearest is not among the n best.
+            limit = float(losses[a + places[-1]]) if places and len(places) == n - 1 else math.inf
+            options = {place: self.segment(units[number[a + place]], limit) for place in places}
+            choices = [(0, ())]
+            for place in places:
+                best = int(bests[a + place])
+                merged = [
+                    (c + best - s, way + ((place, k),) if k else way)
+                    for c, way in choices for k, (s, _) in enumerate(options[place])
+                ]
+                choices = heapq.nsmallest(n, merged)
+            span = {place: (4 * int(id_stops[a + place]), 4 * int(id_stops[a + place + 1])) for place in places}
+            begin, end = 4 * int(id_stops[a]), 4 * int(id_stops[b])
+            out = []
+            for loss, way in choices:
+                runs, at = [], begin
+                for place, k in sorted(way):
+                    runs += [raw[at : span[place][0]], options[place][k][1]]
+                    at = span[place][1]
+                out.append((score - loss, [*runs, raw[at:end]]))
+            yield out, good, like
 
     def decode(self, ids) -> str:
         """The text of a list of ids, with the space put in front when encoding."""
@@ -387,6 +428,10 @@ def library_ids(model, texts: list[str]) -> list[list[int]]:
     return model.encode([t.encode("utf-8", "replace").decode() for t in texts], num_threads=1)
 
 
+def utf8_sizes(points: np.ndarray) -> np.ndarray:
+    return 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
+
+
 def piece_bytes(model) -> list[bytes]:
     """What each piece decodes to."""
     texts = [model.id_to_piece(i) for i in range(model.get_piece_size())]
@@ -396,15 +441,46 @@ def piece_bytes(model) -> list[bytes]:
 
 
 class UnitEncoder:
-    """The library's encoding of units, many in one call.
+    """The library's encoding of units and their parts, many in one call.
 
     Merges never reach over a space, so the encodings of a text's units in a row are the
     text's.  That does not hold for a literal U+2581, which the library takes for a space.
+    Nor do they reach over two characters that stand side by side in no piece.
     """
 
     def __init__(self, model):
         self.model = model
         self.size_of = np.array(list(map(len, piece_bytes(model))), np.int64)
+        texts = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i))]
+        pairs = {pair for t in texts for pair in zip(t, t[1:])}
+        self.pairs = np.array(sorted(ord(a) << 21 | ord(b) for a, b in pairs), np.int64)
+        # What stands between parts joins none of them.
+        joining = set(chain.from_iterable(pairs))
+        self.mark = next(c for c in "\n" + "".join(map(chr, range(1, 32))) if c not in joining)
+
+    def cut(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct parts of units, the numbers of all their parts in a row, and where each unit's begin.
+
+        No piece reaches over two parts: the segmentations of a unit are those of its parts in a row.
+        """
+        place: dict[str, int] = numbers()
+        number, begin, n = [], [], 0
+        for at in range(0, len(units), UNITS_AT_ONCE):
+            some = units[at : at + UNITS_AT_ONCE]
+            text = "".join(some)
+            points = code_points(text)
+            pair = points[:-1] << 21 | points[1:]
+            near = np.searchsorted(self.pairs, pair)
+            near[near == len(self.pairs)] = 0
+            cuts = np.r_[True, self.pairs[near] != pair]
+            firsts = [0, *accumulate(map(len, some[:-1]))]
+            cuts[firsts] = True
+            starts = np.flatnonzero(cuts)
+            ends = [*starts.tolist(), len(text)]
+            number.append(looked_up(place, [text[a:b] for a, b in zip(ends, ends[1:])], len(starts)))
+            begin.append(n + np.searchsorted(starts, firsts))
+            n += len(starts)
+        return list(place), np.concatenate(number), np.concatenate(begin)
 
     def alone(self, unit: str) -> bytes:
         if unit == SPACE:  # the library puts a space in front of what is not empty alone
@@ -412,17 +488,121 @@ class UnitEncoder:
         text = unit[1:].replace(SPACE, " ").replace(LITERAL, SPACE)
         return np.array(library_ids(self.model, [text])[0], "<u4").tobytes()
 
-    def encode(self, text: str, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of joined units that ``joins`` holds for, and how many each has.
+    def encode(self, parts: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of parts, or of units that ``joins`` holds for, and how many each has.
 
-        ``sizes``: the bytes of each unit as it decodes.
+        ``sizes``: the bytes of each as it decodes.
         """
-        ids = np.array(library_ids(self.model, [text[1:].replace(SPACE, " ")])[0], np.int64)
-        ends, want = np.cumsum(self.size_of[ids]), np.cumsum(sizes)
+        text = self.mark + self.mark.join(parts).replace(SPACE, " ")
+        ids = np.array(library_ids(self.model, [text])[0], np.int64)
+        # The library puts a space in front; then each part has a mark before it.
+        ends, want = np.cumsum(self.size_of[ids]), np.cumsum(sizes + 1) + 1
         stops = np.searchsorted(ends, want)
-        if not (len(ids) and (ends[stops] == want).all()):
+        marks = np.r_[0, stops[:-1]] + 1
+        if not ((ends[stops] == want).all() and (self.size_of[ids[marks]] == 1).all()):
             raise ValueError("the library's pieces reach over a space")
-        return ids, np.diff(stops + 1, prepend=0)
+        own = np.ones(len(ids), bool)
+        own[0] = own[marks] = False
+        return ids[own], stops - marks
+
+
+class Segmented:
+    """Strings with what ``PieceLattice.entry`` says of them, in columns; the ids of all in one array."""
+
+    def __init__(self):
+        self.row: dict[str, int] = {}
+        self.score, self.loss = np.empty(0, np.int64), np.empty(0)
+        self.good, self.like = np.empty(0, bool), np.empty(0, bool)
+        self.ids, self.stops = np.empty(0, "<u4"), np.zeros(1, np.int64)
+
+    def add(self, texts: list[str], score, loss, good, like, ids, n) -> None:
+        """New strings with their columns; ``n``: how many of ``ids`` each has."""
+        self.row.update(zip(texts, range(len(self.score), len(self.score) + len(texts))))
+        self.score, self.loss = np.r_[self.score, score], np.r_[self.loss, loss]
+        self.good, self.like = np.r_[self.good, good], np.r_[self.like, like]
+        self.stops = np.r_[self.stops, len(self.ids) + np.cumsum(n)]
+        self.ids = np.concatenate([self.ids, ids])
+
+    def with_more(self, texts: list[str], *found) -> Segmented:
+        """A table with more strings; this one stays as it is."""
+        both, n = Segmented(), len(self.row)
+        vars(both).update(vars(self))
+        both.row = {}
+        both.add(texts, *found)
+        both.row = pieces.Both(self.row, dict(zip(texts, range(n, n + len(texts)))))
+        return both
+
+    def ids_of(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of rows one after the other, and where each row's end, with a 0 in front."""
+        n = self.stops[row + 1] - self.stops[row]
+        stops = np.r_[0, np.cumsum(n)]
+        return self.ids[np.repeat(self.stops[row] - stops[:-1], n) + np.arange(stops[-1])], stops
+
+    def joined(self, row: np.ndarray, firsts: np.ndarray) -> tuple:
+        """The columns of strings made up of rows in a row; ``firsts``: where each string's begin."""
+        ids, stops = self.ids_of(row)
+        return (
+            np.add.reduceat(self.score[row], firsts),
+            np.minimum.reduceat(self.loss[row], firsts),
+            np.logical_and.reduceat(self.good[row], firsts),
+            np.logical_and.reduceat(self.like[row], firsts),
+            ids,
+            np.diff(np.r_[stops[firsts], stops[-1]]),
+        )
+
+
+def columns(entries: list[tuple]) -> tuple:
+    """What ``Segmented`` holds of ``PieceLattice.entry`` of some strings."""
+    scores, raws, losses, goods, likes = zip(*entries) if entries else [()] * 5
+    return (
+        np.array(scores, np.int64), np.array(losses, np.float64), np.array(goods, bool), np.array(likes, bool),
+        np.frombuffer(b"".join(raws), "<u4"), np.array(list(map(len, raws)), np.int64) // 4,
+    )
+
+
+def numbers() -> dict:
+    """A dictionary that numbers what is looked up in it, from 0."""
+    return defaultdict(count().__next__)
+
+
+def unit_numbers(texts: list[str], place: dict[str, int]) -> tuple[np.ndarray, list[int]]:
+    """The numbers that ``place`` has for the units of texts, and how many each text has.
+
+    Only one text's units are there at a time.
+    """
+    sizes: list[int] = []
+
+    def split(text: str) -> list[str]:
+        units = split_units(text)
+        sizes.append(len(units))
+        return units
+
+    return looked_up(place, chain.from_iterable(map(split, texts)), -1), sizes
+
+
+def looked_up(table: dict, keys: Iterable, n: int) -> np.ndarray:
+    """The numbers that a dictionary has for ``n`` keys; -1: for all."""
+    return np.fromiter(map(table.__getitem__, keys), np.int64, n)
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+
+
+def unit_encoder(path: str) -> UnitEncoder:
+    """The encoder of a model file, once a worker process."""
+    if path not in _loaded:
+        _loaded[path] = UnitEncoder(load_model(path))
+    return _loaded[path]
+
+
+def piece_lattice(path: str, n_best: int, scores: np.ndarray) -> PieceLattice:
+    """The lattice of a model file; a worker process keeps the last one of a file between tasks."""
+    key = ("lattice", path)
+    known = _loaded.get(key)
+    if known is None or known.n_best != n_best or not np.array_equal(known.scores, scores):
+        known = _loaded[key] = PieceLattice(path, n_best, scores)
+    return known
 
 
 def joins(unit: str) -> bool:
@@ -438,20 +618,22 @@ def piece_counts(docs: DataFrame, model_path: str, text_col: str = "text") -> Da
     small_batches(docs.sparkSession, BATCH_BYTES)
 
     def run(batches):
-        model = load_model(model_path)
-        library = UnitEncoder(model)
+        library = unit_encoder(model_path)
+        model = library.model
         found = np.zeros(model.get_piece_size(), np.int64)
         units: Counter[str] = Counter()
 
-        def count() -> None:
-            for unit in [u for u in units if not joins(u)]:
+        def add_up() -> None:
+            for unit in [u for u in units if u[-1] == SPACE]:
                 np.add.at(found, np.frombuffer(library.alone(unit), "<u4"), units.pop(unit))
-            items = list(units.items())
-            for at in range(0, len(items), UNITS_AT_ONCE):
-                some, times = zip(*items[at : at + UNITS_AT_ONCE])
-                sizes = np.array([len(u.encode()) - 2 * u.count(SPACE) for u in some], np.int64)
-                ids, n = library.encode("".join(some), sizes)
-                np.add.at(found, ids, np.repeat(times, n))
+            distinct, times = list(units), list(units.values())
+            for at in range(0, len(distinct), UNITS_AT_ONCE):
+                some = distinct[at : at + UNITS_AT_ONCE]
+                points = code_points("".join(some))
+                sizes = np.where(points == ord(SPACE), 1, utf8_sizes(points))
+                firsts = [0, *accumulate(map(len, some[:-1]))]
+                ids, n = library.encode(some, np.add.reduceat(sizes, firsts))
+                np.add.at(found, ids, np.repeat(times[at : at + UNITS_AT_ONCE], n))
             units.clear()
 
         # Each unit of a task is encoded once; texts with a literal U+2581 as wholes.
@@ -463,8 +645,8 @@ def piece_counts(docs: DataFrame, model_path: str, text_col: str = "text") -> Da
                 else:
                     units.update(split_units(text))
             if len(units) > CACHE_ENTRIES:
-                count()
-        count()
+                add_up()
+        add_up()
         seen = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(found[seen])], names=["piece", "n"])
 
@@ -509,26 +691,23 @@ def n_best_pieces(
     shared = spark.sparkContext.broadcast(scores)
 
     def run(batches):
-        lattice = PieceLattice(model_path, n_best, shared.value)
-        for batch in released(batches):
+        lattice = piece_lattice(model_path, n_best, shared.value)
+        for batch in released(batches, lattice.forget):
             rows = []
             texts = batch.column("_text").to_pylist()
-            split = list(map(split_units, texts))
-            table = lattice.look_up(set(chain.from_iterable(split)))
-            for text, units in zip(texts, split):
-                found, good, like = lattice.encoded(units, table)
-                crcs = [zlib.crc32(ids) for _, ids in found]
+            for text, (found, good, like) in zip(texts, lattice.encoded_all(texts)):
+                crcs = [reduce(lambda crc, run: zlib.crc32(run, crc), runs, 0) for _, runs in found]
                 all_scores = [s / SCORE_UNIT for s, _ in found]
-                best = found[0][1]
+                best = b"".join(found[0][1])
                 if SPACE in text:
                     like = best == np.array(library_ids(lattice.model, [text])[0], "<u4").tobytes()
                 rows.append((len(best) // 4, all_scores[0], crcs[0], all_scores, crcs, good, like))
             kinds = (
                 pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.bool_(), pa.bool_()
             )
-            columns = [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 7, kinds)]
+            found_columns = [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 7, kinds)]
             names = ["n_pieces", "score", "ids_crc32", "scores", "all_crc32", "round_trip", "like_library"]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *names])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *found_columns], names=["doc_id", *names])
 
     slim = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     kind = slim.schema["doc_id"].dataType.simpleString()

@@ -118,3 +118,35 @@ def test_units_in_a_row_are_encoded_like_their_text(scores, documents):
         units = split_units(text)
         found, _, like = lattice.encoded(units, lattice.look_up(set(units)))
         assert like == (found[0][1] == np.array(lattice.model.encode(text), "<u4").tobytes())
+
+
+def test_a_part_is_segmented_once(scores, monkeypatch):
+    asked = []
+    lattice = PieceLattice(PATH, 3, scores)
+    own = lattice.entries
+    monkeypatch.setattr(lattice, "entries", lambda units: asked.extend(units) or own(units))
+    for text in ('the cat, the "cat".', "the\ncat the, cat"):
+        lattice.encode(text)
+    assert sorted(asked) == sorted([SPACE + "the", SPACE + "cat", "cat", ",", "\n", SPACE + '"', '".'])
+
+
+def test_units_are_put_together_from_their_parts(scores, documents):
+    dice = random.Random(3)
+    lattice = PieceLattice(PATH, 3, scores)
+    texts = TEXTS + [r.text for r in documents.limit(30).collect() if r.text]
+    texts += ["".join(dice.choices("theanr  é\n.,)\"'0中▁\U0001f642\x01", k=dice.randint(1, 70))) for _ in range(300)]
+    units = sorted({u for t in texts for u in split_units(t)})
+    table = lattice.look_up(units)
+    for unit in units:
+        score, raw, loss, good, like = lattice.entry(unit)
+        row = np.array([table.row[unit]])
+        assert (table.score[row], table.loss[row], table.good[row], table.like[row]) == (score, loss, good, like)
+        assert table.ids_of(row)[0].tobytes() == raw
+
+
+def test_counts_of_odd_texts_are_the_librarys(texts_of):
+    dice = random.Random(4)
+    texts = TEXTS + ["".join(dice.choices("theanr   é\n.,)\"'0中▁\U0001f642", k=dice.randint(1, 70))) for _ in range(300)]
+    want = np.bincount(np.array(flat(map(tuple, load_model(PATH).encode(texts)))))
+    got = {r.piece: r.n for r in piece_counts(texts_of(list(enumerate(texts))), PATH).collect()}
+    assert got == {i: n for i, n in enumerate(want.tolist()) if n}
