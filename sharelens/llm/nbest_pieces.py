@@ -606,7 +606,7 @@ def piece_lattice(path: str, n_best: int, scores: np.ndarray) -> PieceLattice:
 
 
 def joins(unit: str) -> bool:
-    """May the library encode the unit in a row with others?  One that ends in a space would join the next."""
+    """May the library encode the unit in a row with others?  One that ends in a space is encoded alone."""
     return unit[-1] != SPACE and LITERAL not in unit
 
 
