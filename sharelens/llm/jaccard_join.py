@@ -10,25 +10,28 @@ members of opened groups are then compared exactly.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sharelens.functions.skew import fits
-from sharelens.llm.common import components, small_batches, stored, whole_row
-from sharelens.llm.shingles import forgetting, set_id, shingle_set
+from sharelens.llm.common import components, released, small_batches, stored, whole_row
+from sharelens.llm.shingles import Shingles, distinct, pieces, set_id, shingle_sets, shingles
 
 OVERLAP = 3
 LAST_SIZES = 4
-FREQUENT = 32
-BATCH_FREQUENT = 4
+FREQUENT = 8
+BATCH_FREQUENT = 2
 MAX_FREQUENT = 1_000_000
+WORD_BITS = 20
+MOST_COMMON = 127
+KEEP_BITS = 56
 FILTER_BITS = 24
 BROADCAST_IDS = 1_000_000
 OPEN_ROWS = 256
 HOT_SETS = 32
+BLOCK = ("grp", "m_part", "q_part")
 PREFIX_SCHEMA = "doc_id long, text_id long, set_id long, n long, prefix array<long>"
 
 
@@ -39,25 +42,56 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def frequent_tokens(texts: DataFrame, k: int) -> np.ndarray:
-    """Tokens of many documents, sorted; at most ``MAX_FREQUENT``, the most frequent.
+def common_words_and_tokens(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How common words are; tokens that several documents have, sorted; how common these are.
 
-    Every batch counts all its tokens and reports those of ``BATCH_FREQUENT`` documents
-    or more.  The list only orders tokens: any list gives the same links.
+    Words are counted by the first ``WORD_BITS`` bits of their hash.  Of the tokens at most
+    ``MAX_FREQUENT`` are listed, the most frequent: every batch counts all its tokens and
+    reports those of ``BATCH_FREQUENT`` documents or more.  Counts become numbers up to
+    ``MOST_COMMON`` that grow with their logarithm.  All this only orders tokens: any
+    numbers and any list give the same links.
     """
 
+    def rows(values, counts, word):
+        columns = [pa.array(values.astype(np.int64)), pa.array(counts.astype(np.int64)), pa.array(np.full(len(values), word))]
+        return pa.RecordBatch.from_arrays(columns, names=["token", "n", "word"])
+
     def run(batches):
-        for batch in forgetting(batches):
-            sets = [shingle_set(t, k) for t in batch.column("_text").to_pylist()]
-            tokens, counts = np.unique(np.concatenate(sets or [np.empty(0, np.uint64)]), return_counts=True)
+        words, turns = np.zeros(1 << WORD_BITS, np.int64), 0
+        for batch in released(batches):
+            sets = [np.empty(0, np.uint64)]
+            for piece in pieces(batch.column("_text")):
+                found = shingles(piece, k)
+                words += np.bincount(word_place(found.words), minlength=len(words))
+                sets += [distinct(found.tokens[i:j]) for i, j in zip(found.starts.tolist(), found.ends.tolist())]
+            tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
             often = counts >= BATCH_FREQUENT
-            columns = [pa.array(tokens[often].view(np.int64)), pa.array(counts[often].astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=["token", "n"])
+            turns += 1
+            yield rows(tokens[often].view(np.int64), counts[often], False)
+        often = np.flatnonzero(words >= BATCH_FREQUENT * max(1, turns))
+        yield rows(often, words[often], True)
+
+    counts = texts.select("_text").mapInArrow(run, "token long, n long, word boolean")
+    often = counts.groupBy("token", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
+    often = stored(often, "frequent")
+    words = often.where("word").select(F.col("token").cast("int"), "n").toArrow()
+    common = np.zeros(1 << WORD_BITS, np.uint8)
+    common[words.column("token").to_numpy()] = graded(words.column("n").to_numpy())
+    tokens = often.where("NOT word").orderBy(F.col("n").desc(), "token").limit(MAX_FREQUENT).select("token", "n").toArrow()
+    listed = tokens.column("token").to_numpy().view(np.uint64)
+    order = np.argsort(listed)
+    return common, listed[order], graded(tokens.column("n").to_numpy())[order]
+
+
+def graded(counts: np.ndarray) -> np.ndarray:
+    """Numbers from 0 to ``MOST_COMMON`` that grow with the logarithm of the counts."""
+    if not len(counts):
+        return np.empty(0, np.uint8)
+    return np.rint(np.log1p(counts) / np.log1p(counts.max()) * MOST_COMMON).astype(np.uint8)
 
-    counts = texts.select("_text").mapInArrow(run, "token long, n long")
-    often = counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
-    often = often.orderBy(F.col("n").desc(), "token").limit(MAX_FREQUENT).select("token")
-    return np.sort(often.toArrow().column("token").to_numpy().view(np.uint64))
+
+def word_place(words: np.ndarray) -> np.ndarray:
+    return (words >> np.uint64(64 - WORD_BITS)).astype(np.int64)
 
 
 def in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -68,27 +102,51 @@ def in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[places] == values
 
 
-def prefixes(texts: DataFrame, k: int, percent: int, frequent) -> DataFrame:
+def ordered_tokens(found: Shingles, k: int, common: np.ndarray, often: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The tokens of ``found`` by names that sort by how many other texts are likely to have them.
+
+    The first ``64 - KEEP_BITS`` bits are, for a token in ``often``, its ``counts`` above
+    ``MOST_COMMON``, else the mean of how common its words are: texts of one origin share
+    the former, others by chance those with common words only.  The other bits are the
+    token's own.
+    """
+    grades, sums = common[word_place(found.words)], np.zeros(len(found.words), np.uint32)
+    for i in range(min(k, len(grades))):
+        sums[: len(grades) - i] += grades[i:]
+    order = (sums // np.uint32(k)).astype(np.uint64)
+    few = np.flatnonzero((found.sizes > 0) & (found.sizes < k))
+    for start, size in zip(found.starts[few].tolist(), found.sizes[few].tolist()):
+        order[start] = int(grades[start : start + size].sum(dtype=np.int64)) // size
+    if len(often):
+        places = np.searchsorted(often, found.tokens)
+        places[places == len(often)] = 0
+        hits = np.flatnonzero(often[places] == found.tokens)
+        order[hits] = counts[places[hits]].astype(np.uint64) + np.uint64(MOST_COMMON + 1)
+    return order << np.uint64(KEEP_BITS) | found.tokens >> np.uint64(64 - KEEP_BITS)
+
+
+def prefixes(texts: DataFrame, k: int, percent: int, ordering) -> DataFrame:
     """``doc_id, text_id, set_id, n, prefix``; the prefix only for a set's first copy in a batch.
 
     An overlap of ``percent`` % needs ``ceil(n * percent / 100)`` common tokens, so of
     any two such sets the first ``n - that + OVERLAP`` tokens share ``OVERLAP``.
+    ``ordering``: what ``common_words_and_tokens`` found, broadcast.
     """
 
     def run(batches):
-        often = frequent.value
-        for batch in forgetting(batches):
+        for batch in released(batches):
             seen, rows = set(), []
-            for text in batch.column("_text").to_pylist():
-                tokens = shingle_set(text, k)
-                n, name, prefix = len(tokens), set_id(tokens), None
-                need = -(-n * percent // 100)
-                if name not in seen and need >= OVERLAP:
-                    seen.add(name)
-                    late = in_sorted(tokens, often)
-                    ordered = np.concatenate([tokens[~late], tokens[late]])
-                    prefix = ordered[: n - need + OVERLAP].view(np.int64)
-                rows.append((name, n, prefix))
+            for piece in pieces(batch.column("_text")):
+                found = shingles(piece, k)
+                names = ordered_tokens(found, k, *ordering.value)
+                for start, end in zip(found.starts.tolist(), found.ends.tolist()):
+                    tokens = distinct(found.tokens[start:end])
+                    n, name, prefix = len(tokens), set_id(tokens), None
+                    need = -(-n * percent // 100)
+                    if name not in seen and need >= OVERLAP:
+                        seen.add(name)
+                        prefix = distinct(names[start:end])[: n - need + OVERLAP].view(np.int64)
+                    rows.append((name, n, prefix))
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()))
             columns = [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 3, kinds)]
             columns = [batch.column("doc_id"), batch.column("text_id"), *columns]
@@ -163,6 +221,12 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
+def sets_by_id(ids: pa.Array, texts: pa.Array, k: int) -> tuple[list[np.ndarray], list[int]]:
+    """The sets of ``texts``, each id's once, and each row's place among them."""
+    _, first, at = np.unique(ids.to_numpy(), return_index=True, return_inverse=True)
+    return list(shingle_sets(texts.take(pa.array(first)), k)), at.tolist()
+
+
 def verified_stars(pairs: DataFrame, texts: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (``a``, its center ``b``) whose whole sets overlap by ``percent`` %."""
     pairs = stored(pairs, "star_pairs")
@@ -170,14 +234,10 @@ def verified_stars(pairs: DataFrame, texts: DataFrame, sets: DataFrame, k: int,
     whole = texts_of_sets(texts, sets, ids, "star")
 
     def run(batches):
-        for batch in forgetting(batches):
-            known: dict[str, np.ndarray] = {}
-            keep = []
-            for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
-                for text in (x, y):
-                    if text not in known:
-                        known[text] = shingle_set(text, k)
-                keep.append(linked(known[x], known[y], percent))
+        for batch in released(batches):
+            texts = pa.concat_arrays([batch.column("text_a"), batch.column("text_b")])
+            found, at = sets_by_id(pa.concat_arrays([batch.column("a"), batch.column("b")]), texts, k)
+            keep = [linked(found[x], found[y], percent) for x, y in zip(at[: len(batch)], at[len(batch) :])]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     first = whole.select(F.col("set_id").alias("a"), F.col("_text").alias("text_a"))
@@ -211,6 +271,14 @@ def enough_for_any(common: Column, n: Column, small: Column, large: Column, perc
     return may
 
 
+def block_starts(rows: pa.RecordBatch) -> np.ndarray:
+    """Where the blocks begin in rows that are sorted by block."""
+    keys = [rows.column(c).to_numpy() for c in BLOCK]
+    new = np.ones(len(rows), bool)
+    new[1:] = np.logical_or.reduce([key[1:] != key[:-1] for key in keys])
+    return np.flatnonzero(new)
+
+
 def opened_links(met: DataFrame, members: DataFrame, texts: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """A link ``a, b`` for each query that has one into a group it opened.
 
@@ -236,19 +304,34 @@ def opened_links(met: DataFrame, members: DataFrame, texts: DataFrame, sets: Dat
             F.pmod(F.xxhash64("set_id"), F.col(f"{own}s")).alias(own), F.explode(every).alias(other),
         )
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        found = [shingle_set(t, k) for t in rows["_text"]]
-        ids, asks = rows["set_id"].tolist(), rows["asks"].tolist()
-        others = [i for i, q in enumerate(asks) if not q]
+    def links(rows: pa.RecordBatch) -> pa.RecordBatch:
+        found, at = sets_by_id(rows.column("set_id"), rows.column("_text"), k)
+        ids, asks = rows.column("set_id").to_pylist(), rows.column("asks").to_pylist()
+        bounds = [*block_starts(rows).tolist(), len(rows)]
         links = []
-        for i in (i for i, q in enumerate(asks) if q):
-            near = next((j for j in others if linked(found[i], found[j], percent)), None)
-            if near is not None:
-                links.append((ids[i], ids[near]))
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+        for start, end in zip(bounds[:-1], bounds[1:]):
+            others = [j for j in range(start, end) if not asks[j]]
+            for i in range(start, end):
+                near = asks[i] and next((j for j in others if linked(found[at[i]], found[at[j]], percent)), None)
+                if asks[i] and near is not None:
+                    links.append((ids[i], ids[near]))
+        columns = [pa.array(c, pa.int64()) for c in zip(*links)] or [pa.array([], pa.int64())] * 2
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    def run(batches):
+        rest = None  # the last block, which may go on in the next batch
+        for batch in released(batches):
+            rows = batch if rest is None else pa.concat_batches([rest, batch])
+            if len(rows):
+                end = int(block_starts(rows)[-1])
+                rest = rows.slice(end)
+                yield links(rows.slice(0, end))
+        if rest is not None:
+            yield links(rest)
 
     blocks = dealt(met, True).unionByName(dealt(inside, False)).join(whole, "set_id")
-    return stored(blocks.groupBy("grp", "m_part", "q_part").applyInPandas(run, "a long, b long"), "across")
+    blocks = blocks.repartition(*BLOCK).sortWithinPartitions(*BLOCK)
+    return stored(blocks.mapInArrow(run, "a long, b long"), "across")
 
 
 def opening_pairs(asking: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
@@ -354,8 +437,8 @@ def near_duplicates(
     spark = docs.sparkSession
     small_batches(spark)
     texts = _texts(docs, id_col, text_col)
-    frequent = spark.sparkContext.broadcast(frequent_tokens(texts, k))
-    sets = stored(prefixes(texts, k, percent, frequent), "prefixes")
+    ordering = spark.sparkContext.broadcast(common_words_and_tokens(texts, k))
+    sets = stored(prefixes(texts, k, percent, ordering), "prefixes")
     links = linked_sets(texts, sets, k, percent)
     slim = sets.select("doc_id", "set_id", "n").join(
         links.select(F.col("vertex").alias("set_id"), "component"), "set_id", "left"

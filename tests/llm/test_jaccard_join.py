@@ -1,10 +1,12 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sharelens.llm import jaccard_join
+from sharelens.llm import shingles as shingles_of
 from sharelens.llm.common import components
 from sharelens.llm.jaccard_join import near_duplicates
 from sharelens.llm.shingles import shingle_set
@@ -181,3 +183,51 @@ def test_each_text_is_stored_once_a_comparison(texts_of, monkeypatch):
     rows = near_copies(1)
     assert found(near_duplicates(texts_of(rows), 4, 85)) == brute_force(rows, 4, 85)
     assert kept == ["star_sets", "opened_sets"]
+
+
+def copies_of_copies(n, edits):
+    """A family of ``n`` texts, each an earlier one with a few other words."""
+    dice = random.Random(21)
+    family = [[f"base{i}" for i in range(100)]]
+    while len(family) < n:
+        text = list(dice.choice(family))
+        for place in dice.sample(range(100), edits):
+            text[place] = f"new{len(family)}_{place}"
+        family.append(text)
+    return [(i, " ".join(t)) for i, t in enumerate(family)]
+
+
+@pytest.mark.parametrize("edits,most", [(2, 300), (1, 3000)])
+def test_a_family_too_far_apart_to_link_opens_few_groups(texts_of, monkeypatch, edits, most):
+    """Two other words leave 89 of 97 shingles, 0.848; the family has 44,850 pairs."""
+    met = []
+    real = jaccard_join.stored
+
+    def stored(df, name):
+        out = real(df, name)
+        met.extend([out.count()] if name == "met" else [])
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    rows = copies_of_copies(300, edits)
+    assert found(near_duplicates(texts_of(rows), 4, 85)) == brute_force(rows, 4, 85)
+    assert sum(met) <= most
+
+
+def test_texts_shingled_together_have_their_own_sets(monkeypatch):
+    monkeypatch.setattr(shingles_of, "PIECE_BYTES", 300)
+    long = "x" * 100
+    rows = [t for _, t in near_copies(8, 3, 5)] + [t or "" for _, t in ODD] + [
+        f" {long} a b\tc {long}y\x0c", f"{long} a b c {long}", "12345678 1234567 123456789", "1234567812345678", "a", "", "A  b a\nB a b", "\x00 \x00\x00 a\x1cb",
+    ]
+    texts = pa.array(["before", *rows, "after"]).slice(1, len(rows))
+    for k in (1, 4):
+        got = [set(s.tolist()) for s in shingles_of.shingle_sets(texts, k)]
+        want = [set(shingles(t, k)) for t in rows]
+        names = {}
+        for a, b in zip(got, want):
+            assert len(a) == len(b)
+            names.setdefault(frozenset(b), set()).add(frozenset(a))
+        assert all(len(x) == 1 for x in names.values()) and len(set().union(*got)) == len(set().union(*want))
+        assert [shingles_of.shingle_set(t, k).tolist() for t in rows] == [s.tolist() for s in shingles_of.shingle_sets(texts, k)]
+    assert list(shingles_of.shingle_sets(pa.array([], pa.string()), 4)) == []
