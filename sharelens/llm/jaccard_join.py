@@ -279,6 +279,17 @@ def block_starts(rows: pa.RecordBatch) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def may_be_enough(common: Column, n: Column, small: Column, large: Column, percent: int) -> Column:
+    """``enough_for_any`` without rounding: no less, and little work for each row of a join.
+
+    The need less what is left out falls with the distance of the two sizes, so the
+    smallest or the largest size needs least.
+    """
+    share, part = percent / (100 + percent), percent / 100
+    ends = [(n + m) * F.lit(share) - F.greatest(n, m) * F.lit(part) for m in (small, large)]
+    return common >= F.least(*ends) + F.lit(OVERLAP - 1 - 1e-6)
+
+
 def opened_links(met: DataFrame, members: DataFrame, texts: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """A link ``a, b`` for each query that has one into a group it opened.
 
@@ -364,7 +375,8 @@ def opening_pairs(asking: DataFrame, matrix: DataFrame, percent: int) -> DataFra
 
     sets = asking.where("common").join(of_set.select("set_id", "h"), "set_id")
     groups = matrix.where("common").drop("common").join(of_group.select("other", "other_h"), "other")
-    alone = sets.join(groups, "token").where(fewer & near & may(F.least("h", "other_h")))
+    most = may_be_enough(F.least("h", "other_h"), F.col("n"), F.col("small"), F.col("large"), percent)
+    alone = sets.join(groups, "token").where(fewer & near & most)
     alone = alone.groupBy(*sizes).agg(F.count(F.lit(1)).alias("c")).where(may(F.col("c")))
     pairs = rare.select("set_id", F.col("other").alias("grp")).unionByName(alone.select("set_id", F.col("other").alias("grp")))
     return pairs.distinct()

@@ -231,3 +231,14 @@ def test_texts_shingled_together_have_their_own_sets(monkeypatch):
         assert all(len(x) == 1 for x in names.values()) and len(set().union(*got)) == len(set().union(*want))
         assert [shingles_of.shingle_set(t, k).tolist() for t in rows] == [s.tolist() for s in shingles_of.shingle_sets(texts, k)]
     assert list(shingles_of.shingle_sets(pa.array([], pa.string()), 4)) == []
+
+
+@pytest.mark.parametrize("percent", [68, 85, 100])
+def test_the_quick_bound_is_no_stricter(spark, percent):
+    sizes = [(n, a, b) for n in range(3, 90, 3) for a in range(3, 100, 4) for b in range(a, 110, 7)]
+    frame = spark.createDataFrame(sizes, "n long, small long, large long").crossJoin(spark.range(40))
+    columns = [F.col(c) for c in ("id", "n", "small", "large")]
+    near = (F.col("n") * percent <= F.col("large") * 100) & (F.col("small") * percent <= F.col("n") * 100)
+    exact, quick = (f(*columns, percent) for f in (jaccard_join.enough_for_any, jaccard_join.may_be_enough))
+    assert frame.where(near & exact & ~quick).isEmpty()
+    assert not frame.where(near & ~quick).isEmpty()
